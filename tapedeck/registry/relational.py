@@ -170,7 +170,7 @@ def match_name_artist_first(v: Views) -> DataFrame:
        left join tracks t on r.track_id = t.track_id""",
 )
 def join_preserve_columns(v: Views) -> DataFrame:
-    rebuilt = dedup.dedup_subset(track_rows(v.nested_plays), ["track_id"])
+    rebuilt = dedup.dedup_subset(track_rows(v.read_plays()), ["track_id"])
     kept = joins.preserve_columns(
         rebuilt, v.stored_dimensions.tracks, "track_id", ["disc_number"], fill=["isrc", "popularity"]
     )

@@ -164,11 +164,10 @@ def _top(period: str, value: str, out: str, rows: str) -> str:
 
 @query(
     "agg_daily",
-    f"""with dated as (select *, cast(played_at_utc as date) as date from fact)
-        select d.*, a.top_artist, g.top_genre
-        from (select date, {_PERIOD} from dated group by date) d
-        left join {_top("date", "artist_name", "top_artist", "dated")} a on d.date = a.date
-        left join {_top("date", "top_genre", "top_genre", "(select * from dated where top_genre is not null)")} g
+    f"""select d.*, a.top_artist, g.top_genre
+        from (select date, {_PERIOD} from dated_fact group by date) d
+        left join {_top("date", "artist_name", "top_artist", "dated_fact")} a on d.date = a.date
+        left join {_top("date", "top_genre", "top_genre", "(select * from dated_fact where top_genre is not null)")} g
           on d.date = g.date""",
 )
 def agg_daily(v: Views) -> DataFrame:

@@ -10,6 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from tapedeck import schemas
 from tapedeck.functions.text import ARTIST_URI_PREFIX, TRACK_URI_PREFIX, encode_key, pair_key
@@ -354,7 +355,7 @@ class Views:
             F.lit("album").alias("type"),
             F.concat(F.lit("spotify:album:"), "p_brand").alias("uri"),
             F.concat(F.lit("api/albums/"), "p_brand").alias("href"),
-            F.when(size > 20, F.array(image)).otherwise(F.array().cast(f"array<{image_type()}>")).alias("images"),
+            F.when(size > 20, F.array(image)).otherwise(F.array().cast(ArrayType(schemas.IMAGE))).alias("images"),
             F.array(owner).alias("artists"),
         )
 
@@ -384,7 +385,7 @@ class Views:
         key = F.col("l_suppkey")
         main = self.artist_entry(F.concat(F.lit("A"), key), F.col("line_artist"))
         guest = self.artist_entry(F.concat(F.lit("A"), key + 1), F.concat(F.lit("Guest "), key + 1))
-        artists = F.when(F.col("line_artist").isNull(), F.array().cast(f"array<{artist_type()}>")).otherwise(
+        artists = F.when(F.col("line_artist").isNull(), F.array().cast(ArrayType(schemas.ARTIST))).otherwise(
             F.array(main, guest)
         )
         context = F.struct(
@@ -482,10 +483,3 @@ class Views:
         with_discs = self.tracks.withColumn("disc_number", F.lit(2).cast("bigint"))
         return Dimensions(artists=self.artists_with_genres, albums=self.albums, tracks=with_discs)
 
-
-def image_type() -> str:
-    return "struct<url: string, height: int, width: int>"
-
-
-def artist_type() -> str:
-    return "struct<id: string, name: string, type: string, uri: string, href: string, external_urls: map<string,string>>"

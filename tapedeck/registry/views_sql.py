@@ -229,6 +229,7 @@ VIEWS = {
         left join artists a on e.artist_name = a.artist_name
         left join artist_tags g on a.artist_id = g.artist_id
         left join features f on e.track_id = f.track_id""",
+    "dated_fact": "select *, cast(played_at_utc as date) as date from fact",
     "wide_artists": """
         select a.*, l.genres, l.genres[1] as primary_genre, t.tags as lastfm_tags, t.top_tag as lastfm_top_tag
         from artists a left join genre_lists l using (artist_id) left join artist_tags t using (artist_id)""",

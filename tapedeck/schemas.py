@@ -8,117 +8,141 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
+
+TEXT, LONG, INT, DOUBLE, FLAG, TIME = (
+    StringType(), LongType(), IntegerType(), DoubleType(), BooleanType(), TimestampNTZType()
+)
+TEXTS = ArrayType(TEXT)
+
 
+def struct(**fields: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in fields.items()])
 
-def ddl(text: str) -> StructType:
-    return StructType.fromDDL(text)
+
+def same(kind: DataType, names: str) -> dict[str, DataType]:
+    return dict.fromkeys(names.split(), kind)
 
 
 # ---------------------------------------------------------------- bronze records
 
-_LINKS = "external_urls: map<string,string>"
-_ARTIST = f"struct<id: string, name: string, type: string, uri: string, href: string, {_LINKS}>"
-_IMAGE = "struct<url: string, height: int, width: int>"
-_ALBUM = (
-    "struct<id: string, name: string, album_type: string, total_tracks: bigint, release_date: string, "
-    "release_date_precision: string, type: string, uri: string, href: string, "
-    f"images: array<{_IMAGE}>, artists: array<{_ARTIST}>>"
+LINKS = MapType(TEXT, TEXT)
+ARTIST = struct(**same(TEXT, "id name type uri href"), external_urls=LINKS)
+IMAGE = struct(url=TEXT, height=INT, width=INT)
+ALBUM = struct(
+    **same(TEXT, "id name album_type"),
+    total_tracks=LONG,
+    **same(TEXT, "release_date release_date_precision type uri href"),
+    images=ArrayType(IMAGE),
+    artists=ArrayType(ARTIST),
 )
-TRACK_TYPE = (
-    "struct<id: string, name: string, duration_ms: bigint, explicit: boolean, popularity: bigint, "
-    "track_number: bigint, disc_number: bigint, type: string, uri: string, href: string, "
-    f"is_local: boolean, external_ids: struct<isrc: string>, album: {_ALBUM}, artists: array<{_ARTIST}>>"
-)
-
-PLAY = ddl(
-    f"played_at string, context struct<type: string, uri: string, href: string, {_LINKS}>, track {TRACK_TYPE}"
+TRACK = struct(
+    **same(TEXT, "id name"),
+    duration_ms=LONG,
+    explicit=FLAG,
+    **same(LONG, "popularity track_number disc_number"),
+    **same(TEXT, "type uri href"),
+    is_local=FLAG,
+    external_ids=struct(isrc=TEXT),
+    album=ALBUM,
+    artists=ArrayType(ARTIST),
 )
+CONTEXT = struct(**same(TEXT, "type uri href"), external_urls=LINKS)
+PLAY = struct(played_at=TEXT, context=CONTEXT, track=TRACK)
 
 # Field names of the two account-export formats.
-EXPORT = ddl(
-    """
-    endTime string, artistName string, trackName string, msPlayed bigint,
-    ts string, platform string, ms_played bigint, conn_country string, ip_addr string,
-    master_metadata_track_name string, master_metadata_album_artist_name string,
-    master_metadata_album_album_name string, spotify_track_uri string, uri string,
-    episode_name string, episode_show_name string, spotify_episode_uri string,
-    audiobook_title string, audiobook_uri string, audiobook_chapter_uri string, audiobook_chapter_title string,
-    reason_start string, reason_end string, shuffle boolean, skipped boolean, offline boolean,
-    offline_timestamp bigint, incognito_mode boolean
-    """
+EXPORT = struct(
+    **same(TEXT, "endTime artistName trackName"),
+    msPlayed=LONG,
+    **same(TEXT, "ts platform"),
+    ms_played=LONG,
+    **same(
+        TEXT,
+        "conn_country ip_addr master_metadata_track_name master_metadata_album_artist_name "
+        "master_metadata_album_album_name spotify_track_uri uri episode_name episode_show_name spotify_episode_uri "
+        "audiobook_title audiobook_uri audiobook_chapter_uri audiobook_chapter_title reason_start reason_end",
+    ),
+    **same(FLAG, "shuffle skipped offline"),
+    offline_timestamp=LONG,
+    incognito_mode=FLAG,
 )
 
-TRACK_MARKER = ddl(
-    f"search_artist_name string, search_track_name string, track {TRACK_TYPE}, not_found boolean"
-)
-TRACK_TAGS_MARKER = ddl(
-    "track_id string, tags array<string>, top_tag string, listeners bigint, playcount bigint, not_found boolean"
-)
-ARTIST_TAGS_MARKER = ddl("artist_id string, tags array<string>, top_tag string, not_found boolean")
+TRACK_MARKER = struct(search_artist_name=TEXT, search_track_name=TEXT, track=TRACK, not_found=FLAG)
+TRACK_TAGS_MARKER = struct(track_id=TEXT, tags=TEXTS, top_tag=TEXT, listeners=LONG, playcount=LONG, not_found=FLAG)
+ARTIST_TAGS_MARKER = struct(artist_id=TEXT, tags=TEXTS, top_tag=TEXT, not_found=FLAG)
 
-ATTEMPTS = ddl("key string, status string, payload string, attempted_at timestamp_ntz")
-CURSOR = ddl("last_run_timestamp timestamp_ntz, last_played_at_unix_ms bigint")
+ATTEMPTS = struct(key=TEXT, status=TEXT, payload=TEXT, attempted_at=TIME)
+CURSOR = struct(last_run_timestamp=TIME, last_played_at_unix_ms=LONG)
 
 # ---------------------------------------------------------------- catalogue dump
 
+# The twelve audio features, three whole-number and nine fractional, in table order.
+AUDIO_FEATURES: dict[str, DataType] = {
+    "time_signature": LONG,
+    "tempo": DOUBLE,
+    "key": LONG,
+    "mode": LONG,
+    "danceability": DOUBLE,
+    "energy": DOUBLE,
+    "loudness": DOUBLE,
+    "speechiness": DOUBLE,
+    "acousticness": DOUBLE,
+    "instrumentalness": DOUBLE,
+    "liveness": DOUBLE,
+    "valence": DOUBLE,
+}
 CATALOGUE = {
-    "tracks": ddl(
-        "rowid bigint, id string, name string, duration_ms bigint, explicit int, popularity bigint, "
-        "track_number bigint, disc_number bigint, external_id_isrc string, album_rowid bigint"
+    "tracks": struct(
+        rowid=LONG, id=TEXT, name=TEXT, duration_ms=LONG, explicit=INT,
+        **same(LONG, "popularity track_number disc_number"), external_id_isrc=TEXT, album_rowid=LONG,
     ),
-    "albums": ddl(
-        "rowid bigint, id string, name string, album_type string, release_date string, total_tracks bigint, "
-        "label string, external_id_upc string, popularity bigint"
+    "albums": struct(
+        rowid=LONG, **same(TEXT, "id name album_type release_date"), total_tracks=LONG,
+        **same(TEXT, "label external_id_upc"), popularity=LONG,
     ),
-    "artists": ddl("rowid bigint, id string, name string, followers_total bigint, popularity bigint"),
-    "track_artists": ddl("track_rowid bigint, artist_rowid bigint"),
-    "artist_genres": ddl("artist_rowid bigint, genre string"),
-}
-
-# The twelve audio features, three whole-number and nine fractional, in table order.
-AUDIO_FEATURES = {
-    "time_signature": "bigint",
-    "tempo": "double",
-    "key": "bigint",
-    "mode": "bigint",
-    "danceability": "double",
-    "energy": "double",
-    "loudness": "double",
-    "speechiness": "double",
-    "acousticness": "double",
-    "instrumentalness": "double",
-    "liveness": "double",
-    "valence": "double",
-}
-CATALOGUE["track_audio_features"] = ddl(
-    "track_id string, null_response string, " + ", ".join(f"{c} string" for c in AUDIO_FEATURES)
-)
+    "artists": struct(rowid=LONG, id=TEXT, name=TEXT, followers_total=LONG, popularity=LONG),
+    "track_artists": struct(track_rowid=LONG, artist_rowid=LONG),
+    "artist_genres": struct(artist_rowid=LONG, genre=TEXT),
+    "track_audio_features": struct(track_id=TEXT, null_response=TEXT, **dict.fromkeys(AUDIO_FEATURES, TEXT)),
+}
 
 # ---------------------------------------------------------------- silver tables
 
-ARTISTS = ddl(
-    "artist_id string, artist_name string, artist_uri string, genres array<string>, "
-    "followers_total bigint, popularity bigint"
-)
-ALBUMS = ddl(
-    "album_id string, album_name string, album_type string, release_date string, total_tracks bigint, "
-    "image_url string, label string, upc string, popularity bigint"
-)
-TRACKS = ddl(
-    "track_id string, track_name string, duration_ms bigint, explicit boolean, popularity bigint, "
-    "track_number bigint, album_id string, track_uri string, isrc string, disc_number bigint"
+ARTISTS = struct(
+    **same(TEXT, "artist_id artist_name artist_uri"), genres=TEXTS, **same(LONG, "followers_total popularity")
 )
-TRACK_TAGS = ddl("track_id string, tags array<string>, top_tag string, listeners bigint, playcount bigint")
-ARTIST_TAGS = ddl("artist_id string, tags array<string>, top_tag string")
-FEATURES = ddl("track_id string, " + ", ".join(f"{c} {t}" for c, t in AUDIO_FEATURES.items()))
-EVENTS = ddl(
-    "played_at_utc timestamp_ntz, track_id string, track_name string, artist_name string, duration_ms bigint, "
-    "context_type string, context_uri string, source_type string, platform string, conn_country string, "
-    "reason_start string, reason_end string, shuffle boolean, skipped boolean, offline boolean, "
-    "incognito_mode boolean, album_name string"
+ALBUMS = struct(
+    **same(TEXT, "album_id album_name album_type release_date"), total_tracks=LONG,
+    **same(TEXT, "image_url label upc"), popularity=LONG,
+)
+TRACKS = struct(
+    track_id=TEXT, track_name=TEXT, duration_ms=LONG, explicit=FLAG, popularity=LONG, track_number=LONG,
+    **same(TEXT, "album_id track_uri isrc"), disc_number=LONG,
+)
+TRACK_TAGS = struct(track_id=TEXT, tags=TEXTS, top_tag=TEXT, listeners=LONG, playcount=LONG)
+ARTIST_TAGS = struct(artist_id=TEXT, tags=TEXTS, top_tag=TEXT)
+FEATURES = struct(track_id=TEXT, **AUDIO_FEATURES)
+EVENTS = struct(
+    played_at_utc=TIME,
+    **same(TEXT, "track_id track_name artist_name"),
+    duration_ms=LONG,
+    **same(TEXT, "context_type context_uri source_type platform conn_country reason_start reason_end"),
+    **same(FLAG, "shuffle skipped offline incognito_mode"),
+    album_name=TEXT,
 )
-EVENTS_PARTITIONED = StructType(EVENTS.fields + ddl("year int, month int").fields)
+EVENTS_PARTITIONED = StructType([*EVENTS.fields, *struct(year=INT, month=INT).fields])
 
 # Columns that only the catalogue phases fill; a rebuild from bronze has to carry them over.
 ARTIST_EXTRAS = ["genres", "followers_total", "popularity"]

@@ -15,7 +15,7 @@ from tapedeck.operators.dedup import dedup_by_priority
 from tapedeck.operators.sets import union_diagonal
 from tapedeck.sources.tables import months_of, only_months, read_optional
 
-_DONE = schemas.ddl("batch_id bigint")
+_DONE = schemas.struct(batch_id=schemas.LONG)
 
 
 def upsert_batch(batch: DataFrame, batch_id: int, table: str, work: str) -> None:
