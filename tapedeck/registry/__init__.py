@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 from types import ModuleType
 
-MODULES = ["scalars", "relational", "tables"]
+MODULES = ["scalars", "relational", "tables", "lake"]
 
 
 def load() -> ModuleType:

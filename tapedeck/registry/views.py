@@ -34,6 +34,10 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def scratch(self, name: str) -> str:
+        """A new folder for files that a query writes and reads back."""
+        return f"{scratch_root(self.spark)}/{name}"
+
     # ------------------------------------------------------------ plays
 
     @cached_property
