@@ -23,6 +23,7 @@ from tapedeck.functions.text import (
 from tapedeck.operators.joins import anti_join, semi_join
 from tapedeck.schemas import AUDIO_FEATURES
 from tapedeck.sources.catalogue import Catalogue
+from tapedeck.sources.tables import materialize
 
 
 # ---------------------------------------------------------------- phase 1
@@ -104,14 +105,14 @@ def catalogue_rows(track_rowids: DataFrame, catalogue: Catalogue) -> DataFrame:
     )
 
 
-def resolve_pairs(pairs: DataFrame, catalogue: Catalogue) -> DataFrame:
-    """One row per pair with its storage key and the nested track record, null where nothing matched."""
-    matches = first_matches(pairs, catalogue)
-    found = matches.select("track_rowid").na.drop().distinct()
-    rows = catalogue_rows(found, catalogue)
-    records = rows.select(
-        "track_rowid", track_record({c: F.col(c) for c in rows.columns}).alias("track")
-    )
+def resolve_pairs(pairs: DataFrame, catalogue: Catalogue, work: str) -> DataFrame:
+    """One row per pair with its storage key and the nested track record, null where nothing matched.
+
+    The pairs and their matches are each used several times and are written to `work` first.
+    """
+    matches = materialize(first_matches(materialize(pairs, f"{work}/pairs"), catalogue), f"{work}/matches")
+    rows = catalogue_rows(matches.select("track_rowid").na.drop().distinct(), catalogue)
+    records = rows.select("track_rowid", track_record({c: F.col(c) for c in rows.columns}).alias("track"))
     return matches.join(records, "track_rowid", "left").select(
         encode_key(pair_key(F.col("artist_name"), F.col("track_name"))).alias("key"),
         F.col("artist_name").alias("search_artist_name"),

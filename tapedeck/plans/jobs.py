@@ -14,7 +14,7 @@ from tapedeck.operators.validation import play_is_valid, split_valid
 from tapedeck.plans import enrichment, gold, silver
 from tapedeck.sources import bronze, state
 from tapedeck.sources.catalogue import read_catalogue
-from tapedeck.sources.tables import read_silver, swap_table, table_path, write_by_month, write_table
+from tapedeck.sources.tables import materialize, read_silver, swap_table, table_path, write_by_month, write_table
 
 GOLD = ["dim_tracks", "dim_artists", "fact_plays", "agg_daily", "agg_monthly", "agg_artist_stats", "agg_track_stats"]
 # Plays of one key from which on its rows are spread over several partitions.
@@ -31,50 +31,60 @@ def read_lake(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def build_silver(spark: SparkSession, root: str, work: str, export_zone: str | None = None) -> None:
-    """Rebuild the silver layer from bronze. `work` holds tables while they are being replaced."""
-    plays = bronze.read_plays(spark, bronze_path(root, "plays"))
-    exports = bronze.read_exports(spark, bronze_path(root, "exports"))
-    markers = bronze.read_markers(spark, bronze_path(root, "track_markers"), schemas.TRACK_MARKER)
+    """Rebuild the silver layer from bronze.
+
+    The raw JSON is parsed once, into columnar copies under `work`, which all tables then read.
+    """
+    plays = materialize(bronze.read_plays(spark, bronze_path(root, "plays")), f"{work}/plays")
+    exports = materialize(bronze.read_exports(spark, bronze_path(root, "exports")), f"{work}/exports")
+    markers = materialize(
+        bronze.read_markers(spark, bronze_path(root, "track_markers"), schemas.TRACK_MARKER), f"{work}/markers"
+    )
     existing = silver.Dimensions(*[read_silver(spark, root, t) for t in ("artists", "albums", "tracks")])
     dims = silver.build_dimensions(plays, markers, existing)
     for name in ("artists", "albums", "tracks"):
-        df = getattr(dims, name)
-        if not df.isEmpty():
-            swap_table(df, table_path(root, name), f"{work}/{name}")
+        swap_table(getattr(dims, name), table_path(root, name), f"{work}/{name}")
     tags = {
         "track_tags": ("track_tag_markers", schemas.TRACK_TAGS_MARKER, silver.track_tags),
         "artist_tags": ("artist_tag_markers", schemas.ARTIST_TAGS_MARKER, silver.artist_tags),
     }
     for name, (source, schema, build) in tags.items():
         found = bronze.read_markers(spark, bronze_path(root, source), schema)
-        write_table(build(found), table_path(root, name))
+        swap_table(build(found), table_path(root, name), f"{work}/{name}")
+    if plays.isEmpty() and exports.isEmpty():
+        return
     events = silver.listening_events(
         silver.api_events(plays), silver.export_events(exports, silver.enrichment_mapping(markers), export_zone)
     )
     write_by_month(events, table_path(root, "listening_events"))
 
 
-def build_gold(spark: SparkSession, root: str, hot_rows: int = HOT_ROWS) -> None:
-    """Build the gold layer from silver; the aggregates read the written fact, not its plan."""
+def build_gold(spark: SparkSession, root: str, work: str, hot_rows: int = HOT_ROWS) -> None:
+    """Build the gold layer from silver.
+
+    The lookups of the fact are written first, so that their real size decides between a broadcast
+    and a shuffle; the aggregates read the written fact, not its plan.
+    """
     s = read_lake(spark, root)
     path = {name: table_path(root, name) for name in GOLD}
-    write_table(gold.dim_tracks(s["tracks"], s["albums"], s["track_tags"], s["audio_features"]), path["dim_tracks"])
-    write_table(gold.dim_artists(s["artists"], s["artist_tags"]), path["dim_artists"])
-    events = s["listening_events"]
-    large = events.count() >= hot_rows
-    fact = gold.fact_plays(
-        events, s["tracks"], s["albums"], s["artists"], s["artist_tags"], s["audio_features"],
-        hot_tracks=hot_keys(events, "track_id", hot_rows) if large else None,
-        hot_artists=hot_keys(events, "artist_name", hot_rows) if large else None,
-    )
-    write_by_month(fact, path["fact_plays"])
+    tracks, albums, artists, events = s["tracks"], s["albums"], s["artists"], s["listening_events"]
+    wide_tracks = gold.dim_tracks(tracks, albums, s["track_tags"], s["audio_features"])
+    write_table(wide_tracks, path["dim_tracks"], when=tracks)
+    write_table(gold.dim_artists(artists, s["artist_tags"]), path["dim_artists"], when=artists)
     if events.isEmpty():
         return
+    track_side = materialize(gold.track_lookup(tracks, albums, s["audio_features"]), f"{work}/track_side")
+    artist_side = materialize(gold.artist_lookup(artists, s["artist_tags"]), f"{work}/artist_side")
+    hot_tracks = hot_artists = None
+    if events.count() >= hot_rows:
+        hot_tracks = materialize(hot_keys(events, "track_id", hot_rows), f"{work}/hot_tracks")
+        hot_artists = materialize(hot_keys(events, "artist_name", hot_rows), f"{work}/hot_artists")
+    write_by_month(gold.fact_plays(events, track_side, artist_side, hot_tracks, hot_artists), path["fact_plays"])
     plays = spark.read.parquet(path["fact_plays"])
-    artists = gold.dim_artists(s["artists"], s["artist_tags"])
     write_table(gold.agg_daily(plays).orderBy("date"), path["agg_daily"])
     write_table(gold.agg_monthly(plays).orderBy("year", "month"), path["agg_monthly"])
-    write_table(gold.by_total_plays(gold.agg_artist_stats(plays, artists)), path["agg_artist_stats"])
+    about = gold.dim_artists(artists, s["artist_tags"])
+    write_table(gold.by_total_plays(gold.agg_artist_stats(plays, about)), path["agg_artist_stats"])
     write_table(gold.by_total_plays(gold.agg_track_stats(plays)), path["agg_track_stats"])
 
 
@@ -83,10 +93,8 @@ def enrich_from_catalogue(spark: SparkSession, root: str, dump: str, work: str)
     catalogue, s = read_catalogue(spark, dump), read_lake(spark, root)
     attempts_path = f"{root.rstrip('/')}/bronze/attempts"
     pairs = enrichment.pairs_to_resolve(s["listening_events"], state.read_attempts(spark, attempts_path))
-    staged = f"{work}/resolved"
-    enrichment.resolve_pairs(pairs, catalogue).write.mode("overwrite").parquet(staged)
-    resolved = spark.read.parquet(staged)
-    markers = enrichment.resolved_markers(resolved).withColumn("not_found", F.lit(False))
+    resolved = materialize(enrichment.resolve_pairs(pairs, catalogue, work), f"{work}/resolved")
+    markers = enrichment.resolved_markers(resolved)
     bronze.write_json_arrays(markers, f"{bronze_path(root, 'track_markers')}/run-{uuid.uuid4().hex}")
     payload = enrichment.marker_payload(resolved)
     state.append_attempts(
@@ -94,10 +102,9 @@ def enrich_from_catalogue(spark: SparkSession, root: str, dump: str, work: str)
     )
     fills = {"tracks": enrichment.enrich_tracks, "artists": enrichment.enrich_artists, "albums": enrichment.enrich_albums}
     for name, fill in fills.items():
-        if not s[name].isEmpty():
-            swap_table(fill(s[name], catalogue), table_path(root, name), f"{work}/{name}")
-    tracks = read_silver(spark, root, "tracks")
-    write_table(enrichment.audio_features(tracks, catalogue), table_path(root, "audio_features"))
+        swap_table(fill(s[name], catalogue), table_path(root, name), f"{work}/{name}")
+    features = enrichment.audio_features(read_silver(spark, root, "tracks"), catalogue)
+    swap_table(features, table_path(root, "audio_features"), f"{work}/audio_features")
 
 
 def new_plays(plays: DataFrame, cursor: DataFrame) -> DataFrame:
@@ -114,7 +121,7 @@ def ingest_increment(
     cursor_path = f"{root.rstrip('/')}/{schemas.STATE_PATH}"
     plays = bronze.read_plays(spark, landing)
     valid, _ = split_valid(plays, play_is_valid(F.col("played_at"), F.col("context"), F.col("track")))
-    fresh = new_plays(valid, state.read_cursor(spark, cursor_path))
+    fresh = materialize(new_plays(valid, state.read_cursor(spark, cursor_path)), f"{work}/fresh")
     if fresh.isEmpty():
         return
     bronze.land_plays(fresh, bronze_path(root, "plays"), run_at)
@@ -122,10 +129,12 @@ def ingest_increment(
 
 
 def transform_gold(spark: SparkSession, root: str, work: str) -> None:
-    build_silver(spark, root, work)
-    build_gold(spark, root)
+    """Silver, then gold."""
+    build_silver(spark, root, f"{work}/silver")
+    build_gold(spark, root, f"{work}/gold")
 
 
 def run_all(spark: SparkSession, landing: str, root: str, work: str) -> None:
-    ingest_increment(spark, landing, root, work)
-    build_silver(spark, root, work)
+    """Ingest, then silver."""
+    ingest_increment(spark, landing, root, f"{work}/ingest")
+    build_silver(spark, root, f"{work}/silver")

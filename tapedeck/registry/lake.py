@@ -218,7 +218,7 @@ def cursor_advance(v: Views) -> DataFrame:
     path, run_at = v.scratch("cursor"), F.expr(_RUN_AT)
     for batch in (v.nested_plays, v.nested_plays.filter(F.col("played_at").isNull())):
         after = jobs.new_plays(batch, state.read_cursor(v.spark, path))
-        tables.write_table(state.advance_cursor(after, run_at), path)
+        tables.swap_table(state.advance_cursor(after, run_at), path, v.scratch("staging"))
     return state.read_cursor(v.spark, path)
 
 

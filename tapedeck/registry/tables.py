@@ -112,7 +112,11 @@ def silver_events(v: Views) -> DataFrame:
 
 
 def build_fact(v: Views) -> DataFrame:
-    return gold.fact_plays(dedup_by_priority(v.plays), v.tracks, v.albums, v.artists, v.artist_tags, v.features)
+    return gold.fact_plays(
+        dedup_by_priority(v.plays),
+        gold.track_lookup(v.tracks, v.albums, v.features),
+        gold.artist_lookup(v.artists, v.artist_tags),
+    )
 
 
 @query("fact_plays", "select * from fact")
@@ -255,7 +259,7 @@ def dump_missing_pairs(v: Views) -> DataFrame:
 )
 def dump_resolve(v: Views) -> DataFrame:
     pairs = enrichment.pairs_to_resolve(dedup_by_priority(v.plays), v.attempts)
-    resolved = enrichment.resolve_pairs(pairs, v.catalogue)
+    resolved = enrichment.resolve_pairs(pairs, v.catalogue, v.scratch("resolve"))
     return resolved.select(
         "key",
         "search_artist_name",

@@ -31,16 +31,30 @@ def read_silver(spark: SparkSession, root: str, name: str) -> DataFrame:
     return read_optional(spark, table_path(root, name), schemas.SILVER_SCHEMAS[name])
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    """Overwrite a table, unless there is nothing to write."""
-    if not df.isEmpty():
+def materialize(df: DataFrame, path: str) -> DataFrame:
+    """Write a frame aside and go on from the copy.
+
+    For frames that several plans start from: they are computed once, the copy survives the loss of
+    executors, and its size is known when the next join is planned.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_table(df: DataFrame, path: str, when: DataFrame | None = None) -> None:
+    """Overwrite a table, unless the stored table it is made from (`when`) has no rows."""
+    if when is None or not when.isEmpty():
         df.write.mode("overwrite").parquet(path)
 
 
 def swap_table(df: DataFrame, path: str, staging: str) -> None:
-    """Overwrite a table that `df` itself is read from: write aside first, then replace."""
-    df.write.mode("overwrite").parquet(staging)
-    df.sparkSession.read.parquet(staging).write.mode("overwrite").parquet(path)
+    """Overwrite a table that `df` itself may be read from: write aside first, then replace.
+
+    An empty result leaves the old table as it is.
+    """
+    staged = materialize(df, staging)
+    if not staged.isEmpty():
+        staged.write.mode("overwrite").parquet(path)
 
 
 def write_by_month(df: DataFrame, path: str) -> None:
