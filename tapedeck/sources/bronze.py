@@ -47,8 +47,10 @@ def readable(df: DataFrame) -> DataFrame:
 
 
 def quarantine(df: DataFrame) -> DataFrame:
-    """Unreadable records with the file they came from."""
-    return df.filter(F.col(CORRUPT).isNotNull()).select(F.col("_metadata.file_path"), CORRUPT)
+    """Unreadable records with their file and whatever fields could be read."""
+    fields = F.struct(*[c for c in df.columns if c != CORRUPT])
+    unreadable = df.filter(F.col(CORRUPT).isNotNull())
+    return unreadable.select(F.col("_metadata.file_path"), F.col(CORRUPT), fields.alias("fields"))
 
 
 def read_plays(spark: SparkSession, path: str) -> DataFrame:
