@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapedeck import schemas
+from tapedeck.functions.text import encode_key
 from tapedeck.functions.timestamps import epoch_millis, parse_utc
 from tapedeck.operators.joins import hot_keys
 from tapedeck.operators.validation import play_is_valid, split_valid
-from tapedeck.plans import enrichment, gold, silver
+from tapedeck.plans import enrichment, gold, responses, silver, worklists
 from tapedeck.sources import bronze, state
 from tapedeck.sources.catalogue import read_catalogue
 from tapedeck.sources.tables import materialize, read_silver, swap_table, table_path, write_by_month, write_table
@@ -30,6 +31,56 @@ def read_lake(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: read_silver(spark, root, name) for name in schemas.SILVER_SCHEMAS}
 
 
+def attempts_path(root: str, kind: str) -> str:
+    return f"{root.rstrip('/')}/bronze/attempts/{kind}"
+
+
+def attempts(spark: SparkSession, root: str, kind: str) -> DataFrame:
+    """All look-ups of a kind so far: those of the table, and marker files that others left."""
+    table = state.read_attempts(spark, attempts_path(root, kind))
+    return table.unionByName(state.attempts_from_files(spark, bronze_path(root, kind)))
+
+
+def record(markers: DataFrame, payload: DataFrame, root: str, kind: str) -> None:
+    """Keep look-up results: found records as markers, every key (key, payload) as an attempt."""
+    bronze.write_json_arrays(markers, f"{bronze_path(root, kind)}/run-{uuid.uuid4().hex}")
+    rows = state.attempt_rows(payload, F.col("key"), F.col("payload"), F.current_timestamp())
+    state.append_attempts(rows, attempts_path(root, kind))
+
+
+def next_lookups(spark: SparkSession, root: str, tracks: int = 50, tags: int = 200) -> dict[str, DataFrame]:
+    """The next batch of keys per look-up kind."""
+    events, dims = read_silver(spark, root, "listening_events"), read_lake(spark, root)
+    return {
+        "track_markers": worklists.worklist_tracks(events, dims["tracks"], attempts(spark, root, "track_markers"), tracks),
+        "track_tag_markers": worklists.worklist_track_tags(events, attempts(spark, root, "track_tag_markers"), tags),
+        "artist_tag_markers": worklists.worklist_artist_tags(
+            dims["artists"], attempts(spark, root, "artist_tag_markers"), tags
+        ),
+    }
+
+
+# Key column and parser per look-up kind.
+LOOKUPS = {
+    "track_markers": ("track_id", responses.parse_tracks),
+    "track_tag_markers": ("track_id", responses.parse_track_tags),
+    "artist_tag_markers": ("artist_id", responses.parse_artist_tags),
+}
+
+
+def record_responses(raw: DataFrame, root: str, kind: str, work: str) -> None:
+    """Parse the raw responses (key column, response) of a look-up batch and keep the results."""
+    key, parse = LOOKUPS[kind]
+    parsed = materialize(parse(raw), f"{work}/{kind}")
+    found = parsed.filter(~F.col("not_found")).drop("not_found")
+    payload = parsed.select(
+        encode_key(F.col(key)).alias("key"),
+        F.when(~F.col("not_found"), F.to_json(F.struct(*found.columns))).alias("payload"),
+    )
+    markers = found.drop("track_id") if kind == "track_markers" else found
+    record(markers, payload, root, kind)
+
+
 def build_silver(spark: SparkSession, root: str, work: str, export_zone: str | None = None) -> None:
     """Rebuild the silver layer from bronze.
 
@@ -91,15 +142,9 @@ def build_gold(spark: SparkSession, root: str, work: str, hot_rows: int = HOT_RO
 def enrich_from_catalogue(spark: SparkSession, root: str, dump: str, work: str) -> None:
     """The five catalogue phases. Phase 1 leaves markers that the next silver build picks up."""
     catalogue, s = read_catalogue(spark, dump), read_lake(spark, root)
-    attempts_path = f"{root.rstrip('/')}/bronze/attempts"
-    pairs = enrichment.pairs_to_resolve(s["listening_events"], state.read_attempts(spark, attempts_path))
+    pairs = enrichment.pairs_to_resolve(s["listening_events"], attempts(spark, root, "track_markers"))
     resolved = materialize(enrichment.resolve_pairs(pairs, catalogue, work), f"{work}/resolved")
-    markers = enrichment.resolved_markers(resolved)
-    bronze.write_json_arrays(markers, f"{bronze_path(root, 'track_markers')}/run-{uuid.uuid4().hex}")
-    payload = enrichment.marker_payload(resolved)
-    state.append_attempts(
-        state.attempt_rows(payload, F.col("key"), F.col("payload"), F.current_timestamp()), attempts_path
-    )
+    record(enrichment.resolved_markers(resolved), enrichment.marker_payload(resolved), root, "track_markers")
     fills = {"tracks": enrichment.enrich_tracks, "artists": enrichment.enrich_artists, "albums": enrichment.enrich_albums}
     for name, fill in fills.items():
         swap_table(fill(s[name], catalogue), table_path(root, name), f"{work}/{name}")

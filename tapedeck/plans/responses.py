@@ -1,4 +1,4 @@
-"""Raw responses of the tag service to tag records."""
+"""Raw responses of the look-up services to marker records."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tapedeck.functions.arrays import clean_tags, first_or_null, tag_names
 from tapedeck.functions.text import counter_or_zero
+from tapedeck.operators.validation import track_is_valid
+from tapedeck.schemas import TRACK
 
 
 def _failed(response: Column) -> Column:
@@ -44,3 +46,16 @@ def parse_track_tags(responses: DataFrame) -> DataFrame:
 def parse_artist_tags(responses: DataFrame) -> DataFrame:
     """(artist_id, response) to tags; an unusable response is marked not_found."""
     return _tagged(responses, "artist_id", "$.toptags.tag", {})
+
+
+def parse_tracks(responses: DataFrame) -> DataFrame:
+    """(track_id, response) to track markers; a missing or incomplete record is marked not_found."""
+    parsed = responses.select("track_id", F.from_json("response", TRACK).alias("track"))
+    found = track_is_valid(F.col("track"))
+    return parsed.select(
+        "track_id",
+        F.when(found, first_or_null(F.col("track.artists"))["name"]).alias("search_artist_name"),
+        F.when(found, F.col("track.name")).alias("search_track_name"),
+        F.when(found, F.col("track")).alias("track"),
+        (~found).alias("not_found"),
+    )

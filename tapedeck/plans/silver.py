@@ -109,11 +109,12 @@ def enrichment_mapping(markers: DataFrame) -> DataFrame:
 
 
 def track_tags(markers: DataFrame) -> DataFrame:
-    return schemas.conform(markers, schemas.TRACK_TAGS)
+    """One row per track, also when a look-up was recorded twice because its job was repeated."""
+    return dedup_subset(schemas.conform(markers, schemas.TRACK_TAGS).na.drop(subset=["track_id"]), ["track_id"])
 
 
 def artist_tags(markers: DataFrame) -> DataFrame:
-    return schemas.conform(markers, schemas.ARTIST_TAGS)
+    return dedup_subset(schemas.conform(markers, schemas.ARTIST_TAGS).na.drop(subset=["artist_id"]), ["artist_id"])
 
 
 def api_events(plays: DataFrame) -> DataFrame:
@@ -139,7 +140,8 @@ def export_fields(exports: DataFrame, zone: str | None = None) -> DataFrame:
 
     Standard rows carry local times; `zone` converts them, without it they are taken as they are.
     """
-    extended = F.col("ts").isNotNull()
+    marks = ["ts", "ms_played", "spotify_track_uri", "master_metadata_track_name"]
+    extended = F.coalesce(*[F.col(c).cast("string") for c in marks]).isNotNull()
     return exports.select(
         F.when(extended, try_parse_utc(F.col("ts"))).otherwise(parse_minute(F.col("endTime"), zone)).alias("played_at_utc"),
         F.coalesce("master_metadata_track_name", "trackName").alias("track_name"),
@@ -154,9 +156,14 @@ def export_fields(exports: DataFrame, zone: str | None = None) -> DataFrame:
 
 
 def export_events(exports: DataFrame, mapping: DataFrame, zone: str | None = None) -> DataFrame:
-    """Exported music plays as events, missing track ids filled from the look-ups."""
+    """Exported music plays as events, missing track ids filled from the look-ups.
+
+    Only plays without an id take part in the join; the others, most of an extended export, are not
+    shuffled for it.
+    """
     music = schemas.conform(export_fields(exports, zone), schemas.EVENTS).na.drop(subset=["track_name"])
-    return schemas.conform(fill_by_mapping(music, smallest_mapping(mapping)), schemas.EVENTS)
+    known, unknown = music.filter(F.col("track_id").isNotNull()), music.filter(F.col("track_id").isNull())
+    return known.unionByName(fill_by_mapping(unknown, smallest_mapping(mapping)))
 
 
 def listening_events(api: DataFrame, exports: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tapedeck import schemas
 from tapedeck.operators.dedup import dedup_by_priority
-from tapedeck.plans import enrichment, gold, silver, tags, worklists
+from tapedeck.plans import enrichment, gold, responses, silver, worklists
 from tapedeck.registry.catalog import query
 from tapedeck.registry.views import Views
 from tapedeck.registry.views_sql import FEATURE_COLUMNS
@@ -384,4 +384,4 @@ def parse_tag_responses(v: Views) -> DataFrame:
         .otherwise(response(many))
     )
     raw = v.table("part").select(F.concat(F.lit("T"), "p_partkey").alias("track_id"), text.alias("response"))
-    return tags.parse_track_tags(raw).withColumn("tags", F.array_join("tags", ","))
+    return responses.parse_track_tags(raw).withColumn("tags", F.array_join("tags", ","))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tapedeck import schemas
 from tapedeck.operators import validation
-from tapedeck.plans import backfill, jobs, tags, worklists
+from tapedeck.plans import backfill, jobs, responses, worklists
 from tapedeck.sources import bronze, state, tables
 from tapedeck.streaming import ingest, upsert
 
@@ -78,7 +78,7 @@ def make_lake(root):
         root / schemas.BRONZE_PATHS["track_tag_markers"] / "t1.json",
         {"track_id": "t1", "tags": ["rock"], "top_tag": "rock", "listeners": 5, "playcount": 9},
     )
-    put(root / schemas.BRONZE_PATHS["artist_tag_markers"] / "a1.json", {"artist_id": "a1", "tags": [], "top_tag": None})
+    put(root / schemas.BRONZE_PATHS["artist_tag_markers"] / "z1.json", {"artist_id": "z1", "tags": [], "top_tag": None})
 
 
 def make_dump(spark, root):
@@ -241,7 +241,7 @@ def test_work_lists(spark):
 
 
 def test_tag_responses(spark):
-    responses = [
+    raw = [
         ("many", {"track": {"toptags": {"tag": [{"name": n} for n in "Love A B C D E F".split()]}, "listeners": "7", "playcount": "x"}}),
         ("one", {"track": {"toptags": {"tag": {"name": "Rock"}}, "listeners": "7"}}),
         ("noise", {"track": {"toptags": {"tag": [{"name": "Seen Live"}]}}}),
@@ -249,8 +249,8 @@ def test_tag_responses(spark):
         ("error", {"error": 6, "message": "none"}),
         ("list", [1]),
     ]
-    df = spark.createDataFrame([(k, json.dumps(r)) for k, r in responses] + [("text", "oops"), ("null", None)], "track_id string, response string")
-    got = {r["track_id"]: r for r in tags.parse_track_tags(df).collect()}
+    df = spark.createDataFrame([(k, json.dumps(r)) for k, r in raw] + [("text", "oops"), ("null", None)], "track_id string, response string")
+    got = {r["track_id"]: r for r in responses.parse_track_tags(df).collect()}
     assert {k for k, r in got.items() if r["not_found"]} == {"many", "error", "list", "text", "null"}
     assert (got["one"]["tags"], got["one"]["top_tag"], got["one"]["listeners"], got["one"]["playcount"]) == (["rock"], "rock", 7, 0)
     assert (got["noise"]["tags"], got["noise"]["top_tag"]) == ([], None)
@@ -258,7 +258,7 @@ def test_tag_responses(spark):
     plain = df.withColumnRenamed("track_id", "artist_id").withColumn(
         "response", F.when(F.col("artist_id") == "one", '{"toptags": {"tag": {"name": "Jazz"}}}').otherwise(F.col("response"))
     )
-    assert {r["artist_id"]: r["top_tag"] for r in tags.parse_artist_tags(plain).collect()}["one"] == "jazz"
+    assert {r["artist_id"]: r["top_tag"] for r in responses.parse_artist_tags(plain).collect()}["one"] == "jazz"
 
 
 # ---------------------------------------------------------------- jobs
@@ -298,7 +298,7 @@ def test_bronze_to_gold_and_back_through_the_catalogue(spark, tmp_path):
 
     # A second run finds nothing new to resolve, fills the new track and duplicates no column.
     jobs.enrich_from_catalogue(spark, root, dump, str(tmp_path / "w4"))
-    assert state.read_attempts(spark, f"{root}/bronze/attempts").count() == 1
+    assert state.read_attempts(spark, jobs.attempts_path(root, "track_markers")).count() == 1
     assert tables.read_silver(spark, root, "tracks").filter("track_id = 'x9'").first()["disc_number"] == 2
     assert spark.read.parquet(tables.table_path(root, "artists")).columns == schemas.ARTISTS.names
 
@@ -335,6 +335,41 @@ def test_ingest_lands_new_valid_plays_once(spark, tmp_path):
     assert cursor["last_played_at_unix_ms"] == 1704189600000
 
 
+def test_look_up_batches_are_recorded_and_not_asked_again(spark, tmp_path):
+    root = tmp_path / "lake"
+    make_lake(root)
+    export = root / schemas.BRONZE_PATHS["exports"] / "Streaming_History_Audio_2025_1.json"
+    unknown = [
+        {"ts": f"2025-01-0{i}T10:00:00Z", "master_metadata_track_name": f"N{i}", "ms_played": 1,
+         "master_metadata_album_artist_name": "Ann", "spotify_track_uri": f"spotify:track:n{i}"} for i in (1, 2, 3)
+    ]
+    put(export, unknown)
+    done = base64.b64encode(b"n3").decode()
+    put(root / schemas.BRONZE_PATHS["track_markers"] / f"{done}.json", {"not_found": True})
+    jobs.build_silver(spark, str(root), str(tmp_path / "w1"))
+    asked = jobs.next_lookups(spark, str(root), tracks=5)
+    assert [r["track_id"] for r in asked["track_markers"].collect()] == ["n1", "n2"]
+    assert [r["artist_id"] for r in asked["artist_tag_markers"].collect()] == ["a1", "b1"]
+
+    answers = {"n1": json.dumps(track("n1", "N1", A, external_ids={"isrc": "I"})), "n2": json.dumps({"id": "n2"})}
+    raw = spark.createDataFrame(list(answers.items()), "track_id string, response string")
+    jobs.record_responses(raw, str(root), "track_markers", str(tmp_path / "w2"))
+    tag = spark.createDataFrame(
+        [("a1", '{"toptags": {"tag": {"name": "Folk"}}}'), ("b1", '{"error": 6}')], "artist_id string, response string"
+    )
+    jobs.record_responses(tag, str(root), "artist_tag_markers", str(tmp_path / "w3"))
+
+    jobs.build_silver(spark, str(root), str(tmp_path / "w4"))
+    n1 = tables.read_silver(spark, str(root), "tracks").filter("track_id = 'n1'").first()
+    assert (n1["track_name"], n1["isrc"]) == ("N1", "I")
+    top = {r["artist_id"]: r["top_tag"] for r in tables.read_silver(spark, str(root), "artist_tags").collect()}
+    assert top == {"a1": "folk", "z1": None}
+    again = jobs.next_lookups(spark, str(root))
+    assert again["track_markers"].count() == 0 and again["artist_tag_markers"].count() == 0
+    kept = state.read_attempts(spark, jobs.attempts_path(str(root), "track_markers")).collect()
+    assert {r["status"] for r in kept} == {"found", "not_found"}
+
+
 # ---------------------------------------------------------------- streams
 
 
