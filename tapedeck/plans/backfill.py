@@ -9,7 +9,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tapedeck import schemas
 from tapedeck.functions.text import is_filled
 from tapedeck.operators.validation import export_is_valid, split_valid
-from tapedeck.sources.bronze import CORRUPT, EXPORT_PATH_PATTERN, keep_raw_files, read_json
+from tapedeck.sources.bronze import CORRUPT, EXPORT_PATH_PATTERN, SOURCE_FILE, keep_raw_files, read_json
 
 # Read as text, so that a badly typed duration fails its own record and not the whole read.
 _LENIENT = StructType(
@@ -19,7 +19,7 @@ _LENIENT = StructType(
 
 def read_export_records(spark: SparkSession, path: str) -> DataFrame:
     """Export records under common names with their file; numbers still as text."""
-    raw = read_json(spark, path, _LENIENT).withColumn("file_path", F.col("_metadata.file_path"))
+    raw = read_json(spark, path, _LENIENT).withColumnRenamed(SOURCE_FILE, "file_path")
     return raw.filter(F.col("file_path").rlike(EXPORT_PATH_PATTERN)).select(
         "file_path",
         F.coalesce("endTime", "ts").alias("played_at"),

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tapedeck import schemas
 from tapedeck.functions.text import encode_key
@@ -18,6 +19,13 @@ from tapedeck.sources.catalogue import read_catalogue
 from tapedeck.sources.tables import materialize, read_silver, swap_table, table_path, write_by_month, write_table
 
 GOLD = ["dim_tracks", "dim_artists", "fact_plays", "agg_daily", "agg_monthly", "agg_artist_stats", "agg_track_stats"]
+BRONZE_SCHEMAS = {
+    "plays": schemas.PLAY,
+    "exports": schemas.EXPORT,
+    "track_markers": schemas.TRACK_MARKER,
+    "track_tag_markers": schemas.TRACK_TAGS_MARKER,
+    "artist_tag_markers": schemas.ARTIST_TAGS_MARKER,
+}
 # Plays of one key from which on its rows are spread over several partitions.
 HOT_ROWS = 5_000_000
 
@@ -81,27 +89,36 @@ def record_responses(raw: DataFrame, root: str, kind: str, work: str) -> None:
     record(markers, payload, root, kind)
 
 
+def quarantine_path(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/quarantine/{name}"
+
+
+def stage_bronze(spark: SparkSession, root: str, name: str, schema: StructType, work: str) -> DataFrame:
+    """Parse one bronze source into a columnar copy; what could not be read goes to quarantine."""
+    raw = materialize(bronze.read_json(spark, bronze_path(root, name), schema), f"{work}/{name}")
+    bronze.unreadable(raw).write.mode("overwrite").parquet(quarantine_path(root, name))
+    return raw
+
+
 def build_silver(spark: SparkSession, root: str, work: str, export_zone: str | None = None) -> None:
     """Rebuild the silver layer from bronze.
 
     The raw JSON is parsed once, into columnar copies under `work`, which all tables then read.
     """
-    plays = materialize(bronze.read_plays(spark, bronze_path(root, "plays")), f"{work}/plays")
-    exports = materialize(bronze.read_exports(spark, bronze_path(root, "exports")), f"{work}/exports")
-    markers = materialize(
-        bronze.read_markers(spark, bronze_path(root, "track_markers"), schemas.TRACK_MARKER), f"{work}/markers"
-    )
+    staged = {name: stage_bronze(spark, root, name, schema, work) for name, schema in BRONZE_SCHEMAS.items()}
+    plays, exports = bronze.plays_only(staged["plays"]), bronze.readable(staged["exports"])
+    markers = bronze.found_only(staged["track_markers"])
     existing = silver.Dimensions(*[read_silver(spark, root, t) for t in ("artists", "albums", "tracks")])
     dims = silver.build_dimensions(plays, markers, existing)
-    for name in ("artists", "albums", "tracks"):
-        swap_table(getattr(dims, name), table_path(root, name), f"{work}/{name}")
-    tags = {
-        "track_tags": ("track_tag_markers", schemas.TRACK_TAGS_MARKER, silver.track_tags),
-        "artist_tags": ("artist_tag_markers", schemas.ARTIST_TAGS_MARKER, silver.artist_tags),
+    built = {
+        "artists": dims.artists,
+        "albums": dims.albums,
+        "tracks": dims.tracks,
+        "track_tags": silver.track_tags(bronze.found_only(staged["track_tag_markers"])),
+        "artist_tags": silver.artist_tags(bronze.found_only(staged["artist_tag_markers"])),
     }
-    for name, (source, schema, build) in tags.items():
-        found = bronze.read_markers(spark, bronze_path(root, source), schema)
-        swap_table(build(found), table_path(root, name), f"{work}/{name}")
+    for name, df in built.items():
+        swap_table(df, table_path(root, name), f"{work}/built/{name}")
     if plays.isEmpty() and exports.isEmpty():
         return
     events = silver.listening_events(
@@ -165,7 +182,8 @@ def ingest_increment(
     run_at = F.current_timestamp() if run_at is None else run_at
     cursor_path = f"{root.rstrip('/')}/{schemas.STATE_PATH}"
     plays = bronze.read_plays(spark, landing)
-    valid, _ = split_valid(plays, play_is_valid(F.col("played_at"), F.col("context"), F.col("track")))
+    valid, rejected = split_valid(plays, play_is_valid(F.col("played_at"), F.col("context"), F.col("track")))
+    rejected.write.mode("overwrite").parquet(quarantine_path(root, "plays_rejected"))
     fresh = materialize(new_plays(valid, state.read_cursor(spark, cursor_path)), f"{work}/fresh")
     if fresh.isEmpty():
         return

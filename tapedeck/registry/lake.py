@@ -169,7 +169,7 @@ def sink_json_landing(v: Views) -> DataFrame:
     path, at = v.scratch("landing"), F.expr("timestamp_ntz'2024-02-03 04:05:06'")
     bronze.land_plays(v.nested_plays, path, at)
     landed = bronze.read_json(v.spark, path, schemas.PLAY)
-    folder = F.regexp_extract(F.col("_metadata.file_path"), "(year=[^/]+/month=[^/]+/day=[^/]+)/", 1)
+    folder = F.regexp_extract(bronze.SOURCE_FILE, "(year=[^/]+/month=[^/]+/day=[^/]+)/", 1)
     return landed.select(
         "played_at",
         F.col("track.id").alias("track_id"),
@@ -227,12 +227,13 @@ def cursor_advance(v: Views) -> DataFrame:
 
 @query(
     "backfill_report",
-    """select 'Streaming_History' as kind, count_if(track_name <> '' and artist_name <> '') as music_records,
-         count_if(track_name is null or artist_name is null) as other_records, cast(0 as bigint) as malformed_records
+    """select 'Streaming_History' as kind, count(*) filter (track_name <> '' and artist_name <> '') as music_records,
+         count(*) filter (track_name is null or artist_name is null) as other_records, cast(0 as bigint) as malformed_records
        from extended_rows
        union all
-       select 'StreamingHistory', count_if(duration_ms is not null and track_name is not null and artist_name is not null),
-         count_if(duration_ms is not null and (track_name is null or artist_name is null)), count_if(duration_ms is null)
+       select 'StreamingHistory', count(*) filter (duration_ms is not null and track_name <> '' and artist_name <> ''),
+         count(*) filter (duration_ms is not null and (track_name is null or artist_name is null)),
+         count(*) filter (duration_ms is null)
        from standard_rows""",
 )
 def backfill_report(v: Views) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tapedeck import schemas
 from tapedeck.functions.timestamps import landing_parts, landing_stamp
 
-CORRUPT = "_corrupt_record"
+CORRUPT, SOURCE_FILE = "_corrupt_record", "_source_file"
 # Name patterns of the two export generations (of a file, or of a folder of its parts).
 EXPORT_PATH_PATTERN = "(StreamingHistory|Streaming_History).*[.](json|txt)$"
 
@@ -20,7 +20,7 @@ def path_missing(error: AnalysisException) -> bool:
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """JSON files under `path`, sub-folders included, unreadable records marked in _corrupt_record.
+    """JSON files under `path`, sub-folders included, with _source_file and, if unreadable, _corrupt_record.
 
     A file holds one value, an array of records or a single record, over as many lines as it likes.
     Such a file is read by one task, so the writers below keep files to a fixed number of records.
@@ -34,29 +34,38 @@ def read_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.{json,txt}")
     )
+    source = F.col("_metadata.file_path").alias(SOURCE_FILE)
     try:
-        return reader.json(path)
+        return reader.json(path).select("*", source)
     except AnalysisException as error:
         if path_missing(error):
-            return spark.createDataFrame([], with_corrupt)
+            return spark.createDataFrame([], with_corrupt).select("*", F.lit(None).cast("string").alias(SOURCE_FILE))
         raise
 
 
 def readable(df: DataFrame) -> DataFrame:
-    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, SOURCE_FILE)
 
 
-def quarantine(df: DataFrame) -> DataFrame:
-    """Unreadable records with their file and whatever fields could be read."""
-    fields = F.struct(*[c for c in df.columns if c != CORRUPT])
-    unreadable = df.filter(F.col(CORRUPT).isNotNull())
-    return unreadable.select(F.col("_metadata.file_path"), F.col(CORRUPT), fields.alias("fields"))
+def unreadable(df: DataFrame) -> DataFrame:
+    """Records for a quarantine table: their file, their text and whatever fields could be read."""
+    fields = F.struct(*[c for c in df.columns if c not in (CORRUPT, SOURCE_FILE)])
+    return df.filter(F.col(CORRUPT).isNotNull()).select(SOURCE_FILE, CORRUPT, fields.alias("fields"))
+
+
+def plays_only(df: DataFrame) -> DataFrame:
+    """Readable plays; a file that holds something else gives none."""
+    return readable(df).filter(F.col("played_at").isNotNull() | F.col("track").isNotNull())
+
+
+def found_only(markers: DataFrame) -> DataFrame:
+    """Readable markers of look-ups that found something."""
+    return readable(markers).filter(~F.coalesce(F.col("not_found"), F.lit(False))).drop("not_found")
 
 
 def read_plays(spark: SparkSession, path: str) -> DataFrame:
-    """Recently-played dumps. A file that holds something other than plays gives no rows."""
-    plays = readable(read_json(spark, path, schemas.PLAY))
-    return plays.filter(F.col("played_at").isNotNull() | F.col("track").isNotNull())
+    """Recently-played dumps."""
+    return plays_only(read_json(spark, path, schemas.PLAY))
 
 
 def read_exports(spark: SparkSession, path: str) -> DataFrame:
@@ -65,9 +74,8 @@ def read_exports(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_markers(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Result markers: unreadable ones and those of a failed look-up are left out."""
-    markers = readable(read_json(spark, path, schema))
-    return markers.filter(~F.coalesce(F.col("not_found"), F.lit(False))).drop("not_found")
+    """Result markers, one or several per file."""
+    return found_only(read_json(spark, path, schema))
 
 
 def write_json_arrays(

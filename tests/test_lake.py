@@ -106,8 +106,8 @@ def test_markers_skip_broken_and_missed_files(spark, tmp_path):
     path = str(tmp_path / schemas.BRONZE_PATHS["track_markers"])
     found = bronze.read_markers(spark, path, schemas.TRACK_MARKER)
     assert [r["search_track_name"] for r in found.collect()] == ["Four"]
-    bad = bronze.quarantine(bronze.read_json(spark, path, schemas.TRACK_MARKER)).collect()
-    assert len(bad) == 1 and bad[0]["file_path"].endswith("broken.json")
+    bad = bronze.unreadable(bronze.read_json(spark, path, schemas.TRACK_MARKER)).collect()
+    assert len(bad) == 1 and bad[0]["_source_file"].endswith("broken.json")
 
 
 def test_missing_folder_is_empty_but_other_failures_are_not(spark, tmp_path):
@@ -286,6 +286,9 @@ def test_bronze_to_gold_and_back_through_the_catalogue(spark, tmp_path):
     assert (ann["genres"], ann["followers_total"], ann["popularity"]) == (["art", "pop"], 30, 40)
     assert tables.read_silver(spark, root, "audio_features").select("track_id", "energy").collect() == [("t1", 0.75)]
 
+    bad = spark.read.parquet(f"{root}/quarantine/track_markers").collect()
+    assert [r["_source_file"].rsplit("/", 1)[1] for r in bad] == ["broken.json"]
+
     # The next build applies the resolved id and keeps what only the catalogue knows.
     jobs.transform_gold(spark, root, str(tmp_path / "w3"))
     assert events()[("Three", 2)] == ("export", "x9")
@@ -328,12 +331,19 @@ def test_ingest_lands_new_valid_plays_once(spark, tmp_path):
     jobs.ingest_increment(spark, str(landing), root, str(tmp_path / "w2"))
     put(landing / "2.json", [play("2024-01-02T10:00:00Z", "t2", "Two", B)])
     jobs.ingest_increment(spark, str(landing), root, str(tmp_path / "w3"), run_at=F.lit(datetime(2024, 3, 4, 5, 6, 7)))
+    rejected = spark.read.parquet(f"{root}/quarantine/plays_rejected").collect()
+    assert [r["track"]["id"] for r in rejected] == ["bad"]
     plays = bronze.read_plays(spark, jobs.bronze_path(root, "plays"))
     assert sorted(r["played_at"] for r in plays.collect()) == ["2024-01-01T10:00:00Z", "2024-01-02T10:00:00Z"]
     assert list((tmp_path / "lake").glob("bronze/*/*/year=2024/month=03/day=04/part=0/*.txt"))
     cursor = state.read_cursor(spark, f"{root}/{schemas.STATE_PATH}").first()
     assert cursor["last_played_at_unix_ms"] == 1704189600000
 
+    put(landing / "3.json", [play("2024-01-03T10:00:00Z", "t3", "Three", B)])
+    jobs.run_all(spark, str(landing), root, str(tmp_path / "w4"))
+    heard = tables.read_silver(spark, root, "listening_events").orderBy("played_at_utc").collect()
+    assert [r["track_id"] for r in heard] == ["t1", "t2", "t3"]
+
 
 def test_look_up_batches_are_recorded_and_not_asked_again(spark, tmp_path):
     root = tmp_path / "lake"
