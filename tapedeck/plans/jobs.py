@@ -16,7 +16,15 @@ from tapedeck.operators.validation import play_is_valid, split_valid
 from tapedeck.plans import enrichment, gold, responses, silver, worklists
 from tapedeck.sources import bronze, state
 from tapedeck.sources.catalogue import read_catalogue
-from tapedeck.sources.tables import materialize, read_silver, swap_table, table_path, write_by_month, write_table
+from tapedeck.sources.tables import (
+    materialize,
+    read_silver,
+    stored_bytes,
+    swap_table,
+    table_path,
+    write_by_month,
+    write_table,
+)
 
 GOLD = ["dim_tracks", "dim_artists", "fact_plays", "agg_daily", "agg_monthly", "agg_artist_stats", "agg_track_stats"]
 BRONZE_SCHEMAS = {
@@ -26,6 +34,8 @@ BRONZE_SCHEMAS = {
     "track_tag_markers": schemas.TRACK_TAGS_MARKER,
     "artist_tag_markers": schemas.ARTIST_TAGS_MARKER,
 }
+# Size on disk up to which a lookup of the fact is broadcast.
+BROADCAST_BYTES = 32 * 1024 * 1024
 # Plays of one key from which on its rows are spread over several partitions.
 HOT_ROWS = 5_000_000
 
@@ -127,11 +137,21 @@ def build_silver(spark: SparkSession, root: str, work: str, export_zone: str | N
     write_by_month(events, table_path(root, "listening_events"))
 
 
-def build_gold(spark: SparkSession, root: str, work: str, hot_rows: int = HOT_ROWS) -> None:
+def stage_lookup(lookup: DataFrame, path: str, limit: int) -> tuple[DataFrame, bool]:
+    """Write a lookup of the fact; up to `limit` bytes it is broadcast, beyond that (True) shuffled."""
+    stored = materialize(lookup, path)
+    large = stored_bytes(lookup.sparkSession, path) > limit
+    return (stored if large else F.broadcast(stored)), large
+
+
+def build_gold(
+    spark: SparkSession, root: str, work: str, broadcast_bytes: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS
+) -> None:
     """Build the gold layer from silver.
 
     The lookups of the fact are written first, so that their real size decides between a broadcast
-    and a shuffle; the aggregates read the written fact, not its plan.
+    and a shuffle, and only in a shuffle the plays of very popular keys are spread. The aggregates
+    read the written fact, not its plan.
     """
     s = read_lake(spark, root)
     path = {name: table_path(root, name) for name in GOLD}
@@ -141,13 +161,17 @@ def build_gold(spark: SparkSession, root: str, work: str, hot_rows: int = HOT_RO
     write_table(gold.dim_artists(artists, s["artist_tags"]), path["dim_artists"], when=artists)
     if events.isEmpty():
         return
-    track_side = materialize(gold.track_lookup(tracks, albums, s["audio_features"]), f"{work}/track_side")
-    artist_side = materialize(gold.artist_lookup(artists, s["artist_tags"]), f"{work}/artist_side")
-    hot_tracks = hot_artists = None
-    if events.count() >= hot_rows:
-        hot_tracks = materialize(hot_keys(events, "track_id", hot_rows), f"{work}/hot_tracks")
-        hot_artists = materialize(hot_keys(events, "artist_name", hot_rows), f"{work}/hot_artists")
-    write_by_month(gold.fact_plays(events, track_side, artist_side, hot_tracks, hot_artists), path["fact_plays"])
+    lookups = {
+        "track_id": gold.track_lookup(tracks, albums, s["audio_features"]),
+        "artist_name": gold.artist_lookup(artists, s["artist_tags"]),
+    }
+    sides, hot = [], []
+    for key, lookup in lookups.items():
+        side, large = stage_lookup(lookup, f"{work}/by_{key}", broadcast_bytes)
+        skewed = large and events.count() >= hot_rows
+        sides.append(side)
+        hot.append(materialize(hot_keys(events, key, hot_rows), f"{work}/hot_{key}") if skewed else None)
+    write_by_month(gold.fact_plays(events, *sides, *hot), path["fact_plays"])
     plays = spark.read.parquet(path["fact_plays"])
     write_table(gold.agg_daily(plays).orderBy("date"), path["agg_daily"])
     write_table(gold.agg_monthly(plays).orderBy("year", "month"), path["agg_monthly"])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tapedeck import schemas
-from tapedeck.sources.bronze import path_missing
+from tapedeck.sources.bronze import list_files, path_missing
 
 
 def table_path(root: str, name: str) -> str:
@@ -41,6 +41,11 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a stored table on disk."""
+    return list_files(spark, path, "*.parquet").agg(F.sum("length")).first()[0] or 0
+
+
 def write_table(df: DataFrame, path: str, when: DataFrame | None = None) -> None:
     """Overwrite a table, unless the stored table it is made from (`when`) has no rows."""
     if when is None or not when.isEmpty():

@@ -313,15 +313,29 @@ def test_bronze_to_gold_and_back_through_the_catalogue(spark, tmp_path):
     assert [(r["total_plays"], r["new_artists"]) for r in months] == [(2, 2), (2, 1)]
 
 
-def test_gold_with_hot_keys_spread_is_the_same(spark, tmp_path):
+def test_gold_is_the_same_for_broadcast_shuffled_and_spread_lookups(spark, tmp_path):
     make_lake(tmp_path / "lake")
     root = str(tmp_path / "lake")
     jobs.build_silver(spark, root, str(tmp_path / "w0"))
     seen = []
-    for i, hot_rows in enumerate((jobs.HOT_ROWS, 2)):
-        jobs.build_gold(spark, root, str(tmp_path / f"w{i + 1}"), hot_rows)
+    for i, (limit, hot_rows) in enumerate([(jobs.BROADCAST_BYTES, 2), (0, jobs.HOT_ROWS), (0, 2)]):
+        jobs.build_gold(spark, root, str(tmp_path / f"w{i + 1}"), limit, hot_rows)
         seen.append(sorted(map(str, spark.read.parquet(tables.table_path(root, "fact_plays")).collect())))
-    assert seen[0] == seen[1]
+    assert seen[0] == seen[1] == seen[2]
+    assert not (tmp_path / "w1/hot_track_id").exists() and (tmp_path / "w3/hot_track_id").exists()
+
+
+def test_a_lookup_is_broadcast_only_up_to_its_limit(spark, tmp_path):
+    lookup = spark.range(100).withColumnRenamed("id", "k")
+    facts = spark.range(10).withColumnRenamed("id", "k")
+    size = 0
+    for limit in (10**6, 0):
+        side, large = jobs.stage_lookup(lookup, str(tmp_path / "x"), limit)
+        size = tables.stored_bytes(spark, str(tmp_path / "x"))
+        assert large == (size > limit)
+        hinted = "broadcast" in facts.join(side, "k", "left")._jdf.queryExecution().analyzed().toString()
+        assert hinted != large
+    assert size > 0
 
 
 def test_ingest_lands_new_valid_plays_once(spark, tmp_path):
