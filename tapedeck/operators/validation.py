@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-VALID, REJECTED = "_valid", "_rejected"
+from tapedeck.functions.timestamps import try_parse_utc
 
 _LINK_FIELDS = ["id", "name", "type", "uri", "href", "external_urls"]
 _ALBUM_FIELDS = [
@@ -39,13 +39,14 @@ def track_is_valid(track: Column) -> Column:
 
 
 def play_is_valid(played_at: Column, context: Column, track: Column) -> Column:
-    """A played item: a time, a full track, and a context that is absent or complete."""
+    """A played item: a readable time, a full track, and a context that is absent or complete."""
     context_ok = context.isNull() | _all_set(context, ["type", "uri", "href", "external_urls"])
-    return F.coalesce(played_at.isNotNull() & context_ok & track_is_valid(track), F.lit(False))
+    return F.coalesce(try_parse_utc(played_at).isNotNull() & context_ok & track_is_valid(track), F.lit(False))
 
 
 def tag_record_is_valid(key: Column, tags: Column) -> Column:
-    return key.isNotNull() & tags.isNotNull() & F.forall(F.coalesce(tags, F.array().cast("array<string>")), lambda t: t.isNotNull())
+    """A tag record needs its key and a list of tags, empty or not."""
+    return F.coalesce(key.isNotNull() & F.forall(tags, lambda t: t.isNotNull()), F.lit(False))
 
 
 def export_is_valid(played_at: Column, duration_text: Column) -> Column:

@@ -19,6 +19,7 @@ from tapedeck.sources.catalogue import read_catalogue
 from tapedeck.sources.tables import (
     materialize,
     read_silver,
+    staging_path,
     stored_bytes,
     swap_table,
     table_path,
@@ -128,7 +129,7 @@ def build_silver(spark: SparkSession, root: str, work: str, export_zone: str | N
         "artist_tags": silver.artist_tags(bronze.found_only(staged["artist_tag_markers"])),
     }
     for name, df in built.items():
-        swap_table(df, table_path(root, name), f"{work}/built/{name}")
+        swap_table(df, table_path(root, name), staging_path(root, name))
     if plays.isEmpty() and exports.isEmpty():
         return
     events = silver.listening_events(
@@ -188,9 +189,9 @@ def enrich_from_catalogue(spark: SparkSession, root: str, dump: str, work: str)
     record(enrichment.resolved_markers(resolved), enrichment.marker_payload(resolved), root, "track_markers")
     fills = {"tracks": enrichment.enrich_tracks, "artists": enrichment.enrich_artists, "albums": enrichment.enrich_albums}
     for name, fill in fills.items():
-        swap_table(fill(s[name], catalogue), table_path(root, name), f"{work}/{name}")
+        swap_table(fill(s[name], catalogue), table_path(root, name), staging_path(root, name))
     features = enrichment.audio_features(read_silver(spark, root, "tracks"), catalogue)
-    swap_table(features, table_path(root, "audio_features"), f"{work}/audio_features")
+    swap_table(features, table_path(root, "audio_features"), staging_path(root, "audio_features"))
 
 
 def new_plays(plays: DataFrame, cursor: DataFrame) -> DataFrame:

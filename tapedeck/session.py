@@ -7,11 +7,11 @@ import os
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = "*", memory: str | None = None) -> SparkSession:
+def local_session(cpus: int | str = "*", memory: str | None = None, partitions: int = 8) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("tapedeck")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory or os.environ.get("SPARK_DRIVER_MEMORY", "8g"))

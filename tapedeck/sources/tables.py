@@ -27,8 +27,16 @@ def read_optional(spark: SparkSession, path: str, schema: StructType) -> DataFra
         raise
 
 
+def staging_path(root: str, name: str) -> str:
+    """Where the next version of a table is written before it replaces the old one."""
+    return f"{root.rstrip('/')}/staging/{name}"
+
+
 def read_silver(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return read_optional(spark, table_path(root, name), schemas.SILVER_SCHEMAS[name])
+    """A silver table; if replacing it was cut short and left it empty, its staged version."""
+    schema = schemas.SILVER_SCHEMAS[name]
+    table = read_optional(spark, table_path(root, name), schema)
+    return read_optional(spark, staging_path(root, name), schema) if table.isEmpty() else table
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:

@@ -22,10 +22,11 @@ def upsert_batch(batch: DataFrame, batch_id: int, table: str, work: str) -> None
     """Merge one batch of events into the fact.
 
     The merged months are written aside and noted as done before they replace the old ones. A batch
-    that is run again therefore starts from the noted copy and never from half-replaced months.
+    that is run again therefore starts from the noted copy and never from half-replaced months. Two
+    places for copies are enough: a batch only starts when the one before it is through.
     """
     spark = batch.sparkSession
-    staged, done = f"{work}/staged/batch={batch_id}", f"{work}/done"
+    staged, done = f"{work}/staged/{batch_id % 2}", f"{work}/done"
     if read_optional(spark, done, _DONE).filter(F.col("batch_id") == batch_id).isEmpty():
         dated = batch.withColumns({"year": F.year("played_at_utc"), "month": F.month("played_at_utc")})
         months = months_of(dated)

@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, memory="4g")
+    session = local_session(8, memory="4g", partitions=3)
     yield session
     session.stop()
 

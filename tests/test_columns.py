@@ -122,11 +122,12 @@ def test_completion(spark):
     df = spark.createDataFrame(
         [
             ("export", 100, 200), ("extended_export", 1, 3), ("export", 100, 0), ("export", 100, None), ("api", 100, 200),
+            ("export", 1, 20000), ("export", 30, 10),
         ],
         "source string, played bigint, track bigint",
     )
     pct = measures.completion_pct(F.col("source"), F.col("played"), F.col("track"))
-    assert [r[0] for r in df.select(pct).collect()] == [0.5, 0.3333, None, None, None]
+    assert [r[0] for r in df.select(pct).collect()] == [0.5, 0.3333, None, None, None, 0.0001, 3.0]
 
 
 def test_is_complete(spark):

@@ -245,6 +245,17 @@ def test_features_without_a_track_row_reach_the_fact(spark):
     assert (got["mood_quadrant"], got["album_id"], got["duration_ms_track"]) == ("Euphoric", None, None)
 
 
+def test_null_keys_never_match(spark):
+    got = fact(
+        spark,
+        [{"track_id": None, "artist_name": None}],
+        tracks=[{"track_id": None, "album_id": "x"}],
+        artists=[{"artist_id": "1", "artist_name": None}],
+        features=[{"track_id": None, "energy": 1.0}],
+    ).collect()
+    assert [(r["album_id"], r["artist_id"], r["energy"]) for r in got] == [(None, None, None)]
+
+
 def test_album_name_of_the_event_comes_first(spark):
     tracks = [{"track_id": "t", "album_id": "al"}]
     albums = [{"album_id": "al", "album_name": "from table", "release_date": "1999-05"}]
