@@ -239,24 +239,30 @@ def find_secrets(docs: DataFrame, work: Workspace) -> DataFrame:
     )
 
 
-def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every span replaced by a mark; spans that touch are replaced together."""
+def redacted(text: Column, scan: Column, steps: dict[int, int], mark: str = "[SECRET]") -> Column:
+    """The text with every span replaced by a mark; spans that overlap are replaced together."""
 
     @F.pandas_udf("string")
-    def run(texts: pd.Series, lists: pd.Series) -> pd.Series:
-        return pd.Series([_redact(t, spans, mark) for t, spans in zip(texts, lists, strict=True)], dtype=object)
+    def run(texts: pd.Series, scans: pd.DataFrame) -> pd.Series:
+        rows = zip(texts, scans["base"], scans["found"], strict=True)
+        return pd.Series([_redact(t, _places(base, found, steps), mark) for t, base, found in rows], dtype=object)
 
-    return run.asNondeterministic()(text, spans)
+    return run.asNondeterministic()(text, scan)
 
 
-def _redact(text: str | None, spans, mark: str) -> str | None:
-    if text is None or spans is None or not len(spans):
+def _places(base, found, steps: dict[int, int]) -> list[tuple[int, int]]:
+    """What `all_spans` gives, as (start, end); added spans that touch a base span would only mark parts of it again."""
+    return sorted([(s["begin"], s["end"]) for s in base] + [(s["begin"], s["end"]) for s in found if s["step"] <= steps.get(s["cell"], -1)])
+
+
+def _redact(text: str | None, places: list[tuple[int, int]], mark: str) -> str | None:
+    if text is None or not places:
         return text
     out, at = [], 0
-    for span in sorted(spans, key=lambda s: (s["begin"], s["end"])):
-        if span["begin"] >= at:
-            out += [text[at : span["begin"]], mark]
-        at = max(at, span["end"])
+    for begin, end in places:
+        if begin >= at:
+            out += [text[at:begin], mark]
+        at = max(at, end)
     return "".join([*out, text[at:]])
 
 
