@@ -46,8 +46,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def replace_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret found is replaced by a mark; n_chars follows the text."""
     kept, steps = secret_scan.scanned(docs, Workspace(spark))
-    clean = secret_scan.redacted(F.col("text"), secret_scan.all_spans(F.col("__scan"), steps))
-    out = kept.withColumn("text", clean)
+    out = kept.withColumn("text", secret_scan.redacted(F.col("text"), F.col("__scan"), steps))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
