@@ -11,15 +11,33 @@ from pyspark.sql import functions as F
 from tapedeck.sources.scratch import scratch_root
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver did, if it isn't installed for them."""
+#: Rows that a Python worker is handed at a time at most: texts are long.
+BATCH_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, if it isn't installed for them, and keep their batches small."""
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
+_held: dict = {}
+
+
+def held(key: tuple, build):
+    """What `build` makes for this key, kept by the worker until another key is asked for: workers outlive operators, tables needn't."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = build()
+    return _held[key]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    importable(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -27,7 +45,7 @@ class Workspace:
     """Tables written aside in the shared folder, so that lost executors cost no earlier work."""
 
     def __init__(self, spark: SparkSession):
-        importable(spark)
+        prepare(spark)
         self.spark, self.root = spark, scratch_root(spark)
 
     def keep(self, df: DataFrame) -> DataFrame:
@@ -54,7 +72,7 @@ class WordTable:
     the result: behind it, words that are not in the table are computed whenever they come.
     """
 
-    def __init__(self, compute, bound: int = 500_000):
+    def __init__(self, compute, bound: int = 300_000):
         self.compute, self.bound, self.known = compute, bound, {}
 
     def lookup(self, words: list) -> list:

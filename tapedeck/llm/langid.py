@@ -19,9 +19,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapedeck.llm.common import held
+
 WINDOW = 128
 #: Labelled rows of a language that its automaton is built from at most, and the characters taken from each.
-SAMPLE_ROWS, SAMPLE_CHARS = 250, 240
+SAMPLE_ROWS, SAMPLE_CHARS = 120, 240
 #: Windows stepped at a time.
 WIDTH = 8192
 UNKNOWN = "und"
@@ -159,10 +161,9 @@ def _clone(ways: list[dict[int, int]], link: list[int], longest: list[int], p: i
     return own
 
 
-@lru_cache(maxsize=2)
 def automata(samples: tuple[tuple[str, tuple[str, ...]], ...]) -> Automata:
     """Built once for each worker from the bounded samples, which are all that is sent to it."""
-    return Automata(samples)
+    return held(("automata", samples), lambda: Automata(samples))
 
 
 def held_out(doc_id: Column) -> Column:

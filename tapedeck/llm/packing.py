@@ -12,14 +12,13 @@ from __future__ import annotations
 
 import os
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapedeck.llm.common import WordTable, Workspace, bucket_of, byte_words
+from tapedeck.llm.common import WordTable, Workspace, bucket_of, byte_words, held
 
 CAPACITY = 2048
 END_ID = 0
@@ -71,9 +70,8 @@ class Tokenizer:
         return b"".join([*self.table.lookup(byte_words(text or "")), np.array([END_ID], "<u4").tobytes()])
 
 
-@lru_cache(maxsize=2)
 def tokenizer(path: str) -> Tokenizer:
-    return Tokenizer(path)
+    return held(("tokenizer", path), lambda: Tokenizer(path))
 
 
 def pieces_column(text: Column, path: str, capacity: int = CAPACITY) -> Column:

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -18,7 +17,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapedeck.llm.common import WordTable
+from tapedeck.llm.common import WordTable, held
 
 MARK = "▁"
 _CHUNKS = re.compile(r" ( *[^ ]*)")
@@ -57,9 +56,8 @@ def check_model(sp: sentencepiece.SentencePieceProcessor) -> None:
         raise ValueError("this model changes text, or puts no marker in front")
 
 
-@lru_cache(maxsize=2)
 def codec(model: str) -> Codec:
-    return Codec(model)
+    return held(("codec", model), lambda: Codec(model))
 
 
 def encoded_column(text: Column, model: str) -> Column:

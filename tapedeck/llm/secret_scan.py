@@ -251,7 +251,7 @@ def redacted(text: Column, scan: Column, steps: dict[int, int], mark: str = "[SE
 
 
 def _places(base, found, steps: dict[int, int]) -> list[tuple[int, int]]:
-    """What `all_spans` gives, as (start, end); added spans that touch a base span would only mark parts of it again."""
+    """Base spans and all accepted ones, also those that `all_spans` leaves to the base span they touch: more is hidden, not less."""
     return sorted([(s["begin"], s["end"]) for s in base] + [(s["begin"], s["end"]) for s in found if s["step"] <= steps.get(s["cell"], -1)])
 
 
