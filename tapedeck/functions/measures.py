@@ -35,6 +35,7 @@ def is_complete(source: Column, played_ms: Column) -> Column:
     return F.when(source.isin(EXPORT_SOURCES), played_ms >= FULL_PLAY_MS)
 
 
+# The labels of the four quadrants.
 def mood_quadrant(energy: Column, valence: Column) -> Column:
     lively, bright = energy > 0.5, valence > 0.5
     return (

@@ -23,8 +23,9 @@ def try_parse_utc(c: Column) -> Column:
 
 
 def parse_minute(c: Column, zone: str | None = None) -> Column:
-    """`yyyy-MM-dd HH:mm` text to a timestamp, read as UTC unless the account's zone is given."""
-    parsed = F.to_timestamp_ntz(c, F.lit("yyyy-MM-dd HH:mm"))
+    """`yyyy-MM-dd HH:mm` text to a timestamp, read as UTC unless the account's zone is given; bad text is null."""
+    minute = F.when(c.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}$"), F.concat(c, F.lit(":00")))
+    parsed = minute.try_cast("timestamp_ntz")
     return F.convert_timezone(F.lit(zone), F.lit("UTC"), parsed) if zone else parsed
 
 

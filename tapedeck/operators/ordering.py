@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,13 +24,23 @@ def order_struct(*columns: str) -> Column:
 def first_by_order(order: list[str], values: list[str]) -> Column:
     """Aggregate: the values of the first row by `order`, then by the values; nulls are kept.
 
-    A plain min() of structs, so every map task already reduces a group to one row.
+    A plain min() of structs: every map task reduces a group to one row, but has to sort its rows to do so.
     """
     names = list(dict.fromkeys([*order, *values]))
     first = F.min(order_struct(*names))
     return F.struct(*[first.getField(f"value_{names.index(v)}").alias(v) for v in values])
 
 
+def first_values(df: DataFrame, key: str, at: str, values: list[str]) -> DataFrame:
+    """Per key the values of its first row by `at`, then by the values; nulls last, and kept.
+
+    Rows are reduced to the distinct values of a key first, by hash: min() of a struct with text needs sorted input,
+    which then is those few rows and not all of them.
+    """
+    distinct = df.groupBy(key, *values).agg(F.min(at).alias(at))
+    return distinct.groupBy(key).agg(first_by_order([at], values).alias("first")).select(key, "first.*")
+
+
 def most_frequent(count: Column, name: Column, when: Column) -> Column:
     """Aggregate over counted values: the value with the highest count, ties by name, null last."""
     candidate = F.when(when, F.struct((-count).alias("n"), name.isNull().alias("missing"), name.alias("value")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tapedeck.functions.timestamps import try_parse_utc
 
+# Fields that the service sends with every record.
 _LINK_FIELDS = ["id", "name", "type", "uri", "href", "external_urls"]
 _ALBUM_FIELDS = [
     "id", "name", "album_type", "total_tracks", "release_date", "release_date_precision", "type", "uri", "href",

@@ -4,22 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from tapedeck import schemas
 from tapedeck.functions.text import is_filled
 from tapedeck.operators.validation import export_is_valid, split_valid
 from tapedeck.sources.bronze import CORRUPT, EXPORT_PATH_PATTERN, SOURCE_FILE, keep_raw_files, read_json
 
-# Read as text, so that a badly typed duration fails its own record and not the whole read.
-_LENIENT = StructType(
-    [StructField(f.name, StringType()) if f.dataType.typeName() == "long" else f for f in schemas.EXPORT.fields]
-)
-
-
 def read_export_records(spark: SparkSession, path: str) -> DataFrame:
-    """Export records under common names with their file; numbers still as text."""
-    raw = read_json(spark, path, _LENIENT).withColumnRenamed(SOURCE_FILE, "file_path")
+    """Export records under common names with their file and what is wrong with them, the same as the silver build sees."""
+    raw = read_json(spark, path, schemas.EXPORT).withColumnRenamed(SOURCE_FILE, "file_path")
     return raw.filter(F.col("file_path").rlike(EXPORT_PATH_PATTERN)).select(
         "file_path",
         F.coalesce("endTime", "ts").alias("played_at"),

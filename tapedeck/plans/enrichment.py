@@ -11,16 +11,10 @@ from pyspark.sql import functions as F
 
 from tapedeck import schemas
 from tapedeck.functions.records import track_record
-from tapedeck.functions.text import (
-    decode_key,
-    encode_key,
-    is_pair_key,
-    pair_artist,
-    pair_key,
-    pair_track,
-    search_key,
-)
+from tapedeck.functions.text import encode_key, pair_key, search_key
+from tapedeck.operators.dedup import first_row_per_key
 from tapedeck.operators.joins import anti_join, semi_join
+from tapedeck.operators.ordering import total_order
 from tapedeck.schemas import AUDIO_FEATURES
 from tapedeck.sources.catalogue import Catalogue
 from tapedeck.sources.tables import materialize
@@ -36,18 +30,11 @@ def missing_pairs(events: DataFrame) -> DataFrame:
     )
 
 
-def attempted_pairs(attempts: DataFrame) -> DataFrame:
-    """(artist, track) names out of the encoded keys of earlier look-ups; other keys are left out."""
-    key = decode_key(F.col("key"))
-    return (
-        attempts.select(key.alias("k"))
-        .filter(is_pair_key(F.col("k")))
-        .select(pair_artist(F.col("k")).alias("artist_name"), pair_track(F.col("k")).alias("track_name"))
-    )
-
-
 def pairs_to_resolve(events: DataFrame, attempts: DataFrame) -> DataFrame:
-    return anti_join(missing_pairs(events), attempted_pairs(attempts), ["artist_name", "track_name"])
+    """Missing pairs whose storage key was not tried. Keys are compared as stored: a name may hold the separator itself."""
+    keyed = missing_pairs(events).withColumn("key", encode_key(pair_key(F.col("artist_name"), F.col("track_name"))))
+    tried = attempts.select(F.translate("key", "-_", "+/").alias("key")).na.drop().distinct()
+    return anti_join(keyed, tried, ["key"]).drop("key")
 
 
 def first_matches(pairs: DataFrame, catalogue: Catalogue) -> DataFrame:
@@ -111,9 +98,12 @@ def resolve_pairs(pairs: DataFrame, catalogue: Catalogue, work: str) -> DataFram
     The pairs and their matches are each used several times and are written to `work` first.
     """
     matches = materialize(first_matches(materialize(pairs, f"{work}/pairs"), catalogue), f"{work}/matches")
-    rows = catalogue_rows(matches.select("track_rowid").na.drop().distinct(), catalogue)
+    found, missed = matches.filter("track_rowid is not null"), matches.filter("track_rowid is null")
+    rows = catalogue_rows(found.select("track_rowid").distinct(), catalogue)
     records = rows.select("track_rowid", track_record({c: F.col(c) for c in rows.columns}).alias("track"))
-    return matches.join(records, "track_rowid", "left").select(
+    # Pairs without a match would all meet on the null key.
+    resolved = found.join(records, "track_rowid", "left").unionByName(missed, allowMissingColumns=True)
+    return resolved.select(
         encode_key(pair_key(F.col("artist_name"), F.col("track_name"))).alias("key"),
         F.col("artist_name").alias("search_artist_name"),
         F.col("track_name").alias("search_track_name"),
@@ -136,6 +126,11 @@ def marker_payload(resolved: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- phases 2 to 5
 
 
+def _one_per_key(dump: DataFrame, key: str) -> DataFrame:
+    """A dump may repeat an id; the first row by its other columns counts, so that no table grows."""
+    return first_row_per_key(dump, [key], total_order([c for c in dump.columns if c != key]))
+
+
 def _ids(df: DataFrame, column: str, name: str) -> DataFrame:
     return df.select(F.col(column).alias(name)).na.drop().distinct()
 
@@ -157,7 +152,7 @@ def enrich_tracks(tracks: DataFrame, catalogue: Catalogue) -> DataFrame:
         "popularity": F.coalesce("popularity", F.col("_popularity").cast("bigint")),
         "disc_number": F.coalesce(F.col("_disc_number").cast("bigint"), "disc_number"),
     }
-    joined = tracks.join(dump, "track_id", "left").withColumns(filled)
+    joined = tracks.join(_one_per_key(dump, "track_id"), "track_id", "left").withColumns(filled)
     return schemas.conform(joined, schemas.TRACKS)
 
 
@@ -181,6 +176,7 @@ def enrich_artists(artists: DataFrame, catalogue: Catalogue) -> DataFrame:
         _ids(artists, "artist_id", "artist_id"),
         ["artist_id"],
     )
+    dump = _one_per_key(dump, "artist_id")
     with_genres = dump.join(genres_by_artist(_ids(dump, "artist_rowid", "artist_rowid"), catalogue), "artist_rowid", "left")
     filled = {
         "genres": F.coalesce("_genres", "genres"),
@@ -208,7 +204,7 @@ def enrich_albums(albums: DataFrame, catalogue: Catalogue) -> DataFrame:
         "upc": F.coalesce("_upc", "upc"),
         "popularity": F.coalesce(F.col("_popularity").cast("bigint"), "popularity"),
     }
-    joined = albums.join(dump, "album_id", "left").withColumns(filled)
+    joined = albums.join(_one_per_key(dump, "album_id"), "album_id", "left").withColumns(filled)
     return schemas.conform(joined, schemas.ALBUMS)
 
 
@@ -216,6 +212,7 @@ def audio_features(tracks: DataFrame, catalogue: Catalogue) -> DataFrame:
     """Typed features of the known tracks; rows flagged as empty responses are left out."""
     usable = catalogue.track_audio_features.filter(F.col("null_response") == "0")
     known = semi_join(usable, _ids(tracks, "track_id", "track_id"), ["track_id"])
+    known = _one_per_key(known, "track_id")
     return known.select("track_id", *[F.col(c).cast(t).alias(c) for c, t in AUDIO_FEATURES.items()])
 
 

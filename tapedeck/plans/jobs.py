@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,20 +14,22 @@ from tapedeck import schemas
 from tapedeck.functions.text import encode_key
 from tapedeck.functions.timestamps import epoch_millis, parse_utc
 from tapedeck.operators.joins import hot_keys
-from tapedeck.operators.validation import play_is_valid, split_valid
+from tapedeck.operators.validation import profile, row_counts
 from tapedeck.plans import enrichment, gold, responses, silver, worklists
 from tapedeck.sources import bronze, state
 from tapedeck.sources.catalogue import read_catalogue
+from tapedeck.sources.files import exists
 from tapedeck.sources.tables import (
     materialize,
+    read_gold,
     read_silver,
-    staging_path,
     stored_bytes,
     swap_table,
     table_path,
     write_by_month,
     write_table,
 )
+from tapedeck.streaming import ingest
 
 GOLD = ["dim_tracks", "dim_artists", "fact_plays", "agg_daily", "agg_monthly", "agg_artist_stats", "agg_track_stats"]
 BRONZE_SCHEMAS = {
@@ -35,8 +39,9 @@ BRONZE_SCHEMAS = {
     "track_tag_markers": schemas.TRACK_TAGS_MARKER,
     "artist_tag_markers": schemas.ARTIST_TAGS_MARKER,
 }
-# Size on disk up to which a lookup of the fact is broadcast.
-BROADCAST_BYTES = 32 * 1024 * 1024
+# Size in memory up to which a lookup of the fact is broadcast, and how much larger than its files a table is taken to be there.
+BROADCAST_BYTES = 256 * 1024 * 1024
+EXPANSION = 8
 # Plays of one key from which on its rows are spread over several partitions.
 HOT_ROWS = 5_000_000
 
@@ -62,7 +67,7 @@ def attempts(spark: SparkSession, root: str, kind: str) -> DataFrame:
 
 def record(markers: DataFrame, payload: DataFrame, root: str, kind: str) -> None:
     """Keep look-up results: found records as markers, every key (key, payload) as an attempt."""
-    bronze.write_json_arrays(markers, f"{bronze_path(root, kind)}/run-{uuid.uuid4().hex}")
+    bronze.write_json_lines(markers, f"{bronze_path(root, kind)}/run-{uuid.uuid4().hex}")
     rows = state.attempt_rows(payload, F.col("key"), F.col("payload"), F.current_timestamp())
     state.append_attempts(rows, attempts_path(root, kind))
 
@@ -129,7 +134,7 @@ def build_silver(spark: SparkSession, root: str, work: str, export_zone: str | N
         "artist_tags": silver.artist_tags(bronze.found_only(staged["artist_tag_markers"])),
     }
     for name, df in built.items():
-        swap_table(df, table_path(root, name), staging_path(root, name))
+        swap_table(df, table_path(root, name))
     if plays.isEmpty() and exports.isEmpty():
         return
     events = silver.listening_events(
@@ -139,21 +144,33 @@ def build_silver(spark: SparkSession, root: str, work: str, export_zone: str | N
 
 
 def stage_lookup(lookup: DataFrame, path: str, limit: int) -> tuple[DataFrame, bool]:
-    """Write a lookup of the fact; up to `limit` bytes it is broadcast, beyond that (True) shuffled."""
+    """Write a lookup of the fact; up to `limit` bytes in memory it is broadcast, beyond that (True) shuffled."""
     stored = materialize(lookup, path)
-    large = stored_bytes(lookup.sparkSession, path) > limit
+    large = EXPANSION * stored_bytes(lookup.sparkSession, path) > limit
     return (stored if large else F.broadcast(stored)), large
 
 
+def build_fact(
+    events: DataFrame, lookups: dict[str, DataFrame], work: str, broadcast_bytes: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """The fact out of deduplicated events and its lookups by key (track_id, artist_name).
+
+    The lookups are written first, so that their real size decides between a broadcast and a shuffle, and only in a
+    shuffle the plays of very popular keys are spread.
+    """
+    sides, hot = [], []
+    for key in ("track_id", "artist_name"):
+        side, large = stage_lookup(lookups[key], f"{work}/by_{key}", broadcast_bytes)
+        skewed = large and events.count() >= hot_rows
+        sides.append(side)
+        hot.append(materialize(hot_keys(events, key, hot_rows), f"{work}/hot_{key}") if skewed else None)
+    return gold.fact_plays(events, *sides, *hot)
+
+
 def build_gold(
     spark: SparkSession, root: str, work: str, broadcast_bytes: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS
 ) -> None:
-    """Build the gold layer from silver.
-
-    The lookups of the fact are written first, so that their real size decides between a broadcast
-    and a shuffle, and only in a shuffle the plays of very popular keys are spread. The aggregates
-    read the written fact, not its plan.
-    """
+    """Build the gold layer from silver. The aggregates read the written fact, not its plan."""
     s = read_lake(spark, root)
     path = {name: table_path(root, name) for name in GOLD}
     tracks, albums, artists, events = s["tracks"], s["albums"], s["artists"], s["listening_events"]
@@ -166,14 +183,8 @@ def build_gold(
         "track_id": gold.track_lookup(tracks, albums, s["audio_features"]),
         "artist_name": gold.artist_lookup(artists, s["artist_tags"]),
     }
-    sides, hot = [], []
-    for key, lookup in lookups.items():
-        side, large = stage_lookup(lookup, f"{work}/by_{key}", broadcast_bytes)
-        skewed = large and events.count() >= hot_rows
-        sides.append(side)
-        hot.append(materialize(hot_keys(events, key, hot_rows), f"{work}/hot_{key}") if skewed else None)
-    write_by_month(gold.fact_plays(events, *sides, *hot), path["fact_plays"])
-    plays = spark.read.parquet(path["fact_plays"])
+    write_by_month(build_fact(events, lookups, work, broadcast_bytes, hot_rows), path["fact_plays"])
+    plays = read_gold(spark, root, "fact_plays")
     write_table(gold.agg_daily(plays).orderBy("date"), path["agg_daily"])
     write_table(gold.agg_monthly(plays).orderBy("year", "month"), path["agg_monthly"])
     about = gold.dim_artists(artists, s["artist_tags"])
@@ -189,9 +200,9 @@ def enrich_from_catalogue(spark: SparkSession, root: str, dump: str, work: str)
     record(enrichment.resolved_markers(resolved), enrichment.marker_payload(resolved), root, "track_markers")
     fills = {"tracks": enrichment.enrich_tracks, "artists": enrichment.enrich_artists, "albums": enrichment.enrich_albums}
     for name, fill in fills.items():
-        swap_table(fill(s[name], catalogue), table_path(root, name), staging_path(root, name))
+        swap_table(fill(s[name], catalogue), table_path(root, name))
     features = enrichment.audio_features(read_silver(spark, root, "tracks"), catalogue)
-    swap_table(features, table_path(root, "audio_features"), staging_path(root, "audio_features"))
+    swap_table(features, table_path(root, "audio_features"))
 
 
 def new_plays(plays: DataFrame, cursor: DataFrame) -> DataFrame:
@@ -200,26 +211,56 @@ def new_plays(plays: DataFrame, cursor: DataFrame) -> DataFrame:
     return plays.filter(epoch_millis(parse_utc(F.col("played_at"))) > after)
 
 
+def quarantine(rows: DataFrame, path: str) -> None:
+    """Append unreadable or rejected records that the table does not hold yet."""
+    spark, names = rows.sparkSession, rows.columns
+    if exists(spark, path):
+        old = spark.read.schema(rows.schema).parquet(path).withColumnsRenamed({c: f"{c}_old" for c in names})
+        rows = rows.join(old, reduce(and_, [F.col(c).eqNullSafe(F.col(f"{c}_old")) for c in names]), "left_anti")
+    rows.distinct().write.mode("append").parquet(path)
+
+
 def ingest_increment(
     spark: SparkSession, landing: str, root: str, work: str, run_at: Column | None = None
 ) -> None:
-    """Land the valid plays that came after the cursor, then move it: data first, so none is lost."""
+    """Land the valid plays that came after the cursor, then move it: bad records and data first, so none is lost."""
     run_at = F.current_timestamp() if run_at is None else run_at
     cursor_path = f"{root.rstrip('/')}/{schemas.STATE_PATH}"
-    plays = bronze.read_plays(spark, landing)
-    valid, rejected = split_valid(plays, play_is_valid(F.col("played_at"), F.col("context"), F.col("track")))
-    rejected.write.mode("overwrite").parquet(quarantine_path(root, "plays_rejected"))
+    records = materialize(bronze.read_json(spark, landing, schemas.PLAY), f"{work}/landing")
+    valid, bad = bronze.split_plays(records)
+    quarantine(bad, quarantine_path(root, "plays_rejected"))
     fresh = materialize(new_plays(valid, state.read_cursor(spark, cursor_path)), f"{work}/fresh")
     if fresh.isEmpty():
         return
     bronze.land_plays(fresh, bronze_path(root, "plays"), run_at)
-    swap_table(state.advance_cursor(fresh, run_at), cursor_path, f"{work}/cursor")
+    swap_table(state.advance_cursor(fresh, run_at), cursor_path)
+
+
+def ingest_stream(spark: SparkSession, landing: str, root: str, checkpoint: str) -> None:
+    """Like ingest_increment, but reads only files that came since the last run: the checkpoint plays the part of the cursor.
+
+    Plays land where the silver build reads them.
+    """
+    ingest.land_plays_available(spark, landing, bronze_path(root, "plays"), quarantine_path(root, "plays_streamed"), checkpoint)
+
+
+def report(spark: SparkSession, root: str) -> DataFrame:
+    """Rows of every silver and gold table that is there."""
+    there = [n for n in [*schemas.SILVER_SCHEMAS, *GOLD] if exists(spark, table_path(root, n))]
+    return row_counts({n: read_gold(spark, root, n) if n in GOLD else read_silver(spark, root, n) for n in there})
+
+
+def profile_lake(spark: SparkSession, root: str) -> DataFrame:
+    """Rows, columns and first rows (by the first two columns) of every silver table that is there."""
+    there = [n for n in schemas.SILVER_SCHEMAS if exists(spark, table_path(root, n))]
+    return reduce(DataFrame.unionByName, [profile(read_silver(spark, root, n), n, schemas.SILVER_SCHEMAS[n].names[:2]) for n in there])
 
 
-def transform_gold(spark: SparkSession, root: str, work: str) -> None:
-    """Silver, then gold."""
+def transform_gold(spark: SparkSession, root: str, work: str) -> DataFrame:
+    """Silver, then gold; returns the report."""
     build_silver(spark, root, f"{work}/silver")
     build_gold(spark, root, f"{work}/gold")
+    return report(spark, root)
 
 
 def run_all(spark: SparkSession, landing: str, root: str, work: str) -> None:

@@ -21,7 +21,9 @@ def _failed(response: Column) -> Column:
 def _tagged(responses: DataFrame, key: str, path: str, counters: dict[str, Column]) -> DataFrame:
     response = F.col("response")
     names = tag_names(response, path)
-    failed = _failed(response) | F.exists(names, lambda n: n.isNull())
+    holder = F.get_json_object(response, path.removesuffix(".tag"))
+    no_object = F.coalesce(~F.ltrim(holder).startswith("{"), F.lit(False))
+    failed = _failed(response) | no_object | F.exists(names, lambda n: n.isNull())
     for c in counters.values():
         failed = failed | c.isNull()
     tags = F.when(~failed, clean_tags(names))

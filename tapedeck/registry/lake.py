@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapedeck import schemas
 from tapedeck.functions.timestamps import epoch_millis, from_epoch_millis, parse_utc
-from tapedeck.operators.validation import row_counts
 from tapedeck.plans import backfill, jobs
 from tapedeck.registry.catalog import query
 from tapedeck.registry.tables import _EVENT_REST, _first_row
@@ -89,7 +90,7 @@ _PARTS = "cast(year(played_at_utc) as int) as year, cast(month(played_at_utc) as
 def src_partitioned_fact(v: Views) -> DataFrame:
     path = v.scratch("listening_events")
     tables.write_by_month(_dated(v.plays), path)
-    return tables.read_optional(v.spark, path, schemas.EVENTS_PARTITIONED).select(
+    return tables.read_by_month(v.spark, path, schemas.EVENTS_PARTITIONED).select(
         "played_at_utc", "track_id", "track_name", "year", "month"
     )
 
@@ -113,20 +114,45 @@ def _kind(path: str) -> Column:
     return F.regexp_extract(path, "(StreamingHistory|Streaming_History)", 1)
 
 
-@query("src_file_inventory")
+def _folder() -> Column:
+    return F.regexp_extract("path", "/folder=([^/]+)/", 1).alias("folder")
+
+
+_FOLDERS = """(select case s_suppkey % 3 when 0 then 'StreamingHistory_music_' when 1 then 'Streaming_History_Audio_'
+    else 'Userdata_' end || s_suppkey as folder, s_name, s_suppkey from supplier)"""
+
+
+@query("src_file_inventory", f"select folder, cast(1 as bigint) as files, cast(strlen(s_name) + 1 as bigint) as bytes from {_FOLDERS}")
 def src_file_inventory(v: Views) -> DataFrame:
-    """Files and bytes per bronze folder."""
-    files = bronze.list_files(v.spark, f"{v.bronze['root']}/bronze")
-    folder = F.regexp_extract("path", "/bronze/([^/]+)/", 1)
-    return files.groupBy(folder.alias("folder")).agg(
-        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
-    )
+    """Files and bytes per folder."""
+    files = bronze.list_files(v.spark, v.named_files()).groupBy(_folder())
+    return files.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
 
 
-@query("src_export_discovery")
+@query("src_export_discovery", f"select folder, cast(strlen(s_name) + 1 as bigint) as length from {_FOLDERS} where s_suppkey % 3 <> 2")
 def src_export_discovery(v: Views) -> DataFrame:
-    found = bronze.discover_exports(v.spark, v.bronze["exports"])
-    return found.groupBy(_kind("path").alias("kind")).agg(F.count(F.lit(1)).alias("files"))
+    return bronze.discover_exports(v.spark, v.named_files()).select(_folder(), "length")
+
+
+@query(
+    "quarantine_records",
+    """select 'plays' as source, 'badly typed: track' as reason, count(distinct cast(played_at_utc as date)) as records from api_rows
+       union all select 'exports', 'badly typed: ms_played, skipped',
+         count(distinct coalesce(cast(cast(played_at_utc as date) as varchar), 'none')) from extended_rows
+       union all select 'exports', 'badly typed: msPlayed', count(distinct cast(played_at_utc as date)) from standard_rows
+       union all select 'track_markers', 'badly typed: track', count(*) from region
+       union all select 'track_markers', 'not JSON', 1
+       union all select 'track_tag_markers', 'badly typed: listeners', count(*) from region
+       union all select 'artist_tag_markers', 'badly typed: tags', count(*) from region""",
+)
+def quarantine_records(v: Views) -> DataFrame:
+    """What the bronze sources hold that can't be read, each record on its own."""
+    bad = [
+        bronze.unreadable(bronze.read_json(v.spark, v.bronze[name], schema)).select(F.lit(name).alias("source"), bronze.CORRUPT)
+        for name, schema in jobs.BRONZE_SCHEMAS.items()
+    ]
+    rows = reduce(DataFrame.unionByName, bad)
+    return rows.groupBy("source", F.col(bronze.CORRUPT).alias("reason")).agg(F.count(F.lit(1)).alias("records"))
 
 
 # ---------------------------------------------------------------- sinks and state
@@ -137,9 +163,9 @@ def sink_table_roundtrip(v: Views) -> DataFrame:
     """A table is replaced by a change of itself."""
     path = v.scratch("tracks")
     tables.write_table(v.tracks.select("track_id", "track_name", "popularity"), path)
-    stored = v.spark.read.parquet(path)
-    tables.swap_table(stored.withColumn("popularity", F.col("popularity") + 1), path, v.scratch("staging"))
-    return v.spark.read.parquet(path)
+    stored = tables.read_table(v.spark, path)
+    tables.swap_table(stored.withColumn("popularity", F.col("popularity") + 1), path)
+    return tables.read_table(v.spark, path)
 
 
 @query(
@@ -155,7 +181,7 @@ def sink_partition_overwrite(v: Views) -> DataFrame:
     tables.write_by_month(events, path)
     again = events.filter(F.col("year") == 1998).withColumn("source_type", F.lit("rewritten"))
     tables.write_by_month(again, path)
-    return v.spark.read.parquet(path)
+    return tables.read_by_month(v.spark, path)
 
 
 @query(
@@ -178,15 +204,16 @@ def sink_json_landing(v: Views) -> DataFrame:
     )
 
 
-@query("sink_raw_files")
+@query(
+    "sink_raw_files",
+    f"""select folder, cast(strlen(s_name) + 1 as bigint) as length, sha256(s_name || chr(10)) as content_sha256
+        from {_FOLDERS} where s_suppkey % 3 <> 2""",
+)
 def sink_raw_files(v: Views) -> DataFrame:
+    """Exports kept byte by byte."""
     path = v.scratch("raw_files")
-    bronze.keep_raw_files(v.spark, v.bronze["exports"], path)
-    kept = v.spark.read.parquet(path)
-    intact = F.bool_and(F.length("content") == F.col("length"))
-    return kept.groupBy(_kind("path").alias("kind")).agg(
-        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), intact.alias("intact")
-    )
+    bronze.keep_raw_files(v.spark, v.named_files(), path)
+    return v.spark.read.parquet(path).select(_folder(), "length", F.sha2("content", 256).alias("content_sha256"))
 
 
 @query(
@@ -218,7 +245,7 @@ def cursor_advance(v: Views) -> DataFrame:
     path, run_at = v.scratch("cursor"), F.expr(_RUN_AT)
     for batch in (v.nested_plays, v.nested_plays.filter(F.col("played_at").isNull())):
         after = jobs.new_plays(batch, state.read_cursor(v.spark, path))
-        tables.swap_table(state.advance_cursor(after, run_at), path, v.scratch("staging"))
+        tables.swap_table(state.advance_cursor(after, run_at), path)
     return state.read_cursor(v.spark, path)
 
 
@@ -228,12 +255,13 @@ def cursor_advance(v: Views) -> DataFrame:
 @query(
     "backfill_report",
     """select 'Streaming_History' as kind, count(*) filter (track_name <> '' and artist_name <> '') as music_records,
-         count(*) filter (track_name is null or artist_name is null) as other_records, cast(0 as bigint) as malformed_records
+         count(*) filter (track_name is null or artist_name is null) as other_records,
+         count(distinct coalesce(cast(cast(played_at_utc as date) as varchar), 'none')) as malformed_records
        from extended_rows
        union all
        select 'StreamingHistory', count(*) filter (duration_ms is not null and track_name <> '' and artist_name <> ''),
          count(*) filter (duration_ms is not null and (track_name is null or artist_name is null)),
-         count(*) filter (duration_ms is null)
+         count(*) filter (duration_ms is null) + count(distinct cast(played_at_utc as date))
        from standard_rows""",
 )
 def backfill_report(v: Views) -> DataFrame:
@@ -280,6 +308,7 @@ _SILVER_ARTISTS = f"({_first_row('artist_rows', 'artist_id', ['artist_name'], wh
         union all select 'tracks', count(distinct track_id) from track_rows
         union all select 'track_tags', count(*) from track_tags
         union all select 'artist_tags', count(*) from artist_tags
+        union all select 'audio_features', count(*) from features
         union all select 'listening_events', count(*) from {_SILVER_EVENTS}
         union all select 'dim_tracks', count(distinct track_id) from track_rows
         union all select 'dim_artists', count(distinct artist_id) from artist_rows
@@ -295,12 +324,9 @@ _SILVER_ARTISTS = f"({_first_row('artist_rows', 'artist_id', ['artist_name'], wh
 )
 def run_transform_gold(v: Views) -> DataFrame:
     """Bronze to silver to gold, through storage."""
-    root = v.bronze["root"]
-    jobs.transform_gold(v.spark, root, v.scratch("work"))
-    built = [*schemas.SILVER_SCHEMAS, *jobs.GOLD]
-    return row_counts(
-        {n: v.spark.read.parquet(tables.table_path(root, n)) for n in built if n != "audio_features"}
-    )
+    root = v.write_bronze(v.scratch("lake"))["root"]
+    tables.write_table(v.features, tables.table_path(root, "audio_features"))
+    return jobs.transform_gold(v.spark, root, v.scratch("work"))
 
 
 # ---------------------------------------------------------------- streams
@@ -320,7 +346,9 @@ def stream_ingest_available_now(v: Views) -> DataFrame:
     schema = events.schema
     for wave in (events.filter(middle), events.filter(~middle)):
         wave.write.mode("append").json(source)
-        ingest.land_available(ingest.stream_files(v.spark, source, schema), target, checkpoint)
+        bad = v.table("region").select(F.lit('{"event_id": "x", "value": 1}').alias("value"))
+        bad.unionByName(bad.select(F.lit('{"event_id": 1, "val').alias("value"))).write.mode("append").text(source)
+        ingest.land_available(ingest.stream_files(v.spark, source, schema), target, checkpoint, v.scratch("quarantine"))
     landed = v.spark.read.parquet(target)
     return landed.select(
         "event_id", parse_utc(F.col("played_at")).alias("played_at_utc"), "event_type", "value"
@@ -335,4 +363,7 @@ def stream_events_upsert(v: Views) -> DataFrame:
         v.plays.filter(F.col("source_type") == kind).write.mode("append").parquet(source)
         arrived = ingest.stream_files(v.spark, source, schemas.EVENTS, fmt="parquet")
         upsert.upsert_available(arrived, table, work, f"{work}/checkpoint")
+    # A new checkpoint counts its batches anew and hands over everything again.
+    again = ingest.stream_files(v.spark, source, schemas.EVENTS, fmt="parquet")
+    upsert.upsert_available(again, table, work, f"{work}/second_checkpoint")
     return upsert.read_events(v.spark, table)

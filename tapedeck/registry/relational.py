@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tapedeck.functions import measures
 from tapedeck.operators import dedup, joins, sets, validation
-from tapedeck.operators.ordering import first_by_order
+from tapedeck.operators.ordering import first_values
 from tapedeck.plans import enrichment, gold, worklists
 from tapedeck.plans.silver import track_rows
 from tapedeck.registry.catalog import query
@@ -262,9 +262,8 @@ def agg_first_last_played(v: Views) -> DataFrame:
          from plays where track_id is not null) where rn = 1""",
 )
 def agg_first_value(v: Views) -> DataFrame:
-    firsts = first_by_order(["played_at_utc"], ["artist_name", "album_name", "platform"])
     named = v.plays.na.drop(subset=["track_id"])
-    return named.groupBy("track_id").agg(firsts.alias("first")).select("track_id", "first.*")
+    return first_values(named, "track_id", "played_at_utc", ["artist_name", "album_name", "platform"])
 
 
 @query(

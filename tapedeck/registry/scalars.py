@@ -19,10 +19,10 @@ from tapedeck.registry.views_sql import FEATURE_COLUMNS
     "proj_nested_fields",
     """select track_id, track_name, duration_ms, case when p_size <> 13 then p_brand end as album_id,
          cast(l_linenumber as bigint) as track_number, context_uri
-       from api_rows""",
+       from nested_lines""",
 )
 def proj_nested_fields(v: Views) -> DataFrame:
-    return v.nested_plays.select(
+    return v.nested(v.lines).select(
         F.col("track.id").alias("track_id"),
         F.col("track.name").alias("track_name"),
         F.col("track.duration_ms").alias("duration_ms"),
@@ -35,23 +35,23 @@ def proj_nested_fields(v: Views) -> DataFrame:
 @query(
     "proj_explode_artists",
     """select 'A' || l_suppkey as artist_id, artist_name, 'spotify:artist:A' || l_suppkey as artist_uri
-       from api_rows where artist_name is not null
+       from nested_lines where artist_name is not null
        union all
        select 'A' || (l_suppkey + 1), 'Guest ' || (l_suppkey + 1), 'spotify:artist:A' || (l_suppkey + 1)
-       from api_rows where artist_name is not null""",
+       from nested_lines where artist_name is not null""",
 )
 def proj_explode_artists(v: Views) -> DataFrame:
-    return silver.artist_rows(v.nested_plays)
+    return silver.artist_rows(v.nested(v.lines))
 
 
 @query(
     "arr_first_safe",
     """select track_name, artist_name as first_artist,
          case when p_size > 20 then 'img/' || p_brand || '/' || p_size end as image_url
-       from api_rows""",
+       from nested_lines""",
 )
 def arr_first_safe(v: Views) -> DataFrame:
-    return v.nested_plays.select(
+    return v.nested(v.lines).select(
         F.col("track.name").alias("track_name"),
         arrays.first_or_null(F.col("track.artists"))["name"].alias("first_artist"),
         arrays.first_or_null(F.col("track.album.images"))["url"].alias("image_url"),
@@ -72,24 +72,24 @@ def proj_optional_field(v: Views) -> DataFrame:
     )
 
 
-@query("ts_parse_strict", "select played_at_utc, track_name from api_rows")
+@query("ts_parse_strict", "select played_at_utc, track_name from nested_lines")
 def ts_parse_strict(v: Views) -> DataFrame:
-    return v.nested_plays.select(
+    return v.nested(v.lines).select(
         timestamps.parse_utc(F.col("played_at")).alias("played_at_utc"), F.col("track.name").alias("track_name")
     )
 
 
-@query("ts_parse_lenient", "select played_at_utc, track_name from extended_rows")
+@query("ts_parse_lenient", "select played_at_utc, track_name from extended_lines")
 def ts_parse_lenient(v: Views) -> DataFrame:
-    return v.extended_rows.select(
+    return v.extended(v.lines).select(
         timestamps.try_parse_utc(F.col("ts")).alias("played_at_utc"),
         F.col("master_metadata_track_name").alias("track_name"),
     )
 
 
-@query("ts_parse_minute", "select played_at_utc, artist_name from standard_rows")
+@query("ts_parse_minute", "select played_at_utc, artist_name from standard_lines")
 def ts_parse_minute(v: Views) -> DataFrame:
-    return v.standard_rows.select(
+    return v.standard(v.lines).select(
         timestamps.parse_minute(F.col("endTime")).alias("played_at_utc"), F.col("artistName").alias("artist_name")
     )
 
@@ -101,16 +101,16 @@ def ts_parse_minute(v: Views) -> DataFrame:
          cast(null as varchar) as platform, cast(null as varchar) as conn_country, cast(null as varchar) as reason_start,
          cast(null as varchar) as reason_end, cast(null as boolean) as shuffle, cast(null as boolean) as skipped,
          cast(null as boolean) as offline, cast(null as boolean) as incognito_mode, cast(null as varchar) as album_name
-       from standard_rows""",
+       from standard_lines""",
 )
 def proj_pad_schema(v: Views) -> DataFrame:
-    exports = schemas.conform(v.standard_rows, schemas.EXPORT)
+    exports = schemas.conform(v.standard(v.lines), schemas.EXPORT)
     return schemas.conform(silver.export_fields(exports), schemas.EVENTS)
 
 
-@query("str_uri_id", "select track_id, track_name, duration_ms from extended_rows")
+@query("str_uri_id", "select track_id, track_name, duration_ms from extended_lines")
 def str_uri_id(v: Views) -> DataFrame:
-    return v.extended_rows.select(
+    return v.extended(v.lines).select(
         text.track_id_from_uri(F.col("spotify_track_uri")).alias("track_id"),
         F.col("master_metadata_track_name").alias("track_name"),
         F.col("ms_played").alias("duration_ms"),
@@ -318,10 +318,10 @@ def build_nested_record(v: Views) -> DataFrame:
 
 @query(
     "json_roundtrip",
-    """select played_at_utc, track_id, track_name, artist_name, duration_ms, context_uri from api_rows""",
+    """select played_at_utc, track_id, track_name, artist_name, duration_ms, context_uri from nested_lines""",
 )
 def json_roundtrip(v: Views) -> DataFrame:
-    as_text = v.nested_plays.select(F.to_json(F.struct("played_at", "context", "track")).alias("json"))
+    as_text = v.nested(v.lines).select(F.to_json(F.struct("played_at", "context", "track")).alias("json"))
     parsed = as_text.select(F.from_json("json", schemas.PLAY).alias("play")).select("play.*")
     return silver.api_events(parsed).select(
         "played_at_utc", "track_id", "track_name", "artist_name", "duration_ms", "context_uri"
@@ -369,10 +369,10 @@ def filt_null_key(v: Views) -> DataFrame:
 
 @query(
     "filt_music_only",
-    """select track_name, artist_name from extended_rows where track_name <> '' and artist_name <> ''""",
+    """select track_name, artist_name from extended_lines where track_name <> '' and artist_name <> ''""",
 )
 def filt_music_only(v: Views) -> DataFrame:
-    named = silver.export_fields(schemas.conform(v.extended_rows, schemas.EXPORT))
+    named = silver.export_fields(schemas.conform(v.extended(v.lines), schemas.EXPORT))
     return backfill.music_only(named).select("track_name", "artist_name")
 
 
@@ -381,9 +381,10 @@ def filt_music_only(v: Views) -> DataFrame:
 
 @query(
     "dq_export_records",
-    """select 'Streaming_History' as kind, count(*) as valid_records, cast(0 as bigint) as rejected_records from extended_rows
+    """select 'Streaming_History' as kind, count(*) as valid_records, 
+         count(distinct coalesce(cast(cast(played_at_utc as date) as varchar), 'none')) as rejected_records from extended_rows
        union all
-       select 'StreamingHistory', count(duration_ms), count(*) - count(duration_ms) from standard_rows""",
+       select 'StreamingHistory', count(duration_ms), count(*) - count(duration_ms) + count(distinct cast(played_at_utc as date)) from standard_rows""",
 )
 def dq_export_records(v: Views) -> DataFrame:
     records = backfill.read_export_records(v.spark, v.bronze["exports"])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tapedeck import schemas
 from tapedeck.operators.dedup import dedup_by_priority
-from tapedeck.plans import enrichment, gold, responses, silver, worklists
+from tapedeck.plans import enrichment, gold, jobs, responses, silver, worklists
 from tapedeck.registry.catalog import query
 from tapedeck.registry.views import Views
 from tapedeck.registry.views_sql import FEATURE_COLUMNS
@@ -112,11 +112,11 @@ def silver_events(v: Views) -> DataFrame:
 
 
 def build_fact(v: Views) -> DataFrame:
-    return gold.fact_plays(
-        dedup_by_priority(v.plays),
-        gold.track_lookup(v.tracks, v.albums, v.features),
-        gold.artist_lookup(v.artists, v.artist_tags),
-    )
+    lookups = {
+        "track_id": gold.track_lookup(v.tracks, v.albums, v.features),
+        "artist_name": gold.artist_lookup(v.artists, v.artist_tags),
+    }
+    return jobs.build_fact(dedup_by_priority(v.plays), lookups, v.scratch("fact"))
 
 
 @query("fact_plays", "select * from fact")

@@ -156,13 +156,16 @@ class Views:
             schemas.ARTISTS,
         )
 
+    @cached_property
+    def described_lines(self) -> DataFrame:
+        """All lines of the suppliers that the services describe: those of the first four nations have neither genres nor tags."""
+        known = self.table("supplier").filter(F.col("s_nationkey") >= 4).select(F.col("s_suppkey").alias("l_suppkey"))
+        return self.lines.join(known, "l_suppkey", "left_semi")
+
     @cached_property
     def artist_genres(self) -> DataFrame:
-        """(supplier, part type) of the big discounted lines; many suppliers have none."""
-        big = (F.col("l_quantity") == 50) & (F.col("l_discount") >= 0.1)
-        return self.lines.filter(big).select(
-            F.col("l_suppkey").alias("artist_rowid"), F.col("p_type").alias("genre")
-        ).distinct()
+        """(supplier, part type) of everything a supplier sells."""
+        return self.described_lines.select(F.col("l_suppkey").alias("artist_rowid"), F.col("p_type").alias("genre")).distinct()
 
     @cached_property
     def artists_with_genres(self) -> DataFrame:
@@ -187,15 +190,12 @@ class Views:
 
     @cached_property
     def artist_tags(self) -> DataFrame:
-        supplier, part = self.table("supplier"), self.table("part")
-        words = F.split("p_name", " ")
-        tagged = supplier.filter(F.col("s_nationkey") >= 4).join(part, supplier["s_suppkey"] == part["p_partkey"])
+        """The first words of the names of all parts that a supplier sells."""
+        words = F.sort_array(F.collect_set(F.get(F.split("p_name", " "), F.lit(0))))
         return conform(
-            tagged.select(
-                F.concat(F.lit("A"), "s_suppkey").alias("artist_id"),
-                words.alias("tags"),
-                F.get(words, F.lit(0)).alias("top_tag"),
-            ),
+            self.described_lines.groupBy(F.concat(F.lit("A"), "l_suppkey").alias("artist_id"))
+            .agg(words.alias("tags"))
+            .withColumn("top_tag", F.get("tags", F.lit(0))),
             schemas.ARTIST_TAGS,
         )
 
@@ -385,7 +385,19 @@ class Views:
 
     @cached_property
     def nested_plays(self) -> DataFrame:
-        """Recently-played items: nested, with a guest artist, without the field the service leaves out."""
+        """Recently-played items: the lines of the first source."""
+        return self.nested(self.lines.filter(F.col("l_returnflag") == "A"))
+
+    @cached_property
+    def extended_rows(self) -> DataFrame:
+        return self.extended(self.lines.filter(F.col("l_returnflag") == "R"))
+
+    @cached_property
+    def standard_rows(self) -> DataFrame:
+        return self.standard(self.lines.filter(F.col("l_returnflag") == "N"))
+
+    def nested(self, lines: DataFrame) -> DataFrame:
+        """Nested items with a guest artist, without the field the service leaves out."""
         key = F.col("l_suppkey")
         main = self.artist_entry(F.concat(F.lit("A"), key), F.col("line_artist"))
         guest = self.artist_entry(F.concat(F.lit("A"), key + 1), F.concat(F.lit("Guest "), key + 1))
@@ -398,21 +410,20 @@ class Views:
             F.concat(F.lit("api/ctx/"), key).alias("href"),
             F.create_map(F.lit("page"), F.lit("x")).alias("external_urls"),
         )
-        return self.lines.filter(F.col("l_returnflag") == "A").select(
+        return lines.select(
             F.date_format("played_at_utc", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("played_at"),
             F.when(F.col("l_discount") > 0, context).alias("context"),
             self.track_entry(F.col("line_track_id"), F.col("l_linenumber"), artists, None).alias("track"),
         )
 
-    @cached_property
-    def extended_rows(self) -> DataFrame:
+    def extended(self, lines: DataFrame) -> DataFrame:
         """Extended export rows; some are podcasts, some have an unreadable time."""
         size, status = F.col("p_size"), F.col("l_linestatus")
         stamp = F.date_format("played_at_utc", "yyyy-MM-dd'T'HH:mm:ss'Z'")
         uri = F.when(size == 4, F.concat(F.lit("spotify:episode:"), "l_partkey")).otherwise(
             F.concat(F.lit(TRACK_URI_PREFIX), "line_track_id")
         )
-        return self.lines.filter(F.col("l_returnflag") == "R").select(
+        return lines.select(
             F.when((size == 50) & (F.col("l_tax") == 0), "not a time").otherwise(stamp).alias("ts"),
             F.when(status == "F", "ios").otherwise("android").alias("platform"),
             (F.col("l_quantity") * 2000).cast("bigint").alias("ms_played"),
@@ -429,10 +440,9 @@ class Views:
             (F.col("l_tax") == 0).alias("incognito_mode"),
         )
 
-    @cached_property
-    def standard_rows(self) -> DataFrame:
+    def standard(self, lines: DataFrame) -> DataFrame:
         """Standard export rows; durations are missing on some, which makes them malformed."""
-        return self.lines.filter(F.col("l_returnflag") == "N").select(
+        return lines.select(
             F.date_format("played_at_utc", "yyyy-MM-dd HH:mm").alias("endTime"),
             F.col("line_artist").alias("artistName"),
             when_null(F.col("p_size") == 3, F.col("p_name")).alias("trackName"),
@@ -454,24 +464,53 @@ class Views:
         missed = new.filter(F.col("l_linestatus") == "F").select(F.lit(True).alias("not_found"))
         return found.unionByName(missed, allowMissingColumns=True)
 
+    def _arrays(self, records: DataFrame, at: str, bad: str) -> DataFrame:
+        """Arrays as other tools write them, one for each day of the time field `at`, each with a badly typed record."""
+        day = F.substring(at, 1, 10).alias("day")
+        good = records.select(day, F.to_json(F.struct(*records.columns)).alias("json"))
+        array = F.concat(F.lit(f"[{bad},"), F.array_join(F.collect_list("json"), ","), F.lit("]"))
+        return good.groupBy("day").agg(array.alias("value")).select("value")
+
+    def write_bronze(self, root: str) -> dict[str, str]:
+        """The raw JSON of a lake under `root`."""
+        paths = {n: f"{root}/{p}" for n, p in schemas.BRONZE_PATHS.items()}
+        exports = paths["exports"]
+        arrays = [
+            (self.nested_plays, "played_at", '{"played_at":"1997-01-01T00:00:00.000Z","track":{"id":"bad","duration_ms":"long"}}', paths["plays"]),
+            (self.extended_rows, "ts", '{"ts":"1997-01-01T00:00:00Z","ms_played":"x","skipped":"maybe"}', f"{exports}/Streaming_History_Audio"),
+            (self.standard_rows, "endTime", '{"endTime":"1997-01-01 00:00","msPlayed":"x"}', f"{exports}/StreamingHistory"),
+        ]
+        for records, at, bad, path in arrays:
+            self._arrays(records, at, bad).write.mode("append").text(path)
+        lines = [
+            (self.marker_rows, '{"search_artist_name":"bad","track":{"id":"bad","duration_ms":"long"}}', paths["track_markers"]),
+            (self.track_tags, '{"track_id":"bad","tags":["x"],"listeners":"many"}', paths["track_tag_markers"]),
+            (self.artist_tags, '{"artist_id":"bad","tags":"x"}', paths["artist_tag_markers"]),
+        ]
+        for records, bad, path in lines:
+            bronze.write_json_lines(records, path)
+            self.table("region").select(F.lit(bad).alias("value")).write.mode("append").text(path)
+        broken = self.spark.range(1, numPartitions=1).select(F.lit('{"search_artist_name": "cut o').alias("value"))
+        broken.write.mode("append").text(paths["track_markers"])
+        return {**paths, "root": root}
+
     @property
     def bronze(self) -> dict[str, str]:
         """Folders with the raw JSON, written once per session."""
         slot = (self.spark.sparkContext.applicationId, self.sf_dir)
         if slot not in _BRONZE:
-            root = f"{scratch_root(self.spark)}/lake"
-            paths = {n: f"{root}/{p}" for n, p in schemas.BRONZE_PATHS.items()}
-            bronze.write_json_arrays(self.nested_plays, paths["plays"])
-            bronze.write_json_arrays(self.extended_rows, f"{paths['exports']}/Streaming_History_Audio")
-            bronze.write_json_arrays(self.standard_rows, f"{paths['exports']}/StreamingHistory")
-            bronze.write_json_arrays(self.marker_rows, paths["track_markers"])
-            bronze.write_json_arrays(self.track_tags, paths["track_tag_markers"])
-            bronze.write_json_arrays(self.artist_tags, paths["artist_tag_markers"])
-            broken = self.spark.range(1, numPartitions=1).select(F.lit('{"search_artist_name": "cut o').alias("value"))
-            broken.write.text(f"{paths['track_markers']}/broken")
-            _BRONZE[slot] = {**paths, "root": root}
+            _BRONZE[slot] = self.write_bronze(f"{scratch_root(self.spark)}/lake")
         return _BRONZE[slot]
 
+    def named_files(self) -> str:
+        """A folder with a file for each supplier, whose name and text are known; one in three is no listening history."""
+        key = F.col("s_suppkey")
+        kind = F.when(key % 3 == 0, "StreamingHistory_music_").when(key % 3 == 1, "Streaming_History_Audio_").otherwise("Userdata_")
+        root = self.scratch("files")
+        named = self.table("supplier").select(F.concat(kind, key).alias("folder"), F.col("s_name").alias("value"))
+        named.repartition("folder").write.partitionBy("folder").text(root)
+        return root
+
     def read_plays(self) -> DataFrame:
         return bronze.read_plays(self.spark, self.bronze["plays"])
 

@@ -83,7 +83,8 @@ VIEWS = {
           cast(s_suppkey * 100 as bigint) as followers_total, cast(s_suppkey % 100 as bigint) as popularity
         from supplier""",
     "artist_genres": """
-        select distinct l_suppkey as artist_rowid, p_type as genre from lines where l_quantity = 50 and l_discount >= 0.1""",
+        select distinct l_suppkey as artist_rowid, p_type as genre
+        from lines where l_suppkey in (select s_suppkey from supplier where s_nationkey >= 4)""",
     "genre_lists": """
         select 'A' || artist_rowid as artist_id, list(genre order by genre) as genres
         from artist_genres group by artist_rowid""",
@@ -92,8 +93,9 @@ VIEWS = {
           cast(p_size * 10 as bigint) as listeners, cast(p_size * 100 as bigint) as playcount
         from part where p_size > 8""",
     "artist_tags": """
-        select 'A' || s_suppkey as artist_id, string_split(p_name, ' ') as tags, split_part(p_name, ' ', 1) as top_tag
-        from supplier join part on s_suppkey = p_partkey where s_nationkey >= 4""",
+        select 'A' || l_suppkey as artist_id, list_sort(list(distinct split_part(p_name, ' ', 1))) as tags,
+          min(split_part(p_name, ' ', 1)) as top_tag
+        from lines where l_suppkey in (select s_suppkey from supplier where s_nationkey >= 4) group by l_suppkey""",
     "features": f"""
         select 'T' || p_partkey as track_id, {_FEATURES}
         from part where p_type <> 'PROMO' and p_size < 48""",
@@ -123,15 +125,16 @@ VIEWS = {
         union all
         select 'A' || s_suppkey, timestamp '2024-01-20 00:00:00', 'tags' from supplier where s_nationkey > 15""",
     # bronze
-    "api_rows": """
-        select played_at_utc, line_track_id as track_id, p_name as track_name, line_artist as artist_name,
+    "nested_lines": """
+        select l_returnflag, played_at_utc, line_track_id as track_id, p_name as track_name, line_artist as artist_name,
           cast(p_size * 2000 as bigint) as duration_ms,
           case when l_discount > 0 then case when l_linestatus = 'F' then 'playlist' else 'album' end end as context_type,
           case when l_discount > 0 then 'ctx:' || l_suppkey end as context_uri,
           l_suppkey, l_linenumber, p_size, p_brand, p_type
-        from lines where l_returnflag = 'A'""",
-    "extended_rows": """
-        select case when p_size = 50 and l_tax = 0 then null else date_trunc('second', played_at_utc) end as played_at_utc,
+        from lines""",
+    "api_rows": "select * exclude (l_returnflag) from nested_lines where l_returnflag = 'A'",
+    "extended_lines": """
+        select l_returnflag, case when p_size = 50 and l_tax = 0 then null else date_trunc('second', played_at_utc) end as played_at_utc,
           case when p_size not in (4) then line_track_id end as track_id,
           case when p_size <> 3 then p_name end as track_name, case when p_size <> 3 then line_artist end as artist_name,
           cast(l_quantity * 2000 as bigint) as duration_ms, p_brand as album_name,
@@ -140,12 +143,14 @@ VIEWS = {
           case when l_linestatus = 'F' then 'trackdone' else 'clickrow' end as reason_start,
           case when l_linenumber > 3 then 'fwdbtn' else 'trackdone' end as reason_end,
           l_linenumber > 3 as shuffle, l_linestatus = 'F' as skipped, l_discount = 0 as offline, l_tax = 0 as incognito_mode
-        from lines where l_returnflag = 'R'""",
-    "standard_rows": """
-        select date_trunc('minute', played_at_utc) as played_at_utc,
+        from lines""",
+    "extended_rows": "select * exclude (l_returnflag) from extended_lines where l_returnflag = 'R'",
+    "standard_lines": """
+        select l_returnflag, date_trunc('minute', played_at_utc) as played_at_utc,
           case when p_size <> 3 then p_name end as track_name, line_artist as artist_name,
           case when l_quantity <> 1 then cast(l_quantity * 2000 as bigint) end as duration_ms
-        from lines where l_returnflag = 'N'""",
+        from lines""",
+    "standard_rows": "select * exclude (l_returnflag) from standard_lines where l_returnflag = 'N'",
     "marker_rows": """
         select line_artist as search_artist_name, p_name as search_track_name, 'T' || l_partkey as track_id,
           l_suppkey, p_size, p_brand, p_type, l_partkey

@@ -2,55 +2,86 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
 from tapedeck import schemas
 from tapedeck.functions.timestamps import landing_parts, landing_stamp
+from tapedeck.operators.validation import play_is_valid, split_valid
+from tapedeck.sources.files import exists
 
-CORRUPT, SOURCE_FILE = "_corrupt_record", "_source_file"
+# Why a record can't be read (null if it can), its text, and the file it came from.
+CORRUPT, RECORD, SOURCE_FILE = "_corrupt_record", "_record", "_source_file"
 # Name patterns of the two export generations (of a file, or of a folder of its parts).
 EXPORT_PATH_PATTERN = "(StreamingHistory|Streaming_History).*[.](json|txt)$"
 
 
-def path_missing(error: AnalysisException) -> bool:
-    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+def as_text(reader, schema: StructType):
+    """Options of a reader (or stream reader) that takes every top-level field as text, nested ones as their JSON."""
+    texts = StructType([*[StructField(f.name, StringType()) for f in schema.fields], StructField(CORRUPT, StringType())])
+    return (
+        reader.schema(texts)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("recursiveFileLookup", True)
+    )
 
 
-def read_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """JSON files under `path`, sub-folders included, with _source_file and, if unreadable, _corrupt_record.
+def _field(name: str, kind: DataType) -> tuple[Column, Column]:
+    """A field's typed value out of its text, and whether the text does not fit the type."""
+    text = F.col(name)
+    if isinstance(kind, StringType):
+        return text, F.lit(False)
+    if isinstance(kind, StructType):
+        nested = StructType([*kind.fields, StructField(CORRUPT, StringType())])
+        parsed = F.from_json(text, nested, {"columnNameOfCorruptRecord": CORRUPT})
+        return parsed.dropFields(CORRUPT), text.isNotNull() & (parsed.isNull() | parsed[CORRUPT].isNotNull())
+    value = F.from_json(text, kind) if isinstance(kind, ArrayType) else text.try_cast(kind)
+    return value, text.isNotNull() & value.isNull()
+
 
-    A file holds one value, an array of records or a single record, over as many lines as it likes.
-    Such a file is read by one task, so the writers below keep files to a fixed number of records.
+def typed(texts: DataFrame, schema: StructType, lines: bool) -> DataFrame:
+    """Records of `as_text` with their types, each judged by all of its fields, whatever is selected later.
+
+    A record with a field of the wrong type fails alone. Of a file that holds no JSON only the fact is kept,
+    of a line its text.
     """
-    with_corrupt = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    reader = (
-        spark.read.schema(with_corrupt)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("multiLine", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.{json,txt}")
+    fields = {f.name: _field(f.name, f.dataType) for f in schema.fields}
+    wrong = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, (_, bad) in fields.items()]))
+    broken = F.col(CORRUPT).isNotNull()
+    reason = F.when(broken, F.lit("not JSON")).when(
+        F.size(wrong) > 0, F.concat(F.lit("badly typed: "), F.array_join(wrong, ", "))
     )
+    text = F.when(broken, F.col(CORRUPT) if lines else F.lit(None)).when(F.size(wrong) > 0, F.to_json(F.struct(*fields)))
+    return texts.select(
+        *[value.cast(schema[name].dataType).alias(name) for name, (value, _) in fields.items()],
+        reason.alias(CORRUPT), text.alias(RECORD), SOURCE_FILE,
+    )
+
+
+def read_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """JSON files under `path`, sub-folders included, with _corrupt_record, _record and _source_file.
+
+    A `.json` file comes from elsewhere and holds one value, an array of records or a record, over as many lines as it
+    likes; one task reads it. A `.txt` file comes from the writers below and holds one record (or array) in a line; it splits.
+    """
+    if not exists(spark, path):
+        marks = [StructField(c, StringType()) for c in (CORRUPT, RECORD, SOURCE_FILE)]
+        return spark.createDataFrame([], StructType([*schema.fields, *marks]))
     source = F.col("_metadata.file_path").alias(SOURCE_FILE)
-    try:
-        return reader.json(path).select("*", source)
-    except AnalysisException as error:
-        if path_missing(error):
-            return spark.createDataFrame([], with_corrupt).select("*", F.lit(None).cast("string").alias(SOURCE_FILE))
-        raise
+    whole = as_text(spark.read, schema).option("multiLine", True).option("pathGlobFilter", "*.json").json(path)
+    lines = as_text(spark.read, schema).option("pathGlobFilter", "*.txt").json(path)
+    return typed(whole.select("*", source), schema, lines=False).unionByName(typed(lines.select("*", source), schema, lines=True))
 
 
 def readable(df: DataFrame) -> DataFrame:
-    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, SOURCE_FILE)
+    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, RECORD, SOURCE_FILE)
 
 
 def unreadable(df: DataFrame) -> DataFrame:
-    """Records for a quarantine table: their file, their text and whatever fields could be read."""
-    fields = F.struct(*[c for c in df.columns if c not in (CORRUPT, SOURCE_FILE)])
-    return df.filter(F.col(CORRUPT).isNotNull()).select(SOURCE_FILE, CORRUPT, fields.alias("fields"))
+    """Records for a quarantine table: their file, what is wrong, and the record's own text."""
+    return df.filter(F.col(CORRUPT).isNotNull()).select(SOURCE_FILE, CORRUPT, RECORD)
 
 
 def plays_only(df: DataFrame) -> DataFrame:
@@ -58,6 +89,16 @@ def plays_only(df: DataFrame) -> DataFrame:
     return readable(df).filter(F.col("played_at").isNotNull() | F.col("track").isNotNull())
 
 
+def split_plays(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Valid plays out of the records of a play source, and what goes to quarantine: unreadable, or against the play rules."""
+    is_play = F.col("played_at").isNotNull() | F.col("track").isNotNull()
+    plays = records.filter(F.col(CORRUPT).isNull() & is_play)
+    valid, rejected = split_valid(plays, play_is_valid(F.col("played_at"), F.col("context"), F.col("track")))
+    text = F.to_json(F.struct(*schemas.PLAY.names))
+    bad = rejected.withColumns({CORRUPT: F.lit("against the play rules"), RECORD: text})
+    return valid.select(*schemas.PLAY.names), unreadable(records).unionByName(unreadable(bad))
+
+
 def found_only(markers: DataFrame) -> DataFrame:
     """Readable markers of look-ups that found something."""
     return readable(markers).filter(~F.coalesce(F.col("not_found"), F.lit(False))).drop("not_found")
@@ -78,36 +119,16 @@ def read_markers(spark: SparkSession, path: str, schema: StructType) -> DataFram
     return found_only(read_json(spark, path, schema))
 
 
-def write_json_arrays(
-    df: DataFrame, path: str, folders: dict[str, Column] | None = None, rows_per_file: int = 20_000
-) -> None:
-    """Append records as files that each hold one JSON array, in sub-folders if any are given.
-
-    Rows go to files by a hash of the whole record; the number of files follows the number of rows,
-    so that a file (which one task has to read back whole) keeps its size as the table grows.
-    """
+def write_json_lines(df: DataFrame, path: str, folders: dict[str, Column] | None = None) -> None:
+    """Append records as lines of JSON, in sub-folders if any are given. No shuffle, and the files split when read."""
     folders = folders or {}
-    files = df.count() // rows_per_file + 1
-    records = df.select(F.to_json(F.struct(*df.columns)).alias("json"))
-    bucketed = records.withColumn("part", F.pmod(F.xxhash64("json"), F.lit(files)))
-    window = Window.partitionBy("part").orderBy("json")
-    numbered = bucketed.withColumns(
-        {"n": F.row_number().over(window), "last": F.lead("json").over(window).isNull()}
-    )
-    opened = F.when(F.col("n") == 1, "[\n").otherwise("")
-    closed = F.when(F.col("last"), "\n]").otherwise(",")
-    (
-        numbered.select("part", F.concat(opened, "json", closed).alias("value"))
-        .withColumns(folders)
-        .write.mode("append")
-        .partitionBy(*folders, "part")
-        .text(path)
-    )
+    lines = df.select(F.to_json(F.struct(*df.columns)).alias("value")).withColumns(folders)
+    lines.write.mode("append").partitionBy(*folders).text(path)
 
 
 def land_plays(plays: DataFrame, path: str, ingested_at: Column) -> None:
     """Append plays to folders named by the time of ingestion, not of play."""
-    write_json_arrays(plays, path, landing_parts(ingested_at))
+    write_json_lines(plays, path, landing_parts(ingested_at))
 
 
 def landing_path(ingested_at: Column) -> Column:

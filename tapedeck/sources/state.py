@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapedeck import schemas
 from tapedeck.functions.timestamps import epoch_millis, parse_utc
 from tapedeck.operators.dedup import first_row_per_key
-from tapedeck.sources.bronze import list_files, path_missing
+from tapedeck.sources.bronze import list_files
+from tapedeck.sources.files import exists
 from tapedeck.sources.tables import read_optional
 
 FOUND, NOT_FOUND = "found", "not_found"
@@ -42,18 +42,18 @@ def append_attempts(attempts: DataFrame, path: str) -> None:
 
 
 def read_attempts(spark: SparkSession, path: str) -> DataFrame:
-    return read_optional(spark, path, schemas.ATTEMPTS)
+    """Attempts are only ever appended, so that a folder without files has none yet."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schemas.ATTEMPTS)
+    return spark.read.schema(schemas.ATTEMPTS).parquet(path)
 
 
 def attempts_from_files(spark: SparkSession, path: str) -> DataFrame:
     """Attempts out of a folder with one marker file per key, named by the encoded key."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schemas.ATTEMPTS)
     key = F.regexp_extract("path", "([^/]+)[.]json$", 1)
-    try:
-        files = list_files(spark, path, "*.json")
-    except AnalysisException as error:
-        if path_missing(error):
-            return spark.createDataFrame([], schemas.ATTEMPTS)
-        raise
+    files = list_files(spark, path, "*.json")
     named = files.select(key.alias("key"), F.col("modificationTime").cast("timestamp_ntz").alias("attempted_at"))
     return schemas.conform(named, schemas.ATTEMPTS)
 

@@ -2,41 +2,61 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tapedeck import schemas
-from tapedeck.sources.bronze import list_files, path_missing
+from tapedeck.sources.bronze import list_files
+from tapedeck.sources.files import children, exists, mark, remove
+
+MONTHLY = {"listening_events", "fact_plays"}
+_COMMITTED, _VERSION = "_committed", "v[0-9]{10}"
+_MONTHS = schemas.struct(write=schemas.TEXT, year=schemas.INT, month=schemas.INT)
 
 
 def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{schemas.TABLE_PATHS[name]}"
 
 
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The folder of a table's last complete version; None where no versions are kept.
+
+    A version counts once its marker is there, which is set after the last file. Versions without any marker are
+    a first write that was cut short: an error, as an empty table would be taken for the truth.
+    """
+    marks = children(spark, f"{path}/{_COMMITTED}")
+    if marks:
+        return f"{path}/{marks[-1]}"
+    if any(re.fullmatch(_VERSION, name) for name in children(spark, path)):
+        raise FileNotFoundError(f"{path} has no complete version")
+    return None
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The last complete version of a table, or the plain Parquet files of one that others wrote."""
+    return spark.read.parquet(current_version(spark, path) or path)
+
+
 def read_optional(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A table with its declared schema; empty when the path does not exist, an error for anything else."""
-    try:
-        return schemas.conform(spark.read.parquet(path), schema)
-    except AnalysisException as error:
-        if path_missing(error):
-            return spark.createDataFrame([], schema)
-        raise
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return schemas.conform(read_table(spark, path), schema)
 
 
-def staging_path(root: str, name: str) -> str:
-    """Where the next version of a table is written before it replaces the old one."""
-    return f"{root.rstrip('/')}/staging/{name}"
+def read_silver(spark: SparkSession, root: str, name: str) -> DataFrame:
+    path, schema = table_path(root, name), schemas.SILVER_SCHEMAS[name]
+    return read_by_month(spark, path, schema) if name in MONTHLY else read_optional(spark, path, schema)
 
 
-def read_silver(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A silver table; if replacing it was cut short and left it empty, its staged version."""
-    schema = schemas.SILVER_SCHEMAS[name]
-    table = read_optional(spark, table_path(root, name), schema)
-    return read_optional(spark, staging_path(root, name), schema) if table.isEmpty() else table
+def read_gold(spark: SparkSession, root: str, name: str) -> DataFrame:
+    path = table_path(root, name)
+    return read_by_month(spark, path) if name in MONTHLY else read_table(spark, path)
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
@@ -54,46 +74,108 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return list_files(spark, path, "*.parquet").agg(F.sum("length")).first()[0] or 0
 
 
+def _write_version(df: DataFrame, path: str, keep_empty: bool) -> None:
+    spark = df.sparkSession
+    marks = children(spark, f"{path}/{_COMMITTED}")
+    name = f"v{int(marks[-1][1:]) + 1 if marks else 1:010d}"
+    df.write.mode("overwrite").parquet(f"{path}/{name}")  # what a broken-off attempt left goes
+    if not keep_empty and spark.read.schema(df.schema).parquet(f"{path}/{name}").isEmpty():
+        remove(spark, f"{path}/{name}")
+        if not marks and not children(spark, path):
+            remove(spark, path)
+        return
+    mark(spark, f"{path}/{_COMMITTED}/{name}")
+    for old in marks[:-1]:  # the version before stays for those who are reading it
+        remove(spark, f"{path}/{_COMMITTED}/{old}")
+        remove(spark, f"{path}/{old}")
+
+
 def write_table(df: DataFrame, path: str, when: DataFrame | None = None) -> None:
-    """Overwrite a table, unless the stored table it is made from (`when`) has no rows."""
+    """Write a table's next version, unless the stored table it is made from (`when`) has no rows.
+
+    `df` may be read from the table itself: the old version stays until the new one is complete.
+    """
     if when is None or not when.isEmpty():
-        df.write.mode("overwrite").parquet(path)
+        _write_version(df, path, keep_empty=True)
 
 
-def swap_table(df: DataFrame, path: str, staging: str) -> None:
-    """Overwrite a table that `df` itself may be read from: write aside first, then replace.
+def swap_table(df: DataFrame, path: str) -> None:
+    """write_table, but an empty result leaves the table as it is."""
+    _write_version(df, path, keep_empty=False)
 
-    An empty result leaves the old table as it is.
-    """
-    staged = materialize(df, staging)
-    if not staged.isEmpty():
-        staged.write.mode("overwrite").parquet(path)
 
+def _month_folders(spark: SparkSession, data: str) -> list[tuple[int | None, int | None]]:
+    def value(name: str) -> int | None:
+        text = name.split("=", 1)[1]
+        return None if text == "__HIVE_DEFAULT_PARTITION__" else int(text)
 
-def write_by_month(df: DataFrame, path: str) -> None:
-    """Write a fact by (year, month), replacing only the months that occur in `df`.
+    years = [y for y in children(spark, data) if y.startswith("year=")]
+    return [(value(y), value(m)) for y in years for m in children(spark, f"{data}/{y}") if m.startswith("month=")]
 
-    The rebalance hint lets the adaptive planner cut months that hold much of the data into files
-    of a common size and put small months together.
-    """
-    (
-        df.hint("rebalance", F.col("year"), F.col("month"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("year", "month")
-        .parquet(path)
-    )
 
+def _current_months(spark: SparkSession, path: str) -> list[tuple[str, int | None, int | None]]:
+    """Which write holds each month: a row for each month of the calendar at most."""
+    folder = f"{path}/months"
+    return [tuple(r) for r in read_table(spark, folder).select("write", "year", "month").collect()] if exists(spark, folder) else []
 
-def only_months(df: DataFrame, months: list[tuple[int | None, int | None]]) -> DataFrame:
-    """Rows of some (year, month) partitions, as a filter that prunes folders."""
 
-    def one(year: int | None, month: int | None):
+def write_by_month(df: DataFrame, path: str) -> None:
+    """Write a fact by (year, month), replacing only the months that occur in `df`.
+
+    Every write has a folder of its own; a small versioned table says which write holds which month and is switched last,
+    so that readers see all of the new months or none. `df` may be read from the fact itself. The rebalance
+    hint lets the adaptive planner cut months that hold much of the data into files of a common size and put small ones together.
+    """
+    spark, write = df.sparkSession, f"w{uuid.uuid4().hex}"
+    data = f"{path}/data/write={write}"
+    df.hint("rebalance", F.col("year"), F.col("month")).write.partitionBy("year", "month").parquet(data)
+    written = _month_folders(spark, data)
+    if not written:
+        return
+    before = _current_months(spark, path)
+    now = [x for x in before if x[1:] not in written] + [(write, *m) for m in written]
+    write_table(spark.createDataFrame(now, _MONTHS).coalesce(1), f"{path}/months")
+    live = {*before, *now}
+    for old in children(spark, f"{path}/data"):
+        own = f"{path}/data/{old}"
+        months = _month_folders(spark, own)
+        dead = [m for m in months if (old.removeprefix("write="), *m) not in live]
+        for year, month in dead:
+            y, m = ("__HIVE_DEFAULT_PARTITION__" if x is None else x for x in (year, month))
+            remove(spark, f"{own}/year={y}/month={m}")
+        if len(dead) == len(months):
+            remove(spark, own)
+
+
+def read_by_month(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A fact of write_by_month, each month from its last complete write; empty if there is none and a schema says of what."""
+    if not exists(spark, path) and schema is not None:
+        return spark.createDataFrame([], schema)
+    held: dict[str, list] = {}
+    for write, year, month in _current_months(spark, path):
+        held.setdefault(write, []).append((year, month))
+    if not held:
+        if exists(spark, f"{path}/data"):
+            raise FileNotFoundError(f"{path} has no complete month")
+        return read_optional(spark, path, schema) if schema is not None else read_table(spark, path)
+    stored = spark.read.parquet(f"{path}/data")
+    current = [(F.col("write") == write) & _is_month(months) for write, months in held.items()]
+    rows = stored.filter(reduce(lambda a, b: a | b, current)).drop("write")
+    return rows if schema is None else schemas.conform(rows, schema)
+
+
+def _is_month(months: list[tuple[int | None, int | None]]) -> Column:
+    def one(year: int | None, month: int | None) -> Column:
         y = F.col("year").isNull() if year is None else F.col("year") == year
         m = F.col("month").isNull() if month is None else F.col("month") == month
         return y & m
 
-    return df.filter(reduce(lambda a, b: a | b, [one(y, m) for y, m in months], F.lit(False)))
+    return reduce(lambda a, b: a | b, [one(y, m) for y, m in months], F.lit(False))
+
+
+def only_months(df: DataFrame, months: list[tuple[int | None, int | None]]) -> DataFrame:
+    """Rows of some (year, month) partitions, as a filter that prunes folders."""
+    return df.filter(_is_month(months))
 
 
 def months_of(df: DataFrame) -> list[tuple[int | None, int | None]]:

@@ -2,7 +2,8 @@
 
 Exports arrive years after the plays they describe, so no watermark can bound the state. The
 state is the fact table itself: a batch re-runs the dedup on the months it touches and replaces
-only these.
+only these, all at once. Merging a batch twice gives the same rows as merging it once, so that neither a
+repeated batch nor a stream that starts anew needs a note of what was done.
 """
 
 from __future__ import annotations
@@ -13,48 +14,24 @@ from pyspark.sql import functions as F
 from tapedeck import schemas
 from tapedeck.operators.dedup import dedup_by_priority
 from tapedeck.operators.sets import union_diagonal
-from tapedeck.sources.tables import months_of, only_months, read_optional
-
-_DONE = schemas.struct(batch_id=schemas.LONG)
-
-
-def upsert_batch(batch: DataFrame, batch_id: int, table: str, work: str) -> None:
-    """Merge one batch of events into the fact.
-
-    The merged months are written aside and noted as done before they replace the old ones. A batch
-    that is run again therefore starts from the noted copy and never from half-replaced months. Two
-    places for copies are enough: a batch only starts when the one before it is through.
-    """
-    spark = batch.sparkSession
-    staged, done = f"{work}/staged/{batch_id % 2}", f"{work}/done"
-    if read_optional(spark, done, _DONE).filter(F.col("batch_id") == batch_id).isEmpty():
-        dated = batch.withColumns({"year": F.year("played_at_utc"), "month": F.month("played_at_utc")})
-        months = months_of(dated)
-        if not months:
-            return
-        stored = only_months(read_optional(spark, table, schemas.EVENTS_PARTITIONED), months)
-        merged = dedup_by_priority(union_diagonal(stored, dated))
-        merged.hint("rebalance", F.col("year"), F.col("month")).write.mode("overwrite").parquet(staged)
-        spark.createDataFrame([(batch_id,)], _DONE).write.mode("append").parquet(done)
-    (
-        spark.read.parquet(staged)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("year", "month")
-        .parquet(table)
-    )
+from tapedeck.sources.tables import materialize, months_of, only_months, read_by_month, write_by_month
+from tapedeck.streaming.ingest import run_available
+
+
+def upsert_batch(batch: DataFrame, table: str, work: str) -> None:
+    """Merge one batch of events into the fact. The batch is written aside first, as it is read twice."""
+    dated = batch.withColumns({"year": F.year("played_at_utc"), "month": F.month("played_at_utc")})
+    staged = materialize(dated, f"{work}/batch")
+    months = months_of(staged)
+    if months:
+        stored = only_months(read_events(batch.sparkSession, table), months)
+        write_by_month(dedup_by_priority(union_diagonal(stored, staged)), table)
 
 
 def upsert_available(stream: DataFrame, table: str, work: str, checkpoint: str) -> None:
     """Merge everything that arrived since the last run, batch by batch, then stop."""
-    query = (
-        stream.writeStream.foreachBatch(lambda df, i: upsert_batch(df, i, table, work))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    run_available(stream, lambda df, _: upsert_batch(df, table, work), checkpoint)
 
 
 def read_events(spark: SparkSession, table: str) -> DataFrame:
-    return read_optional(spark, table, schemas.EVENTS_PARTITIONED)
+    return read_by_month(spark, table, schemas.EVENTS_PARTITIONED)

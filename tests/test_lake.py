@@ -2,6 +2,7 @@
 
 import base64
 import json
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 
 from tapedeck import schemas
 from tapedeck.operators import validation
-from tapedeck.plans import backfill, jobs, responses, worklists
+from tapedeck.plans import backfill, enrichment, jobs, responses, worklists
 from tapedeck.sources import bronze, state, tables
+from tapedeck.sources.catalogue import read_catalogue
 from tapedeck.streaming import ingest, upsert
 
 
@@ -114,6 +116,8 @@ def test_missing_folder_is_empty_but_other_failures_are_not(spark, tmp_path):
     assert bronze.read_plays(spark, str(tmp_path / "nowhere")).count() == 0
     assert tables.read_silver(spark, str(tmp_path), "tracks").count() == 0
     (tmp_path / "silver/tracks").mkdir(parents=True)
+    with pytest.raises(Exception, match="UNABLE_TO_INFER_SCHEMA"):
+        tables.read_silver(spark, str(tmp_path), "tracks").collect()
     (tmp_path / "silver/tracks/part-0.parquet").write_text("no parquet")
     with pytest.raises(Exception, match="footer"):
         tables.read_silver(spark, str(tmp_path), "tracks").collect()
@@ -125,12 +129,25 @@ def test_files_without_plays_give_no_rows(spark, tmp_path):
     assert bronze.read_plays(spark, str(tmp_path)).count() == 0
 
 
-def test_json_arrays_round_trip_over_several_files(spark, tmp_path):
-    df = spark.range(1000).select(F.col("id").cast("string").alias("played_at"))
-    bronze.write_json_arrays(df, str(tmp_path / "out"), rows_per_file=150)
-    files = list((tmp_path / "out").rglob("*.txt"))
-    assert len(files) == 7 and all(isinstance(json.loads(f.read_text()), list) for f in files)
-    assert bronze.read_plays(spark, str(tmp_path / "out")).select("played_at").distinct().count() == 1000
+def test_json_lines_round_trip(spark, tmp_path):
+    df = spark.range(1000).select((F.col("id") % 10).cast("string").alias("played_at"))
+    bronze.write_json_lines(df, str(tmp_path / "out"))
+    assert bronze.read_plays(spark, str(tmp_path / "out")).count() == 1000
+
+
+def test_a_bad_record_fails_alone_whatever_is_selected(spark, tmp_path):
+    good = {"ts": "2024-01-01T10:00:00Z", "ms_played": 5, "skipped": True}
+    put(tmp_path / "Streaming_History_1.json", [good, {**good, "skipped": "maybe"}, {**good, "ms_played": "x"}, good, {"endTime": "e", "msPlayed": None}])
+    put(tmp_path / "Streaming_History_2.json", '[{"ts": "cut')
+    exports = bronze.read_exports(spark, str(tmp_path))
+    assert exports.count() == 3 and exports.select("ts").dropna().count() == 2
+    bad = {r["_corrupt_record"]: r["_record"] for r in bronze.unreadable(bronze.read_json(spark, str(tmp_path), schemas.EXPORT)).collect()}
+    assert set(bad) == {"badly typed: skipped", "badly typed: ms_played", "not JSON"}
+    assert json.loads(bad["badly typed: skipped"])["skipped"] == "maybe" and bad["not JSON"] is None
+    report = backfill.backfill_report(backfill.read_export_records(spark, str(tmp_path))).collect()
+    assert sorted(r["malformed_records"] for r in report) == [1, 3]
+    put(tmp_path / "plays/1.json", [play("2024-01-01T10:00:00Z", "t", "n", A), play("2024-01-01T10:00:00Z", "u", "n", A, duration_ms="long")])
+    assert [r["track"]["id"] for r in bronze.read_plays(spark, str(tmp_path / "plays")).collect()] == ["t"]
 
 
 def test_export_discovery_by_name(spark, tmp_path):
@@ -177,40 +194,60 @@ def test_partition_overwrite_leaves_other_months(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([("a", 2024, 1), ("b", 2024, 2), ("n", None, None)], "v string, year int, month int")
     tables.write_by_month(df, path)
+    untouched = sorted((tmp_path / "t/data").glob("*/year=2024/month=2/*.parquet"))
     again = spark.createDataFrame([("c", 2024, 1)], "v string, year int, month int")
     tables.write_by_month(again, path)
-    got = {(r["v"], r["year"], r["month"]) for r in spark.read.parquet(path).collect()}
+    got = {(r["v"], r["year"], r["month"]) for r in tables.read_by_month(spark, path).collect()}
     assert got == {("c", 2024, 1), ("b", 2024, 2), ("n", None, None)}
-    assert (tmp_path / "t/year=2024/month=1").is_dir()
+    assert sorted((tmp_path / "t/data").glob("*/year=2024/month=2/*.parquet")) == untouched
 
 
-def test_swap_reads_and_replaces_the_same_table(spark, tmp_path):
-    path, staging = str(tmp_path / "t"), str(tmp_path / "s")
-    tables.write_table(spark.range(3), path)
-    tables.swap_table(spark.read.parquet(path).filter("id > 0"), path, staging)
-    assert spark.read.parquet(path).count() == 2
-    tables.swap_table(spark.read.parquet(path).filter("id > 9"), path, staging)
-    assert spark.read.parquet(path).count() == 2
+def test_months_change_together_or_not_at_all(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_by_month(spark.sql("select 'old' v, 2024 year, id as month from range(1, 3)"), path)
+    # A write that was cut short before its months were noted.
+    spark.sql("select 'new' v").write.parquet(f"{path}/data/write=wcut/year=2024/month=1")
+    assert {r["v"] for r in tables.read_by_month(spark, path).collect()} == {"old"}
+    for k in range(3):
+        tables.write_by_month(tables.read_by_month(spark, path).withColumn("v", F.lit(str(k))), path)
+    assert [r["v"] for r in tables.read_by_month(spark, path).collect()] == ["2", "2"]
+    assert len(list((tmp_path / "t/data").iterdir())) == 2
 
 
-def test_a_table_lost_while_being_replaced_is_read_from_its_staged_version(spark, tmp_path):
-    root = str(tmp_path)
-    tracks = spark.createDataFrame([("t1", 2)], "track_id string, disc_number bigint")
-    path = tables.table_path(root, "tracks")
-    tables.swap_table(schemas.conform(tracks, schemas.TRACKS), path, tables.staging_path(root, "tracks"))
-    spark.createDataFrame([], schemas.TRACKS).write.mode("overwrite").parquet(path)
-    assert tables.read_silver(spark, root, "tracks").first()["disc_number"] == 2
+def test_swap_reads_and_replaces_the_same_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_table(spark.range(3), path)
+    tables.swap_table(tables.read_table(spark, path).filter("id > 0"), path)
+    assert tables.read_table(spark, path).count() == 2
+    tables.swap_table(tables.read_table(spark, path).filter("id > 9"), path)
+    assert tables.read_table(spark, path).count() == 2
+    for k in range(3):
+        tables.write_table(spark.range(k), path)
+    assert tables.read_table(spark, path).count() == 2 and len(list((tmp_path / "t").glob("v*"))) == 2
+
+
+def test_a_version_counts_only_when_it_is_complete(spark, tmp_path):
+    path = tables.table_path(str(tmp_path), "tracks")
+    half = schemas.conform(spark.createDataFrame([("new",)], "track_id string"), schemas.TRACKS)
+    half.write.parquet(f"{path}/v0000000001")
+    with pytest.raises(FileNotFoundError):
+        tables.read_silver(spark, str(tmp_path), "tracks")
+    old = schemas.conform(spark.createDataFrame([("t1",), ("t2",)], "track_id string"), schemas.TRACKS)
+    tables.write_table(old, path)
+    half.write.parquet(f"{path}/v0000000002")
+    assert tables.read_silver(spark, str(tmp_path), "tracks").count() == 2
+    tables.write_table(half, path)
+    assert [r["track_id"] for r in tables.read_silver(spark, str(tmp_path), "tracks").collect()] == ["new"]
 
 
 def test_months_prune_folders(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.write_by_month(spark.sql("select 'a' v, 2024 year, id as month from range(1, 5)"), path)
-    df = tables.only_months(spark.read.parquet(path), [(2024, 2)])
-    assert len(df.inputFiles()) == 4 and len(df.filter("true").select("v").collect()) == 1
+    df = tables.only_months(tables.read_by_month(spark, path), [(2024, 2)])
+    assert len(df.filter("true").select("v").collect()) == 1
     scan = df._jdf.queryExecution().executedPlan().toString()
-    assert "= 2024)" in scan and "= 2)" in scan and "Filter (" not in scan
-    assert df.count() == 1
-    assert tables.only_months(spark.read.parquet(path), []).count() == 0
+    assert "PartitionFilters: [" in scan and "PushedFilters: []" in scan and "Filter (" not in scan
+    assert tables.only_months(tables.read_by_month(spark, path), []).count() == 0
 
 
 def test_cursor_defaults_and_advances(spark, tmp_path):
@@ -218,7 +255,7 @@ def test_cursor_defaults_and_advances(spark, tmp_path):
     first = state.read_cursor(spark, path).first()
     assert (first["last_played_at_unix_ms"], first["last_run_timestamp"].year) == (0, 2017)
     plays = spark.createDataFrame([("2023-10-22T18:40:00.500Z",), ("2023-10-01T00:00:00Z",)], "played_at string")
-    tables.swap_table(state.advance_cursor(plays, F.lit(datetime(2023, 10, 23))), path, str(tmp_path / "work"))
+    tables.swap_table(state.advance_cursor(plays, F.lit(datetime(2023, 10, 23))), path)
     assert state.read_cursor(spark, path).first()["last_played_at_unix_ms"] == 1698000000500
     assert state.advance_cursor(plays.limit(0), F.current_timestamp()).count() == 0
 
@@ -256,11 +293,11 @@ def test_tag_responses(spark):
         ("noise", {"track": {"toptags": {"tag": [{"name": "Seen Live"}]}}}),
         ("bare", {"track": {}}),
         ("error", {"error": 6, "message": "none"}),
-        ("list", [1]),
+        ("list", [1]), ("holder", {"track": {"toptags": ""}}),
     ]
     df = spark.createDataFrame([(k, json.dumps(r)) for k, r in raw] + [("text", "oops"), ("null", None)], "track_id string, response string")
     got = {r["track_id"]: r for r in responses.parse_track_tags(df).collect()}
-    assert {k for k, r in got.items() if r["not_found"]} == {"many", "error", "list", "text", "null"}
+    assert {k for k, r in got.items() if r["not_found"]} == {"many", "error", "list", "text", "null", "holder"}
     assert (got["one"]["tags"], got["one"]["top_tag"], got["one"]["listeners"], got["one"]["playcount"]) == (["rock"], "rock", 7, 0)
     assert (got["noise"]["tags"], got["noise"]["top_tag"]) == ([], None)
     assert got["bare"]["tags"] == [] and got["error"]["tags"] is None
@@ -312,13 +349,13 @@ def test_bronze_to_gold_and_back_through_the_catalogue(spark, tmp_path):
     jobs.enrich_from_catalogue(spark, root, dump, str(tmp_path / "w4"))
     assert state.read_attempts(spark, jobs.attempts_path(root, "track_markers")).count() == 1
     assert tables.read_silver(spark, root, "tracks").filter("track_id = 'x9'").first()["disc_number"] == 2
-    assert spark.read.parquet(tables.table_path(root, "artists")).columns == schemas.ARTISTS.names
+    assert tables.read_table(spark, tables.table_path(root, "artists")).columns == schemas.ARTISTS.names
 
-    fact = spark.read.parquet(tables.table_path(root, "fact_plays"))
+    fact = tables.read_gold(spark, root, "fact_plays")
     assert fact.count() == 4 and fact.select("year", "month").distinct().count() == 2
-    days = spark.read.parquet(tables.table_path(root, "agg_daily")).orderBy("date").collect()
+    days = tables.read_gold(spark, root, "agg_daily").orderBy("date").collect()
     assert [(r["total_plays"], r["skip_count"], r["complete_plays"]) for r in days] == [(2, 0, 0), (1, 0, 1), (1, 0, 1)]
-    months = spark.read.parquet(tables.table_path(root, "agg_monthly")).orderBy("month").collect()
+    months = tables.read_gold(spark, root, "agg_monthly").orderBy("month").collect()
     assert [(r["total_plays"], r["new_artists"]) for r in months] == [(2, 2), (2, 1)]
 
 
@@ -329,7 +366,7 @@ def test_gold_is_the_same_for_broadcast_shuffled_and_spread_lookups(spark, tmp_p
     seen = []
     for i, (limit, hot_rows) in enumerate([(jobs.BROADCAST_BYTES, 2), (0, jobs.HOT_ROWS), (0, 2)]):
         jobs.build_gold(spark, root, str(tmp_path / f"w{i + 1}"), limit, hot_rows)
-        seen.append(sorted(map(str, spark.read.parquet(tables.table_path(root, "fact_plays")).collect())))
+        seen.append(sorted(map(str, tables.read_gold(spark, root, "fact_plays").collect())))
     assert seen[0] == seen[1] == seen[2]
     assert not (tmp_path / "w1/hot_track_id").exists() and (tmp_path / "w3/hot_track_id").exists()
 
@@ -341,7 +378,7 @@ def test_a_lookup_is_broadcast_only_up_to_its_limit(spark, tmp_path):
     for limit in (10**6, 0):
         side, large = jobs.stage_lookup(lookup, str(tmp_path / "x"), limit)
         size = tables.stored_bytes(spark, str(tmp_path / "x"))
-        assert large == (size > limit)
+        assert large == (jobs.EXPANSION * size > limit)
         hinted = "broadcast" in facts.join(side, "k", "left")._jdf.queryExecution().analyzed().toString()
         assert hinted != large
     assert size > 0
@@ -351,15 +388,17 @@ def test_ingest_lands_new_valid_plays_once(spark, tmp_path):
     landing, root = tmp_path / "landing", str(tmp_path / "lake")
     put(landing / "1.json", [play("2024-01-01T10:00:00Z", "t1", "One", A), {"played_at": "2024-01-01T11:00:00Z", "track": {"id": "bad"}},
                              play("some day", "t9", "Nine", A)])
+    put(landing / "cut.json", '[{"played_at": "2024')
     jobs.ingest_increment(spark, str(landing), root, str(tmp_path / "w1"))
     jobs.ingest_increment(spark, str(landing), root, str(tmp_path / "w2"))
     put(landing / "2.json", [play("2024-01-02T10:00:00Z", "t2", "Two", B)])
     jobs.ingest_increment(spark, str(landing), root, str(tmp_path / "w3"), run_at=F.lit(datetime(2024, 3, 4, 5, 6, 7)))
     rejected = spark.read.parquet(f"{root}/quarantine/plays_rejected").collect()
-    assert sorted(r["track"]["id"] for r in rejected) == ["bad", "t9"]
+    assert sorted(json.loads(r["_record"])["track"]["id"] for r in rejected if r["_record"]) == ["bad", "t9"]
+    assert [r["_source_file"][-8:] for r in rejected if r["_corrupt_record"] == "not JSON"] == ["cut.json"]
     plays = bronze.read_plays(spark, jobs.bronze_path(root, "plays"))
     assert sorted(r["played_at"] for r in plays.collect()) == ["2024-01-01T10:00:00Z", "2024-01-02T10:00:00Z"]
-    assert list((tmp_path / "lake").glob("bronze/*/*/year=2024/month=03/day=04/part=0/*.txt"))
+    assert list((tmp_path / "lake").glob("bronze/*/*/year=2024/month=03/day=04/*.txt"))
     cursor = state.read_cursor(spark, f"{root}/{schemas.STATE_PATH}").first()
     assert cursor["last_played_at_unix_ms"] == 1704189600000
 
@@ -417,31 +456,62 @@ def test_upsert_replaces_only_touched_months_and_can_be_repeated(spark, tmp_path
     jan, feb = datetime(2024, 1, 1), datetime(2024, 2, 1)
     first = spark.createDataFrame([stream_event(jan, "a", "export"), stream_event(feb, "b", "export")], schemas.EVENTS)
     second = spark.createDataFrame([stream_event(jan, "a", "api", "1"), stream_event(jan, "c", "api", "2")], schemas.EVENTS)
-    upsert.upsert_batch(first, 0, table, work)
-    untouched = sorted((tmp_path / "t/year=2024/month=2").glob("*.parquet"))
-    for _ in range(2):
-        upsert.upsert_batch(second, 1, table, work)
-    got = {(r["track_name"], r["source_type"], r["month"]) for r in upsert.read_events(spark, table).collect()}
-    assert got == {("a", "api", 1), ("b", "export", 2), ("c", "api", 1)}
-    assert sorted((tmp_path / "t/year=2024/month=2").glob("*.parquet")) == untouched
-
-
-def test_upsert_recovers_when_the_old_months_are_half_gone(spark, tmp_path):
-    table, work = str(tmp_path / "t"), str(tmp_path / "w")
-    jan = datetime(2024, 1, 1)
-    upsert.upsert_batch(spark.createDataFrame([stream_event(jan, "a", "export")], schemas.EVENTS), 0, table, work)
-    second = spark.createDataFrame([stream_event(jan, "b", "api", "1")], schemas.EVENTS)
-    upsert.upsert_batch(second, 1, table, work)
-    tables.write_by_month(upsert.read_events(spark, table).filter("track_name = 'b'"), table)
-    upsert.upsert_batch(second, 1, table, work)
-    assert {r["track_name"] for r in upsert.read_events(spark, table).collect()} == {"a", "b"}
-
-
-def test_stream_lands_each_file_once(spark, tmp_path):
-    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
-    schema = schemas.struct(k=schemas.TEXT)
+    upsert.upsert_batch(first, table, work)
+    untouched = sorted((tmp_path / "t/data").glob("*/year=2024/month=2/*.parquet"))
+    for batch in (second, second, first):
+        upsert.upsert_batch(batch, table, work)
+        got = {(r["track_name"], r["source_type"], r["month"]) for r in upsert.read_events(spark, table).collect()}
+        assert got == {("a", "api", 1), ("b", "export", 2), ("c", "api", 1)}
+        assert batch is first or sorted((tmp_path / "t/data").glob("*/year=2024/month=2/*.parquet")) == untouched
+
+
+def test_upsert_starts_anew_with_a_new_checkpoint(spark, tmp_path):
+    source, table, work = (str(tmp_path / n) for n in ("in", "t", "w"))
+    for k in (1, 2):
+        spark.createDataFrame([stream_event(datetime(2024, k, 1), f"n{k}", "api")], schemas.EVENTS).write.mode("append").parquet(source)
+        stream = ingest.stream_files(spark, source, schemas.EVENTS, fmt="parquet")
+        upsert.upsert_available(stream, table, work, str(tmp_path / f"cp{k}"))
+    assert {r["track_name"] for r in upsert.read_events(spark, table).collect()} == {"n1", "n2"}
+
+
+def test_stream_lands_each_file_once_and_keeps_bad_lines_apart(spark, tmp_path):
+    source, target, checkpoint, bad = (str(tmp_path / n) for n in ("in", "out", "cp", "bad"))
+    schema = schemas.struct(k=schemas.TEXT, n=schemas.LONG)
     for wave in ("a", "b"):
-        spark.createDataFrame([(wave,)], schema).write.mode("append").json(source)
-        ingest.land_available(ingest.stream_files(spark, source, schema), target, checkpoint)
-    ingest.land_available(ingest.stream_files(spark, source, schema), target, checkpoint)
+        spark.createDataFrame([(wave, 1)], schema).write.mode("append").json(source)
+        put(tmp_path / "in" / f"{wave}.json", '{"k": "cut\n{"k": "typed", "n": "x"}\n')
+        ingest.land_available(ingest.stream_files(spark, source, schema), target, checkpoint, bad)
+    ingest.land_available(ingest.stream_files(spark, source, schema), target, checkpoint, bad)
     assert sorted(r["k"] for r in spark.read.parquet(target).collect()) == ["a", "b"]
+    assert spark.read.parquet(bad).count() == 4
+
+
+def test_streamed_plays_reach_the_silver_tables(spark, tmp_path):
+    landing, root, checkpoint = tmp_path / "landing", str(tmp_path / "lake"), str(tmp_path / "cp")
+    put(landing / "1.json", [play("2024-01-01T10:00:00Z", "t1", "One", A), play("no time", "t9", "Nine", A)])
+    jobs.ingest_stream(spark, str(landing), root, checkpoint)
+    put(landing / "2.json", [play("2024-01-02T10:00:00Z", "t2", "Two", B, duration_ms="long"), play("2024-01-02T11:00:00Z", "t3", "Three", B)])
+    jobs.ingest_stream(spark, str(landing), root, checkpoint)
+    jobs.build_silver(spark, root, str(tmp_path / "w"))
+    heard = tables.read_silver(spark, root, "listening_events").orderBy("played_at_utc").collect()
+    assert [r["track_id"] for r in heard] == ["t1", "t3"]
+    bad = spark.read.parquet(f"{root}/quarantine/plays_streamed").collect()
+    assert sorted(r["_corrupt_record"] for r in bad) == ["against the play rules", "badly typed: track"]
+    counts = {r["table_name"]: r["rows"] for r in jobs.report(spark, root).collect()}
+    assert counts["listening_events"] == 2 and counts["tracks"] == 2
+    assert {r["table_name"] for r in jobs.profile_lake(spark, root).collect()} >= {"tracks", "artists"}
+
+
+def test_catalogue_rows_that_repeat_an_id_multiply_nothing(spark, tmp_path):
+    make_dump(spark, str(tmp_path / "dump"))
+    catalogue = read_catalogue(spark, str(tmp_path / "dump"))
+    twice = replace(catalogue, tracks=catalogue.tracks.union(catalogue.tracks.withColumn("popularity", F.lit(1).cast("bigint"))))
+    tracks = schemas.conform(spark.createDataFrame([("t1",), ("zz",)], "track_id string"), schemas.TRACKS)
+    assert enrichment.enrich_tracks(tracks, twice).count() == 2
+
+
+def test_pairs_with_the_separator_in_a_name_are_not_asked_again(spark):
+    events = spark.createDataFrame([(None, "A||B", "T"), (None, "C", "U")], "track_id string, artist_name string, track_name string")
+    key = base64.b64encode(b"A||B||T").decode()
+    attempts = spark.createDataFrame([(key, "not_found", None, None)], schemas.ATTEMPTS)
+    assert [r["artist_name"] for r in enrichment.pairs_to_resolve(events, attempts).collect()] == ["C"]

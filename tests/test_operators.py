@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tapedeck import schemas
 from tapedeck.functions import measures
 from tapedeck.operators import dedup, joins, sets
-from tapedeck.operators.ordering import first_by_order
+from tapedeck.operators.ordering import first_by_order, first_values
 from tapedeck.plans import gold, silver
 
 NOON = datetime(2024, 5, 1, 12)
@@ -334,3 +334,13 @@ def test_played_records_win_over_looked_up_ones(spark):
         "track_id",
     )
     assert sorted(map(tuple, merged.collect())) == [("1", "z played"), ("2", "b")]
+
+
+def test_first_values_sorts_nothing_below_the_first_shuffle(spark, tmp_path):
+    rows = [("t", 2, "a"), ("t", 1, None), ("t", None, "z"), ("u", None, "b"), ("u", None, "a")]
+    spark.createDataFrame(rows, "id string, at int, v string").write.parquet(str(tmp_path / "p"))
+    got = first_values(spark.read.parquet(str(tmp_path / "p")), "id", "at", ["v"])
+    assert sorted(map(str, map(tuple, got.collect()))) == ["('t', None)", "('u', 'a')"]
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    below = plan[plan.rindex("partial_min(at"):]
+    assert "Sort" not in below
