@@ -49,7 +49,7 @@ BODY_WORDS = set("article articlebody content entry main post story text".split(
 COMMENT_WORDS = set("comment comments disqus reply replies respond responses discussion".split())
 
 FEATURES = ["bias", "frame", "body", "links", "length", "sentence", "heading", "listed", "symbols"]
-PRIOR = np.array([-0.6, -6.0, 2.0, -3.0, 0.5, 0.8, 0.4, -0.4, -0.3])
+PRIOR = np.array([0.0, -6.0, 2.0, -4.0, 0.8, 1.0, 0.4, -0.4, -0.3])
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|[^<]++|<", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|style)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|\bhidden\b", re.I)

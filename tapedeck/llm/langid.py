@@ -69,23 +69,24 @@ class Automata:
             table = _automaton([self.symbols[t] for t in own], self.width)
             table[table >= 0] += self.roots[-1]
             parts.append(table)
-        self.next = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int32)
+        self.dead = np.int32(sum(map(len, parts)))  # a last state that leads nowhere
+        self.next = np.concatenate([*parts, np.full((1, self.width), -1, np.int32)]).ravel()
         self.roots = np.array(self.roots, np.int32)
 
     def phrases(self, windows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """windows[k, w]: symbol k of window w. The number of phrases for each language and window."""
-        shape = (len(self.langs), windows.shape[1])
-        state = np.broadcast_to(self.roots[:, None], shape).copy()
-        count = np.zeros(shape, np.int32)
         first = self.next.reshape(-1, self.width)[self.roots]
-        for k in range(int(lengths.max(initial=0))):
+        begun = first[:, windows[0]]
+        state = np.where(begun < 0, self.dead, begun)  # an unseen symbol is a phrase of its own
+        count = np.broadcast_to((lengths > 0).astype(np.int32), state.shape).copy()
+        for k in range(1, int(lengths.max(initial=0))):
             symbol = windows[k]
             on = self.next[state * np.int32(self.width) + symbol]
             stuck = on < 0
             count += stuck & (lengths > k)
-            again = first[:, symbol]
-            state = np.where(stuck, np.where(again < 0, self.roots[:, None], again), on)
-        return count + (lengths > 0)
+            begun = first[:, symbol]
+            state = np.where(stuck, np.where(begun < 0, self.dead, begun), on)
+        return count
 
     def score(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """The language of each text and how sure it is (0 to 1)."""
