@@ -68,12 +68,12 @@ def byte_words(text: str) -> list[bytes]:
 class WordTable:
     """Distinct words with what was computed for each.
 
-    `compute` gets a list of words and returns one value for each. The bound limits a worker's memory, not
-    the result: behind it, words that are not in the table are computed whenever they come.
+    `compute` gets a list of words and returns one value for each. The bounds limit a worker's memory, not
+    the result: words behind `bound`, and words longer than `longest`, are computed whenever they come.
     """
 
-    def __init__(self, compute, bound: int = 300_000):
-        self.compute, self.bound, self.known = compute, bound, {}
+    def __init__(self, compute, bound: int = 300_000, longest: int = 100):
+        self.compute, self.bound, self.longest, self.known = compute, bound, longest, {}
 
     def lookup(self, words: list) -> list:
         found = list(map(self.known.get, words))
@@ -82,5 +82,5 @@ class WordTable:
             new = dict(zip(fresh, self.compute(fresh), strict=True))
             found = [new[w] if x is None else x for w, x in zip(words, found, strict=True)]
             if len(self.known) + len(new) <= self.bound:
-                self.known.update(new)
+                self.known.update((w, x) for w, x in new.items() if len(w) <= self.longest)
         return found

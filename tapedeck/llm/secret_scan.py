@@ -6,9 +6,10 @@ below its middle, and correlation between neighbours. The least of the three p-v
 looks, is its score: near zero for ordinary words, anywhere between 0 and 1 for random strings.
 
 How rarely ordinary text scores as high is counted over the whole corpus, for each alphabet and length band:
-over all long words, and over one stretch of letters of every document, as most words are too short. These rates are p-values against "ordinary word", and a Benjamini-Hochberg step over all candidates
-keeps the share of false ones among the added spans at `FALSE_SHARE`. Short strings, where words pass often, need
-more to be reported than long ones.
+over all long words and, as most words are too short, over the letters of every whole text cut into stretches of
+such lengths. These rates are p-values against "ordinary word", and a Benjamini-Hochberg step over all
+candidates keeps the share of false ones among the added spans at `FALSE_SHARE`. Short strings, where words pass
+often, need more to be reported than long ones.
 """
 
 from __future__ import annotations
@@ -40,7 +41,6 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_LETTERS = re.compile(r"[A-Za-z]+")
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 _DIGITS, _UPPER, _LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The alphabets, in the order in which the runs and correlation tests read their symbols.
@@ -57,6 +57,22 @@ NAMES = list(ALPHABETS)
 _ORDER = {name: {c: k for k, c in enumerate(alphabet)} for name, alphabet in ALPHABETS.items()}
 #: Ordinary words are judged under these, by their case; hex strings are compared with the words of the 36 symbols.
 _COMPARED = {"hex": "lower36", "HEX": "upper36"}
+_IS_LETTER = np.array([chr(c) in _UPPER + _LOWER for c in range(256)])
+
+
+def _places(name: str, fold=str) -> np.ndarray:
+    """The place of each ASCII letter, written in the case that the alphabet has, in the alphabet's order."""
+    return np.array([_ORDER[name][fold(chr(c))] if _IS_LETTER[c] else 0 for c in range(256)], np.int64)
+
+
+#: Alphabets that give letters the same places are tested together.
+_LETTER_PLACES = [
+    (("lower36", "upper36"), _places("lower36", str.lower)),
+    (("base32",), _places("base32", str.upper)),
+    (("base64", "base64url"), _places("base64")),
+]
+#: Stretches tested at a time.
+SLAB = 4096
 
 
 def encoding_of(run: str) -> str | None:
@@ -72,32 +88,35 @@ def encoding_of(run: str) -> str | None:
 def step_of(run: str, name: str) -> int:
     """The run's score under an alphabet in halves of a power of two: 0 looks random, STEPS - 1 does not."""
     order = _ORDER[name]
-    values = np.array([order[c] for c in run.rstrip("=") if c in order], float)
-    n, size = len(values), len(order)
-    if n < 8:
-        return STEPS - 1
+    values = np.array([order[c] for c in run.rstrip("=") if c in order], np.int64)
+    return int(steps_of(values[None, :], len(order))[0]) if len(values) >= 8 else STEPS - 1
+
+
+def steps_of(values: np.ndarray, size: int) -> np.ndarray:
+    """The scores of equally long strings, one in each row, given by their places in an alphabet of `size` symbols."""
+    rows, n = values.shape
     bins = 8 if size > 16 else size // 2
-    seen = np.bincount((values * bins // size).astype(int), minlength=bins)
+    slots = values * bins // size + bins * np.arange(rows)[:, None]
+    seen = np.bincount(slots.ravel(), minlength=bins * rows).reshape(rows, bins)
     width = np.diff(np.ceil(np.arange(bins + 1) * size / bins)) / size  # symbols of each bin, as a share
-    chi = float(((seen - n * width) ** 2 / (n * width)).sum())
+    chi = ((seen - n * width) ** 2 / (n * width)).sum(axis=1)
     df = bins - 1
-    p = [_upper_tail(((chi / df) ** (1 / 3) - 1 + 2 / (9 * df)) / math.sqrt(2 / (9 * df)))]
-    high = values >= size / 2
-    above = int(high.sum())
-    below = n - above
-    runs = 1 + int((high[1:] != high[:-1]).sum())
-    if above and below:
-        mean = 1 + 2 * above * below / n
-        spread = math.sqrt(max((mean - 1) * (mean - 2) / (n - 1), 1e-9))
-        p.append(2 * _upper_tail(abs(runs - mean) / spread))
-    else:
-        p.append(2.0 ** (1 - n))
-    centred = values - values.mean()
-    power = float((centred**2).sum())
-    serial = float((centred[1:] * centred[:-1]).sum()) / power if power else 1.0
-    p.append(2 * _upper_tail(abs(serial * n + 1) / math.sqrt(n)))
-    score = min(1.0, 3 * min(p))
-    return min(STEPS - 1, int(-2 * math.log2(score))) if score > 0 else STEPS - 1
+    uniform = ((chi / df) ** (1 / 3) - 1 + 2 / (9 * df)) / math.sqrt(2 / (9 * df))
+    high = 2 * values >= size
+    above = high.sum(axis=1)
+    both = 2 * above * (n - above)
+    runs = 1 + (high[:, 1:] != high[:, :-1]).sum(axis=1)
+    mean = 1 + both / n
+    spread = np.sqrt(np.maximum((mean - 1) * (mean - 2) / (n - 1), 1e-9))
+    centred = values - values.mean(axis=1, keepdims=True)
+    power = (centred**2).sum(axis=1)
+    follow = (centred[:, 1:] * centred[:, :-1]).sum(axis=1)
+    serial = np.divide(follow, power, out=np.ones(rows), where=power > 0)
+    # One side of the middle alone: as likely as that many equal tosses of a coin.
+    swing = np.maximum(np.where(both > 0, np.abs(runs - mean) / spread, 0.0), np.abs(serial * n + 1) / math.sqrt(n))
+    p = [min(_upper_tail(u), 2 * _upper_tail(v)) for u, v in zip(uniform.tolist(), swing.tolist(), strict=True)]
+    score = np.minimum(1.0, 3 * np.minimum(p, np.where(both > 0, 1.0, 2.0 ** (1 - n))))
+    return np.minimum(STEPS - 1, -2 * np.log2(np.maximum(score, 2.0**-STEPS))).astype(int)
 
 
 def _upper_tail(z: float) -> float:
@@ -134,16 +153,28 @@ def scan(text: str | None) -> tuple[list[tuple], list[tuple], Counter]:
                     own = run if upper or name != "lower36" else run.lower()
                     ordinary[_cell(name, band), step_of(own, name)] += 1
         at += len(word)
-    size = BANDS[1] + zlib.crc32(text.encode("utf-8", "surrogatepass")) % 60
-    letters = "".join(_LETTERS.findall(text[: 8 * size]))[:size]
-    if len(letters) == size:
-        for name in ("lower36", "upper36", "base32", "base64", "base64url"):
-            own = letters.lower() if name == "lower36" else letters if name.startswith("base64") else letters.upper()
-            ordinary[_cell(name, band_of(size)), step_of(own, name)] += 1
+    ordinary.update(letter_stretches(text))
     base.sort(key=lambda s: (s[1], s[0]))
     return base, candidates, ordinary
 
 
+def letter_stretches(text: str) -> Counter:
+    """The letters of the whole text, cut into stretches of one length that the text decides, counted by (cell, step)."""
+    raw = text.encode("utf-8", "surrogatepass")
+    size, counted = BANDS[1] + zlib.crc32(raw) % 60, Counter()
+    codes = np.frombuffer(raw, np.uint8)
+    codes = codes[_IS_LETTER[codes]]
+    codes = codes[: len(codes) // size * size].reshape(-1, size)
+    for at in range(0, len(codes), SLAB):
+        for names, places in _LETTER_PLACES:
+            steps = steps_of(places[codes[at : at + SLAB]], len(ALPHABETS[names[0]]))
+            for step, n in enumerate(np.bincount(steps).tolist()):
+                if n:
+                    for name in names:
+                        counted[_cell(name, band_of(size)), step] += n
+    return counted
+
+
 def _cell(name: str, band: int) -> int:
     return NAMES.index(_COMPARED.get(name, name)) * len(BANDS) + band
 
@@ -245,12 +276,12 @@ def redacted(text: Column, scan: Column, steps: dict[int, int], mark: str = "[SE
     @F.pandas_udf("string")
     def run(texts: pd.Series, scans: pd.DataFrame) -> pd.Series:
         rows = zip(texts, scans["base"], scans["found"], strict=True)
-        return pd.Series([_redact(t, _places(base, found, steps), mark) for t, base, found in rows], dtype=object)
+        return pd.Series([_redact(t, _hidden_places(base, found, steps), mark) for t, base, found in rows], dtype=object)
 
     return run.asNondeterministic()(text, scan)
 
 
-def _places(base, found, steps: dict[int, int]) -> list[tuple[int, int]]:
+def _hidden_places(base, found, steps: dict[int, int]) -> list[tuple[int, int]]:
     """Base spans and all accepted ones, also those that `all_spans` leaves to the base span they touch: more is hidden, not less."""
     return sorted([(s["begin"], s["end"]) for s in base] + [(s["begin"], s["end"]) for s in found if s["step"] <= steps.get(s["cell"], -1)])
 

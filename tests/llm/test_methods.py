@@ -3,12 +3,14 @@
 import bisect
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
 import xxhash
 
 from tapedeck.llm import ann, chat, html_text, langid, license_scan, packing, pieces, quality, secret_scan, simhash
+from tapedeck.llm.common import WordTable
 
 SPACE = r"[^\x20\x09-\x0D]+"
 
@@ -236,6 +238,29 @@ def test_random_strings_stand_out_from_words():
     assert secret_scan.encoding_of("4736962573099581") is None and secret_scan.encoding_of("abcdefghijklmnopq") is None
 
 
+def test_all_letters_of_a_text_are_counted_as_ordinary():
+    rnd = random.Random(12)
+    # Hex digits and code points outside ASCII are no letters; the text is longer than one slab of the test.
+    text = " ".join("".join(rnd.choice("abcdeXYZé0") for _ in range(rnd.randint(1, 9))) for _ in range(90_000))
+    letters, size = "".join(c for c in text if c.isascii() and c.isalpha()), 20 + zlib.crc32(text.encode()) % 60
+    stretches = [letters[k : k + size] for k in range(0, len(letters) - size + 1, size)]
+    assert len(stretches) > secret_scan.SLAB
+    want = {}
+    for run in stretches:
+        for name, own in (("lower36", run.lower()), ("upper36", run.upper()), ("base32", run.upper()), ("base64", run), ("base64url", run)):
+            key = secret_scan._cell(name, secret_scan.band_of(size)), secret_scan.step_of(own, name)
+            want[key] = want.get(key, 0) + 1
+    assert secret_scan.letter_stretches(text) == want and secret_scan.letter_stretches("a" * 19) == {}
+
+
+def test_a_table_of_words_stays_within_its_bounds():
+    seen = []
+    table = WordTable(lambda words: seen.extend(words) or [w[::-1] for w in words], bound=3, longest=4)
+    for _ in range(2):
+        assert table.lookup(["ab", "abcde", "ab", "cd"]) == ["ba", "edcba", "ba", "dc"]
+    assert sorted(seen) == ["ab", "abcde", "abcde", "cd"] and set(table.known) == {"ab", "cd"}
+
+
 def test_searches_find_what_brute_force_finds():
     rng = np.random.default_rng(11)
     vectors = rng.normal(size=(3000, 64))
