@@ -11,6 +11,8 @@ small pieces go, longest first, to the sequence that they fill best.
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 
 import numpy as np
@@ -35,10 +37,14 @@ def _byte_symbols() -> str:
     return "".join(chr(b if b in shown else next(extra)) for b in range(256))
 
 
+_PUNCTUATED = re.compile(rb"([A-Za-z\x80-\xff]+)([!-/:-@\[-`{-~]+)")
+
+
 class Tokenizer:
     """Ids of a text by a table of distinct words: no token of these vocabularies crosses ASCII white space.
 
-    Words of letters alone skip the search for token borders, which is most of the library's work.
+    Words of letters alone skip the search for token borders, which is most of the library's work, and letters with ASCII
+    punctuation behind them are put together from both parts: a border lies between them. Both are tried out first.
     """
 
     def __init__(self, path: str):
@@ -48,28 +54,58 @@ class Tokenizer:
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         self.table = WordTable(self._compute)
         self.symbols = _byte_symbols()
+        letters = "".join(c for c in map(chr, range(256)) if c.isalpha())
+        self.lowers = self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str(letters) == letters.lower()
         probe = ["Éa", "straße", "x", "中"]
-        self.by_letters = [self._letters(p) for p in probe] == [e.ids for e in self.tokenizer.encode_batch(probe, add_special_tokens=False)]
+        self.by_letters = self.tokenizer.normalizer is not None and [self._ids(self._normal(p) or p) for p in probe] == self._library(probe)
+        whole = [w + tail for w in probe for tail in (".", "***", "!?", "'", "<|")]
+        parts = [w + " " + tail for w in probe for tail in (".", "***", "!?", "'", "<|")]
+        self.by_parts = self.by_letters and self._library(whole) == self._library(parts)
+
+    def _library(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _letters(self, word: str) -> list[int] | None:
-        word = self.tokenizer.normalizer.normalize_str(word)
+    def _normal(self, word: str) -> str | None:
+        """The word as the model reads it; None if it isn't of letters alone, before or afterwards."""
         if not word.isalpha():
             return None
-        return [t.id for t in self.tokenizer.model.tokenize(word.encode("utf-8").decode("latin-1").translate(self.symbols))]
+        # Letters of Latin-1 don't combine with each other, so that each is normalised on its own.
+        word = word.lower() if self.lowers and max(word) < "\u0100" else self.tokenizer.normalizer.normalize_str(word)
+        return word if word.isalpha() else None
+
+    def _ids(self, normal: str) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(normal.encode("utf-8").decode("latin-1").translate(self.symbols))]
 
     def _compute(self, words: list[bytes]) -> list[bytes]:
         texts = [w.decode("utf-8", "surrogatepass") for w in words]
-        found = [self._letters(t) if self.by_letters and t.isalpha() else None for t in texts]
-        rest = [k for k, ids in enumerate(found) if ids is None]
-        for k, e in zip(rest, self.tokenizer.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False), strict=True):
-            found[k] = e.ids
-        return [np.array(ids, "<u4").tobytes() for ids in found]
+        found: list[bytes | None] = [None] * len(words)
+        joined, rest = [], []
+        for k, text in enumerate(texts):
+            if self.by_letters and (normal := self._normal(text)):
+                found[k] = _packed(self._ids(normal))
+            elif self.by_parts and (m := _PUNCTUATED.fullmatch(words[k])) and self._normal(m[1].decode("utf-8", "surrogatepass")):
+                joined.append((k, m[1], m[2]))
+            else:
+                rest.append(k)
+        for k, ids in zip(rest, self._library([texts[k] for k in rest]), strict=True):
+            found[k] = _packed(ids)
+        if joined:
+            heads = self.table.lookup([head for _, head, _ in joined])
+            # Tails alone are no punctuated words, so that this goes no deeper.
+            tails = self.table.lookup([tail for _, _, tail in joined])
+            for (k, _, _), head, tail in zip(joined, heads, tails, strict=True):
+                found[k] = head + tail
+        return found
 
     def encode(self, text: str | None) -> bytes:
         """Four bytes for each id, the end id last."""
         return b"".join([*self.table.lookup(byte_words(text or "")), np.array([END_ID], "<u4").tobytes()])
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def tokenizer(path: str) -> Tokenizer:
     return held(("tokenizer", path), lambda: Tokenizer(path))
 

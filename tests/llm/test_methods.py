@@ -135,6 +135,10 @@ def test_ids_equal_the_libraries(path):
         want = [sp.bos_id(), *sp.encode(text), sp.eos_id()]
         assert np.frombuffer(ids, "<u4").tolist() == want and decoded == sp.decode(want), repr(text)
         assert np.frombuffer(table.encode(text), "<u4").tolist() == [*whole.encode(text, add_special_tokens=False).ids, 0], repr(text)
+    for _ in range(6000):  # words of letters with punctuation behind them
+        text = "".join(rnd.choice("abÉßµªºÿ中Σςİı\u0338ñŸẞǅ") for _ in range(rnd.randint(1, 5))) + rnd.choice([".", "***", "'", "'s", "<|", ".\u0338", "!'re,", "1."])
+        assert np.frombuffer(table.encode(text), "<u4").tolist() == [*whole.encode(text, add_special_tokens=False).ids, 0], repr(text)
+    assert table.by_letters and table.by_parts and table.lowers
     assert codec.encode(None) == codec.encode("")
 
 
