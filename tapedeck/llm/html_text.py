@@ -38,6 +38,7 @@ VOID_TAGS = set("area base br col embed hr img input link meta param source trac
 HIDDEN_TAGS = set("script style head title noscript template iframe object svg math canvas audio video".split())
 RAW_TAGS = set("script style title textarea iframe noscript".split())
 FRAME_TAGS = set("nav header footer aside form menu dialog button select textarea fieldset input label".split())
+HEADINGS, LISTED = {"h1", "h2", "h3", "h4", "h5", "h6"}, {"li", "td", "dd", "dt"}
 BODY_TAGS = {"article", "main"}
 FRAME_WORDS = set(
     "ad ads adv advert advertisement adverts banner bar bottom breadcrumb breadcrumbs byline comment comments consent cookie cookies"
@@ -73,6 +74,8 @@ class Element:
     frame: bool
     body: bool
     hidden: bool
+    heading: bool = False
+    listed: bool = False
 
 
 def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
@@ -80,6 +83,7 @@ def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
     elements = [Element("", -1, False, False, False)]
     open_now, blocks, block = [0], [], None
     links, at = 0, 0
+    last = page.rfind(">")  # no tag ends behind it: what looks like one there is text
 
     def close(down_to: int) -> None:
         nonlocal links
@@ -87,17 +91,16 @@ def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
             links -= elements[open_now.pop()].tag == "a"
 
     while at < len(page):
-        m = _TOKEN.match(page, at)
-        at = m.end()
-        token = m[0]
-        if m[2] is None:
-            if token[0] == "<" and len(token) > 1:
+        m = _TOKEN.match(page, at) if at <= last else None
+        token = m[0] if m else page[at:].partition("<!--")[0]
+        at = m.end() if m else len(page)
+        if m is None or m[2] is None:
+            if not token or m and token[0] == "<" and len(token) > 1:
                 continue
             if not elements[open_now[-1]].hidden:
                 if block is None:
-                    tags = {elements[k].tag for k in open_now}
-                    heading = not tags.isdisjoint({"h1", "h2", "h3", "h4", "h5", "h6"})
-                    block = Block(_container(elements, open_now), heading=heading, listed=not tags.isdisjoint({"li", "td", "dd", "dt"}))
+                    inner = elements[open_now[-1]]
+                    block = Block(_container(elements, open_now), heading=inner.heading, listed=inner.listed)
                     blocks.append(block)
                 block.parts.append(token)
                 block.linked += len(token.strip()) if links else 0
@@ -126,7 +129,8 @@ def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
             continue
         above = elements[open_now[-1]]
         frame, body, hidden = _purpose(tag, m[3] or "", above)
-        elements.append(Element(tag, open_now[-1], frame, body, hidden or above.hidden or tag in HIDDEN_TAGS))
+        hidden = hidden or above.hidden or tag in HIDDEN_TAGS
+        elements.append(Element(tag, open_now[-1], frame, body, hidden, above.heading or tag in HEADINGS, above.listed or tag in LISTED))
         open_now.append(len(elements) - 1)
         links += tag == "a"
     for b in blocks:

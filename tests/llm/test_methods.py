@@ -202,6 +202,17 @@ def test_main_text_of_a_page():
     assert html_text.main_text(None, html_text.PRIOR) == html_text.main_text("", html_text.PRIOR) == html_text.main_text("<p", html_text.PRIOR) == ""
 
 
+def test_blocks_of_broken_pages():
+    def texts(page):
+        return [b.text for b in html_text.blocks_of(page)[0]]
+
+    assert texts("<p>a<b") == ["a<b"] and texts("a <!x <a") == ["a <!x <a"] and texts("<p>a<!-- b <c") == ["a"]
+    assert texts("<p>a > b <a href='x") == ["a > b <a href='x"] and texts("<script>a") == [] and texts("<") == ["<"]
+    assert texts("<a " * 300_000) == [("<a " * 300_000).strip()]  # in time that grows with the page
+    blocks, _ = html_text.blocks_of("<h2><div>a</div></h2><li><p><i>b</i></p></li>c")
+    assert [(b.text, b.heading, b.listed) for b in blocks] == [("a", True, False), ("b", False, True), ("c", False, False)]
+
+
 def test_minimum_cut_against_all_labellings():
     rng = np.random.default_rng(9)
     for _ in range(40):
