@@ -13,15 +13,18 @@ from pyspark.sql.types import StructType
 from tapedeck import schemas
 from tapedeck.functions.text import encode_key
 from tapedeck.functions.timestamps import epoch_millis, parse_utc
-from tapedeck.operators.joins import hot_keys
+from tapedeck.operators.joins import hot_keys, semi_join, smallest_mapping
 from tapedeck.operators.validation import profile, row_counts
 from tapedeck.plans import enrichment, gold, responses, silver, worklists
 from tapedeck.sources import bronze, state
 from tapedeck.sources.catalogue import read_catalogue
-from tapedeck.sources.files import exists
+from tapedeck.sources.files import exists, mark, remove
 from tapedeck.sources.tables import (
     materialize,
+    months_of,
+    only_months,
     read_gold,
+    read_optional,
     read_silver,
     stored_bytes,
     swap_table,
@@ -29,7 +32,7 @@ from tapedeck.sources.tables import (
     write_by_month,
     write_table,
 )
-from tapedeck.streaming import ingest
+from tapedeck.streaming import ingest, parse
 
 GOLD = ["dim_tracks", "dim_artists", "fact_plays", "agg_daily", "agg_monthly", "agg_artist_stats", "agg_track_stats"]
 BRONZE_SCHEMAS = {
@@ -116,31 +119,82 @@ def stage_bronze(spark: SparkSession, root: str, name: str, schema: StructType,
     return raw
 
 
-def build_silver(spark: SparkSession, root: str, work: str, export_zone: str | None = None) -> None:
-    """Rebuild the silver layer from bronze.
+def stage_markers(spark: SparkSession, root: str, work: str) -> dict[str, DataFrame]:
+    """Look-up results that found something, parsed once."""
+    names = [n for n in BRONZE_SCHEMAS if n.endswith("_markers")]
+    return {n: bronze.found_only(stage_bronze(spark, root, n, BRONZE_SCHEMAS[n], work)) for n in names}
 
-    The raw JSON is parsed once, into columnar copies under `work`, which all tables then read.
-    """
-    staged = {name: stage_bronze(spark, root, name, schema, work) for name, schema in BRONZE_SCHEMAS.items()}
-    plays, exports = bronze.plays_only(staged["plays"]), bronze.readable(staged["exports"])
-    markers = bronze.found_only(staged["track_markers"])
+
+def write_dimensions(spark: SparkSession, root: str, played: silver.Dimensions, markers: dict[str, DataFrame]) -> None:
+    """Artists, albums, tracks and the tag tables, out of what plays say and what look-ups found."""
     existing = silver.Dimensions(*[read_silver(spark, root, t) for t in ("artists", "albums", "tracks")])
-    dims = silver.build_dimensions(plays, markers, existing)
+    dims = silver.build_dimensions(played, silver.dimension_rows(markers["track_markers"]), existing)
     built = {
         "artists": dims.artists,
         "albums": dims.albums,
         "tracks": dims.tracks,
-        "track_tags": silver.track_tags(bronze.found_only(staged["track_tag_markers"])),
-        "artist_tags": silver.artist_tags(bronze.found_only(staged["artist_tag_markers"])),
+        "track_tags": silver.track_tags(markers["track_tag_markers"]),
+        "artist_tags": silver.artist_tags(markers["artist_tag_markers"]),
     }
     for name, df in built.items():
         swap_table(df, table_path(root, name))
-    if plays.isEmpty() and exports.isEmpty():
-        return
-    events = silver.listening_events(
-        silver.api_events(plays), silver.export_events(exports, silver.enrichment_mapping(markers), export_zone)
-    )
-    write_by_month(events, table_path(root, "listening_events"))
+
+
+def build_silver(spark: SparkSession, root: str, work: str, export_zone: str | None = None) -> None:
+    """Rebuild the silver layer from bronze.
+
+    The raw JSON is parsed once, into columnar copies under `work`, which all tables then read and which go at the end.
+    """
+    markers = stage_markers(spark, root, work)
+    staged = {name: stage_bronze(spark, root, name, BRONZE_SCHEMAS[name], work) for name in ("plays", "exports")}
+    plays, exports = bronze.plays_only(staged["plays"]), bronze.readable(staged["exports"])
+    write_dimensions(spark, root, silver.dimension_rows(plays), markers)
+    if not (plays.isEmpty() and exports.isEmpty()):
+        mapping = silver.enrichment_mapping(markers["track_markers"])
+        events = silver.listening_events(silver.api_events(plays), silver.export_events(exports, mapping, export_zone))
+        write_by_month(events, table_path(root, "listening_events"))
+    for name in BRONZE_SCHEMAS:
+        remove(spark, f"{work}/{name}")
+
+
+def refresh_silver(spark: SparkSession, root: str, work: str, checkpoint: str, export_zone: str | None = None) -> None:
+    """The same tables as build_silver, from play and export files that came since the last run.
+
+    New files are parsed into tables under `parsed/`. Only months that these files touch are deduplicated and written anew,
+    and months with plays whose id a look-up has found since. A run that broke off is made up for by the next one.
+    """
+    parsed, own = f"{root.rstrip('/')}/parsed", f"{work}/refresh"
+
+    def keep_plays(records: DataFrame, folder: str) -> None:
+        parse.keep_plays(bronze.plays_only(records), parsed, folder)
+
+    def keep_exports(records: DataFrame, folder: str) -> None:
+        parse.keep_events(silver.music_exports(bronze.readable(records), export_zone), parsed, folder)
+
+    for name, keep in (("plays", keep_plays), ("exports", keep_exports)):
+        bad = quarantine_path(root, f"{name}_parsed")
+        parse.parse_available(spark, bronze_path(root, name), BRONZE_SCHEMAS[name], keep, bad, f"{checkpoint}/{name}", own)
+    markers = stage_markers(spark, root, own)
+    write_dimensions(spark, root, parse.parsed_dimensions(spark, parsed), markers)
+
+    mapping = materialize(smallest_mapping(silver.enrichment_mapping(markers["track_markers"])), f"{own}/mapping")
+    batches = parse.unmerged(spark, parsed)
+    changed = mapping.subtract(read_optional(spark, f"{parsed}/mapping", mapping.schema))
+    stale = {month for months in batches.values() for month in months}
+    events, from_api = parse.parsed_events(spark, parsed), F.col("source_type") == "api"
+    learned = not changed.isEmpty()
+    if learned:
+        pair = changed.select(F.col("search_artist_name").alias("artist_name"), F.col("search_track_name").alias("track_name"))
+        stale.update(months_of(semi_join(events.filter(~from_api & F.col("track_id").isNull()), pair, ["artist_name", "track_name"])))
+    if stale:
+        rows = only_months(events, list(stale)).select(schemas.EVENTS.names)
+        merged = silver.listening_events(rows.filter(from_api), silver.fill_exports(rows.filter(~from_api), mapping))
+        write_by_month(merged, table_path(root, "listening_events"))
+    if learned:
+        write_table(mapping, f"{parsed}/mapping")
+    for batch in batches:
+        mark(spark, f"{parsed}/merged/{batch}")
+    remove(spark, own)
 
 
 def stage_lookup(lookup: DataFrame, path: str, limit: int) -> tuple[DataFrame, bool]:

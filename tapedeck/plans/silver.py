@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapedeck import schemas
@@ -82,11 +82,16 @@ def merge_dimension(from_plays: DataFrame, from_markers: DataFrame, key: str) ->
     return first_row_per_key(ranked, [key], order).drop("_source")
 
 
-def build_dimensions(plays: DataFrame, markers: DataFrame, existing: Dimensions) -> Dimensions:
-    """Rebuild the dimensions from bronze, keeping what only the catalogue phases had filled in."""
-    artists = merge_dimension(artist_rows(plays), artist_rows(markers), "artist_id")
-    albums = merge_dimension(album_rows(plays), album_rows(markers), "album_id")
-    tracks = merge_dimension(track_rows(plays), track_rows(markers), "track_id")
+def dimension_rows(records: DataFrame) -> Dimensions:
+    """What plays or markers say about artists, albums and tracks, any number of rows per id."""
+    return Dimensions(artist_rows(records), album_rows(records), track_rows(records))
+
+
+def build_dimensions(plays: Dimensions, markers: Dimensions, existing: Dimensions) -> Dimensions:
+    """Rebuild the dimensions from bronze rows, keeping what only the catalogue phases had filled in."""
+    artists = merge_dimension(plays.artists, markers.artists, "artist_id")
+    albums = merge_dimension(plays.albums, markers.albums, "album_id")
+    tracks = merge_dimension(plays.tracks, markers.tracks, "track_id")
     kept = Dimensions(
         artists=preserve_columns(artists, existing.artists, "artist_id", schemas.ARTIST_EXTRAS),
         albums=preserve_columns(albums, existing.albums, "album_id", schemas.ALBUM_EXTRAS),
@@ -155,19 +160,30 @@ def export_fields(exports: DataFrame, zone: str | None = None) -> DataFrame:
     )
 
 
-def export_events(exports: DataFrame, mapping: DataFrame, zone: str | None = None) -> DataFrame:
-    """Exported music plays as events, missing track ids filled from the look-ups.
+def music_exports(exports: DataFrame, zone: str | None = None) -> DataFrame:
+    """Exported music plays, with the track ids that the export itself gives."""
+    return schemas.conform(export_fields(exports, zone), schemas.EVENTS).na.drop(subset=["track_name"])
+
+
+def fill_exports(music: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Missing track ids filled from the look-ups.
 
     Only plays without an id take part in the join; the others, most of an extended export, are not
     shuffled for it.
     """
-    music = schemas.conform(export_fields(exports, zone), schemas.EVENTS).na.drop(subset=["track_name"])
     known, unknown = music.filter(F.col("track_id").isNotNull()), music.filter(F.col("track_id").isNull())
     return known.unionByName(fill_by_mapping(unknown, smallest_mapping(mapping)))
 
 
+def export_events(exports: DataFrame, mapping: DataFrame, zone: str | None = None) -> DataFrame:
+    """Exported music plays as events, missing track ids filled from the look-ups."""
+    return fill_exports(music_exports(exports, zone), mapping)
+
+
 def listening_events(api: DataFrame, exports: DataFrame) -> DataFrame:
     """The fact: all sources, one row per play, with its partition columns."""
-    return dedup_by_priority(union_diagonal(api, exports)).withColumns(
-        {"year": F.year("played_at_utc"), "month": F.month("played_at_utc")}
-    )
+    return dedup_by_priority(union_diagonal(api, exports)).withColumns(month_parts())
+
+
+def month_parts() -> dict[str, Column]:
+    return {"year": F.year("played_at_utc"), "month": F.month("played_at_utc")}

@@ -367,3 +367,13 @@ def stream_events_upsert(v: Views) -> DataFrame:
     again = ingest.stream_files(v.spark, source, schemas.EVENTS, fmt="parquet")
     upsert.upsert_available(again, table, work, f"{work}/second_checkpoint")
     return upsert.read_events(v.spark, table)
+
+
+@query("silver_refresh", f"select * exclude (rn), {_PARTS} from {_SILVER_EVENTS}")
+def silver_refresh(v: Views) -> DataFrame:
+    """Plays and exports first, look-ups later: months with plays whose id became known are written again."""
+    root, work = v.scratch("lake"), v.scratch("work")
+    for write in (v.write_heard, v.write_looked_up):
+        write(root)
+        jobs.refresh_silver(v.spark, root, work, f"{work}/checkpoint")
+    return tables.read_silver(v.spark, root, "listening_events")

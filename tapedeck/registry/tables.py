@@ -54,7 +54,7 @@ def silver_tracks(v: Views) -> DataFrame:
         left join tracks t on r.track_id = t.track_id""",
 )
 def silver_tracks_merged(v: Views) -> DataFrame:
-    return silver.build_dimensions(v.read_plays(), v.read_markers(), v.stored_dimensions).tracks
+    return silver.build_dimensions(*[silver.dimension_rows(r) for r in (v.read_plays(), v.read_markers())], v.stored_dimensions).tracks
 
 
 @query("silver_mapping", "select search_artist_name, search_track_name, track_id as enriched_track_id from marker_rows")

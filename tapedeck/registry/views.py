@@ -473,6 +473,11 @@ class Views:
 
     def write_bronze(self, root: str) -> dict[str, str]:
         """The raw JSON of a lake under `root`."""
+        self.write_heard(root)
+        return self.write_looked_up(root)
+
+    def write_heard(self, root: str) -> None:
+        """Plays and exports, as arrays."""
         paths = {n: f"{root}/{p}" for n, p in schemas.BRONZE_PATHS.items()}
         exports = paths["exports"]
         arrays = [
@@ -482,6 +487,10 @@ class Views:
         ]
         for records, at, bad, path in arrays:
             self._arrays(records, at, bad).write.mode("append").text(path)
+
+    def write_looked_up(self, root: str) -> dict[str, str]:
+        """Results of look-ups, a record in a line. Returns all paths."""
+        paths = {n: f"{root}/{p}" for n, p in schemas.BRONZE_PATHS.items()}
         lines = [
             (self.marker_rows, '{"search_artist_name":"bad","track":{"id":"bad","duration_ms":"long"}}', paths["track_markers"]),
             (self.track_tags, '{"track_id":"bad","tags":["x"],"listeners":"many"}', paths["track_tag_markers"]),

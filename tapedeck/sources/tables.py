@@ -104,7 +104,7 @@ def swap_table(df: DataFrame, path: str) -> None:
     _write_version(df, path, keep_empty=False)
 
 
-def _month_folders(spark: SparkSession, data: str) -> list[tuple[int | None, int | None]]:
+def month_folders(spark: SparkSession, data: str) -> list[tuple[int | None, int | None]]:
     def value(name: str) -> int | None:
         text = name.split("=", 1)[1]
         return None if text == "__HIVE_DEFAULT_PARTITION__" else int(text)
@@ -129,7 +129,7 @@ def write_by_month(df: DataFrame, path: str) -> None:
     spark, write = df.sparkSession, f"w{uuid.uuid4().hex}"
     data = f"{path}/data/write={write}"
     df.hint("rebalance", F.col("year"), F.col("month")).write.partitionBy("year", "month").parquet(data)
-    written = _month_folders(spark, data)
+    written = month_folders(spark, data)
     if not written:
         return
     before = _current_months(spark, path)
@@ -138,7 +138,7 @@ def write_by_month(df: DataFrame, path: str) -> None:
     live = {*before, *now}
     for old in children(spark, f"{path}/data"):
         own = f"{path}/data/{old}"
-        months = _month_folders(spark, own)
+        months = month_folders(spark, own)
         dead = [m for m in months if (old.removeprefix("write="), *m) not in live]
         for year, month in dead:
             y, m = ("__HIVE_DEFAULT_PARTITION__" if x is None else x for x in (year, month))

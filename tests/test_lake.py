@@ -2,6 +2,7 @@
 
 import base64
 import json
+import os
 from dataclasses import replace
 from datetime import datetime
 
@@ -515,3 +516,53 @@ def test_pairs_with_the_separator_in_a_name_are_not_asked_again(spark):
     key = base64.b64encode(b"A||B||T").decode()
     attempts = spark.createDataFrame([(key, "not_found", None, None)], schemas.ATTEMPTS)
     assert [r["artist_name"] for r in enrichment.pairs_to_resolve(events, attempts).collect()] == ["C"]
+
+
+def test_refresh_equals_a_rebuild_and_leaves_other_months_alone(spark, tmp_path):
+    lake, work, cp = tmp_path / "lake", str(tmp_path / "w"), str(tmp_path / "cp")
+    root, plays = str(lake), lake / schemas.BRONZE_PATHS["plays"]
+    make_lake(lake)
+
+    def months():
+        """Which write holds each month."""
+        held = tables.read_table(spark, f"{root}/silver/listening_events/months").collect()
+        return {f"month={r['month']}": r["write"] for r in held}
+
+    def silver_rows():
+        names = [n for n in schemas.SILVER_SCHEMAS if n != "audio_features"]
+        return {n: sorted(map(repr, tables.read_silver(spark, root, n).collect())) for n in names}
+
+    jobs.refresh_silver(spark, root, work, cp)
+    first = months()
+    assert set(first) == {"month=1", "month=2"}
+    jobs.refresh_silver(spark, root, work, cp)
+    assert months() == first  # nothing new, nothing written
+
+    # A second day: one play of March as an array, one of February as a line, each with a bad record; files older than the others.
+    put(plays / "b.json", [play("2024-03-01T10:00:00Z", "t5", "Five", A), play("2024-03-01T11:00:00Z", "t9", "Nine", B, duration_ms="long")])
+    put(plays / "c.txt", json.dumps(play("2024-02-02T10:00:00Z", "t2", "Two", B)) + '\n{"played_at": "cut')
+    for name in ("b.json", "c.txt"):
+        os.utime(plays / name, (1_000_000_000, 1_000_000_000))
+    jobs.refresh_silver(spark, root, work, cp)
+    second = months()
+    assert second["month=1"] == first["month=1"] and second["month=2"] != first["month=2"] and "month=3" in second
+    bad = spark.read.parquet(f"{root}/quarantine/plays_parsed").collect()
+    assert sorted(r["_corrupt_record"] for r in bad) == ["badly typed: track", "not JSON"]
+
+    # A look-up names a track that was heard in February.
+    put(lake / schemas.BRONZE_PATHS["track_markers"] / "late.json", {"search_artist_name": "Cyd", "search_track_name": "Three", "track": track("t3", "Three", B)})
+    jobs.refresh_silver(spark, root, work, cp)
+    third, rows = months(), silver_rows()
+    assert third["month=1"] == first["month=1"] and third["month=3"] == second["month=3"] and third["month=2"] != second["month=2"]
+    assert any("Three" in r and "'t3'" in r for r in rows["listening_events"])
+
+    jobs.refresh_silver(spark, root, work, str(tmp_path / "another"))  # everything is read again
+    assert silver_rows() == rows
+    jobs.build_silver(spark, root, work)
+    assert silver_rows() == rows
+    assert not (tmp_path / "w/plays").exists() and not (tmp_path / "w/refresh").exists()
+
+
+def test_refresh_of_an_empty_lake_writes_nothing(spark, tmp_path):
+    jobs.refresh_silver(spark, str(tmp_path / "lake"), str(tmp_path / "w"), str(tmp_path / "cp"))
+    assert not list((tmp_path / "lake/silver").glob("*"))
