@@ -125,7 +125,8 @@ def search(vectors: DataFrame, is_query, work: Workspace, nearest: int = NEAREST
     firsts = hashed.withColumn("r", F.row_number().over(order)).where(F.col("r") <= nearest + 1)
     index = work.keep(firsts.groupBy("h", "embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
     asked = work.keep(hashed.where(is_query).select(F.col("vec_id").alias("query_id"), "h", "embedding"))
-    asking = work.keep(asked.groupBy("h", "embedding").agg(F.lit(1).alias("n")).select("h", "embedding"))
+    # Equal queries are asked once, under a written number: hits carry that instead of the vector.
+    asking = work.keep(asked.select("h", "embedding").distinct().withColumn("q", F.monotonically_increasing_id()))
     shards = max(1, -(-index.count() // SHARD))
     blocks = max(1, -(-asking.count() // QUERIES))
     drawn = index.orderBy(F.xxhash64("h"), "h").select("embedding").limit(sample).collect()
@@ -133,33 +134,26 @@ def search(vectors: DataFrame, is_query, work: Workspace, nearest: int = NEAREST
 
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))
     left = index.select(bucket_of("h", shards).alias("shard"), each(blocks).alias("block"), "h", "embedding", "ids")
-    right = asking.select(each(shards).alias("shard"), bucket_of("h", blocks).alias("block"), "h", "embedding")
+    right = asking.select(each(shards).alias("shard"), bucket_of("h", blocks).alias("block"), "q", "embedding")
 
     def run(entries: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"h": [], "embedding": [], "ids": [], "score": []})
         if not len(entries) or not len(queries):
-            return empty
+            return pd.DataFrame({"q": [], "ids": [], "score": []})
         entries = entries.sort_values("h", ignore_index=True)
         matrix, asks = np.stack(entries["embedding"].to_numpy()), np.stack(queries["embedding"].to_numpy())
-        parts = []
-        for k, (found, score) in enumerate(search_block(matrix, asks, rotations, nearest + 1)):
-            parts.append(pd.DataFrame({"q": k, "found": found, "score": score}))
-        got = pd.concat(parts, ignore_index=True)
-        return pd.DataFrame({
-            "h": queries["h"].to_numpy()[got["q"]], "embedding": queries["embedding"].to_numpy()[got["q"]],
-            "ids": entries["ids"].to_numpy()[got["found"]], "score": got["score"],
-        })
-
-    hits = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(
-        run, "h long, embedding array<double>, ids array<long>, score double"
-    )
-    each_hit = hits.select("h", "embedding", F.explode("ids").alias("vec_id"), "score")
-    best = Window.partitionBy("h", "embedding").orderBy(F.desc("score"), "vec_id")
+        got = search_block(matrix, asks, rotations, nearest + 1)
+        rows, score = (np.concatenate(part) for part in zip(*got, strict=True))
+        asker = np.repeat(queries["q"].to_numpy(), [len(found) for found, _ in got])
+        return pd.DataFrame({"q": asker, "ids": entries["ids"].to_numpy()[rows], "score": score})
+
+    hits = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(run, "q long, ids array<long>, score double")
+    each_hit = hits.select("q", F.explode("ids").alias("vec_id"), "score")
+    best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
     # Equal ids with unequal vectors are one candidate each, so a query may have to pass over several of its own.
-    own = asked.groupBy("h", "embedding", "query_id").agg(F.lit(1).alias("n")).drop("n")
     ranked = each_hit.withColumn("r", F.row_number().over(best)).where(F.col("r") <= nearest + 1).drop("r")
-    pairs = own.join(ranked, ["h", "embedding"]).where("vec_id != query_id")
-    last = Window.partitionBy("query_id", "h").orderBy(F.desc("score"), "vec_id")
+    own = asked.join(asking, ["h", "embedding"]).select("query_id", "q")
+    pairs = own.join(ranked, "q").where("vec_id != query_id")
+    last = Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id")
     return (
         pairs.withColumn("rank", F.row_number().over(last))
         .where(F.col("rank") <= nearest)

@@ -135,3 +135,11 @@ def test_pipeline_keeps_its_promises(spark, sf_dir, work):
     clean = corpus_pipeline.replace_secrets(spark, docs, sf_dir)
     assert clean.columns == docs.columns and clean.count() == docs.count()
     assert secret_scan.find_secrets(clean, work).filter("spans <> ''").count() == 0
+
+
+def test_quality_of_documents_that_the_trees_did_not_see(spark):
+    docs, labels = (table(spark, "/root/testdata/sf0.01", n) for n in ("documents", "labels"))
+    seen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    judged = quality.quality_rules(docs, quality.fit(docs, labels.where(seen))).withColumnRenamed("quality", "p")
+    unseen = judged.join(labels.where(~seen), "doc_id").where("not base_failed").toPandas()
+    assert len(unseen) > 100 and (unseen.kept == (unseen.quality == 1)).mean() >= 0.95
