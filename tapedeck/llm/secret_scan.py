@@ -1,7 +1,8 @@
 """Secret scans: patterns, and strings that look random under a battery of tests.
 
 Patterns give the base spans. Beyond them, every run of 16 or more characters of the encodings' alphabets is
-tested for randomness under its inferred encoding: chi-squared uniformity over the alphabet, runs above and
+tested for randomness under its inferred encoding (of a run that no alphabet holds, as NAME=value or a path with
+hyphens, every such part): chi-squared uniformity over the alphabet, runs above and
 below its middle, and correlation between neighbours. The least of the three p-values, corrected for three
 looks, is its score: near zero for ordinary words, anywhere between 0 and 1 for random strings.
 
@@ -42,6 +43,8 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: What lies between the inner '=' of a run, with the padding at its end, and the parts of it that can be base64 or base64url.
+_BETWEEN, _READINGS = re.compile("[^=]+(?:=+$)?"), [re.compile("[A-Za-z0-9+/]+=*"), re.compile("[A-Za-z0-9_-]+=*")]
 _DIGITS, _UPPER, _LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The alphabets, in the order in which the runs and correlation tests read their symbols.
 ALPHABETS = {
@@ -84,6 +87,20 @@ def encoding_of(run: str) -> str | None:
     return next((name for name in NAMES if seen <= _ORDER[name].keys()), None)
 
 
+def parts_of(run: str) -> list[tuple[int, int]]:
+    """Where the strings to test lie in a run: all of it, or, if no alphabet holds it, what lies between its '='.
+
+    If that has '+' or '/' and also '-' or '_', it may be base64 between the ones or base64url between the others; both
+    are parts, which may overlap. Parts shorter than SHORTEST are left out.
+    """
+    places = set()
+    for m in _BETWEEN.finditer(run):
+        seen = set(m[0])
+        mixed = not seen.isdisjoint("+/") and not seen.isdisjoint("-_")
+        places |= {(m.start() + a, m.start() + b) for a, b in (x.span() for r in _READINGS for x in r.finditer(m[0]))} if mixed else {m.span()}
+    return sorted((a, b) for a, b in places if b - a >= SHORTEST)
+
+
 @lru_cache(maxsize=50_000)
 def step_of(run: str, name: str) -> int:
     """The run's score under an alphabet in halves of a power of two: 0 looks random, STEPS - 1 does not."""
@@ -142,11 +159,10 @@ def scan(text: str | None) -> tuple[list[tuple], list[tuple], Counter]:
         at = text.index(word, at)
         base += [(1, at + m.start(), at + m.end()) for m in _ACCESS.finditer(word) if len(m[0]) >= 20]
         base += [(2, at + m.start(), at + m.end()) for m in _HEX.finditer(word)]
-        for m in _RUN.finditer(word):
-            run, band = m[0], band_of(len(m[0]))
-            name = encoding_of(run)
+        for start, run in [(m.start() + a, m[0][a:b]) for m in _RUN.finditer(word) for a, b in parts_of(m[0])]:
+            name, band = encoding_of(run), band_of(len(run))
             if name:
-                candidates.append((at + m.start(), at + m.end(), _cell(name, band), step_of(run, name)))
+                candidates.append((at + start, at + start + len(run), _cell(name, band), step_of(run, name)))
             elif run.isalpha():
                 upper = run.isupper()
                 for name in ("upper36", "base32", "base64", "base64url") if upper else ("lower36", "base64", "base64url"):
@@ -233,7 +249,7 @@ def scanned(docs: DataFrame, work: Workspace, name: str = "__scan") -> tuple[Dat
 
 
 def all_spans(scan: Column, steps: dict[int, int]) -> Column:
-    """Base spans and the accepted ones that touch none of them, by start, then kind."""
+    """Base spans and the accepted ones that touch none of them, by start, then kind. Accepted ones that overlap are one span."""
     accepted = F.create_map(*[F.lit(x) for pair in steps.items() for x in pair]) if steps else None
     base = scan["base"].cast("array<struct<kind:int,begin:bigint,end:bigint>>")
     if accepted is None:
@@ -243,13 +259,22 @@ def all_spans(scan: Column, steps: dict[int, int]) -> Column:
         lambda x: (x["step"] <= F.coalesce(accepted[x["cell"]], F.lit(-1)))
         & ~F.exists(base, lambda b: (b["begin"] < x["end"]) & (x["begin"] < b["end"])),
     )
-    added = F.transform(free, lambda x: F.struct(F.lit(KINDS.index("random")).alias("kind"), x["begin"].alias("begin"), x["end"].alias("end")))
+    places = F.array_sort(F.transform(free, lambda x: F.struct(x["begin"].alias("begin"), x["end"].alias("end"))))
+    apart = F.aggregate(places, F.array().cast("array<struct<begin:bigint,end:bigint>>"), _joined)
+    added = F.transform(apart, lambda x: F.struct(F.lit(KINDS.index("random")).alias("kind"), x["begin"].alias("begin"), x["end"].alias("end")))
     by_start = F.array_sort(
         F.transform(F.concat(base, added), lambda s: F.struct(s["begin"].alias("begin"), s["kind"].alias("kind"), s["end"].alias("end")))
     )
     return F.transform(by_start, lambda s: F.struct(s["kind"].alias("kind"), s["begin"].alias("begin"), s["end"].alias("end")))
 
 
+def _joined(spans: Column, x: Column) -> Column:
+    """`spans` with one more that begins no earlier: it lengthens the last one if it overlaps it."""
+    last = F.try_element_at(spans, F.lit(-1))
+    longer = F.array(F.struct(last["begin"].alias("begin"), F.greatest(last["end"], x["end"]).alias("end")))
+    return F.when(last["end"] > x["begin"], F.concat(F.slice(spans, F.lit(1), F.size(spans) - 1), longer)).otherwise(F.concat(spans, F.array(x)))
+
+
 def written(spans: Column) -> Column:
     names = F.array(*[F.lit(k) for k in KINDS])
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", names[s["kind"]], s["begin"], s["end"])), ",")

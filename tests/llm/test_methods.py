@@ -253,6 +253,18 @@ def test_random_strings_stand_out_from_words():
     assert secret_scan.encoding_of("4736962573099581") is None and secret_scan.encoding_of("abcdefghijklmnopq") is None
 
 
+@pytest.mark.parametrize("text, want", [
+    ("AWS_KEY=wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY", ["wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY"]),
+    ("client_id=9fK2mQ8xT4bV7nZ1pR6w==", ["9fK2mQ8xT4bV7nZ1pR6w=="]),
+    ("https://x.io/cb?sig=Zx81kQp0Lm3nBv7cXq2wEr5t&n=1", ["Zx81kQp0Lm3nBv7cXq2wEr5t"]),
+    ("hooks.io/services/T00-a/B9x7Kq2mZ8vR4nT1pL6w", ["a/B9x7Kq2mZ8vR4nT1pL6w", "B9x7Kq2mZ8vR4nT1pL6w"]),
+    ("é my-key_wJ4lrXUtnFEM/K7MDENG+bPxRfiC", ["wJ4lrXUtnFEM/K7MDENG+bPxRfiC"]),
+])
+def test_parts_of_runs_that_no_alphabet_holds_are_tested(text, want):
+    found = [text[a:b] for a, b, _, _ in secret_scan.scan(text)[1]]
+    assert set(want) <= set(found) and text not in found
+
+
 def test_all_letters_of_a_text_are_counted_as_ordinary():
     rnd = random.Random(12)
     # Hex digits and code points outside ASCII are no letters; the text is longer than one slab of the test.

@@ -102,6 +102,18 @@ def test_pages_and_chats_of_odd_rows(spark, work):
     assert chat.parse(frame.limit(0), chat.fit([]), work).count() == 0
 
 
+def test_secrets_behind_names_and_in_paths_are_reported_once(spark, work):
+    rnd = np.random.default_rng(3)
+    letters = list(secret_scan.ALPHABETS["base64"][:62])
+    keys = ["".join(rnd.choice(letters, 40)) for _ in range(60)]
+    forms = ["SOME_NAME={}", "x.io/cb?sig={}&n=1", "x.io/services/T00-a/{}"]
+    prose = " ".join("".join(rnd.choice(list("etaoinshr"), 6)) for _ in range(30_000))
+    rows = [(k, forms[k % 3].format(key)) for k, key in enumerate(keys)] + [(100 + k, prose[k:]) for k in range(80)]
+    got = secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"), work).where("doc_id < 100").collect()
+    hidden = [r for r in got if r["n_random"] == 1 and int(r["spans"].split(":")[1]) <= rows[r["doc_id"]][1].index(keys[r["doc_id"]])]
+    assert len(hidden) >= 50 and all(r["n_random"] <= 1 for r in got)
+
+
 def test_neighbours_of_odd_rows(spark, work):
     rng = np.random.default_rng(1)
     rows = [(k, [float(x) for x in rng.normal(size=8)]) for k in range(60)]
