@@ -6,10 +6,10 @@ hyphens, every such part): chi-squared uniformity over the alphabet, runs above
 below its middle, and correlation between neighbours. The least of the three p-values, corrected for three
 looks, is its score: near zero for ordinary words, anywhere between 0 and 1 for random strings.
 
-How rarely ordinary text scores as high is counted over the whole corpus, for each alphabet and length band:
-over all long words and, as most words are too short, over the letters of every whole text cut into stretches of
-such lengths. These rates are p-values against "ordinary word", and a Benjamini-Hochberg step over all
-candidates keeps the share of false ones among the added spans at `FALSE_SHARE`. Short strings, where words pass
+How rarely ordinary text scores as high is counted over the whole corpus, for each alphabet and length band, over
+the letters of every whole text cut into stretches of such lengths. Long words are candidates like all runs with a
+letter, as a random string may have no digit. These rates are p-values against "ordinary word", and a Benjamini-Hochberg
+step over all candidates keeps the share of false ones among the added spans at `FALSE_SHARE`. Short strings, where words pass
 often, need more to be reported than long ones.
 """
 
@@ -58,7 +58,7 @@ ALPHABETS = {
 }
 NAMES = list(ALPHABETS)
 _ORDER = {name: {c: k for k, c in enumerate(alphabet)} for name, alphabet in ALPHABETS.items()}
-#: Ordinary words are judged under these, by their case; hex strings are compared with the words of the 36 symbols.
+#: Hex strings are compared with the letters under the 36 symbols.
 _COMPARED = {"hex": "lower36", "HEX": "upper36"}
 _IS_LETTER = np.array([chr(c) in _UPPER + _LOWER for c in range(256)])
 
@@ -79,12 +79,19 @@ SLAB = 4096
 
 
 def encoding_of(run: str) -> str | None:
-    """The smallest alphabet that holds the run. None for digits alone (numbers, cards, dates) and letters alone (words)."""
-    body = run.rstrip("=")
-    seen = set(body)
-    if seen.isdisjoint(_DIGITS) or seen <= set(_DIGITS + "-_/+="):
-        return None
-    return next((name for name in NAMES if seen <= _ORDER[name].keys()), None)
+    """The smallest alphabet that holds a run with digits and letters."""
+    return None if set(run).isdisjoint(_DIGITS) else _smallest(run)
+
+
+def letter_encoding_of(run: str) -> str | None:
+    """The smallest alphabet that holds a run without digits: a word, or a random string that happens to have none."""
+    return _smallest(run) if set(run).isdisjoint(_DIGITS) else None
+
+
+def _smallest(run: str) -> str | None:
+    """None for digits and separators alone (numbers, cards, dates, rules)."""
+    seen = set(run.rstrip("="))
+    return None if seen <= set(_DIGITS + "-_/+=") else next((name for name in NAMES if seen <= _ORDER[name].keys()), None)
 
 
 def parts_of(run: str) -> list[tuple[int, int]]:
@@ -145,12 +152,11 @@ def band_of(length: int) -> int:
 
 
 def scan(text: str | None) -> tuple[list[tuple], list[tuple], Counter]:
-    """Base spans (kind, start, end), candidates (start, end, cell, step) and ordinary words counted by (cell, step)."""
+    """Base spans (kind, start, end), candidates (start, end, cell, step) and stretches of ordinary letters counted by (cell, step)."""
     base: list[tuple] = []
     candidates: list[tuple] = []
-    ordinary: Counter = Counter()
     if not text:
-        return base, candidates, ordinary
+        return base, candidates, Counter()
     if "=" in text or ":" in text:
         base += [(0, *m.span()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 6]
     at = 0
@@ -160,18 +166,12 @@ def scan(text: str | None) -> tuple[list[tuple], list[tuple], Counter]:
         base += [(1, at + m.start(), at + m.end()) for m in _ACCESS.finditer(word) if len(m[0]) >= 20]
         base += [(2, at + m.start(), at + m.end()) for m in _HEX.finditer(word)]
         for start, run in [(m.start() + a, m[0][a:b]) for m in _RUN.finditer(word) for a, b in parts_of(m[0])]:
-            name, band = encoding_of(run), band_of(len(run))
+            name = encoding_of(run) or letter_encoding_of(run)
             if name:
-                candidates.append((at + start, at + start + len(run), _cell(name, band), step_of(run, name)))
-            elif run.isalpha():
-                upper = run.isupper()
-                for name in ("upper36", "base32", "base64", "base64url") if upper else ("lower36", "base64", "base64url"):
-                    own = run if upper or name != "lower36" else run.lower()
-                    ordinary[_cell(name, band), step_of(own, name)] += 1
+                candidates.append((at + start, at + start + len(run), _cell(name, band_of(len(run))), step_of(run, name)))
         at += len(word)
-    ordinary.update(letter_stretches(text))
     base.sort(key=lambda s: (s[1], s[0]))
-    return base, candidates, ordinary
+    return base, candidates, letter_stretches(text)
 
 
 def letter_stretches(text: str) -> Counter:
@@ -216,7 +216,7 @@ def scan_column(text: Column) -> Column:
 def accepted_steps(candidates: dict[tuple[int, int], int], words: dict[tuple[int, int], int], share: float = FALSE_SHARE) -> dict[int, int]:
     """For each cell the highest step that counts as random. Both inputs: rows by (cell, step).
 
-    A band with fewer than 20 ordinary words is compared with the next shorter one, where words pass more often.
+    A band with fewer than 20 stretches is compared with the next shorter one, where they pass more often.
     """
     rates: dict[tuple[int, int], float] = {}
     for cell in {c for c, _ in candidates}:

@@ -265,6 +265,27 @@ def test_parts_of_runs_that_no_alphabet_holds_are_tested(text, want):
     assert set(want) <= set(found) and text not in found
 
 
+def test_random_strings_without_a_digit_are_candidates_and_words_stay():
+    text = "x kXqWzRvTbNmPlJhGfDsAyUiO MFRGGZDFMZTWQYLO kXq/WzRvTbNmPlJh+GfD internationalisation some-hyphenated-words 4736-9625-7309-9581 ---------------- y"
+    rnd = random.Random(4)
+    prose = " ".join("".join(rnd.choice("eeeetttaaooinnsshhrrdlu") for _ in range(6)) for _ in range(400_000))
+    tested = {text[a:b]: (cell, step) for a, b, cell, step in secret_scan.scan(text)[1]}
+    assert list(tested) == text.split()[1:6]
+    assert secret_scan.scan("A" * 16 + " internationalisation")[2] == secret_scan.letter_stretches("A" * 16 + " internationalisation")
+    words = {}
+    for k in range(64):
+        for key, n in secret_scan.letter_stretches(prose[k * 30_000 :][:30_000]).items():
+            words[key] = words.get(key, 0) + n
+    found = {}
+    strings = ["".join(rnd.choice(secret_scan.ALPHABETS["base64"][10:62]) for _ in range(40)) for _ in range(60)]
+    for _, _, cell, step in [secret_scan.scan(x)[1][0] for x in strings] + list(map(lambda v: (0, 0, *v), tested.values())):
+        found[cell, step] = found.get((cell, step), 0) + 1
+    steps = secret_scan.accepted_steps(found, words)
+    hits = [secret_scan.scan(x)[1][0] for x in strings]
+    assert sum(step <= steps.get(cell, -1) for _, _, cell, step in hits) >= 30
+    assert all(tested[w][1] > steps.get(tested[w][0], -1) for w in ("internationalisation", "some-hyphenated-words"))
+
+
 def test_all_letters_of_a_text_are_counted_as_ordinary():
     rnd = random.Random(12)
     # Hex digits and code points outside ASCII are no letters; the text is longer than one slab of the test.
