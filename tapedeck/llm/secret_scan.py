@@ -171,13 +171,13 @@ def scan(text: str | None) -> tuple[list[tuple], list[tuple], Counter]:
                 candidates.append((at + start, at + start + len(run), _cell(name, band_of(len(run))), step_of(run, name)))
         at += len(word)
     base.sort(key=lambda s: (s[1], s[0]))
-    return base, candidates, letter_stretches(text)
+    return base, candidates, letter_stretches(text, SHORTEST)
 
 
-def letter_stretches(text: str) -> Counter:
-    """The letters of the whole text, cut into stretches of one length that the text decides, counted by (cell, step)."""
+def letter_stretches(text: str, least: int = BANDS[1]) -> Counter:
+    """The letters of the whole text, cut into stretches of one length from `least` to 79 that the text decides, counted by (cell, step)."""
     raw = text.encode("utf-8", "surrogatepass")
-    size, counted = BANDS[1] + zlib.crc32(raw) % 60, Counter()
+    size, counted = least + zlib.crc32(raw) % (80 - least), Counter()
     codes = np.frombuffer(raw, np.uint8)
     codes = codes[_IS_LETTER[codes]]
     codes = codes[: len(codes) // size * size].reshape(-1, size)

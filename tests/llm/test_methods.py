@@ -271,7 +271,7 @@ def test_random_strings_without_a_digit_are_candidates_and_words_stay():
     prose = " ".join("".join(rnd.choice("eeeetttaaooinnsshhrrdlu") for _ in range(6)) for _ in range(400_000))
     tested = {text[a:b]: (cell, step) for a, b, cell, step in secret_scan.scan(text)[1]}
     assert list(tested) == text.split()[1:6]
-    assert secret_scan.scan("A" * 16 + " internationalisation")[2] == secret_scan.letter_stretches("A" * 16 + " internationalisation")
+    assert secret_scan.scan("A" * 16 + " internationalisation")[2] == secret_scan.letter_stretches("A" * 16 + " internationalisation", secret_scan.SHORTEST)
     words = {}
     for k in range(64):
         for key, n in secret_scan.letter_stretches(prose[k * 30_000 :][:30_000]).items():
@@ -301,6 +301,20 @@ def test_all_letters_of_a_text_are_counted_as_ordinary():
     assert secret_scan.letter_stretches(text) == want and secret_scan.letter_stretches("a" * 19) == {}
 
 
+def test_every_band_of_every_alphabet_is_compared_with_whole_texts():
+    rnd = random.Random(5)
+    words = {}
+    for _ in range(300):
+        text = " ".join("".join(rnd.choice("eeeetttaaooinnsshhrrdlu") for _ in range(6)) for _ in range(2_000))
+        for key, n in secret_scan.scan(text)[2].items():
+            words[key] = words.get(key, 0) + n
+    counted = {c: sum(n for (cell, _), n in words.items() if cell == c) for c in range(len(secret_scan.NAMES) * len(secret_scan.BANDS))}
+    compared = {secret_scan._cell(name, band) for name in secret_scan.NAMES for band in range(len(secret_scan.BANDS))}
+    assert all(counted[c] >= 1000 for c in compared)
+    _, _, cell, step = secret_scan.scan("Q7zK2m9XpL4t8Wv3")[1][0]
+    assert secret_scan.accepted_steps({(cell, step): 1}, words)[cell] >= step
+
+
 def test_a_table_of_words_stays_within_its_bounds():
     seen = []
     table = WordTable(lambda words: seen.extend(words) or [w[::-1] for w in words], bound=3, longest=4)
