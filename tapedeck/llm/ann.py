@@ -1,10 +1,13 @@
-"""Approximate nearest neighbours by multi-index hashing.
+"""Nearest neighbours by multi-index hashing.
 
 Codes are signs of learned rotations (iterative quantisation on a bounded sample, one rotation for every
 `dimension` bits). Each shard of the index cuts its codes into eight-bit substrings and keeps a table from
 substring value to rows for every one of them. Codes within R differing bits of a query differ in at most
 floor(R / substrings) bits in some substring, so probing all values that near in every table retrieves each of
-them; the radius grows until enough codes lie inside it, and these are ranked by their inner products.
+them; the radius grows until enough codes lie inside it, and these are ranked by their inner products. As those
+also depend on the lengths of vectors, codes are made of vectors lifted to equal length by one more coordinate. What
+lies outside the radius is passed over only where a bound on its inner products is below the last one found; else the
+radius grows to where it is, and a shard where it never is gets scanned. Results are therefore exact.
 
 Equal vectors are searched once: each distinct vector carries its smallest ids, as many as one
 result can hold. Shards and blocks of queries have bounded sizes; a shard meets every block of queries.
@@ -24,11 +27,13 @@ from tapedeck.llm.common import Workspace, bucket_of
 NEAREST = 20
 CODE_BITS = 256
 PART_BITS = 8
-#: Codes inside the radius before a search in a shard stops: nearest * OVERSAMPLE.
+#: Codes inside the radius before a search in a shard asks whether it may stop: nearest * OVERSAMPLE.
 OVERSAMPLE = 32
 SAMPLE = 5000
 ROUNDS = 30
 SHARD, QUERIES = 32_768, 1024
+#: Queries whose products with a shard are held at a time.
+SLAB = 32
 
 
 def learn_rotations(sample: np.ndarray, bits: int = CODE_BITS, rounds: int = ROUNDS, seed: int = 0) -> np.ndarray:
@@ -79,23 +84,72 @@ class Shard:
                 return found[apart <= least], int(least)
         raise AssertionError
 
+    def inside(self, code: np.ndarray, radius: int) -> np.ndarray:
+        """All rows within a radius, from a scan of the codes: wide radii probe most values."""
+        word = np.ascontiguousarray(np.pad(code, (0, -self.parts % 8))).view(np.uint64)
+        return np.nonzero(np.bitwise_count(self.words ^ word).sum(axis=1) <= radius)[0]
+
 
 _AT_DISTANCE = [np.array([v for v in range(256) if v.bit_count() == d], np.uint8) for d in range(PART_BITS + 1)]
 
 
+def lifted(vectors: np.ndarray) -> np.ndarray:
+    """The vectors, scaled alike, with one more coordinate that gives them the length of the longest. Queries have 0 there."""
+    scaled = vectors / np.maximum(np.abs(vectors).max(initial=0.0), 1e-300)
+    squares = (scaled**2).sum(axis=1)
+    return np.column_stack([scaled, np.sqrt(squares.max(initial=0.0) - squares)])
+
+
+def bounds_of(queries: np.ndarray, rotations: np.ndarray) -> np.ndarray:
+    """For each query and r, a bound on its cosines with vectors of which more than r bits differ.
+
+    A bit that differs adds nothing to the inner product of its block, so a block allows the root of what the others hold of
+    the query's square; that is averaged over the blocks, at best with the r + 1 least squares missing.
+    """
+    unit = queries / np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-300)
+    blocks = -(-rotations.shape[1] // rotations.shape[0])
+    missing = np.cumsum(np.sort((unit @ rotations) ** 2, axis=1), axis=1) / blocks
+    return np.sqrt(np.maximum(1 - missing, 0.0)) + 1e-9
+
+
 def search_block(index: np.ndarray, queries: np.ndarray, rotations: np.ndarray, nearest: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each query the rows of `index` found nearest and their inner products, best first; all ties with the last."""
-    shard, out = Shard(codes_of(index, rotations)), []
-    for query, code in zip(queries, codes_of(queries, rotations), strict=True):
-        found, _ = shard.within(code, min(len(index), nearest * OVERSAMPLE))
-        score = (index[found] * query).sum(axis=1)
-        keep = score >= np.partition(score, -nearest)[-nearest] if len(score) > nearest else slice(None)
-        found, score = found[keep], score[keep]
-        by_score = np.argsort(-score, kind="stable")
-        out.append((found[by_score], score[by_score]))
+    """For each query the rows of `index` nearest to it and their inner products, best first; all ties with the last.
+
+    Rotations of one dimension more than the vectors' are those of lifted vectors.
+    """
+    lift = len(rotations) > index.shape[1]
+    asked = np.pad(queries, ((0, 0), (0, 1))) if lift else queries
+    shard = Shard(codes_of(lifted(index) if lift else index, rotations))
+    codes, bounds = codes_of(asked, rotations), bounds_of(asked, rotations)
+    reach = np.linalg.norm(index, axis=1).max(initial=0.0) * np.linalg.norm(queries, axis=1)
+    out, open_ = [], []
+    for k, (query, code) in enumerate(zip(queries, codes, strict=True)):
+        found, radius = shard.within(code, min(len(index), nearest * OVERSAMPLE))
+        out.append(_best(index, query, found, nearest))
+        if len(found) == len(index):
+            continue
+        least = out[k][1][nearest - 1]
+        closed = np.nonzero(reach[k] * bounds[k] < least)[0]
+        if not len(closed):
+            open_.append(k)
+        elif closed[0] > radius:
+            out[k] = _best(index, query, shard.inside(code, closed[0]), nearest)
+    for at in range(0, len(open_), SLAB):
+        # Products of matrices are rounded otherwise than those that count: they only tell which rows to look at.
+        for k, products in zip(open_[at : at + SLAB], queries[open_[at : at + SLAB]] @ index.T, strict=True):
+            rows = np.nonzero(~(products < out[k][1][nearest - 1] - 1e-9 * reach[k]))[0]
+            out[k] = _best(index, queries[k], rows, nearest)
     return out
 
 
+def _best(index: np.ndarray, query: np.ndarray, found: np.ndarray, nearest: int) -> tuple[np.ndarray, np.ndarray]:
+    score = (index[found] * query).sum(axis=1)
+    keep = score >= np.partition(score, -nearest)[-nearest] if len(score) > nearest else slice(None)
+    found, score = found[keep], score[keep]
+    by_score = np.argsort(-score, kind="stable")
+    return found[by_score], score[by_score]
+
+
 def usable(vectors: DataFrame, dimension: int | None = None) -> DataFrame:
     """vec_id, embedding of the rows that take part: distinct, with an id, finite components, not all zero."""
     fine = F.col("embedding").isNotNull() & (F.size("embedding") > 0) & F.col("vec_id").isNotNull()
@@ -130,7 +184,7 @@ def search(vectors: DataFrame, is_query, work: Workspace, nearest: int = NEAREST
     shards = max(1, -(-index.count() // SHARD))
     blocks = max(1, -(-asking.count() // QUERIES))
     drawn = index.orderBy(F.xxhash64("h"), "h").select("embedding").limit(sample).collect()
-    rotations = learn_rotations(np.array([r["embedding"] for r in drawn], float))
+    rotations = learn_rotations(lifted(np.array([r["embedding"] for r in drawn], float).reshape(-1, lengths["d"])))
 
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))
     left = index.select(bucket_of("h", shards).alias("shard"), each(blocks).alias("block"), "h", "embedding", "ids")

@@ -339,6 +339,31 @@ def test_searches_find_what_brute_force_finds():
     assert np.mean([len(set(t) & set(f)) / 20 for t, (f, _) in zip(true, hits)]) >= 0.9
 
 
+@pytest.mark.parametrize("dimension, spread", [(64, 0.0), (64, 0.5), (128, 0.3), (3, 0.2)])
+def test_searches_of_full_shards_find_all_whatever_the_lengths(dimension, spread):
+    rng = np.random.default_rng(13)
+    vectors = rng.normal(size=(ann.SHARD, dimension))
+    vectors *= rng.lognormal(sigma=spread, size=(ann.SHARD, 1)) / np.linalg.norm(vectors, axis=1, keepdims=True)
+    for rotations in (ann.learn_rotations(ann.lifted(vectors[:1000]), rounds=5), ann.learn_rotations(vectors[:1000], rounds=5)):
+        hits = ann.search_block(vectors, vectors[:40], rotations, 20)
+        for query, (rows, score) in zip(vectors, hits):
+            exact = (vectors * query).sum(axis=1)
+            assert set(rows) == set(np.argsort(-exact)[:20]) and (score == exact[rows]).all()
+
+
+def test_bounds_hold_for_vectors_of_which_more_bits_differ():
+    rng = np.random.default_rng(14)
+    for dimension in (3, 10, 64, 300):
+        vectors, queries = rng.normal(size=(2000, dimension)), rng.normal(size=(20, dimension))
+        rotations = ann.learn_rotations(vectors, rounds=2)
+        shard, bounds = ann.Shard(ann.codes_of(vectors, rotations)), ann.bounds_of(queries, rotations)
+        cosines = (queries @ vectors.T) / np.linalg.norm(vectors, axis=1) / np.linalg.norm(queries, axis=1)[:, None]
+        for k, code in enumerate(ann.codes_of(queries, rotations)):
+            for radius in (10, 60, 120):
+                outside = np.setdiff1d(np.arange(len(vectors)), shard.inside(code, radius))
+                assert (cosines[k, outside] <= bounds[k, radius]).all()
+
+
 def test_licence_classifier():
     model = license_scan.fit(["Plain prose about cats.", "Another paragraph."])
     probabilities = model.probabilities(["Licensed under the Apache License, Version 2.0.", "Released under the MIT License.", "the cat sat on a mat",
