@@ -6,6 +6,8 @@ rule from public licence notices, on notices of made-up licences (`unknown`) and
 stays below the level that nearly all made-up notices stay under is `unknown`, too. A family counts as confirmed if
 a template of it is contained in the paragraph.
 
+Notices may be wrapped: a line is judged alone and joined with its neighbours up to a blank line.
+
 Scoring is Spark SQL only: paragraphs with a word of the vocabulary are split into n-grams, which meet the weights (bounded
 by the templates, not by the data) in a broadcast join and are summed per paragraph.
 """
@@ -17,7 +19,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapedeck.llm.common import Workspace
@@ -27,6 +29,9 @@ SAMPLE = 300
 #: Words that a template's pair of neighbours must share with a paragraph, as a share of the template's.
 CONTAINED = 0.6
 SHINGLE = 2
+#: Words that a wrapped line has at most; lines that one joined with others reaches to, and words: as many as two such lines and
+#: more than the longest template.
+WRAPPED, LINES, WINDOW = 40, 24, 112
 
 # Names and key sentences of public licences.
 TEMPLATES = {
@@ -147,37 +152,72 @@ def _literal_rows(spark: SparkSession, rows: list[dict], kind: str) -> DataFrame
 def scan(docs: DataFrame, model: Model, work: Workspace) -> DataFrame:
     """doc_id, text -> doc_id, paragraph, family, probability, similarity, confirmed: a row for each paragraph that speaks of a licence.
 
-    A paragraph is a line, counted from 0. Documents without such a line, null and empty texts have no rows; a repeated row
-    has its own. Of equally likely classes the first in the model wins. Other columns are ignored.
+    A paragraph is a line, counted from 0, or a notice wrapped over lines, which counts as its first line that speaks of a licence
+    (see `_joined`). Documents without such a line, null and empty texts have no rows; a repeated row has its own. Of equally
+    likely classes the first in the model wins. Other columns are ignored.
     """
     spark = work.spark
-    telling = sorted({w for g in model.vocabulary for w in g.split()} - _PLAIN)
-    lines = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
-    words = lines.select("doc_id", "row", "paragraph", word_array(F.col("line")).alias("words"))
-    told = words.where(F.arrays_overlap("words", F.array(*[F.lit(w) for w in telling])))
+    telling = F.array(*[F.lit(w) for w in sorted({w for g in model.vocabulary for w in g.split()} - _PLAIN)])
+    lines = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.transform(F.split("text", "\n"), word_array).alias("lines"))
+    places = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda k: F.arrays_overlap(F.col("lines")[k], telling))
+    units = F.transform(places, lambda k: F.struct(k.alias("paragraph"), F.col("lines")[k].alias("alone"), _joined(F.col("lines"), k).alias("joined")))
+    told = lines.where("size(lines) > 0").select("doc_id", "row", F.inline(units))
     # Written aside: few, and what follows must see the same row numbers in every attempt.
     told = work.keep(told)
-    grams = told.select("row", "paragraph", F.explode(F.array_distinct(F.concat("words", _pairs(F.col("words"))))).alias("gram"))
+    both = F.array(F.struct(F.lit(False).alias("wrapped"), F.col("alone").alias("words")), F.struct(F.lit(True).alias("wrapped"), F.col("joined").alias("words")))
+    told = told.select("doc_id", "row", "paragraph", F.inline(F.filter(both, lambda u: F.size(u["words"]) > 0)))
+    unit = ["row", "paragraph", "wrapped"]
+    grams = told.select(*unit, F.explode(F.array_distinct(F.concat("words", _pairs(F.col("words"))))).alias("gram"))
     size = len(model.classes)
     weights = _literal_rows(spark, [{"gram": g, "w": w.tolist()} for g, w in zip(model.vocabulary, model.weights, strict=True)], "gram:string,w:array<double>")
-    sums = grams.join(F.broadcast(weights), "gram").groupBy("row", "paragraph").agg(*[F.sum(F.col("w")[k]).alias(f"s{k}") for k in range(size)])
+    sums = grams.join(F.broadcast(weights), "gram").groupBy(*unit).agg(*[F.sum(F.col("w")[k]).alias(f"s{k}") for k in range(size)])
     scores = F.array(*[F.col(f"s{k}") + F.lit(float(model.bias[k])) for k in range(size)])
-    e = sums.select("row", "paragraph", scores.alias("s")).withColumn("top", F.array_max("s"))
+    e = sums.select(*unit, scores.alias("s")).withColumn("top", F.array_max("s"))
     e = e.withColumn("p", 1 / F.aggregate("s", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top"))))
     names = F.array(*[F.lit(c) for c in model.classes])
-    e = e.select("row", "paragraph", "p", names[F.array_position("s", F.col("top")).cast("int") - 1].alias("best")).where(F.col("best") != NONE)
+    e = e.select(*unit, "p", names[F.array_position("s", F.col("top")).cast("int") - 1].alias("best")).where(F.col("best") != NONE)
 
     templates = [{"best": f, "template": _shingles(t)} for f, own in TEMPLATES.items() for t in own]
-    found = told.join(e, ["row", "paragraph"])
+    found = told.join(e, unit)
     own = F.array_distinct(_pairs(F.col("words")))
     compared = found.select("*", own.alias("own")).join(F.broadcast(_literal_rows(spark, templates, "best:string,template:array<string>")), "best", "left")
     share = F.size(F.array_intersect("own", "template")) / F.size("template")
-    best = compared.groupBy("doc_id", "row", "paragraph", "best", "p").agg(F.coalesce(F.max(share), F.lit(0.0)).alias("similarity"))
+    best = compared.groupBy("doc_id", *unit, "best", "p").agg(F.coalesce(F.max(share), F.lit(0.0)).alias("similarity"))
     sure = (F.col("p") >= model.least) & (F.col("best") != UNKNOWN)
     family = F.when(sure & (F.col("similarity") >= CONTAINED), F.col("best")).otherwise(UNKNOWN)
-    return best.select(
-        "doc_id", "paragraph", family.alias("family"), F.col("p").alias("probability"), "similarity", (family != UNKNOWN).alias("confirmed")
-    )
+    judged = best.select("doc_id", *unit, F.struct(family.alias("family"), F.col("p").alias("probability"), "similarity").alias("found"))
+    once = judged.groupBy("row", "paragraph").agg(
+        F.first("doc_id").alias("doc_id"), *[F.max(F.when(F.col("wrapped") == w, F.col("found"))).alias(n) for n, w in (("alone", False), ("joined", True))]
+    )
+    named = lambda c: F.coalesce(F.col(c)["family"] != UNKNOWN, F.lit(False))
+    around = Window.partitionBy("row").orderBy("paragraph").rangeBetween(-1, LINES)
+    near = once.withColumn("near", F.collect_list(F.when(named("alone"), F.col("alone"))).over(around))
+    own = F.filter("near", lambda x: x["family"] == F.col("joined")["family"])
+    # A line of a wrapped notice: joined with its neighbours it holds more of the template than any of them alone.
+    more = F.coalesce(F.array_max(F.transform(own, lambda x: x["similarity"])) < F.col("joined")["similarity"], F.lit(True))
+    better = ~named("alone") | (F.col("alone")["similarity"] < F.col("joined")["similarity"])
+    near = near.withColumn("wrapped", named("joined") & more & better)
+    chosen = near.select("doc_id", "row", "paragraph", "wrapped", F.when(F.col("wrapped"), F.col("joined")).otherwise(F.col("alone")).alias("x"))
+    # The first line of a notice has its row.
+    before = F.lag("paragraph").over(Window.partitionBy("row", "wrapped", "x.family").orderBy("paragraph"))
+    follows = F.col("wrapped") & F.coalesce(F.col("paragraph") - F.col("before") <= 2, F.lit(False))
+    rows = chosen.where("x is not null").withColumn("before", before).where(~follows)
+    return rows.select("doc_id", "paragraph", "x.*", (F.col("x.family") != UNKNOWN).alias("confirmed"))
+
+
+def _joined(lines: Column, k: Column) -> Column:
+    """The words of the line before `k`, of `k` and of those after it, up to a line without words or one too long to be wrapped.
+
+    No words if `k` itself is too long or stands alone.
+    """
+    fits = lambda words: F.size(words).between(1, WRAPPED)
+    after = F.slice(lines, k + 2, LINES)
+    end = F.array_position(F.transform(after, lambda w: ~fits(w)), F.lit(True)).cast("int")
+    after = F.when(end > 0, F.slice(after, F.lit(1), F.greatest(end - 1, F.lit(0)))).otherwise(after)
+    before = F.filter(F.when(k > 0, F.slice(lines, F.greatest(k, F.lit(1)), F.lit(1))).otherwise(F.slice(lines, 1, 0)), fits)
+    none = F.slice(lines[k], 1, 0)
+    words = F.slice(F.flatten(F.concat(before, F.slice(lines, k + 1, F.lit(1)), after)), F.lit(1), F.lit(WINDOW))
+    return F.when(fits(lines[k]) & (F.size(before) + F.size(after) > 0), words).otherwise(none)
 
 
 def _shingles(text: str) -> list[str]:

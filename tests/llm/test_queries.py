@@ -102,6 +102,19 @@ def test_pages_and_chats_of_odd_rows(spark, work):
     assert chat.parse(frame.limit(0), chat.fit([]), work).count() == 0
 
 
+def test_wrapped_licence_notices(spark, work):
+    apache = "# This file is licensed under the Apache\n# License, Version 2.0.\n#\n# code"
+    gpl = (" * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n"
+           " * the Free Software Foundation, either version {} of the License, or\n * (at your option) any later version.\n *\n")
+    isc = "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice appear in all copies."
+    texts = [apache, gpl.format(3), gpl.format(2), isc, "plain\n\n" + apache + "\n\n" + isc, "foo: MIT License\nbar: Apache License Version 2.0, January 2004\nReleased under the Foobar Community License"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = license_scan.fit(["Plain prose about cats.", "Another paragraph."])
+    got = sorted((r["doc_id"], r["paragraph"], r["family"]) for r in license_scan.scan(docs, model, work).collect())
+    assert got == [(0, 0, "Apache-2.0"), (1, 0, "GPL-3.0"), (2, 0, "GPL-2.0"), (3, 0, "ISC"), (4, 2, "Apache-2.0"), (4, 7, "ISC"),
+                   (5, 0, "MIT"), (5, 1, "Apache-2.0"), (5, 2, "unknown")]
+
+
 def test_secrets_behind_names_and_in_paths_are_reported_once(spark, work):
     rnd = np.random.default_rng(3)
     letters = list(secret_scan.ALPHABETS["base64"][:62])
