@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapedeck.llm import ann, chat, html_text, langid, license_scan, packing, pieces, quality, secret_scan, simhash
+from tapedeck.llm import ann, chat, filter_audit, html_text, langid, license_scan, packing, pieces, quality, secret_scan, simhash
 from tapedeck.llm.common import Workspace, table
 
 
@@ -62,13 +62,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Workspace(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_licenses, op3_language, op4_sentencepiece, op5_packing,
         op6_chat, op7_main_text, op8_secrets, op9_neighbours, op10_quality,
+        op11_filter_audit,
     )
 }
 
-#: None of the operators' methods can be said in SQL; tests hold them against brute force.
-ORACLES: dict[str, str] = {}
+#: The other operators' methods can't be said in SQL; tests hold them against brute force.
+ORACLES: dict[str, str] = {"op11_filter_audit": filter_audit.SQL}
