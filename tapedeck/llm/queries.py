@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapedeck.llm import ann, chat, filter_audit, html_text, langid, license_scan, packing, pieces, quality, secret_scan, simhash
+from tapedeck.llm import ann, chat, chat_repair, filter_audit, html_text, langid, license_scan, packing, pieces, quality, secret_scan, simhash
 from tapedeck.llm.common import Workspace, table
 
 
@@ -66,12 +66,16 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Workspace(spark))
 
 
+def op12_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repair_damaged(table(spark, sf_dir, "conversations"), Workspace(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_licenses, op3_language, op4_sentencepiece, op5_packing,
         op6_chat, op7_main_text, op8_secrets, op9_neighbours, op10_quality,
-        op11_filter_audit,
+        op11_filter_audit, op12_chat_repair,
     )
 }
 
