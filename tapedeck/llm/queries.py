@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapedeck.llm import ann, chat, chat_repair, filter_audit, html_text, langid, license_scan, packing, pieces, quality, secret_scan, simhash
+from tapedeck.llm import ann, chat, chat_repair, filter_audit, html_text, langid, license_scan, packing, pieces, pii, quality, secret_scan, simhash
 from tapedeck.llm.common import Workspace, table
 
 
@@ -70,12 +70,17 @@ def op12_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_repair.repair_damaged(table(spark, sf_dir, "conversations"), Workspace(spark))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find_personal_data(docs, pii.learn(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_licenses, op3_language, op4_sentencepiece, op5_packing,
         op6_chat, op7_main_text, op8_secrets, op9_neighbours, op10_quality,
-        op11_filter_audit, op12_chat_repair,
+        op11_filter_audit, op12_chat_repair, op13_personal_data,
     )
 }
 
