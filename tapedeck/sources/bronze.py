@@ -19,45 +19,95 @@ EXPORT_PATH_PATTERN = "(StreamingHistory|Streaming_History).*[.](json|txt)$"
 
 def as_text(reader, schema: StructType):
     """Options of a reader (or stream reader) that takes every top-level field as text, nested ones as their JSON."""
-    texts = StructType([*[StructField(f.name, StringType()) for f in schema.fields], StructField(CORRUPT, StringType())])
     return (
-        reader.schema(texts)
+        reader.schema(_texts(schema))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", True)
     )
 
 
-def _field(name: str, kind: DataType) -> tuple[Column, Column]:
-    """A field's typed value out of its text, and whether the text does not fit the type."""
-    text = F.col(name)
+def _texts(schema: StructType) -> StructType:
+    return StructType([StructField(name, StringType()) for name in (*schema.names, CORRUPT)])
+
+
+def _parsed(text: Column, schema: StructType) -> Column:
+    """A record or nested field by its schema, with a field that says whether something did not fit."""
+    marked = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    return F.from_json(text, marked, {"columnNameOfCorruptRecord": CORRUPT})
+
+
+def _nested(kind: DataType) -> bool:
+    return isinstance(kind, StructType | ArrayType)
+
+
+def _field(name: str, kind: DataType, text: Column, parsed: Column) -> tuple[Column, Column]:
+    """A field's typed value out of its text (of a nested one out of what was parsed), and whether the text does not fit the type."""
     if isinstance(kind, StringType):
         return text, F.lit(False)
     if isinstance(kind, StructType):
-        nested = StructType([*kind.fields, StructField(CORRUPT, StringType())])
-        parsed = F.from_json(text, nested, {"columnNameOfCorruptRecord": CORRUPT})
         return parsed.dropFields(CORRUPT), text.isNotNull() & (parsed.isNull() | parsed[CORRUPT].isNotNull())
-    value = F.from_json(text, kind) if isinstance(kind, ArrayType) else text.try_cast(kind)
+    value = parsed if isinstance(kind, ArrayType) else text.try_cast(kind)
     return value, text.isNotNull() & value.isNull()
 
 
-def typed(texts: DataFrame, schema: StructType, lines: bool) -> DataFrame:
-    """Records of `as_text` with their types, each judged by all of its fields, whatever is selected later.
-
-    A record with a field of the wrong type fails alone. Of a file that holds no JSON only the fact is kept,
-    of a line its text.
-    """
-    fields = {f.name: _field(f.name, f.dataType) for f in schema.fields}
+def _judged(schema: StructType, texts: Column, parsed: dict[str, Column], record: Column) -> Column:
+    """A record with its types out of its fields' texts, with what is wrong with it and its text."""
+    fields = {f.name: _field(f.name, f.dataType, texts[f.name], parsed.get(f.name)) for f in schema.fields}
     wrong = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, (_, bad) in fields.items()]))
-    broken = F.col(CORRUPT).isNotNull()
+    broken = texts.isNull() | texts[CORRUPT].isNotNull()
     reason = F.when(broken, F.lit("not JSON")).when(
         F.size(wrong) > 0, F.concat(F.lit("badly typed: "), F.array_join(wrong, ", "))
     )
-    text = F.when(broken, F.col(CORRUPT) if lines else F.lit(None)).when(F.size(wrong) > 0, F.to_json(F.struct(*fields)))
-    return texts.select(
-        *[value.cast(schema[name].dataType).alias(name) for name, (value, _) in fields.items()],
-        reason.alias(CORRUPT), text.alias(RECORD), SOURCE_FILE,
-    )
+    values = [value.cast(schema[name].dataType).alias(name) for name, (value, _) in fields.items()]
+    return F.struct(*values, reason.alias(CORRUPT), F.when(broken | (F.size(wrong) > 0), record).alias(RECORD))
+
+
+def _once(df: DataFrame, record: Column) -> DataFrame:
+    """`record` computed once for each row, whatever is filtered and selected later.
+
+    Filters on a computed column are moved below it and compute it again; out of an explode they can't be moved.
+    """
+    return df.select(SOURCE_FILE, F.explode(F.array(record)).alias("_r")).select("_r.*", SOURCE_FILE)
+
+
+def _fields_parsed(df: DataFrame, schema: StructType, texts: str) -> tuple[DataFrame, dict[str, Column]]:
+    """A column for each nested field out of its text, parsed once."""
+    nested = {f.name: f.dataType for f in schema.fields if _nested(f.dataType)}
+    columns = {
+        f"_parsed_{name}": _parsed(F.col(texts)[name], kind) if isinstance(kind, StructType) else F.from_json(F.col(texts)[name], kind)
+        for name, kind in nested.items()
+    }
+    return df.withColumns(columns), {name: F.col(f"_parsed_{name}") for name in nested}
+
+
+def typed(texts: DataFrame, schema: StructType) -> DataFrame:
+    """Records of `as_text` with their types, each judged by all of its fields, whatever is selected later.
+
+    A record with a field of the wrong type fails alone; of a file that holds no JSON only the fact is kept.
+    """
+    whole = texts.select(F.struct(*schema.names, CORRUPT).alias("_texts"), SOURCE_FILE)
+    fields, parsed = _fields_parsed(whole, schema, "_texts")
+    # Without the values of other fields there is no text of a file's broken record.
+    record = F.when(F.col("_texts")[CORRUPT].isNull(), F.to_json(F.col("_texts")))
+    return _once(fields, _judged(schema, F.col("_texts"), parsed, record))
+
+
+def typed_lines(lines: DataFrame, schema: StructType) -> DataFrame:
+    """Like `typed`, out of lines of text that hold a record or an array of records; of a bad one its text is kept.
+
+    A record is parsed once, as a whole. Only one that does not fit as a whole is judged field by field.
+    """
+    line = F.col("value")
+    several = F.when(F.ltrim(line).startswith("["), F.from_json(line, ArrayType(StringType())))
+    texts = lines.filter(F.trim(line) != "").select(F.explode(F.coalesce(several, F.array(line))).alias("_text"), SOURCE_FILE)
+    whole = texts.select("*", _parsed(F.col("_text"), schema).alias("_whole"))
+    fits = F.col("_whole").isNotNull() & F.col("_whole")[CORRUPT].isNull()
+    apart = whole.withColumn("_texts", F.when(~fits, F.from_json("_text", _texts(schema), {"columnNameOfCorruptRecord": CORRUPT})))
+    fields, parsed = _fields_parsed(apart, schema, "_texts")
+    none = F.lit(None).cast("string")
+    good = F.struct(*[F.col("_whole")[name].alias(name) for name in schema.names], none.alias(CORRUPT), none.alias(RECORD))
+    return _once(fields, F.when(fits, good).otherwise(_judged(schema, F.col("_texts"), parsed, F.col("_text"))))
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -71,8 +121,8 @@ def read_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         return spark.createDataFrame([], StructType([*schema.fields, *marks]))
     source = F.col("_metadata.file_path").alias(SOURCE_FILE)
     whole = as_text(spark.read, schema).option("multiLine", True).option("pathGlobFilter", "*.json").json(path)
-    lines = as_text(spark.read, schema).option("pathGlobFilter", "*.txt").json(path)
-    return typed(whole.select("*", source), schema, lines=False).unionByName(typed(lines.select("*", source), schema, lines=True))
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path)
+    return typed(whole.select("*", source), schema).unionByName(typed_lines(lines.select("*", source), schema))
 
 
 def readable(df: DataFrame) -> DataFrame:
