@@ -13,6 +13,8 @@ from tapedeck.functions.measures import source_priority
 from tapedeck.operators.ordering import total_order
 
 _RANK = "_rank"
+#: What tells plays apart.
+PLAY_KEY = ["played_at_utc", "track_name"]
 
 
 def first_row_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -27,11 +29,10 @@ def dedup_subset(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def dedup_by_priority(events: DataFrame) -> DataFrame:
     """One play per (time, track name): the best source, then the smallest row, track id first."""
-    keys = ["played_at_utc", "track_name"]
-    rest = [c for c in events.columns if c not in (*keys, "track_id", "source_type")]
+    rest = [c for c in events.columns if c not in (*PLAY_KEY, "track_id", "source_type")]
     order = total_order(["_priority", "track_id", *rest])
     ranked = events.withColumn("_priority", source_priority(F.col("source_type")))
-    return first_row_per_key(ranked, keys, order).drop("_priority")
+    return first_row_per_key(ranked, PLAY_KEY, order).drop("_priority")
 
 
 def top1_by_count(df: DataFrame, period: list[str], value: str, out: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """Priority dedup across batches.
 
 Exports arrive years after the plays they describe, so no watermark can bound the state. The
-state is the fact table itself: a batch re-runs the dedup on the months it touches and replaces
-only these, all at once. Merging a batch twice gives the same rows as merging it once, so that neither a
+state is the fact table itself: its months are cut into buckets by a hash of what tells plays apart (time and track name), and
+a batch re-runs the dedup on the buckets it touches and replaces only these, all at once. One late play so reads and writes
+one bucket, not its month. Merging a batch twice gives the same rows as merging it once, so that neither a
 repeated batch nor a stream that starts anew needs a note of what was done.
 """
 
@@ -12,20 +13,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapedeck import schemas
-from tapedeck.operators.dedup import dedup_by_priority
+from tapedeck.operators.dedup import PLAY_KEY, dedup_by_priority
 from tapedeck.operators.sets import union_diagonal
-from tapedeck.sources.tables import materialize, months_of, only_months, read_by_month, write_by_month
+from tapedeck.sources.tables import Part, live_parts, materialize, read_by_month, read_parts, write_buckets
 from tapedeck.streaming.ingest import run_available
 
-
-def upsert_batch(batch: DataFrame, table: str, work: str) -> None:
-    """Merge one batch of events into the fact. The batch is written aside first, as it is read twice."""
-    dated = batch.withColumns({"year": F.year("played_at_utc"), "month": F.month("played_at_utc")})
-    staged = materialize(dated, f"{work}/batch")
-    months = months_of(staged)
-    if months:
-        stored = only_months(read_events(batch.sparkSession, table), months)
-        write_by_month(dedup_by_priority(union_diagonal(stored, staged)), table)
+#: Buckets of a month, for tables that have none yet: a late play rewrites a part in so many of its month.
+BUCKETS = 32
+
+
+def touched_parts(batch: DataFrame, parts: list[Part]) -> list[Part]:
+    """The stored parts that a batch with year, month and bucket can change: at most its months times their buckets reach the driver."""
+    places = {tuple(r) for r in batch.select("year", "month", "bucket").distinct().collect()}
+    months = {p[:2] for p in places}
+    return [p for p in parts if p.place in places or (p.bucket is None and p.place[:2] in months)]
+
+
+def upsert_batch(batch: DataFrame, table: str, work: str, buckets: int = BUCKETS) -> None:
+    """Merge one batch of events into the fact. The batch is written aside first, as it is read twice.
+
+    A table keeps the number of buckets that it has; months that were written whole are cut when a batch first touches them.
+    """
+    spark, parts = batch.sparkSession, live_parts(batch.sparkSession, table)
+    count = next((p.buckets for p in parts if p.buckets), buckets)
+    place = {
+        "year": F.year("played_at_utc"), "month": F.month("played_at_utc"),
+        "bucket": F.pmod(F.xxhash64(*PLAY_KEY), F.lit(count)).cast("int"),
+    }
+    staged = materialize(batch.withColumns(place), f"{work}/batch")
+    old = touched_parts(staged, parts)
+    stored = read_parts(spark, table, old, schemas.EVENTS_PARTITIONED)
+    merged = dedup_by_priority(union_diagonal(stored, staged.drop("bucket"))).withColumns(place)
+    write_buckets(merged, table, count, old)
 
 
 def upsert_available(stream: DataFrame, table: str, work: str, checkpoint: str) -> None:

@@ -466,6 +466,84 @@ def test_upsert_replaces_only_touched_months_and_can_be_repeated(spark, tmp_path
         assert batch is first or sorted((tmp_path / "t/data").glob("*/year=2024/month=2/*.parquet")) == untouched
 
 
+def test_a_late_play_reads_and_writes_one_bucket_of_its_month(spark, tmp_path):
+    table, work = str(tmp_path / "t"), str(tmp_path / "w")
+    month = [stream_event(datetime(2024, 1, 1, k % 24, k % 60), f"n{k}", "export") for k in range(400)]
+    upsert.upsert_batch(spark.createDataFrame(month, schemas.EVENTS), table, work)
+    before = {p.place: p.write for p in tables.live_parts(spark, table)}
+    assert len(before) > upsert.BUCKETS / 2 and all(place[:2] == (2024, 1) for place in before)
+    late = spark.createDataFrame([stream_event(datetime(2024, 1, 1, 7, 7), "n7", "api", "t7")], schemas.EVENTS)
+    staged = late.selectExpr("2024 as year", "1 as month", f"cast(pmod(xxhash64(played_at_utc, track_name), {upsert.BUCKETS}) as int) as bucket")
+    parts = upsert.touched_parts(staged, tables.live_parts(spark, table))
+    assert len(parts) == 1 and all(parts[0].folder in f for f in tables.read_parts(spark, table, parts).inputFiles())
+    upsert.upsert_batch(late, table, work, buckets=5)  # the table's own number counts
+    after = {p.place: p.write for p in tables.live_parts(spark, table)}
+    assert set(after) == set(before) and [p for p in after if after[p] != before[p]] == [parts[0].place]
+    rows = upsert.read_events(spark, table).collect()
+    assert len(rows) == 400 and [r["track_id"] for r in rows if r["source_type"] == "api"] == ["t7"]
+
+
+def test_whole_months_are_cut_when_touched_and_can_be_written_whole_again(spark, tmp_path):
+    table, work = str(tmp_path / "t"), str(tmp_path / "w")
+    rows = [stream_event(datetime(2024, m, 1), n, "export") for m in (1, 2) for n in ("a", "b", "c")]
+    first = spark.createDataFrame(rows, schemas.EVENTS).withColumns({"year": F.year("played_at_utc"), "month": F.month("played_at_utc")})
+    tables.write_by_month(first, table)
+    upsert.upsert_batch(spark.createDataFrame([stream_event(datetime(2024, 1, 1), "a", "api", "1")], schemas.EVENTS), table, work, 3)
+    assert {p.month for p in tables.live_parts(spark, table) if p.bucket is None} == {2} and upsert.read_events(spark, table).count() == 6
+    tables.write_by_month(upsert.read_events(spark, table), table)
+    assert [p.bucket for p in tables.live_parts(spark, table)] == [None, None] and upsert.read_events(spark, table).count() == 6
+    assert tables.read_by_month(spark, table, schemas.EVENTS_PARTITIONED, [(2024, 2)]).count() == 3
+
+
+def test_of_two_writers_from_one_version_the_second_gets_an_error(spark, tmp_path, monkeypatch):
+    path, other = str(tmp_path / "t"), []
+    tables.write_table(spark.range(3), path)
+    real = tables.mark
+
+    def mark_late(session, where, text=""):
+        if where.endswith("v0000000002") and not other:
+            other.append(1)  # another job finishes between this one's last file and its marker
+            tables.write_table(spark.range(50), path)
+        real(session, where, text)
+
+    monkeypatch.setattr(tables, "mark", mark_late)
+    with pytest.raises(tables.ConcurrentWrite):
+        tables.write_table(spark.range(7), path)
+    assert tables.read_table(spark, path).count() == 50 and len(list((tmp_path / "t").glob("v*"))) == 2
+
+
+def test_writers_of_different_months_both_get_on_and_of_one_month_only_the_first(spark, tmp_path, monkeypatch):
+    path, real, turns = str(tmp_path / "t"), tables._switch, []
+
+    def month(value, number):
+        return spark.sql(f"select '{value}' v, 2024 year, {number} as month")
+
+    def switch_late(*args):
+        if turns:
+            tables.write_by_month(turns.pop(), path)
+        real(*args)
+
+    tables.write_by_month(month("old", 1), path)
+    monkeypatch.setattr(tables, "_switch", switch_late)
+    turns.append(month("b", 2))
+    tables.write_by_month(month("a", 1), path)
+    assert sorted(r["v"] for r in tables.read_by_month(spark, path).collect()) == ["a", "b"]
+    turns.append(month("other", 1))
+    with pytest.raises(tables.ConcurrentWrite):
+        tables.write_by_month(month("mine", 1), path)
+    assert sorted(r["v"] for r in tables.read_by_month(spark, path).collect()) == ["b", "other"]
+
+
+def test_only_live_folders_are_opened(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for k in range(3):
+        tables.write_by_month(spark.sql(f"select {k} v, 2024 year, id as month from range(1, {5 - k})"), path)
+    files = tables.read_by_month(spark, path).inputFiles()
+    live = {p.folder for p in tables.live_parts(spark, path)}
+    assert len({f.split("/data/")[1].rsplit("/", 1)[0] for f in files} ^ live) == 0 and len(live) == 4
+    assert len(tables.read_by_month(spark, path, months=[(2024, 2)]).inputFiles()) == 1
+
+
 def test_upsert_starts_anew_with_a_new_checkpoint(spark, tmp_path):
     source, table, work = (str(tmp_path / n) for n in ("in", "t", "w"))
     for k in (1, 2):
