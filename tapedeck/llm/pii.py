@@ -363,10 +363,13 @@ def fit_field(rows: list[tuple], rounds: int = 300) -> Field:
 def learn(docs: DataFrame) -> Field:
     """doc_id, text -> weights from at most SAMPLE documents with a digit or an '@', drawn by a hash of their text.
 
-    Only features and labels of at most SAMPLE_NODES tokens of each reach the driver. Without any document all weights are zero.
+    Their number is counted first, so that no more than a few times SAMPLE texts are ever moved. Only features and labels of at most SAMPLE_NODES
+    tokens of each reach the driver. Without any document all weights are zero.
     """
-    seeds = docs.where(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("draw")).dropDuplicates(["draw"])
-    drawn = seeds.orderBy("draw").limit(SAMPLE)
+    seeds = docs.where(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("draw"))
+    share = min(1.0, 4 * SAMPLE / max(seeds.count(), 1))
+    near = seeds.where(F.pmod(F.xxhash64("draw"), F.lit(1 << 30)) <= int(share * (1 << 30)))
+    drawn = near.dropDuplicates(["draw"]).orderBy("draw").limit(SAMPLE)
 
     @F.pandas_udf("array<struct<features:array<array<string>>, labels:array<int>, chain:array<array<int>>, skip:array<array<int>>>>")
     def made(texts: pd.Series) -> pd.Series:
