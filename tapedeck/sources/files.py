@@ -51,3 +51,9 @@ def hours_old(spark: SparkSession, path: str) -> float:
 def remove(spark: SparkSession, path: str) -> None:
     store, where = _at(spark, path)
     store.delete(where, True)
+
+
+def stored_size(spark: SparkSession, path: str) -> int:
+    """Bytes under a folder."""
+    store, where = _at(spark, path)
+    return store.getContentSummary(where).getLength() if store.exists(where) else 0

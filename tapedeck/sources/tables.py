@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from tapedeck import schemas
 from tapedeck.sources.bronze import list_files
-from tapedeck.sources.files import children, exists, hours_old, mark, marked, remove
+from tapedeck.sources.files import children, exists, hours_old, mark, marked, remove, stored_size
 
 MONTHLY = {"listening_events", "fact_plays"}
 _COMMITTED, _VERSION, _NO_VALUE = "_committed", "v[0-9]{10}", "__HIVE_DEFAULT_PARTITION__"
@@ -163,12 +163,12 @@ def month_folders(spark: SparkSession, data: str) -> list[Month]:
     return [(_value(y), _value(m)) for y in years for m in children(spark, f"{data}/{y}") if m.startswith("month=")]
 
 
-def _stored_parts(spark: SparkSession, path: str, write: str, buckets: int | None = None) -> list[Part]:
+def _stored_parts(spark: SparkSession, path: str, write: str, buckets: dict[Month, int]) -> list[Part]:
     own, out = f"{path}/data/write={write}", []
     for year, month in month_folders(spark, own):
         part = Part(write, year, month)
         cut = [b for b in children(spark, f"{path}/data/{part.folder}") if b.startswith("bucket=")]
-        out += [part._replace(bucket=_value(b), buckets=buckets) for b in cut] or [part]
+        out += [part._replace(bucket=_value(b), buckets=buckets.get((year, month), 1)) for b in cut] or [part]
     return out
 
 
@@ -224,7 +224,7 @@ def _switch(spark: SparkSession, path: str, write: str, written: list[Part], rep
             remove(spark, f"{path}/data/{old}")
 
 
-def _replace(df: DataFrame, path: str, by: list[str], replaced: Callable[[list[Part]], list[Part]], buckets: int | None = None) -> None:
+def _replace(df: DataFrame, path: str, by: list[str], replaced: Callable[[list[Part]], list[Part]], buckets: dict[Month, int]) -> None:
     spark, write = df.sparkSession, f"w{uuid.uuid4().hex}"
     try:
         _put(df, path, write, by)
@@ -249,14 +249,18 @@ def write_by_month(df: DataFrame, path: str) -> None:
         months = {p.place[:2] for p in written}
         return [p for p in before if p.place[:2] in months]
 
-    _replace(df, path, ["year", "month"], replaced)
+    _replace(df, path, ["year", "month"], replaced, {})
 
 
-def write_buckets(df: DataFrame, path: str, buckets: int, replaced: list[Part]) -> None:
-    """Write parts (year, month, bucket) of a fact whose months are cut into buckets, in place of the parts that `df` was made from."""
+def write_buckets(df: DataFrame, path: str, buckets: dict[Month, int], replaced: list[Part]) -> None:
+    """Write parts (year, month, bucket) of a fact, in place of the parts that `df` was made from. `buckets`: how many a month has, if not one."""
     _replace(df, path, ["year", "month", "bucket"], lambda _: replaced, buckets)
 
 
+def part_bytes(spark: SparkSession, path: str, part: Part) -> int:
+    return stored_size(spark, f"{path}/data/{part.folder}")
+
+
 def read_parts(spark: SparkSession, path: str, parts: list[Part], schema: StructType | None = None) -> DataFrame:
     """Some parts of a fact. Only their folders are opened and listed."""
     frames = []

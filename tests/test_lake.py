@@ -469,26 +469,30 @@ def test_upsert_replaces_only_touched_months_and_can_be_repeated(spark, tmp_path
 def test_a_late_play_reads_and_writes_one_bucket_of_its_month(spark, tmp_path):
     table, work = str(tmp_path / "t"), str(tmp_path / "w")
     month = [stream_event(datetime(2024, 1, 1, k % 24, k % 60), f"n{k}", "export") for k in range(400)]
-    upsert.upsert_batch(spark.createDataFrame(month, schemas.EVENTS), table, work)
+    other = stream_event(datetime(2024, 2, 1), "x", "export")
+    for size in (10**9, 10):  # the second time what is there is too large for one bucket
+        upsert.upsert_batch(spark.createDataFrame([*month, other], schemas.EVENTS), table, work, size)
     before = {p.place: p.write for p in tables.live_parts(spark, table)}
-    assert len(before) > upsert.BUCKETS / 2 and all(place[:2] == (2024, 1) for place in before)
+    assert {place for place in before if place[1] == 1} == {(2024, 1, k) for k in range(upsert.CUT)}
     late = spark.createDataFrame([stream_event(datetime(2024, 1, 1, 7, 7), "n7", "api", "t7")], schemas.EVENTS)
-    staged = late.selectExpr("2024 as year", "1 as month", f"cast(pmod(xxhash64(played_at_utc, track_name), {upsert.BUCKETS}) as int) as bucket")
-    parts = upsert.touched_parts(staged, tables.live_parts(spark, table))
+    dated = late.withColumns({"year": F.lit(2024), "month": F.lit(1)})
+    parts = upsert.touched_parts(dated, tables.live_parts(spark, table))
     assert len(parts) == 1 and all(parts[0].folder in f for f in tables.read_parts(spark, table, parts).inputFiles())
-    upsert.upsert_batch(late, table, work, buckets=5)  # the table's own number counts
+    upsert.upsert_batch(late, table, work)
     after = {p.place: p.write for p in tables.live_parts(spark, table)}
     assert set(after) == set(before) and [p for p in after if after[p] != before[p]] == [parts[0].place]
     rows = upsert.read_events(spark, table).collect()
-    assert len(rows) == 400 and [r["track_id"] for r in rows if r["source_type"] == "api"] == ["t7"]
+    assert len(rows) == 401 and [r["track_id"] for r in rows if r["source_type"] == "api"] == ["t7"]
+    upsert.upsert_batch(late, table, work, 10)
+    assert sum(p.month == 1 for p in tables.live_parts(spark, table)) > upsert.CUT and upsert.read_events(spark, table).count() == 401
 
 
-def test_whole_months_are_cut_when_touched_and_can_be_written_whole_again(spark, tmp_path):
+def test_whole_months_can_be_upserted_and_written_whole_again(spark, tmp_path):
     table, work = str(tmp_path / "t"), str(tmp_path / "w")
     rows = [stream_event(datetime(2024, m, 1), n, "export") for m in (1, 2) for n in ("a", "b", "c")]
     first = spark.createDataFrame(rows, schemas.EVENTS).withColumns({"year": F.year("played_at_utc"), "month": F.month("played_at_utc")})
     tables.write_by_month(first, table)
-    upsert.upsert_batch(spark.createDataFrame([stream_event(datetime(2024, 1, 1), "a", "api", "1")], schemas.EVENTS), table, work, 3)
+    upsert.upsert_batch(spark.createDataFrame([stream_event(datetime(2024, 1, 1), "a", "api", "1")], schemas.EVENTS), table, work, 1)
     assert {p.month for p in tables.live_parts(spark, table) if p.bucket is None} == {2} and upsert.read_events(spark, table).count() == 6
     tables.write_by_month(upsert.read_events(spark, table), table)
     assert [p.bucket for p in tables.live_parts(spark, table)] == [None, None] and upsert.read_events(spark, table).count() == 6
