@@ -5,9 +5,11 @@ Codes are signs of learned rotations (iterative quantisation on a bounded sample
 substring value to rows for every one of them. Codes within R differing bits of a query differ in at most
 floor(R / substrings) bits in some substring, so probing all values that near in every table retrieves each of
 them; the radius grows until enough codes lie inside it, and these are ranked by their inner products. As those
-also depend on the lengths of vectors, codes are made of vectors lifted to equal length by one more coordinate. What
-lies outside the radius is passed over only where a bound on its inner products is below the last one found; else the
-radius grows to where it is, and a shard where it never is gets scanned. Results are therefore exact.
+also depend on the lengths of vectors, codes are made of vectors lifted to equal length by one more coordinate. The radius holds
+OVERSAMPLE codes for each result wanted, which finds more than nine in ten of the true ones (README has the figures).
+
+With `exact`, what lies outside the radius is passed over only where a bound on its inner products is below the last one found; else the
+radius grows to where it is, and a shard where it never is gets scanned.
 
 Equal vectors are searched once: each distinct vector carries its smallest ids, as many as one
 result can hold. Shards and blocks of queries have bounded sizes; a shard meets every block of queries.
@@ -27,11 +29,11 @@ from tapedeck.llm.common import Workspace, bucket_of
 NEAREST = 20
 CODE_BITS = 256
 PART_BITS = 8
-#: Codes inside the radius before a search in a shard asks whether it may stop: nearest * OVERSAMPLE.
-OVERSAMPLE = 32
+#: Codes inside the radius before a search in a shard stops: nearest * OVERSAMPLE.
+OVERSAMPLE = 256
 SAMPLE = 5000
 ROUNDS = 30
-SHARD, QUERIES = 32_768, 1024
+SHARD, QUERIES = 32_768, 16_384
 #: Queries whose products with a shard are held at a time.
 SLAB = 32
 
@@ -62,27 +64,41 @@ class Shard:
         self.codes, self.parts = codes, codes.shape[1]
         pad = -self.parts % 8
         self.words = np.ascontiguousarray(np.pad(codes, ((0, 0), (0, pad)))).view(np.uint64)
-        self.rows = [np.argsort(codes[:, k], kind="stable") for k in range(self.parts)]
-        self.ends = [np.concatenate(([0], np.cumsum(np.bincount(codes[:, k], minlength=256)))) for k in range(self.parts)]
+        self.columns = np.ascontiguousarray(self.words.T)
+        self.rows = np.stack([np.argsort(codes[:, k], kind="stable") for k in range(self.parts)])
+        self.ends = np.stack([np.concatenate(([0], np.cumsum(np.bincount(codes[:, k], minlength=256)))) for k in range(self.parts)])
 
     def within(self, code: np.ndarray, enough: int) -> tuple[np.ndarray, int]:
-        """All rows within the least probed radius that holds `enough` rows (or every row), and that radius."""
+        """All rows within the least radius that holds `enough` rows (or every row), and that radius.
+
+        Tables are probed as long as that touches fewer rows than there are; from then on the codes are compared one by one,
+        which gives the same rows.
+        """
         word = np.ascontiguousarray(np.pad(code, (0, -self.parts % 8))).view(np.uint64)
         seen = np.zeros(len(self.codes), bool)
         for near in range(PART_BITS + 1):
-            for k in range(self.parts):
-                rows, ends = self.rows[k], self.ends[k]
-                for value in (_AT_DISTANCE[near] ^ code[k]).tolist():
-                    seen[rows[ends[value] : ends[value + 1]]] = True
+            values = _AT_DISTANCE[near][None, :] ^ code[:, None]
+            starts, ends = self.ends[_PARTS[: self.parts], values], self.ends[_PARTS[: self.parts], values.astype(int) + 1]
+            touched = int((ends - starts).sum())
+            if touched > len(self.codes) or touched < enough <= len(self.codes) and near:
+                break
+            for k, (a, b) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)):
+                for start, end in zip(a, b, strict=True):
+                    if end > start:
+                        seen[self.rows[k, start:end]] = True
             # Without a substring at `near` or less, each one differs in near + 1 bits at least.
             radius = self.parts * (near + 1) - 1
             found = np.nonzero(seen)[0]
             apart = np.bitwise_count(self.words[found] ^ word).sum(axis=1)
-            inside = apart <= radius
-            if inside.sum() >= enough or near == PART_BITS:
-                least = np.partition(apart, enough - 1)[enough - 1] if inside.sum() > enough else radius
+            if (apart <= radius).sum() >= enough:
+                least = np.partition(apart, enough - 1)[enough - 1]
                 return found[apart <= least], int(least)
-        raise AssertionError
+        apart = np.zeros(len(self.codes), np.uint16)
+        for column, part in zip(self.columns, word, strict=True):
+            apart += np.bitwise_count(column ^ part)
+        # The radius is read off the counts of rows at each distance.
+        least = int(np.searchsorted(np.cumsum(np.bincount(apart)), enough))
+        return np.nonzero(apart <= least)[0], least
 
     def inside(self, code: np.ndarray, radius: int) -> np.ndarray:
         """All rows within a radius, from a scan of the codes: wide radii probe most values."""
@@ -91,6 +107,7 @@ class Shard:
 
 
 _AT_DISTANCE = [np.array([v for v in range(256) if v.bit_count() == d], np.uint8) for d in range(PART_BITS + 1)]
+_PARTS = np.arange(CODE_BITS // PART_BITS)[:, None]
 
 
 def lifted(vectors: np.ndarray) -> np.ndarray:
@@ -112,7 +129,7 @@ def bounds_of(queries: np.ndarray, rotations: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(1 - missing, 0.0)) + 1e-9
 
 
-def search_block(index: np.ndarray, queries: np.ndarray, rotations: np.ndarray, nearest: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def search_block(index: np.ndarray, queries: np.ndarray, rotations: np.ndarray, nearest: int, exact: bool = False) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each query the rows of `index` nearest to it and their inner products, best first; all ties with the last.
 
     Rotations of one dimension more than the vectors' are those of lifted vectors.
@@ -120,11 +137,13 @@ def search_block(index: np.ndarray, queries: np.ndarray, rotations: np.ndarray,
     lift = len(rotations) > index.shape[1]
     asked = np.pad(queries, ((0, 0), (0, 1))) if lift else queries
     shard = Shard(codes_of(lifted(index) if lift else index, rotations))
-    codes, bounds = codes_of(asked, rotations), bounds_of(asked, rotations)
-    reach = np.linalg.norm(index, axis=1).max(initial=0.0) * np.linalg.norm(queries, axis=1)
+    codes, enough = codes_of(asked, rotations), min(len(index), nearest * OVERSAMPLE)
+    if not exact:
+        return [_best(index, query, shard.within(code, enough)[0], nearest) for query, code in zip(queries, codes, strict=True)]
+    bounds, reach = bounds_of(asked, rotations), np.linalg.norm(index, axis=1).max(initial=0.0) * np.linalg.norm(queries, axis=1)
     out, open_ = [], []
     for k, (query, code) in enumerate(zip(queries, codes, strict=True)):
-        found, radius = shard.within(code, min(len(index), nearest * OVERSAMPLE))
+        found, radius = shard.within(code, enough)
         out.append(_best(index, query, found, nearest))
         if len(found) == len(index):
             continue
@@ -143,7 +162,7 @@ def search_block(index: np.ndarray, queries: np.ndarray, rotations: np.ndarray,
 
 
 def _best(index: np.ndarray, query: np.ndarray, found: np.ndarray, nearest: int) -> tuple[np.ndarray, np.ndarray]:
-    score = (index[found] * query).sum(axis=1)
+    score = (index[found] * query).sum(axis=1)  # of each row alone: no product of matrices, which rounds otherwise
     keep = score >= np.partition(score, -nearest)[-nearest] if len(score) > nearest else slice(None)
     found, score = found[keep], score[keep]
     by_score = np.argsort(-score, kind="stable")
@@ -159,13 +178,14 @@ def usable(vectors: DataFrame, dimension: int | None = None) -> DataFrame:
     return (rows if dimension is None else rows.where(F.size("embedding") == dimension)).distinct()
 
 
-def search(vectors: DataFrame, is_query, work: Workspace, nearest: int = NEAREST, sample: int = SAMPLE) -> DataFrame:
+def search(vectors: DataFrame, is_query, work: Workspace, nearest: int = NEAREST, sample: int = SAMPLE, exact: bool = False) -> DataFrame:
     """vec_id, embedding -> query_id, rank, vec_id, score for the rows of which `is_query` holds, against all others.
 
     Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do rows without
     an id. The commonest length (the smaller one of two) is the table's dimension; other lengths take no part. Repeated
     rows count once; rows that share an id but not the vector are candidates of their own, and a query never
-    finds its own id. Ties go to the smaller id. Other columns are ignored.
+    finds its own id. Ties go to the smaller id. Other columns are ignored. `exact`: no true neighbour is missed, at the price of a scan
+    where no bound closes.
     """
     spark = work.spark
     lengths = usable(vectors).groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").first()
@@ -195,7 +215,7 @@ def search(vectors: DataFrame, is_query, work: Workspace, nearest: int = NEAREST
             return pd.DataFrame({"q": [], "ids": [], "score": []})
         entries = entries.sort_values("h", ignore_index=True)
         matrix, asks = np.stack(entries["embedding"].to_numpy()), np.stack(queries["embedding"].to_numpy())
-        got = search_block(matrix, asks, rotations, nearest + 1)
+        got = search_block(matrix, asks, rotations, nearest + 1, exact)
         rows, score = (np.concatenate(part) for part in zip(*got, strict=True))
         asker = np.repeat(queries["q"].to_numpy(), [len(found) for found, _ in got])
         return pd.DataFrame({"q": asker, "ids": entries["ids"].to_numpy()[rows], "score": score})

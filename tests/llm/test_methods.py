@@ -345,12 +345,36 @@ def test_searches_of_full_shards_find_all_whatever_the_lengths(dimension, spread
     vectors = rng.normal(size=(ann.SHARD, dimension))
     vectors *= rng.lognormal(sigma=spread, size=(ann.SHARD, 1)) / np.linalg.norm(vectors, axis=1, keepdims=True)
     for rotations in (ann.learn_rotations(ann.lifted(vectors[:1000]), rounds=5), ann.learn_rotations(vectors[:1000], rounds=5)):
-        hits = ann.search_block(vectors, vectors[:40], rotations, 20)
+        hits = ann.search_block(vectors, vectors[:40], rotations, 20, exact=True)
         for query, (rows, score) in zip(vectors, hits):
             exact = (vectors * query).sum(axis=1)
             assert set(rows) == set(np.argsort(-exact)[:20]) and (score == exact[rows]).all()
 
 
+@pytest.mark.parametrize("dimension, spread", [(64, 0.0), (64, 0.2), (64, 0.3), (64, 0.5), (128, 0.0), (128, 0.3)])
+def test_recall_of_full_shards(dimension, spread):
+    rng = np.random.default_rng(15)
+    vectors = rng.normal(size=(ann.SHARD, dimension))
+    vectors *= rng.lognormal(sigma=spread, size=(ann.SHARD, 1)) / np.linalg.norm(vectors, axis=1, keepdims=True)
+    hits = ann.search_block(vectors, vectors[:40], ann.learn_rotations(ann.lifted(vectors[:5000])), 20)
+    true = [np.argsort(-(vectors @ vectors[q]))[:20] for q in range(40)]
+    recall = np.mean([len(set(t) & set(f)) / 20 for t, (f, _) in zip(true, hits)])
+    print(dimension, spread, recall)
+    assert recall >= 0.9
+
+
+def test_probing_of_close_codes_gives_the_same_rows_as_comparing_all():
+    rng = np.random.default_rng(16)
+    centres = rng.normal(size=(40, 64))
+    vectors = np.repeat(centres, 100, axis=0) + 0.01 * rng.normal(size=(4000, 64))
+    codes = ann.codes_of(vectors, ann.learn_rotations(vectors[:500], rounds=3))
+    shard = ann.Shard(codes)
+    for q in range(0, 4000, 97):
+        found, radius = shard.within(codes[q], 60)
+        apart = np.bitwise_count(shard.words ^ shard.words[q]).sum(axis=1)
+        assert radius < 64 and set(found) == set(np.nonzero(apart <= radius)[0]) and len(found) >= 60
+
+
 def test_bounds_hold_for_vectors_of_which_more_bits_differ():
     rng = np.random.default_rng(14)
     for dimension in (3, 10, 64, 300):
