@@ -20,12 +20,18 @@ from tapedeck.sources import bronze, state
 from tapedeck.sources.catalogue import read_catalogue
 from tapedeck.sources.files import exists, mark, remove
 from tapedeck.sources.tables import (
+    Month,
+    current_version,
+    is_month,
+    live_parts,
     materialize,
     months_of,
     only_months,
+    read_by_month,
     read_gold,
     read_optional,
     read_silver,
+    read_table,
     stored_bytes,
     swap_table,
     table_path,
@@ -221,29 +227,109 @@ def build_fact(
     return gold.fact_plays(events, *sides, *hot)
 
 
+# What a build of gold was made from: the write of each month of the events, and the version of each other silver table.
+_BUILT = schemas.struct(name=schemas.TEXT, write=schemas.TEXT, year=schemas.INT, month=schemas.INT)
+_LOOKUP_TABLES = ["artists", "albums", "tracks", "track_tags", "artist_tags", "audio_features"]
+
+
+def _built_path(root: str) -> str:
+    return f"{root.rstrip('/')}/gold/_built"
+
+
+def _inputs(spark: SparkSession, root: str) -> set[tuple]:
+    """The state of silver by its manifests alone: a row for each month's write and each other table's version."""
+    events = table_path(root, "listening_events")
+    months = {("listening_events", p.write, p.year, p.month) for p in live_parts(spark, events)}
+    if not months and exists(spark, events):  # plain files of others, which nothing tells apart from changed ones
+        months = {("listening_events", uuid.uuid4().hex, *m) for m in months_of(read_silver(spark, root, "listening_events"))}
+    versions = {n: table_path(root, n) for n in _LOOKUP_TABLES}
+    return months | {(n, current_version(spark, p) or "", None, None) for n, p in versions.items() if exists(spark, p)}
+
+
+def _lookups(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {
+        "track_id": gold.track_lookup(s["tracks"], s["albums"], s["audio_features"]),
+        "artist_name": gold.artist_lookup(s["artists"], s["artist_tags"]),
+    }
+
+
+def _changed_keys(spark: SparkSession, now: DataFrame, path: str, key: str) -> DataFrame:
+    """Keys whose rows differ from the stored ones, in either direction."""
+    if not exists(spark, path):
+        return now.select(key).distinct()
+    old = read_table(spark, path).select(*now.columns)
+    sides = now.withColumn("_now", F.lit(1)).unionByName(old.withColumn("_now", F.lit(-1)))
+    return sides.groupBy(*now.columns).agg(F.sum("_now").alias("_now")).filter(F.col("_now") != 0).select(key).distinct()
+
+
 def build_gold(
     spark: SparkSession, root: str, work: str, broadcast_bytes: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS
 ) -> None:
-    """Build the gold layer from silver. The aggregates read the written fact, not its plan."""
+    """Build the gold layer from silver, all of it, whatever was built before."""
+    remove(spark, _built_path(root))
+    refresh_gold(spark, root, work, broadcast_bytes, hot_rows)
+
+
+def refresh_gold(
+    spark: SparkSession, root: str, work: str, broadcast_bytes: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS
+) -> list[Month]:
+    """Bring gold up to date with silver; returns the months of the fact that were written anew.
+
+    These are the months that silver wrote since, by its manifest, and months with plays whose track or artist looks up to
+    other rows than last time. Only they are joined and stored, with their sums per day, track, artist and description (`partials`); the
+    aggregates are then made from the sums, and days and months that nothing touched keep their stored rows. A run that broke off
+    is made up for by the next one, as what was built is noted last.
+    """
+    path = {name: table_path(root, name) for name in [*GOLD, "partials"]}
+    held = f"{root.rstrip('/')}/gold/_lookups"
+    inputs, built = _inputs(spark, root), {tuple(r) for r in read_optional(spark, _built_path(root), _BUILT).collect()}
+    if inputs == built:
+        return []
     s = read_lake(spark, root)
-    path = {name: table_path(root, name) for name in GOLD}
-    tracks, albums, artists, events = s["tracks"], s["albums"], s["artists"], s["listening_events"]
-    wide_tracks = gold.dim_tracks(tracks, albums, s["track_tags"], s["audio_features"])
-    write_table(wide_tracks, path["dim_tracks"], when=tracks)
-    write_table(gold.dim_artists(artists, s["artist_tags"]), path["dim_artists"], when=artists)
-    if events.isEmpty():
-        return
-    lookups = {
-        "track_id": gold.track_lookup(tracks, albums, s["audio_features"]),
-        "artist_name": gold.artist_lookup(artists, s["artist_tags"]),
-    }
-    write_by_month(build_fact(events, lookups, work, broadcast_bytes, hot_rows), path["fact_plays"])
-    plays = read_gold(spark, root, "fact_plays")
-    write_table(gold.agg_daily(plays).orderBy("date"), path["agg_daily"])
-    write_table(gold.agg_monthly(plays).orderBy("year", "month"), path["agg_monthly"])
-    about = gold.dim_artists(artists, s["artist_tags"])
-    write_table(gold.by_total_plays(gold.agg_artist_stats(plays, about)), path["agg_artist_stats"])
-    write_table(gold.by_total_plays(gold.agg_track_stats(plays)), path["agg_track_stats"])
+    tables_changed = {n for n, *_ in inputs ^ built} & set(_LOOKUP_TABLES)
+    if tables_changed or not built:
+        write_table(gold.dim_tracks(s["tracks"], s["albums"], s["track_tags"], s["audio_features"]), path["dim_tracks"], when=s["tracks"])
+        write_table(gold.dim_artists(s["artists"], s["artist_tags"]), path["dim_artists"], when=s["artists"])
+    written = {x[2:] for x in inputs if x[0] == "listening_events"}
+    stale = {x[2:] for x in inputs ^ built if x[0] == "listening_events"} & written
+    known = written - stale
+    lookups = {key: materialize(df, f"{work}/now_{key}") for key, df in _lookups(s).items()} if tables_changed or stale else {}
+    if tables_changed and built and known:
+        parts = read_gold(spark, root, "partials")
+        for key, now in lookups.items():
+            changed = _changed_keys(spark, now, f"{held}/{key}", key)
+            stale |= {m for m in months_of(semi_join(parts, changed, [key])) if m in written}
+    if stale:
+        events = read_by_month(spark, table_path(root, "listening_events"), schemas.EVENTS_PARTITIONED, sorted(stale, key=str))
+        write_by_month(build_fact(events, lookups, work, broadcast_bytes, hot_rows), path["fact_plays"])
+        fresh = read_by_month(spark, path["fact_plays"], months=sorted(stale, key=str))
+        write_by_month(gold.partials(fresh), path["partials"])
+    if written and (stale or tables_changed):
+        _write_aggregates(spark, root, s, path, stale, rebuild=not known)
+    for key, now in lookups.items():
+        write_table(now, f"{held}/{key}")
+    write_table(spark.createDataFrame(sorted(inputs, key=str), _BUILT).coalesce(1), _built_path(root))
+    for key in lookups:
+        remove(spark, f"{work}/now_{key}")
+    return sorted(stale, key=str)
+
+
+def _write_aggregates(spark: SparkSession, root: str, s: dict[str, DataFrame], path: dict[str, str], stale: set[Month], rebuild: bool) -> None:
+    """The four aggregates out of the stored sums. Days of untouched months are taken over; what a lifetime counts is summed anew."""
+    parts = read_gold(spark, root, "partials")
+    if stale:
+        touched = read_by_month(spark, path["partials"], months=sorted(stale, key=str))
+        daily = gold.daily_of(touched)
+        if not rebuild:
+            month = [F.year("date").alias("year"), F.month("date").alias("month")]
+            stored = read_gold(spark, root, "agg_daily").select("*", *month)
+            kept = ~F.coalesce(is_month(sorted(stale, key=str)), F.lit(False))
+            daily = stored.filter(kept).drop("year", "month").unionByName(daily)
+        write_table(daily.orderBy("date"), path["agg_daily"])
+        write_table(gold.monthly_of(parts).orderBy("year", "month"), path["agg_monthly"])
+        write_table(gold.by_total_plays(gold.track_stats_of(parts)), path["agg_track_stats"])
+    about = gold.dim_artists(s["artists"], s["artist_tags"])
+    write_table(gold.by_total_plays(gold.artist_stats_of(parts, about)), path["agg_artist_stats"])
 
 
 def enrich_from_catalogue(spark: SparkSession, root: str, dump: str, work: str) -> None:
@@ -317,6 +403,12 @@ def transform_gold(spark: SparkSession, root: str, work: str) -> DataFrame:
     return report(spark, root)
 
 
+def refresh_all(spark: SparkSession, root: str, work: str, checkpoint: str) -> list[Month]:
+    """What runs each hour: silver from new files, then gold from what they changed; returns the months of the fact that were written."""
+    refresh_silver(spark, root, f"{work}/silver", checkpoint)
+    return refresh_gold(spark, root, f"{work}/gold")
+
+
 def run_all(spark: SparkSession, landing: str, root: str, work: str) -> None:
     """Ingest, then silver."""
     ingest_increment(spark, landing, root, f"{work}/ingest")

@@ -165,6 +165,7 @@ TABLE_PATHS = {
     "agg_monthly": "gold/agg_monthly",
     "agg_artist_stats": "gold/agg_artist_stats",
     "agg_track_stats": "gold/agg_track_stats",
+    "partials": "gold/partials",
 }
 BRONZE_PATHS = {
     "plays": "bronze/spotify_api/recently_played",

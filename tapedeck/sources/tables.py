@@ -16,7 +16,7 @@ from tapedeck import schemas
 from tapedeck.sources.bronze import list_files
 from tapedeck.sources.files import children, exists, hours_old, mark, marked, remove, stored_size
 
-MONTHLY = {"listening_events", "fact_plays"}
+MONTHLY = {"listening_events", "fact_plays", "partials"}
 _COMMITTED, _VERSION, _NO_VALUE = "_committed", "v[0-9]{10}", "__HIVE_DEFAULT_PARTITION__"
 _PARTS = schemas.struct(write=schemas.TEXT, **schemas.same(schemas.INT, "year month bucket buckets"))
 # After so long a write that is noted as under way is taken to have broken off.
@@ -289,7 +289,7 @@ def read_by_month(spark: SparkSession, path: str, schema: StructType | None = No
     return read_parts(spark, path, [p for p in parts if months is None or p.place[:2] in months], schema)
 
 
-def _is_month(months: list[Month]) -> Column:
+def is_month(months: list[Month]) -> Column:
     def one(year: int | None, month: int | None) -> Column:
         y = F.col("year").isNull() if year is None else F.col("year") == year
         m = F.col("month").isNull() if month is None else F.col("month") == month
@@ -300,7 +300,7 @@ def _is_month(months: list[Month]) -> Column:
 
 def only_months(df: DataFrame, months: list[Month]) -> DataFrame:
     """Rows of some (year, month) partitions, as a filter that prunes folders."""
-    return df.filter(_is_month(months))
+    return df.filter(is_month(months))
 
 
 def months_of(df: DataFrame) -> list[Month]:

@@ -42,7 +42,7 @@ def play(at, key, name, who, **more):
     return {"played_at": at, "track": track(key, name, who, **more), "context": None}
 
 
-A, B = artist("a1", "Ann"), artist("b1", "Bob")
+A, B, C = artist("a1", "Ann"), artist("b1", "Bob"), artist("d9", "Dee")
 
 
 def make_lake(root):
@@ -648,3 +648,44 @@ def test_refresh_equals_a_rebuild_and_leaves_other_months_alone(spark, tmp_path)
 def test_refresh_of_an_empty_lake_writes_nothing(spark, tmp_path):
     jobs.refresh_silver(spark, str(tmp_path / "lake"), str(tmp_path / "w"), str(tmp_path / "cp"))
     assert not list((tmp_path / "lake/silver").glob("*"))
+
+
+def test_gold_of_what_changed_equals_a_full_build(spark, tmp_path):
+    lake, work, cp = tmp_path / "lake", str(tmp_path / "w"), str(tmp_path / "cp")
+    root, plays = str(lake), lake / schemas.BRONZE_PATHS["plays"]
+    make_lake(lake)
+
+    def stored(name):
+        return {p.place: p.write for p in tables.live_parts(spark, tables.table_path(root, name))}
+
+    def gold_rows():
+        def plain(row):
+            return tuple(round(x, 9) if isinstance(x, float) else x for x in row)
+
+        return {n: sorted(map(repr, map(plain, tables.read_gold(spark, root, n).collect()))) for n in jobs.GOLD}
+
+    def versions():
+        return {n: tables.current_version(spark, tables.table_path(root, n)) for n in ("dim_tracks", "agg_daily")}
+
+    january, february, march = ((2024, k) for k in (1, 2, 3))
+    assert set(jobs.refresh_all(spark, root, work, cp)) == {january, february}
+    first = stored("fact_plays"), stored("partials"), versions()
+    assert jobs.refresh_gold(spark, root, work) == [] and (stored("fact_plays"), stored("partials"), versions()) == first
+
+    # One day lands, of tracks and artists that are known or unknown to other months.
+    put(plays / "day.json", [play("2024-03-01T10:00:00Z", "t5", "Five", C), play("2024-03-01T11:00:00Z", "t6", "Six", C)])
+    assert jobs.refresh_all(spark, root, work, cp) == [march]
+    for name, before in zip(("fact_plays", "partials"), first, strict=False):
+        after = stored(name)
+        assert {p: w for p, w in after.items() if p[:2] != march} == before and (*march, None) in after
+    changed = gold_rows()
+    jobs.build_gold(spark, root, work)
+    assert gold_rows() == changed
+
+    # A look-up row that changes reaches every month with its track, and no other.
+    tracks = tables.read_silver(spark, root, "tracks")
+    tables.swap_table(tracks.withColumn("popularity", F.when(F.col("track_id") == "t5", 99).otherwise(F.col("popularity"))), tables.table_path(root, "tracks"))
+    assert jobs.refresh_gold(spark, root, work) == [march]
+    changed = gold_rows()
+    jobs.build_gold(spark, root, work)
+    assert gold_rows() == changed and "99" in str([r for r in changed["agg_track_stats"] if "'t5'" in r])
