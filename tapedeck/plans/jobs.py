@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import timedelta
 from functools import reduce
 from operator import and_
 
@@ -13,7 +14,7 @@ from pyspark.sql.types import StructType
 from tapedeck import schemas
 from tapedeck.functions.text import encode_key
 from tapedeck.functions.timestamps import epoch_millis, parse_utc
-from tapedeck.operators.joins import hot_keys, semi_join, smallest_mapping
+from tapedeck.operators.joins import anti_join, hot_keys, semi_join, smallest_mapping
 from tapedeck.operators.validation import profile, row_counts
 from tapedeck.plans import enrichment, gold, responses, silver, worklists
 from tapedeck.sources import bronze, state
@@ -51,6 +52,8 @@ BRONZE_SCHEMAS = {
 # Size in memory up to which a lookup of the fact is broadcast, and how much larger than its files a table is taken to be there.
 BROADCAST_BYTES = 256 * 1024 * 1024
 EXPANSION = 8
+# How long before the last run a landed file may have been changed and is still read again.
+LANDING_SLACK = timedelta(days=1)
 # Plays of one key from which on its rows are spread over several partitions.
 HOT_ROWS = 5_000_000
 
@@ -351,6 +354,16 @@ def new_plays(plays: DataFrame, cursor: DataFrame) -> DataFrame:
     return plays.filter(epoch_millis(parse_utc(F.col("played_at"))) > after)
 
 
+def new_records(spark: SparkSession, landing: str, cursor: DataFrame, slack: timedelta = LANDING_SLACK) -> DataFrame:
+    """Records of the files that came since the last run, by the time of their last change.
+
+    Files that were changed in the `slack` before that run are read again: they may have arrived while it was under way, or from a
+    machine whose clock is behind. Plays that the cursor covers are left out later.
+    """
+    last = cursor.select("last_run_timestamp").first()["last_run_timestamp"]
+    return bronze.read_json(spark, landing, schemas.PLAY, since=last - slack)
+
+
 def quarantine(rows: DataFrame, path: str) -> None:
     """Append unreadable or rejected records that the table does not hold yet."""
     spark, names = rows.sparkSession, rows.columns
@@ -363,17 +376,31 @@ def quarantine(rows: DataFrame, path: str) -> None:
 def ingest_increment(
     spark: SparkSession, landing: str, root: str, work: str, run_at: Column | None = None
 ) -> None:
-    """Land the valid plays that came after the cursor, then move it: bad records and data first, so none is lost."""
+    """Land the valid plays that came after the cursor, then move it: bad records and data first, so none is lost.
+
+    Only files that came since the last run are opened. That plays are about to land is noted first: if the run breaks off before
+    the cursor moves, the next one leaves out what has landed.
+    """
     run_at = F.current_timestamp() if run_at is None else run_at
     cursor_path = f"{root.rstrip('/')}/{schemas.STATE_PATH}"
-    records = materialize(bronze.read_json(spark, landing, schemas.PLAY), f"{work}/landing")
+    cursor = state.read_cursor(spark, cursor_path)
+    records = materialize(new_records(spark, landing, cursor), f"{work}/landing")
     valid, bad = bronze.split_plays(records)
     quarantine(bad, quarantine_path(root, "plays_rejected"))
-    fresh = materialize(new_plays(valid, state.read_cursor(spark, cursor_path)), f"{work}/fresh")
+    fresh, plays = materialize(new_plays(valid, cursor), f"{work}/fresh"), bronze_path(root, "plays")
     if fresh.isEmpty():
         return
-    bronze.land_plays(fresh, bronze_path(root, "plays"), run_at)
+    noted = f"{root.rstrip('/')}/system/landing/after-{cursor.first()['last_played_at_unix_ms']}"
+    missing = fresh
+    if exists(spark, noted):
+        landed = bronze.plays_only(new_records(spark, plays, cursor))
+        record = F.to_json(F.struct(*schemas.PLAY.names)).alias("_json")
+        missing = anti_join(fresh.withColumn("_json", record), landed.select(record), ["_json"]).drop("_json")
+    else:
+        mark(spark, noted)
+    bronze.land_plays(missing, plays, run_at)
     swap_table(state.advance_cursor(fresh, run_at), cursor_path)
+    remove(spark, noted)
 
 
 def ingest_stream(spark: SparkSession, landing: str, root: str, checkpoint: str) -> None:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from datetime import datetime
+
+import pandas as pd
+from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
@@ -13,6 +18,8 @@ from tapedeck.sources.files import exists
 
 # Why a record can't be read (null if it can), its text, and the file it came from.
 CORRUPT, RECORD, SOURCE_FILE = "_corrupt_record", "_record", "_source_file"
+# Bytes of a raw file that are kept in one row.
+RANGE = 64 * 1024 * 1024
 # Name patterns of the two export generations (of a file, or of a folder of its parts).
 EXPORT_PATH_PATTERN = "(StreamingHistory|Streaming_History).*[.](json|txt)$"
 
@@ -110,18 +117,20 @@ def typed_lines(lines: DataFrame, schema: StructType) -> DataFrame:
     return _once(fields, F.when(fits, good).otherwise(_judged(schema, F.col("_texts"), parsed, F.col("_text"))))
 
 
-def read_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_json(spark: SparkSession, path: str, schema: StructType, since: datetime | None = None) -> DataFrame:
     """JSON files under `path`, sub-folders included, with _corrupt_record, _record and _source_file.
 
     A `.json` file comes from elsewhere and holds one value, an array of records or a record, over as many lines as it
     likes; one task reads it. A `.txt` file comes from the writers below and holds one record (or array) in a line; it splits.
+    Files that were last changed before `since` (UTC) are not opened.
     """
     if not exists(spark, path):
         marks = [StructField(c, StringType()) for c in (CORRUPT, RECORD, SOURCE_FILE)]
         return spark.createDataFrame([], StructType([*schema.fields, *marks]))
     source = F.col("_metadata.file_path").alias(SOURCE_FILE)
-    whole = as_text(spark.read, schema).option("multiLine", True).option("pathGlobFilter", "*.json").json(path)
-    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path)
+    recent = {} if since is None else {"modifiedAfter": since.strftime("%Y-%m-%dT%H:%M:%S"), "timeZone": "UTC"}
+    whole = as_text(spark.read.options(**recent), schema).option("multiLine", True).option("pathGlobFilter", "*.json").json(path)
+    lines = spark.read.options(**recent).option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path)
     return typed(whole.select("*", source), schema).unionByName(typed_lines(lines.select("*", source), schema))
 
 
@@ -206,10 +215,33 @@ def discover_exports(spark: SparkSession, path: str) -> DataFrame:
     return list_files(spark, path).filter(F.col("path").rlike(EXPORT_PATH_PATTERN))
 
 
-def keep_raw_files(spark: SparkSession, source: str, target: str) -> None:
-    """Keep export files byte by byte as a table (path, modified, length, content)."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
-    named = files.filter(F.col("path").rlike(EXPORT_PATH_PATTERN))
-    named.write.mode("append").parquet(target)
+def _read_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The bytes of (path, offset) on: one row at a time, as each may be as large as RANGE."""
+    for batch in batches:
+        for row in batch.itertuples(index=False):
+            store, where = FileSystem.from_uri(row.path)
+            with store.open_input_file(where) as file:
+                file.seek(row.offset)
+                content = file.read(row.size)
+            yield pd.DataFrame({"path": [row.path], "modificationTime": [row.modificationTime], "length": [row.length], "offset": [row.offset], "content": [content]})
+
 
+def keep_raw_files(spark: SparkSession, source: str, target: str, size: int = RANGE) -> None:
+    """Keep export files byte by byte as a table (path, modificationTime, length, offset, content), of any length.
 
+    A file of more than `size` bytes is kept as ranges of that size, a row each; several tasks read it. Empty files have no row.
+    """
+    kept = ["path", "modificationTime", "length", "offset", "content"]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source).filter(F.col("path").rlike(EXPORT_PATH_PATTERN))
+    whole = files.filter(F.col("length") <= size).withColumn("offset", F.lit(0).cast("bigint"))
+    starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(size).cast("bigint")))
+    ranges = files.filter(F.col("length") > size).select("path", "modificationTime", "length", starts.alias("offset"), F.lit(size).alias("size"))
+    schema = "path string, modificationTime timestamp, length bigint, offset bigint, content binary"
+    cut = ranges.repartition(F.col("path"), F.col("offset")).mapInPandas(_read_ranges, schema)
+    whole.select(*kept).unionByName(cut).write.mode("append").parquet(target)
+
+
+def raw_content(kept: DataFrame, path: str) -> Iterator[bytes]:
+    """The bytes of one kept file, range by range."""
+    for row in kept.filter(F.col("path") == path).select("offset", "content").orderBy("offset").toLocalIterator():
+        yield bytes(row["content"])

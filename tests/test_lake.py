@@ -409,6 +409,41 @@ def test_ingest_lands_new_valid_plays_once(spark, tmp_path):
     assert [r["track_id"] for r in heard] == ["t1", "t2", "t3"]
 
 
+def test_ingest_opens_only_files_that_came_since_the_last_run(spark, tmp_path):
+    root, landing, work = str(tmp_path / "lake"), tmp_path / "landing", str(tmp_path / "w")
+    cursor_path = f"{root}/{schemas.STATE_PATH}"
+    for k in range(5):
+        put(landing / f"{k}.json", [play(f"2024-01-0{k + 1}T10:00:00Z", f"t{k}", f"n{k}", A)])
+    assert len(jobs.new_records(spark, str(landing), state.read_cursor(spark, cursor_path)).inputFiles()) == 5
+    jobs.ingest_increment(spark, str(landing), root, work)
+    for k in range(5):
+        os.utime(landing / f"{k}.json", (1_700_000_000, 1_700_000_000))
+    put(landing / "5.txt", json.dumps([play("2024-02-01T10:00:00Z", "t9", "n9", A), play("2024-01-01T10:00:00Z", "t0", "n0", A)]))
+    opened = jobs.new_records(spark, str(landing), state.read_cursor(spark, cursor_path)).inputFiles()
+    assert [f.rsplit("/", 1)[1] for f in opened] == ["5.txt"]
+    stored = spark.read.parquet(tables.current_version(spark, cursor_path)).collect()
+    jobs.ingest_increment(spark, str(landing), root, work)
+    # The same run once more, as if it had broken off before the cursor moved: nothing lands twice.
+    tables.write_table(spark.createDataFrame(stored, schemas.CURSOR), cursor_path)
+    put(tmp_path / f"lake/system/landing/after-{stored[0]['last_played_at_unix_ms']}", "")
+    jobs.ingest_increment(spark, str(landing), root, work)
+    landed = bronze.read_plays(spark, jobs.bronze_path(root, "plays"))
+    assert sorted(r["track"]["id"] for r in landed.collect()) == ["t0", "t1", "t2", "t3", "t4", "t9"]
+
+
+def test_raw_files_of_any_size_are_kept_byte_for_byte(spark, tmp_path):
+    content = {"Streaming_History_1.json": bytes(range(256)) * 40, "StreamingHistory_2.json": b"x" * 1000, "Userdata.json": b"no"}
+    (tmp_path / "in").mkdir()
+    for name, data in content.items():
+        (tmp_path / "in" / name).write_bytes(data)
+    bronze.keep_raw_files(spark, str(tmp_path / "in"), str(tmp_path / "kept"), size=1000)
+    kept = spark.read.parquet(str(tmp_path / "kept"))
+    rows = {(r["path"].rsplit("/", 1)[1], r["offset"]) for r in kept.collect()}
+    assert rows == {("StreamingHistory_2.json", 0), *[("Streaming_History_1.json", k * 1000) for k in range(11)]}
+    for path in {r["path"] for r in kept.collect()}:
+        assert b"".join(bronze.raw_content(kept, path)) == content[path.rsplit("/", 1)[1]]
+
+
 def test_look_up_batches_are_recorded_and_not_asked_again(spark, tmp_path):
     root = tmp_path / "lake"
     make_lake(root)
