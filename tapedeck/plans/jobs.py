@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from datetime import timedelta
-from functools import reduce
+from functools import partial, reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql.types import StructType
 from tapedeck import schemas
 from tapedeck.functions.text import encode_key
 from tapedeck.functions.timestamps import epoch_millis, parse_utc
-from tapedeck.operators.joins import anti_join, hot_keys, semi_join, smallest_mapping
+from tapedeck.operators.joins import anti_join, hot_keys, semi_join
 from tapedeck.operators.validation import profile, row_counts
 from tapedeck.plans import enrichment, gold, responses, silver, worklists
 from tapedeck.sources import bronze, state
@@ -27,7 +28,6 @@ from tapedeck.sources.tables import (
     live_parts,
     materialize,
     months_of,
-    only_months,
     read_by_month,
     read_gold,
     read_optional,
@@ -134,18 +134,11 @@ def stage_markers(spark: SparkSession, root: str, work: str) -> dict[str, DataFr
     return {n: bronze.found_only(stage_bronze(spark, root, n, BRONZE_SCHEMAS[n], work)) for n in names}
 
 
-def write_dimensions(spark: SparkSession, root: str, played: silver.Dimensions, markers: dict[str, DataFrame]) -> None:
+def write_dimensions(spark: SparkSession, root: str, played: silver.Dimensions, looked_up: silver.Dimensions, tags: dict[str, DataFrame]) -> None:
     """Artists, albums, tracks and the tag tables, out of what plays say and what look-ups found."""
     existing = silver.Dimensions(*[read_silver(spark, root, t) for t in ("artists", "albums", "tracks")])
-    dims = silver.build_dimensions(played, silver.dimension_rows(markers["track_markers"]), existing)
-    built = {
-        "artists": dims.artists,
-        "albums": dims.albums,
-        "tracks": dims.tracks,
-        "track_tags": silver.track_tags(markers["track_tag_markers"]),
-        "artist_tags": silver.artist_tags(markers["artist_tag_markers"]),
-    }
-    for name, df in built.items():
+    dims = silver.build_dimensions(played, looked_up, existing)
+    for name, df in {"artists": dims.artists, "albums": dims.albums, "tracks": dims.tracks, **tags}.items():
         swap_table(df, table_path(root, name))
 
 
@@ -157,7 +150,8 @@ def build_silver(spark: SparkSession, root: str, work: str, export_zone: str | N
     markers = stage_markers(spark, root, work)
     staged = {name: stage_bronze(spark, root, name, BRONZE_SCHEMAS[name], work) for name in ("plays", "exports")}
     plays, exports = bronze.plays_only(staged["plays"]), bronze.readable(staged["exports"])
-    write_dimensions(spark, root, silver.dimension_rows(plays), markers)
+    tags = {"track_tags": silver.track_tags(markers["track_tag_markers"]), "artist_tags": silver.artist_tags(markers["artist_tag_markers"])}
+    write_dimensions(spark, root, silver.dimension_rows(plays), silver.dimension_rows(markers["track_markers"]), tags)
     if not (plays.isEmpty() and exports.isEmpty()):
         mapping = silver.enrichment_mapping(markers["track_markers"])
         events = silver.listening_events(silver.api_events(plays), silver.export_events(exports, mapping, export_zone))
@@ -167,42 +161,37 @@ def build_silver(spark: SparkSession, root: str, work: str, export_zone: str | N
 
 
 def refresh_silver(spark: SparkSession, root: str, work: str, checkpoint: str, export_zone: str | None = None) -> None:
-    """The same tables as build_silver, from play and export files that came since the last run.
+    """The same tables as build_silver, from files that came since the last run.
 
-    New files are parsed into tables under `parsed/`. Only months that these files touch are deduplicated and written anew,
-    and months with plays whose id a look-up has found since. A run that broke off is made up for by the next one.
+    New files of every kind are parsed into batches under `parsed/` and merged into running tables there. Only months that the batches touch are
+    deduplicated and written anew, and months with plays whose id a look-up has found since; files of other months, batches and look-ups
+    are not read. A run that broke off is made up for by the next one.
     """
     parsed, own = f"{root.rstrip('/')}/parsed", f"{work}/refresh"
+    made = {
+        "plays": parse.of_plays, "exports": partial(parse.of_exports, zone=export_zone), "track_markers": parse.of_track_markers,
+        "track_tag_markers": parse.of_track_tags, "artist_tag_markers": parse.of_artist_tags,
+    }
+    for name, frames in made.items():
 
-    def keep_plays(records: DataFrame, folder: str) -> None:
-        parse.keep_plays(bronze.plays_only(records), parsed, folder)
-
-    def keep_exports(records: DataFrame, folder: str) -> None:
-        parse.keep_events(silver.music_exports(bronze.readable(records), export_zone), parsed, folder)
+        def keep(records: DataFrame, folder: str, frames: Callable = frames) -> None:
+            parse.keep_batch(frames(records), parsed, folder)
 
-    for name, keep in (("plays", keep_plays), ("exports", keep_exports)):
         bad = quarantine_path(root, f"{name}_parsed")
         parse.parse_available(spark, bronze_path(root, name), BRONZE_SCHEMAS[name], keep, bad, f"{checkpoint}/{name}", own)
-    markers = stage_markers(spark, root, own)
-    write_dimensions(spark, root, parse.parsed_dimensions(spark, parsed), markers)
-
-    mapping = materialize(smallest_mapping(silver.enrichment_mapping(markers["track_markers"])), f"{own}/mapping")
-    batches = parse.unmerged(spark, parsed)
-    changed = mapping.subtract(read_optional(spark, f"{parsed}/mapping", mapping.schema))
-    stale = {month for months in batches.values() for month in months}
-    events, from_api = parse.parsed_events(spark, parsed), F.col("source_type") == "api"
-    learned = not changed.isEmpty()
-    if learned:
-        pair = changed.select(F.col("search_artist_name").alias("artist_name"), F.col("search_track_name").alias("track_name"))
-        stale.update(months_of(semi_join(events.filter(~from_api & F.col("track_id").isNull()), pair, ["artist_name", "track_name"])))
+    merge = parse.Merge(spark, parsed)
+    updated = [name for name in merge.schemas if merge.update(name)]
+    if set(updated) - {"mapping"}:
+        tags = {name: merge.state(name) for name in ("track_tags", "artist_tags")}
+        write_dimensions(spark, root, merge.dimensions(), merge.dimensions("marker_"), tags)
+    stale = set(merge.keep_events())
+    if "mapping" in updated:
+        stale.update(merge.months_without_id(merge.newly_mapped()))
     if stale:
-        rows = only_months(events, list(stale)).select(schemas.EVENTS.names)
-        merged = silver.listening_events(rows.filter(from_api), silver.fill_exports(rows.filter(~from_api), mapping))
-        write_by_month(merged, table_path(root, "listening_events"))
-    if learned:
-        write_table(mapping, f"{parsed}/mapping")
-    for batch in batches:
-        mark(spark, f"{parsed}/merged/{batch}")
+        rows, from_api = merge.kept_events(list(stale)).select(schemas.EVENTS.names), F.col("source_type") == "api"
+        filled = silver.fill_exports(rows.filter(~from_api), merge.state("mapping"))
+        write_by_month(silver.listening_events(rows.filter(from_api), filled), table_path(root, "listening_events"))
+    merge.done()
     remove(spark, own)
 
 

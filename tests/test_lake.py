@@ -670,6 +670,8 @@ def test_refresh_equals_a_rebuild_and_leaves_other_months_alone(spark, tmp_path)
     put(lake / schemas.BRONZE_PATHS["track_markers"] / "late.json", {"search_artist_name": "Cyd", "search_track_name": "Three", "track": track("t3", "Three", B)})
     jobs.refresh_silver(spark, root, work, cp)
     third, rows = months(), silver_rows()
+    # Nothing of the batches is left to be read again: a write for each month, and one row for each key.
+    assert not list((lake / "parsed").glob("*/batch=*")) and len(list((lake / "parsed/kept/data").glob("*/*/*"))) <= 6
     assert third["month=1"] == first["month=1"] and third["month=3"] == second["month=3"] and third["month=2"] != second["month=2"]
     assert any("Three" in r and "'t3'" in r for r in rows["listening_events"])
 
