@@ -172,10 +172,11 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learn(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> tuple[tuple[str, tuple[str, ...]], ...]:
-    """Sample texts of each language: the first `rows` labelled rows by a hash of their doc_id, `chars` characters each."""
+    """Sample texts of each language: the first `rows` distinct labelled texts by a hash, a stretch of `chars` characters from a hashed place of each."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    # Behind the first word or two, which are capitalised or cut in any language.
-    cut = known.select("lang", F.xxhash64("doc_id", "text").alias("h"), F.substring("text", 1, chars).alias("t"))
+    h = F.xxhash64("text")
+    start = F.pmod(h, F.greatest(F.length("text") - chars, F.lit(0)) + 1).cast("int") + 1
+    cut = known.select("lang", h.alias("h"), F.col("text").substr(start, F.lit(chars)).alias("t")).dropDuplicates(["lang", "h"])
     first = cut.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "t"))).where(F.col("r") <= rows)
     found: dict[str, list[tuple[int, str]]] = {}
     for row in first.collect():
