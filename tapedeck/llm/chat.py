@@ -6,15 +6,18 @@ and emission probabilities are counted on a bounded sample of conversations with
 
 Viterbi runs on pieces: every chunk is reduced to the best scores from each state before it to each state after it, chunks
 to blocks, and blocks to a transcript. Going back down, the best states at the borders fix each block, then each chunk, then
-its lines, so that no task needs more of a transcript than `BLOCK` chunks or its list of blocks.
+its lines, so that no task needs more of a transcript than `BLOCK` chunks or its list of blocks. A block holds the next `BLOCK` chunks in order,
+whatever their sequence numbers are. A blank line never begins a turn, and a line that goes on with one is kept whole.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +28,10 @@ ROLES = ["system", "user", "assistant"]
 STATES = 2 * len(ROLES)
 #: Chunks whose matrices are multiplied in one row of work.
 BLOCK = 4096
-#: Conversations that the model is counted on at most.
-SAMPLE = 1500
+#: Conversations that the model is counted on at most, and how long one of them may be: longer ones are not drawn.
+SAMPLE, SAMPLE_TURNS, SAMPLE_CHARS = 1500, 64, 100_000
+#: What a blank line costs as the beginning of a turn.
+_NO_TURN = -1e6
 
 # Names that dumps use for speakers.
 _SPEAKERS = [
@@ -73,7 +78,9 @@ class Model:
 
     def emissions(self, lines: list[str]) -> np.ndarray:
         seen = np.array(observations(lines), int)
-        return sum(p[:, seen[:, k]] for k, p in enumerate(self.parts)).T
+        scores = sum(p[:, seen[:, k]] for k, p in enumerate(self.parts)).T
+        scores[(seen[:, 0] < 2) & (seen[:, 1] == 0), ::2] += _NO_TURN
+        return scores
 
     def matrix(self, text: str | None) -> np.ndarray:
         """Best score from each state before these lines to each state at their last one."""
@@ -134,8 +141,10 @@ def fit(labelled: list[list[tuple[str, str]]]) -> Model:
         states, lines = [], []
         for role, chunk in conversation:
             if role in ROLES:
-                own = chunk.split("\n")
-                states += [2 * ROLES.index(role)] + [2 * ROLES.index(role) + 1] * (len(own) - 1)
+                own, state = chunk.split("\n"), 2 * ROLES.index(role)
+                # Blank lines in front belong to the turn before.
+                ahead = next((k for k, line in enumerate(own) if line.strip()), 0) if states else 0
+                states += [states[-1] | 1 if states else state] * ahead + [state] + [state + 1] * (len(own) - ahead - 1)
                 lines += own
         if states:
             start[states[0]] += 1
@@ -150,14 +159,38 @@ def rendered(role: Column, text: Column) -> Column:
     return F.concat(F.lit("<|im_start|>"), role, F.lit("\n"), text, F.lit("<|im_end|>\n"))
 
 
+def in_blocks(rows: DataFrame, most: int = BLOCK) -> DataFrame:
+    """conv_id, seq, text -> with `block` and `place` (from 1): a conversation's rows in the order of seq, nulls first, then text, `most` to a block.
+
+    Partitions are ranges of that order, so that a long conversation, or one whose rows have no seq, spreads over many.
+    """
+
+    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, place, last = TaskContext.get().partitionId() << 32, 0, None
+        for batch in batches:
+            blocks, places = [], []
+            for key in batch["key"]:
+                if place == most or (last is not None and key != last):
+                    block, place = block + 1, 0
+                place, last = place + 1, key
+                blocks.append(block)
+                places.append(place)
+            yield batch.drop(columns="key").assign(block=blocks, place=places)
+
+    key = F.when(F.col("conv_id").isNull(), "").otherwise(F.concat(F.lit("c"), F.col("conv_id").cast("string")))
+    order = [F.col("key"), F.col("seq").asc_nulls_first()]
+    spread = rows.withColumn("key", key).repartitionByRange(*order, F.substring("text", 1, 200)).sortWithinPartitions(*order, "text")
+    kind = rows.schema["conv_id"].dataType.simpleString()
+    return spread.mapInPandas(number, f"conv_id {kind}, seq long, text string, block long, place int")
+
+
 def parse(chunks: DataFrame, model: Model, work: Workspace) -> DataFrame:
     """conv_id, seq, text -> conv_id, turn (from 0), role, text, rendered: the turns of each transcript.
 
     Chunks are taken by (seq, text), nulls first; exact repeats of a chunk count once, null texts as empty lines, and rows with
     a null conv_id form one transcript. Turns of nothing but white space are returned with an empty text. Other columns are ignored.
     """
-    rows = chunks.select("conv_id", F.col("seq").cast("long").alias("seq"), F.coalesce("text", F.lit("")).alias("text")).distinct()
-    rows = rows.withColumn("block", F.coalesce(F.floor(F.col("seq") / BLOCK), F.lit(-1 << 40)))
+    rows = in_blocks(chunks.select("conv_id", F.col("seq").cast("long").alias("seq"), F.coalesce("text", F.lit("")).alias("text")).distinct())
 
     @F.pandas_udf("array<double>")
     def matrix(texts: pd.Series) -> pd.Series:
@@ -175,11 +208,7 @@ def parse(chunks: DataFrame, model: Model, work: Workspace) -> DataFrame:
             out.append(score)
         return pd.Series(out, dtype=object)
 
-    order = F.col("seq").asc_nulls_first(), F.col("text")
-    scored = work.keep(
-        rows.withColumn("m", matrix.asNondeterministic()("text")).withColumn("o", opening.asNondeterministic()("text"))
-        .withColumn("place", F.row_number().over(Window.partitionBy("conv_id", "block").orderBy(*order)))
-    )
+    scored = work.keep(rows.withColumn("m", matrix.asNondeterministic()("text")).withColumn("o", opening.asNondeterministic()("text")))
     entry = F.struct("place", "m", "o")
     blocks = scored.groupBy("conv_id", "block").agg(F.array_sort(F.collect_list(entry)).alias("own"))
     blocks = work.keep(blocks.select("conv_id", "block", F.col("own.m").alias("ms"), F.col("own")[0]["o"].alias("o")))
@@ -226,7 +255,8 @@ def parse(chunks: DataFrame, model: Model, work: Workspace) -> DataFrame:
         for text, b, a in zip(texts, before, after, strict=True):
             found: list[dict] = []
             for line, state in zip(text.split("\n"), model.states(text, int(b), int(a)), strict=True):
-                body = marker_of(line)[1]
+                # What looks like a marker inside a turn is part of it.
+                body = _END.sub("", line) if state % 2 else marker_of(line)[1]
                 if found and state % 2:
                     found[-1]["text"] += "\n" + body
                 else:
@@ -246,7 +276,9 @@ def parse(chunks: DataFrame, model: Model, work: Workspace) -> DataFrame:
     numbered = told.withColumn("k", running).join(before, same).withColumn("turn", F.greatest(F.col("earlier") + F.col("k") - 1, F.lit(0)))
     parts = F.array_sort(F.collect_list(F.struct("block", "place", "part", "state", "text")))
     turns = numbered.groupBy("conv_id", "turn").agg(parts.alias("p"))
-    role = F.array(*[F.lit(r) for r in ROLES])[F.floor(F.col("p")[0]["state"] / 2).cast("int")]
+    # What goes on in front of the first turn, as blank lines do, is part of it.
+    state = F.coalesce(F.get(F.filter("p", lambda x: x["state"] % 2 == 0), F.lit(0))["state"], F.col("p")[0]["state"])
+    role = F.array(*[F.lit(r) for r in ROLES])[F.floor(state / 2).cast("int")]
     text = F.regexp_replace(F.array_join(F.col("p.text"), "\n"), r"^\s+|\s+$", "")
     done = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"))
     return done.withColumn("rendered", rendered(F.col("role"), F.col("text")))
@@ -275,12 +307,12 @@ def as_transcript(turns: DataFrame) -> DataFrame:
 
 
 def learn(turns: DataFrame, count: int = SAMPLE) -> Model:
-    """The model from at most `count` conversations, the first by a hash of conv_id, and 64 turns of each."""
-    chosen = turns.select("conv_id").distinct().orderBy(F.xxhash64("conv_id"), "conv_id").limit(count)
-    raw = as_transcript(turns).where("seq < 64").join(F.broadcast(chosen), "conv_id")  # bounded by `count`
-    rank = F.row_number().over(Window.partitionBy("conv_id").orderBy("seq", "text"))
-    rows = raw.withColumn("r", rank).where("r <= 64").select("conv_id", "r", "true_role", F.substring("text", 1, 4000).alias("text")).collect()
+    """The model from at most `count` whole conversations, the first by a hash of conv_id of those with at most SAMPLE_TURNS turns and SAMPLE_CHARS characters."""
+    raw = as_transcript(turns)
+    sizes = raw.groupBy("conv_id").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
+    chosen = sizes.where((F.col("n") <= SAMPLE_TURNS) & (F.col("chars") <= SAMPLE_CHARS)).select("conv_id").orderBy(F.xxhash64("conv_id"), "conv_id").limit(count)
+    rows = raw.join(F.broadcast(chosen), "conv_id").select("conv_id", "seq", "true_role", "text").collect()  # both bounded by `count`
     found: dict = {}
-    for row in sorted(rows, key=lambda r: (str(r["conv_id"]), r["r"])):
+    for row in sorted(rows, key=lambda r: (str(r["conv_id"]), r["seq"] is not None, r["seq"] or 0, r["text"])):
         found.setdefault(row["conv_id"], []).append((row["true_role"], row["text"]))
     return fit(list(found.values()))
