@@ -19,8 +19,10 @@ import hashlib
 import math
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -108,14 +110,20 @@ def parts_of(run: str) -> list[tuple[int, int]]:
     return sorted((a, b) for a, b in places if b - a >= SHORTEST)
 
 
-@lru_cache(maxsize=50_000)
 def step_of(run: str, name: str) -> int:
-    """The run's score under an alphabet in halves of a power of two: 0 looks random, STEPS - 1 does not."""
+    """The run's score under an alphabet in halves of a power of two: 0 looks random, STEPS - 1 does not. Scores of short runs are remembered."""
+    return _known_step(run, name) if len(run) <= 100 else _step(run, name)
+
+
+def _step(run: str, name: str) -> int:
     order = _ORDER[name]
     values = np.array([order[c] for c in run.rstrip("=") if c in order], np.int64)
     return int(steps_of(values[None, :], len(order))[0]) if len(values) >= 8 else STEPS - 1
 
 
+_known_step = lru_cache(maxsize=50_000)(_step)
+
+
 def steps_of(values: np.ndarray, size: int) -> np.ndarray:
     """The scores of equally long strings, one in each row, given by their places in an alphabet of `size` symbols."""
     rows, n = values.shape
@@ -234,12 +242,13 @@ def accepted_steps(candidates: dict[tuple[int, int], int], words: dict[tuple[int
     return {cell: max(s for (c, s), r in rates.items() if c == cell and r <= limit) for cell in {c for (c, _), r in rates.items() if r <= limit}}
 
 
-def scanned(docs: DataFrame, work: Workspace, name: str = "__scan") -> tuple[DataFrame, dict[int, int]]:
-    """`docs` with a struct of what `scan` found, written aside, and the steps accepted over all of them.
+def scanned(docs: DataFrame, work: Workspace, name: str = "__scan", with_text: bool = True) -> tuple[DataFrame, dict[int, int]]:
+    """`docs` with a struct of what `scan` found, written aside with or without the text, and the steps accepted over all of them.
 
     Only counts by cell and step reach the driver: at most len(ALPHABETS) * len(BANDS) * STEPS each.
     """
-    kept = work.keep(docs.withColumn(name, scan_column(F.col("text"))))
+    found = docs.withColumn(name, scan_column(F.col("text")))
+    kept = work.keep(found if with_text else found.drop("text"))
 
     def counts(field: str, n: Column) -> dict[tuple[int, int], int]:
         rows = kept.select(F.explode(f"{name}.{field}").alias("x")).groupBy("x.cell", "x.step").agg(F.sum(n).alias("n"))
@@ -248,36 +257,29 @@ def scanned(docs: DataFrame, work: Workspace, name: str = "__scan") -> tuple[Dat
     return kept, accepted_steps(counts("found", F.lit(1)), counts("words", F.col("x.n")))
 
 
-def all_spans(scan: Column, steps: dict[int, int]) -> Column:
-    """Base spans and the accepted ones that touch none of them, by start, then kind. Accepted ones that overlap are one span."""
-    accepted = F.create_map(*[F.lit(x) for pair in steps.items() for x in pair]) if steps else None
-    base = scan["base"].cast("array<struct<kind:int,begin:bigint,end:bigint>>")
-    if accepted is None:
-        return base
-    free = F.filter(
-        scan["found"],
-        lambda x: (x["step"] <= F.coalesce(accepted[x["cell"]], F.lit(-1)))
-        & ~F.exists(base, lambda b: (b["begin"] < x["end"]) & (x["begin"] < b["end"])),
-    )
-    places = F.array_sort(F.transform(free, lambda x: F.struct(x["begin"].alias("begin"), x["end"].alias("end"))))
-    apart = F.aggregate(places, F.array().cast("array<struct<begin:bigint,end:bigint>>"), _joined)
-    added = F.transform(apart, lambda x: F.struct(F.lit(KINDS.index("random")).alias("kind"), x["begin"].alias("begin"), x["end"].alias("end")))
-    by_start = F.array_sort(
-        F.transform(F.concat(base, added), lambda s: F.struct(s["begin"].alias("begin"), s["kind"].alias("kind"), s["end"].alias("end")))
-    )
-    return F.transform(by_start, lambda s: F.struct(s["kind"].alias("kind"), s["begin"].alias("begin"), s["end"].alias("end")))
-
+def all_spans(base: list[tuple], found: list[tuple], steps: dict[int, int]) -> list[tuple]:
+    """Base spans (kind, start, end) and the accepted ones (start, end, cell, step) that touch none of them, by start, then kind.
 
-def _joined(spans: Column, x: Column) -> Column:
-    """`spans` with one more that begins no earlier: it lengthens the last one if it overlaps it."""
-    last = F.try_element_at(spans, F.lit(-1))
-    longer = F.array(F.struct(last["begin"].alias("begin"), F.greatest(last["end"], x["end"]).alias("end")))
-    return F.when(last["end"] > x["begin"], F.concat(F.slice(spans, F.lit(1), F.size(spans) - 1), longer)).otherwise(F.concat(spans, F.array(x)))
-
-
-def written(spans: Column) -> Column:
-    names = F.array(*[F.lit(k) for k in KINDS])
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", names[s["kind"]], s["begin"], s["end"])), ",")
+    Accepted ones that overlap are one span. Whether a base span is touched is read off the furthest end of those that begin before.
+    """
+    random, added = KINDS.index("random"), []
+    places = sorted((a, b) for _, a, b in base)
+    begins, reach = [a for a, _ in places], list(accumulate((b for _, b in places), max))
+    for start, end, cell, step in sorted(found):
+        if step > steps.get(cell, -1):
+            continue
+        k = bisect_left(begins, end)
+        if k and reach[k - 1] > start:
+            continue
+        if added and added[-1][2] > start:
+            added[-1] = (random, added[-1][1], max(added[-1][2], end))
+        else:
+            added.append((random, start, end))
+    return sorted([*base, *added], key=lambda s: (s[1], s[0]))
+
+
+def written(spans: list[tuple]) -> str:
+    return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
 
 
 def find_secrets(docs: DataFrame, work: Workspace) -> DataFrame:
@@ -285,14 +287,22 @@ def find_secrets(docs: DataFrame, work: Workspace) -> DataFrame:
 
     Null and empty texts have no spans. Other columns are ignored.
     """
-    kept, steps = scanned(docs.select("doc_id", "text"), work)
-    scan_ = F.col("__scan")
-    number = [F.size(F.filter(scan_["base"], lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
-    spans = all_spans(scan_, steps)
-    return kept.select(
-        "doc_id", *number, F.sha2(written(scan_["base"]).cast("binary"), 256).alias("base_sha256"), written(spans).alias("spans"),
-        F.size(F.filter(spans, lambda s: s["kind"] == KINDS.index("random"))).cast("long").alias("n_random"),
-    )
+    kept, steps = scanned(docs.select("doc_id", "text"), work, with_text=False)
+
+    @F.pandas_udf("n_assign long, n_access long, n_hex long, base string, spans string, n_random long")
+    def run(scans: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for base, found in zip(scans["base"], scans["found"], strict=True):
+            own = [(s["kind"], s["begin"], s["end"]) for s in base]
+            spans = all_spans(own, [(s["begin"], s["end"], s["cell"], s["step"]) for s in found], steps)
+            counts = Counter(k for k, _, _ in spans)
+            rows.append((counts[0], counts[1], counts[2], written(own), written(spans), counts[KINDS.index("random")]))
+        return pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base", "spans", "n_random"])
+
+    told = kept.select("doc_id", run.asNondeterministic()(F.col("__scan")).alias("x"))
+    return told.select(
+        "doc_id", "x.n_assign", "x.n_access", "x.n_hex", F.sha2(F.col("x.base").cast("binary"), 256).alias("base_sha256"), "x.spans", "x.n_random"
+    )
 
 
 def redacted(text: Column, scan: Column, steps: dict[int, int], mark: str = "[SECRET]") -> Column:
