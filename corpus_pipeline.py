@@ -14,11 +14,16 @@ from tapedeck.llm import langid, packing, quality, secret_scan, simhash
 from tapedeck.llm.common import Workspace, table
 
 
+#: A prediction at least as sure as this rejects a document whose label names another language.
+SURE = 0.9
+
+
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, hence of no language, go."""
+    """Documents go that have no letter, hence no language, and those in surely another language than their label says."""
     samples = langid.learn(table(spark, sf_dir, "documents"))
-    told = docs.withColumn("__lang", langid.language_column(F.col("text"), samples))
-    return told.where(F.col("__lang.lang_pred") != langid.UNKNOWN).select(*docs.columns)
+    told = docs.withColumn("__told", langid.language_column(F.col("text"), samples))
+    mistaken = (F.col("lang") != F.col("__told.lang_pred")) & (F.col("__told.score") >= SURE)
+    return told.where((F.col("__told.lang_pred") != langid.UNKNOWN) & ~F.coalesce(mistaken, F.lit(False))).select(*docs.columns)
 
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,19 +33,8 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near duplicates the document with the smallest doc_id stays; of rows that share it, the first text."""
-    work = Workspace(spark)
-    grouped = simhash.near_duplicates(docs, work)
-    # Groups without any doc_id can't be named by one: they keep all their rows.
-    kept = grouped.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi")
-    repeats = named.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    single = named.join(repeats, "doc_id", "left_anti")
-    several = named.join(repeats, "doc_id", "left_semi")
-    first = several.groupBy("doc_id").agg(F.min(F.struct(F.col("text"), *[F.col(c) for c in docs.columns if c not in ("doc_id", "text")])).alias("__r"))
-    first = first.select(*[F.col("doc_id") if c == "doc_id" else F.col("__r")[c].alias(c) for c in docs.columns])
-    unnamed = docs.where("doc_id is null")
-    return single.select(*docs.columns).union(first).union(unnamed)
+    """Of each group of near duplicates one row stays: the smallest doc_id (nulls last), of rows that share it the smallest digest of the text."""
+    return simhash.one_of_each(docs, Workspace(spark))
 
 
 def replace_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

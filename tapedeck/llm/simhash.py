@@ -134,6 +134,12 @@ def near_links(prints: DataFrame, work: Workspace, max_bits: int = MAX_BITS) ->
     return blocks.select("fps").mapInPandas(stars, "a long, b long")
 
 
+def roots_of(prints: DataFrame, work: Workspace, max_bits: int = MAX_BITS) -> DataFrame:
+    """Distinct `fp` -> fp, root: the same root for fingerprints that are linked."""
+    roots = components(near_links(prints, work, max_bits), work)
+    return prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, work: Workspace, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, text -> doc_id, fingerprint (16 hex digits), component_id, a row for each row of `docs`.
 
@@ -143,8 +149,23 @@ def near_duplicates(docs: DataFrame, work: Workspace, max_bits: int = MAX_BITS)
     """
     marked = work.keep(docs.select("doc_id", fingerprint_column(F.col("text")).alias("fp")))
     prints = work.keep(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(near_links(prints.select("fp"), work, max_bits), work)
-    rooted = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = prints.join(roots_of(prints.select("fp"), work, max_bits), "fp")
     named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return marked.join(named, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, work: Workspace, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of `docs` for each component of near duplicates: the smallest doc_id, nulls last, then the smallest digest of the text.
+
+    Rows are written with a number. The choice is made on ids, digests and numbers, first for each fingerprint, which map tasks
+    reduce; rows are then picked by their numbers, so that no group of copies meets in one task.
+    """
+    digest = F.sha2(F.col("text").cast("binary"), 256)
+    numbered = docs.withColumns({"__fp": fingerprint_column(F.col("text")), "__row": F.monotonically_increasing_id()})
+    rows = work.keep(numbered)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", digest.alias("digest"), F.col("__row").alias("row"))
+    least = work.keep(rows.groupBy(F.col("__fp").alias("fp")).agg(F.min(order).alias("least")))
+    rooted = least.join(roots_of(least.select("fp"), work, max_bits), "fp")
+    chosen = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias("__row"))
+    return rows.join(chosen, "__row", "left_semi").select(*docs.columns)
