@@ -1,7 +1,8 @@
 """The five catalogue phases: resolve track ids, then fill tracks, artists, albums and features.
 
 Wanted keys reach the catalogue as semi joins, never as lists, so that neither side has to fit the
-driver; Catalyst broadcasts the keys when their table is small.
+driver; Catalyst broadcasts the keys when their table is small. Of a catalogue that is kept by key (sources.catalogue) each
+table is joined on the key of the copy it is read from, so that only the wanted side is shuffled.
 """
 
 from __future__ import annotations
@@ -46,18 +47,19 @@ def first_matches(pairs: DataFrame, catalogue: Catalogue) -> DataFrame:
     wanted_tracks = pairs.select(F.col("track_name")).distinct()
     wanted_artists = pairs.select(F.col("artist_name")).distinct()
     tracks = semi_join(
-        catalogue.tracks.select(F.col("rowid").alias("track_rowid"), F.col("name").alias("track_name")),
+        catalogue.by("tracks", "name").select(F.col("rowid").alias("track_rowid"), F.col("name").alias("track_name")),
         wanted_tracks,
         ["track_name"],
     )
     artists = semi_join(
-        catalogue.artists.select(F.col("rowid").alias("artist_rowid"), F.col("name").alias("artist_name")),
+        catalogue.by("artists", "name").select(F.col("rowid").alias("artist_rowid"), F.col("name").alias("artist_name")),
         wanted_artists,
         ["artist_name"],
     )
     hits = (
-        catalogue.track_artists.join(artists, "artist_rowid")
+        catalogue.by("track_artists", "track_rowid")
         .join(tracks, "track_rowid")
+        .join(artists, "artist_rowid")
         .groupBy("artist_name", "track_name")
         .agg(F.min("track_rowid").alias("track_rowid"))
     )
@@ -66,9 +68,9 @@ def first_matches(pairs: DataFrame, catalogue: Catalogue) -> DataFrame:
 
 def artists_by_track(track_rowids: DataFrame, catalogue: Catalogue) -> DataFrame:
     """The artists of some tracks as a list per track, in row-id order."""
-    credits = semi_join(catalogue.track_artists, track_rowids, ["track_rowid"])
+    credits = semi_join(catalogue.by("track_artists", "track_rowid"), track_rowids, ["track_rowid"])
     named = credits.join(
-        catalogue.artists.select(F.col("rowid").alias("artist_rowid"), "id", "name"), "artist_rowid", "left"
+        catalogue.by("artists", "rowid").select(F.col("rowid").alias("artist_rowid"), "id", "name"), "artist_rowid", "left"
     )
     entries = F.sort_array(F.collect_list(F.struct("artist_rowid", "id", "name")))
     return named.groupBy("track_rowid").agg(entries.alias("artists"))
@@ -76,8 +78,8 @@ def artists_by_track(track_rowids: DataFrame, catalogue: Catalogue) -> DataFrame
 
 def catalogue_rows(track_rowids: DataFrame, catalogue: Catalogue) -> DataFrame:
     """Tracks with their album and their list of artists."""
-    tracks = semi_join(catalogue.tracks.withColumnRenamed("rowid", "track_rowid"), track_rowids, ["track_rowid"])
-    albums = catalogue.albums.select(
+    tracks = semi_join(catalogue.by("tracks", "rowid").withColumnRenamed("rowid", "track_rowid"), track_rowids, ["track_rowid"])
+    albums = catalogue.by("albums", "rowid").select(
         F.col("rowid").alias("album_rowid"),
         F.col("id").alias("album_id"),
         F.col("name").alias("album_name"),
@@ -138,7 +140,7 @@ def _ids(df: DataFrame, column: str, name: str) -> DataFrame:
 def enrich_tracks(tracks: DataFrame, catalogue: Catalogue) -> DataFrame:
     """Fill isrc, popularity and disc number; what the table has already stays."""
     dump = semi_join(
-        catalogue.tracks.select(
+        catalogue.by("tracks", "id").select(
             F.col("id").alias("track_id"),
             F.col("external_id_isrc").alias("_isrc"),
             F.col("popularity").alias("_popularity"),
@@ -158,7 +160,7 @@ def enrich_tracks(tracks: DataFrame, catalogue: Catalogue) -> DataFrame:
 
 def genres_by_artist(artist_rowids: DataFrame, catalogue: Catalogue) -> DataFrame:
     return (
-        semi_join(catalogue.artist_genres, artist_rowids, ["artist_rowid"])
+        semi_join(catalogue.by("artist_genres", "artist_rowid"), artist_rowids, ["artist_rowid"])
         .groupBy("artist_rowid")
         .agg(F.sort_array(F.collect_list("genre")).alias("_genres"))
     )
@@ -167,7 +169,7 @@ def genres_by_artist(artist_rowids: DataFrame, catalogue: Catalogue) -> DataFram
 def enrich_artists(artists: DataFrame, catalogue: Catalogue) -> DataFrame:
     """Add followers, popularity and genres; without a match the old values stay."""
     dump = semi_join(
-        catalogue.artists.select(
+        catalogue.by("artists", "id").select(
             F.col("rowid").alias("artist_rowid"),
             F.col("id").alias("artist_id"),
             F.col("followers_total").alias("_followers"),
@@ -190,7 +192,7 @@ def enrich_artists(artists: DataFrame, catalogue: Catalogue) -> DataFrame:
 def enrich_albums(albums: DataFrame, catalogue: Catalogue) -> DataFrame:
     """Add label, product code and popularity; without a match the old values stay."""
     dump = semi_join(
-        catalogue.albums.select(
+        catalogue.by("albums", "id").select(
             F.col("id").alias("album_id"),
             F.col("label").alias("_label"),
             F.col("external_id_upc").alias("_upc"),
@@ -210,7 +212,7 @@ def enrich_albums(albums: DataFrame, catalogue: Catalogue) -> DataFrame:
 
 def audio_features(tracks: DataFrame, catalogue: Catalogue) -> DataFrame:
     """Typed features of the known tracks; rows flagged as empty responses are left out."""
-    usable = catalogue.track_audio_features.filter(F.col("null_response") == "0")
+    usable = catalogue.by("track_audio_features", "track_id").filter(F.col("null_response") == "0")
     known = semi_join(usable, _ids(tracks, "track_id", "track_id"), ["track_id"])
     known = _one_per_key(known, "track_id")
     return known.select("track_id", *[F.col(c).cast(t).alias(c) for c, t in AUDIO_FEATURES.items()])

@@ -19,7 +19,7 @@ from tapedeck.operators.joins import anti_join, hot_keys, semi_join
 from tapedeck.operators.validation import profile, row_counts
 from tapedeck.plans import enrichment, gold, responses, silver, worklists
 from tapedeck.sources import bronze, state
-from tapedeck.sources.catalogue import read_catalogue
+from tapedeck.sources.catalogue import keep_by_key, read_catalogue, read_kept
 from tapedeck.sources.files import exists, mark, remove
 from tapedeck.sources.tables import (
     Month,
@@ -324,9 +324,15 @@ def _write_aggregates(spark: SparkSession, root: str, s: dict[str, DataFrame], p
     write_table(gold.by_total_plays(gold.artist_stats_of(parts, about)), path["agg_artist_stats"])
 
 
+def keep_catalogue(spark: SparkSession, dump: str, kept: str, buckets: int) -> None:
+    """Copy a dump by the keys that the phases look up, once for all later runs; a bucket should be a few hundred megabytes."""
+    keep_by_key(read_catalogue(spark, dump), kept, buckets)
+
+
 def enrich_from_catalogue(spark: SparkSession, root: str, dump: str, work: str) -> None:
-    """The five catalogue phases. Phase 1 leaves markers that the next silver build picks up."""
-    catalogue, s = read_catalogue(spark, dump), read_lake(spark, root)
+    """The five catalogue phases. Phase 1 leaves markers that the next silver build picks up. `dump`: a dump, or copies of `keep_catalogue`."""
+    catalogue = (read_kept if exists(spark, f"{dump}/_buckets") else read_catalogue)(spark, dump)
+    s = read_lake(spark, root)
     pairs = enrichment.pairs_to_resolve(s["listening_events"], attempts(spark, root, "track_markers"))
     resolved = materialize(enrichment.resolve_pairs(pairs, catalogue, work), f"{work}/resolved")
     record(enrichment.resolved_markers(resolved), enrichment.marker_payload(resolved), root, "track_markers")

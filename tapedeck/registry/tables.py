@@ -259,7 +259,7 @@ def dump_missing_pairs(v: Views) -> DataFrame:
 )
 def dump_resolve(v: Views) -> DataFrame:
     pairs = enrichment.pairs_to_resolve(dedup_by_priority(v.plays), v.attempts)
-    resolved = enrichment.resolve_pairs(pairs, v.catalogue, v.scratch("resolve"))
+    resolved = enrichment.resolve_pairs(pairs, v.kept_catalogue, v.scratch("resolve"))
     return resolved.select(
         "key",
         "search_artist_name",

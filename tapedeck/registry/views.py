@@ -17,10 +17,11 @@ from tapedeck.functions.text import ARTIST_URI_PREFIX, TRACK_URI_PREFIX, encode_
 from tapedeck.plans.silver import Dimensions
 from tapedeck.schemas import AUDIO_FEATURES, conform
 from tapedeck.sources import bronze
-from tapedeck.sources.catalogue import Catalogue
+from tapedeck.sources.catalogue import Catalogue, keep_by_key, read_kept
 from tapedeck.sources.scratch import scratch_root
 
 _BRONZE: dict[tuple[str, str], dict[str, str]] = {}
+_KEPT: dict[tuple[str, str], str] = {}
 
 
 def when_null(condition: Column, otherwise: Column) -> Column:
@@ -511,6 +512,15 @@ class Views:
             _BRONZE[slot] = self.write_bronze(f"{scratch_root(self.spark)}/lake")
         return _BRONZE[slot]
 
+    @property
+    def kept_catalogue(self) -> Catalogue:
+        """Copies of the catalogue by key, written once per session."""
+        slot = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if slot not in _KEPT:
+            _KEPT[slot] = f"{scratch_root(self.spark)}/catalogue"
+            keep_by_key(self.catalogue, _KEPT[slot], buckets=8)
+        return read_kept(self.spark, _KEPT[slot])
+
     def named_files(self) -> str:
         """A folder with a file for each supplier, whose name and text are known; one in three is no listening history."""
         key = F.col("s_suppkey")
