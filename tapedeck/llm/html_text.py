@@ -8,6 +8,9 @@ labelling of the whole page; blocks on the content side are the text.
 The classifier is fitted here on a bounded sample of pages, labelled by the elements that name their
 purpose; those features are hidden in half of the rows, so that length, links and punctuation carry pages without
 such elements. Its weights are drawn to `PRIOR`, which alone holds where a sample has nothing to learn from.
+
+A name is only evidence. Sites also wrap whole pages in elements with such names, so that a mark counts for nothing where the element
+holds the article or most of the page's text, and an article does not inherit what is around it (`_settle`).
 """
 
 from __future__ import annotations
@@ -48,6 +51,10 @@ FRAME_WORDS = set(
 )
 BODY_WORDS = set("article articlebody content entry main post story text".split())
 COMMENT_WORDS = set("comment comments disqus reply replies respond responses discussion".split())
+#: Names of lists of links: a mark only where links hold so much of the text.
+LIST_WORDS, LINKED = set("related popular recommended trending tags toc breadcrumb breadcrumbs pager pagination promo promotion".split()), 0.3
+#: Shares of a page's text outside links: that of an article which inherits no mark, and that of an element whose own mark counts for nothing.
+ARTICLE, MOST = 0.3, 0.6
 
 FEATURES = ["bias", "frame", "body", "links", "length", "sentence", "heading", "listed", "symbols"]
 PRIOR = np.array([0.0, -6.0, 2.0, -4.0, 0.8, 1.0, 0.4, -0.4, -0.3])
@@ -71,16 +78,17 @@ class Block:
 class Element:
     tag: str
     parent: int
-    frame: bool
+    marks: set[str]
     body: bool
     hidden: bool
     heading: bool = False
     listed: bool = False
+    frame: bool = False
 
 
 def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
     """Blocks with text in page order, and the elements around them."""
-    elements = [Element("", -1, False, False, False)]
+    elements = [Element("", -1, set(), False, False)]
     open_now, blocks, block = [0], [], None
     links, at = 0, 0
     last = page.rfind(">")  # no tag ends behind it: what looks like one there is text
@@ -128,18 +136,51 @@ def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
         if token.endswith("/>") and tag not in BLOCK_TAGS:
             continue
         above = elements[open_now[-1]]
-        frame, body, hidden = _purpose(tag, m[3] or "", above)
+        marks, body, hidden = _purpose(tag, m[3] or "", above)
         hidden = hidden or above.hidden or tag in HIDDEN_TAGS
-        elements.append(Element(tag, open_now[-1], frame, body, hidden, above.heading or tag in HEADINGS, above.listed or tag in LISTED))
+        elements.append(Element(tag, open_now[-1], marks, body, hidden, above.heading or tag in HEADINGS, above.listed or tag in LISTED))
         open_now.append(len(elements) - 1)
         links += tag == "a"
     for b in blocks:
         b.text = " ".join(html.unescape("".join(b.parts)).split())
-    return [b for b in blocks if b.text], elements
+    blocks = [b for b in blocks if b.text]
+    _settle(blocks, elements)
+    return blocks, elements
+
+
+def _settle(blocks: list[Block], elements: list[Element]) -> None:
+    """Which elements frame the page, once it is known what they hold."""
+    size = len(elements)
+    plain, linked, article, title = [0] * size, [0] * size, [False] * size, [False] * size
+    for b in blocks:
+        own = min(b.linked, len(b.text))
+        plain[b.parent] += len(b.text) - own
+        linked[b.parent] += own
+        title[b.parent] |= b.heading
+    for k in range(size - 1, 0, -1):  # what is inside comes behind
+        above = elements[k].parent
+        plain[above] += plain[k]
+        linked[above] += linked[k]
+        title[above] |= title[k]
+    total = max(plain[0], 1)
+    for k in range(size - 1, 0, -1):
+        e = elements[k]
+        main = e.tag in BODY_TAGS and not e.marks and plain[k] >= ARTICLE * total
+        article[k] |= main
+        article[e.parent] |= article[k]
+    for k in range(1, size):
+        e, above = elements[k], elements[elements[k].parent]
+        mark = bool(e.marks)
+        if mark and e.marks <= LIST_WORDS and linked[k] < LINKED * (plain[k] + linked[k]):
+            mark = False
+        elif mark and (article[k] or plain[k] >= MOST * total and not e.marks & {"nav", "footer", "aside", "menu", "dialog"}):
+            mark = not article[k] and bool(e.marks & COMMENT_WORDS) and not title[k]
+        resets = e.tag in BODY_TAGS and article[k]
+        e.frame = mark or above.frame and not resets
 
 
 def _container(elements: list[Element], open_now: list[int]) -> int:
-    return next((k for k in reversed(open_now) if elements[k].tag in BLOCK_TAGS or elements[k].frame), 0)
+    return next((k for k in reversed(open_now) if elements[k].tag in BLOCK_TAGS or elements[k].marks), 0)
 
 
 def _close_implied(tag: str, elements: list[Element], open_now: list[int], close) -> None:
@@ -155,8 +196,8 @@ def _close_implied(tag: str, elements: list[Element], open_now: list[int], close
             return
 
 
-def _purpose(tag: str, attributes: str, above: Element) -> tuple[bool, bool, bool]:
-    """Does the element frame the page, hold its body, or stay unseen? Inherited, and a frame inside a body is a frame."""
+def _purpose(tag: str, attributes: str, above: Element) -> tuple[set[str], bool, bool]:
+    """The tag and words by which the element frames the page; does it hold its body (inherited), or stay unseen?"""
     words: set[str] = set()
     hidden = False
     for m in _ATTRIBUTE.finditer(attributes):
@@ -169,14 +210,14 @@ def _purpose(tag: str, attributes: str, above: Element) -> tuple[bool, bool, boo
             if not {"no", "has", "with", "without", "is"} & set(parts):
                 words.update(parts)
     if tag in BODY_TAGS | {"html", "body"}:
-        frame = bool(words & COMMENT_WORDS)
-    elif tag in ("header", "hgroup") and above.body and not above.frame:
-        frame = bool(words & (FRAME_WORDS - {"head", "header", "top"}))  # an article's own heading
+        marks = words & COMMENT_WORDS
+    elif tag in ("header", "hgroup") and above.body:
+        marks = words & (FRAME_WORDS - {"head", "header", "top"})  # an article's own heading
     elif re.fullmatch(r"h[1-6]|p|b|i|em|strong|span|a|mark|code|pre|u|q|blockquote|li", tag):
-        frame = bool(words & (FRAME_WORDS - {"text", "top", "head", "header", "bar", "bottom", "tags"}))
+        marks = words & (FRAME_WORDS - {"text", "top", "head", "header", "bar", "bottom", "tags"})
     else:
-        frame = tag in FRAME_TAGS or bool(words & FRAME_WORDS) and not words & {"articlebody"}
-    return above.frame or frame, above.body or tag in BODY_TAGS or bool(words & BODY_WORDS), hidden
+        marks = {tag} & FRAME_TAGS | (set() if words & {"articlebody"} else words & FRAME_WORDS)
+    return marks, above.body or tag in BODY_TAGS or bool(words & BODY_WORDS), hidden
 
 
 def features_of(blocks: list[Block], elements: list[Element]) -> np.ndarray:
@@ -202,8 +243,6 @@ def fit_weights(x: np.ndarray, y: np.ndarray, steps: int = 300) -> np.ndarray:
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(rows @ weights, -50, 50)))
         weights += 0.5 * (rows.T @ (truth - p) / len(truth) - 0.02 * (weights - PRIOR))
-    # What names its own purpose never counts for the other label.
-    weights[1], weights[2] = min(weights[1], PRIOR[1]), max(weights[2], 0.5)
     return weights
 
 
