@@ -29,8 +29,8 @@ SAMPLE = 300
 #: Words that a template's pair of neighbours must share with a paragraph, as a share of the template's.
 CONTAINED = 0.6
 SHINGLE = 2
-#: Words that a wrapped line has at most; lines that one joined with others reaches to, and words: as many as two such lines and
-#: more than the longest template.
+#: Words of a longer line that are joined with its neighbours, at either end; lines that one joined with others reaches to, and words: as many as two
+#: such ends and more than the longest template.
 WRAPPED, LINES, WINDOW = 40, 24, 112
 
 # Names and key sentences of public licences.
@@ -206,18 +206,26 @@ def scan(docs: DataFrame, model: Model, work: Workspace) -> DataFrame:
 
 
 def _joined(lines: Column, k: Column) -> Column:
-    """The words of the line before `k`, of `k` and of those after it, up to a line without words or one too long to be wrapped.
+    """The words of the line before `k`, of `k` and of those after it, up to a line without words.
 
-    No words if `k` itself is too long or stands alone.
+    A line of more than WRAPPED words takes part with so many at its end, where a notice may begin, or at its beginning, where one may go on;
+    nothing behind it is joined. No words if `k` stands alone.
     """
-    fits = lambda words: F.size(words).between(1, WRAPPED)
+    head = lambda words: F.slice(words, F.lit(1), F.lit(WRAPPED))
+    tail = lambda words: F.slice(words, F.greatest(F.size(words) - WRAPPED, F.lit(0)) + 1, F.lit(WRAPPED))
+    is_long = lambda words: F.size(words) > WRAPPED
+    until = lambda found, test: F.array_position(F.transform(found, test), F.lit(True)).cast("int")
     after = F.slice(lines, k + 2, LINES)
-    end = F.array_position(F.transform(after, lambda w: ~fits(w)), F.lit(True)).cast("int")
+    end = until(after, lambda w: F.size(w) == 0)
     after = F.when(end > 0, F.slice(after, F.lit(1), F.greatest(end - 1, F.lit(0)))).otherwise(after)
-    before = F.filter(F.when(k > 0, F.slice(lines, F.greatest(k, F.lit(1)), F.lit(1))).otherwise(F.slice(lines, 1, 0)), fits)
+    last = until(after, is_long)
+    after = F.transform(F.when(last > 0, F.slice(after, F.lit(1), F.greatest(last, F.lit(0)))).otherwise(after), head)
+    before = F.filter(F.when(k > 0, F.slice(lines, F.greatest(k, F.lit(1)), F.lit(1))).otherwise(F.slice(lines, 1, 0)), lambda w: F.size(w) > 0)
     none = F.slice(lines[k], 1, 0)
-    words = F.slice(F.flatten(F.concat(before, F.slice(lines, k + 1, F.lit(1)), after)), F.lit(1), F.lit(WINDOW))
-    return F.when(fits(lines[k]) & (F.size(before) + F.size(after) > 0), words).otherwise(none)
+    own = F.when(is_long(lines[k]), F.concat(head(lines[k]), tail(lines[k]))).otherwise(lines[k])
+    words = F.flatten(F.concat(F.transform(before, tail), F.array(own), after))
+    longest = WINDOW + F.greatest(F.size(own) - WRAPPED, F.lit(0))
+    return F.when((F.size(lines[k]) > 0) & (F.size(before) + F.size(after) > 0), F.slice(words, F.lit(1), longest)).otherwise(none)
 
 
 def _shingles(text: str) -> list[str]:

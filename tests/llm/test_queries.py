@@ -115,6 +115,20 @@ def test_wrapped_licence_notices(spark, work):
                    (5, 0, "MIT"), (5, 1, "Apache-2.0"), (5, 2, "unknown")]
 
 
+def test_notices_that_begin_or_end_in_a_long_line(spark, work):
+    prose = "one of the many things that we have to say here is said in a line that nobody has wrapped and that goes on for quite a while before it comes"
+    prose = f"{prose} to an end about rivers and hills and the animals there which is why this file is"
+    assert len(prose.split()) >= 45
+    texts = [
+        f"{prose} licensed under the Apache\nLicense, Version 2.0.\nplain", f"This file is licensed under the Apache\nLicense, Version 2.0. {prose}",
+        f"{prose} free.\n{prose} open.", f"{prose}\n\nThis file is licensed under the Apache License, Version 2.0.",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = license_scan.fit(["Plain prose about cats.", "Another paragraph.", prose])
+    got = sorted((r["doc_id"], r["paragraph"], r["family"]) for r in license_scan.scan(docs, model, work).collect())
+    assert got == [(0, 0, "Apache-2.0"), (1, 0, "Apache-2.0"), (3, 2, "Apache-2.0")]
+
+
 def test_secrets_behind_names_and_in_paths_are_reported_once(spark, work):
     rnd = np.random.default_rng(3)
     letters = list(secret_scan.ALPHABETS["base64"][:62])
