@@ -364,3 +364,79 @@ def repair_damaged(turns: DataFrame, work: Workspace, most: int = CHUNK_ROWS) ->
     numbers = [F.coalesce(c, F.lit(0)).alias(c) for c in ("blank", "duplicate", "truncated", "illegal", "cost")]
     nothing = F.lit(hashlib.sha256().hexdigest())
     return found.select("conv_id", "gaps", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
+
+
+# ------------------------------------------------------------ the same in DuckDB, row by row from the end
+
+
+def _cell(cost: str, audit: str, rows: str) -> str:
+    return f"{{'c': {cost}, 'a': {audit}, 'r': {rows}}}"
+
+
+def _sql_choices(state: int) -> str:
+    """The cheapest way to use a row up in this state, of equal ones the least audit: structs compare by cost, then audit."""
+    to, far = _NEXT[state], "(1::bigint << 40)"
+    own, behind = f"w[{state + 1}]", f"w[{to + 1}]"
+    kept, name = "(role || ':' || body)", _ROLES[to]
+    cells = [
+        _cell(f"2 + {own}.c", f"'D' || {own}.a", f"{own}.r"),
+        _cell(f"case when fault < 2 and role[1:1] = '{name[0]}' then 5 * fault + {behind}.c else {far} end", f"'K' || {behind}.a", f"list_prepend({kept}, {behind}.r)"),
+        _cell(f"case when fault < 2 then 1 + 5 * fault + {behind}.c else {far} end", f"'R' || {behind}.a", f"list_prepend('{name}:' || body, {behind}.r)"),
+    ]
+    if state == 0:
+        cells.append(_cell(f"case when fault < 2 and role[1:1] = 's' then 5 * fault + w[2].c else {far} end", "'K' || w[2].a", f"list_prepend({kept}, w[2].r)"))
+    return f"list_min([{', '.join(cells)}])"
+
+
+def _sql_inserts(source: str) -> str:
+    def one(state: int) -> str:
+        to = f"{source}[{_NEXT[state] + 1}]"
+        inserted = _cell(f"5 + {to}.c", f"'I' || {to}.a", f"list_prepend('{_ROLES[_NEXT[state]]}:', {to}.r)")
+        return f"list_min([{source}[{state + 1}], {inserted}])"
+
+    return f"[{', '.join(one(s) for s in range(4))}]"
+
+
+#: Faults: 3 blank, 2 seen earlier, 1 cut off.
+SQL = f"""
+with recursive bytes as (
+  select list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)), lambda c, k: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end)) as crc),
+keyed as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as body,
+    coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as k from conversations),
+kinds as (
+  select conv_id, turn, role, body, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(1, strlen(k) + 1), lambda i: ascii(k[i]))),
+    lambda c, b: xor(crc[(xor(c, b) & 255) + 1], c >> 8))) % 20 as kind
+  from keyed, bytes),
+damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+    case kind when 1 then '' when 2 then regexp_replace(body, '[.!?]', '', 'g') else body end as body,
+    unnest(case kind when 0 then [] when 3 then [1, 2] else [1] end) as copy
+  from kinds),
+placed as (
+  select *, row_number() over w as i, lag(role) over w as before from damaged
+  window w as (partition by conv_id order by turn nulls first, role, body, copy)),
+ranked as (
+  select *, row_number() over (partition by conv_id, role, body order by i) as nth,
+    rtrim(body, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as bare from placed),
+rows_ as (
+  select *, case when bare = '' then 3 when nth > 1 then 2 when not regexp_matches(bare, '[.!?]$') then 1 else 0 end as fault from ranked),
+counts as (
+  select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 3) as blank,
+    count(*) filter (fault = 2) as duplicate, count(*) filter (fault = 1) as truncated,
+    count(*) filter (before is not null and before[1:1] || role[1:1] not in ('su', 'ua', 'au')) as illegal
+  from rows_ group by conv_id),
+path as (
+  select conv_id, n as i, [{{'c': 0::bigint, 'a': '', 'r': []::varchar[]}}, {{'c': 10, 'a': 'II', 'r': ['user:', 'assistant:']}},
+    {{'c': 5, 'a': 'I', 'r': ['assistant:']}}, {{'c': 0, 'a': '', 'r': []}}] as w from counts
+  union all
+  select conv_id, i - 1, {_sql_inserts(_sql_inserts('u'))} from (
+    select p.conv_id, p.i, [{", ".join(_sql_choices(s) for s in range(4))}] as u
+    from path p join rows_ r on r.conv_id is not distinct from p.conv_id and r.i = p.i))
+select c.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+  coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(w[1].c, 0)::bigint as cost, coalesce(w[1].a, '') as audit,
+  sha256(coalesce(array_to_string(w[1].r, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) c
+left join counts n on c.conv_id is not distinct from n.conv_id
+left join path p on p.conv_id is not distinct from c.conv_id and p.i = 0
+"""

@@ -85,4 +85,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: The other operators' methods can't be said in SQL; tests hold them against brute force.
-ORACLES: dict[str, str] = {"op11_filter_audit": filter_audit.SQL}
+ORACLES: dict[str, str] = {"op11_filter_audit": filter_audit.SQL, "op12_chat_repair": chat_repair.SQL}

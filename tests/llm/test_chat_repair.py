@@ -6,7 +6,11 @@ import random
 import re
 import zlib
 
-from tapedeck.llm import chat_repair
+import duckdb
+import pandas as pd
+from check_oracle import compare, duck
+
+from tapedeck.llm import chat_repair, queries
 from tapedeck.llm.common import Workspace
 
 SPACE = " \t\n\v\f\r"
@@ -113,3 +117,15 @@ def test_every_class_comes_from_the_one_at_the_end():
     known, steps = chat_repair.vectors()
     assert len(known) < 64 and all(0 <= q < len(known) for row in steps for q in row)
     assert all(chat_repair.lefts(codes)[0] == chat_repair.lefts(codes[:1])[chat_repair.lefts(codes[1:])[0]] for codes in ([3, 5, 0, 3], [3, 3, 6, 1]))
+
+
+def test_sql_equals_the_search_and_the_query(spark, sf_dir):
+    table = pd.DataFrame(odd_tables(), columns=["conv_id", "turn", "role", "text"]).astype({"conv_id": "Int64", "turn": "Int64"})
+    con = duckdb.connect()
+    con.register("conversations", table)
+    want = brute_force(odd_tables())
+    rows = con.execute(chat_repair.SQL).fetchall()
+    assert len(rows) == len(want) and all(r[1:] == want[r[0]] for r in rows)
+    for name in ("op11_filter_audit", "op12_chat_repair"):
+        note, _, ok = compare(spark, duck(sf_dir), name, queries.QUERIES[name], queries.ORACLES[name], sf_dir)
+        assert ok, note
