@@ -216,6 +216,22 @@ def sink_raw_files(v: Views) -> DataFrame:
     return v.spark.read.parquet(path).select(_folder(), "length", F.sha2("content", 256).alias("content_sha256"))
 
 
+@query(
+    "sink_raw_ranges",
+    f"""select folder, cast(strlen(s_name) + 1 as bigint) as length, cast((strlen(s_name) + 8) // 8 as bigint) as ranges,
+          sha256(s_name || chr(10)) as content_sha256
+        from {_FOLDERS} where s_suppkey % 3 <> 2""",
+)
+def sink_raw_ranges(v: Views) -> DataFrame:
+    """The same files, each kept in ranges of eight bytes and put together again."""
+    path = v.scratch("raw_ranges")
+    bronze.keep_raw_files(v.spark, v.named_files(), path, size=8)
+    ranges = F.array_sort(F.collect_list(F.struct("offset", F.hex("content").alias("hex"))))
+    whole = v.spark.read.parquet(path).groupBy(_folder(), "length").agg(ranges.alias("r"))
+    content = F.unhex(F.array_join("r.hex", ""))
+    return whole.select("folder", "length", F.size("r").cast("bigint").alias("ranges"), F.sha2(content, 256).alias("content_sha256"))
+
+
 @query(
     "attempts_latest",
     """select key, status, payload, attempted_at from (
@@ -377,3 +393,20 @@ def silver_refresh(v: Views) -> DataFrame:
         write(root)
         jobs.refresh_silver(v.spark, root, work, f"{work}/checkpoint")
     return tables.read_silver(v.spark, root, "listening_events")
+
+
+@query(
+    "gold_refresh",
+    f"""select cast(year(played_at_utc) as int) as year, cast(month(played_at_utc) as int) as month, count(*) as total_plays,
+          cast(coalesce(sum(duration_ms), 0) as bigint) as total_ms_listened,
+          cast(count(distinct track_id) + max(case when track_id is null then 1 else 0 end) as bigint) as unique_tracks,
+          cast(count(distinct e.artist_name) + max(case when e.artist_name is null then 1 else 0 end) as bigint) as unique_artists
+        from {_SILVER_EVENTS} e left join {_SILVER_ARTISTS} a on e.artist_name = a.artist_name group by 1, 2""",
+)
+def gold_refresh(v: Views) -> DataFrame:
+    """Plays and exports first, look-ups later: gold is brought up to date after each, from what silver wrote and from look-up rows that changed."""
+    root, work = v.scratch("lake"), v.scratch("work")
+    for write in (v.write_heard, v.write_looked_up):
+        write(root)
+        jobs.refresh_all(v.spark, root, work, f"{work}/checkpoint")
+    return tables.read_gold(v.spark, root, "agg_monthly").select("year", "month", "total_plays", "total_ms_listened", "unique_tracks", "unique_artists")
