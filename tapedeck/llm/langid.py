@@ -172,10 +172,18 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learn(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> tuple[tuple[str, tuple[str, ...]], ...]:
-    """Sample texts of each language: the first `rows` distinct labelled texts by a hash, a stretch of `chars` characters from a hashed place of each."""
+    """Sample texts of each language: the first `rows` distinct labelled texts by a hash, a stretch of `chars` characters from a hashed place of each.
+
+    Labelled rows are counted for each language first, so that only a few times `rows` texts of each are moved, however many there are.
+    """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     h = F.xxhash64("text")
     start = F.pmod(h, F.greatest(F.length("text") - chars, F.lit(0)) + 1).cast("int") + 1
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    if not counts:
+        return ()
+    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int(min(1.0, 8 * rows / n) * (1 << 30)))])
+    known = known.where(F.pmod(F.xxhash64(h), F.lit(1 << 30)) <= share[F.col("lang")])
     cut = known.select("lang", h.alias("h"), F.col("text").substr(start, F.lit(chars)).alias("t")).dropDuplicates(["lang", "h"])
     first = cut.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "t"))).where(F.col("r") <= rows)
     found: dict[str, list[tuple[int, str]]] = {}
