@@ -387,7 +387,7 @@ def filt_music_only(v: Views) -> DataFrame:
        select 'StreamingHistory', count(duration_ms), count(*) - count(duration_ms) + count(distinct cast(played_at_utc as date)) from standard_rows""",
 )
 def dq_export_records(v: Views) -> DataFrame:
-    records = backfill.read_export_records(v.spark, v.bronze["exports"])
+    records = backfill.read_export_records(v.spark, v.bronze("exports"))
     kind = F.regexp_extract("file_path", "(StreamingHistory|Streaming_History)", 1)
     return records.groupBy(kind.alias("kind")).agg(
         F.count_if(backfill.record_rule()).alias("valid_records"),
