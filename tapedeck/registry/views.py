@@ -25,6 +25,8 @@ _BRONZE: dict[tuple[str, str, str], str] = {}
 _KEPT: dict[tuple[str, str], str] = {}
 # Records of an array, about, and order lines of a task that writes arrays.
 ARRAY, TASK_LINES = 1000, 250_000
+# Files that one task writes, about.
+TASK_FILES = 500
 
 
 def when_null(condition: Column, otherwise: Column) -> Column:
@@ -552,12 +554,16 @@ class Views:
         return read_kept(self.spark, _KEPT[slot])
 
     def named_files(self) -> str:
-        """A folder with a file for each supplier, whose name and text are known; one in three is no listening history."""
+        """A folder with a file for each supplier, whose name and text are known; one in three is no listening history.
+
+        The number of tasks follows that of the files, as the bytes are few; each moves its own files to their place.
+        """
         key = F.col("s_suppkey")
         kind = F.when(key % 3 == 0, "StreamingHistory_music_").when(key % 3 == 1, "Streaming_History_Audio_").otherwise("Userdata_")
-        root = self.scratch("files")
-        named = self.table("supplier").select(F.concat(kind, key).alias("folder"), F.col("s_name").alias("value"))
-        named.repartition("folder").write.partitionBy("folder").text(root)
+        root, supplier = self.scratch("files"), self.table("supplier")
+        named = supplier.select(F.concat(kind, key).alias("folder"), F.col("s_name").alias("value"))
+        spread = named.repartition(1 + supplier.count() // TASK_FILES, "folder")
+        spread.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("folder").text(root)
         return root
 
     def read_plays(self) -> DataFrame:

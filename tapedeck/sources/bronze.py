@@ -20,6 +20,8 @@ from tapedeck.sources.files import exists
 CORRUPT, RECORD, SOURCE_FILE = "_corrupt_record", "_record", "_source_file"
 # Bytes of a raw file that are kept in one row.
 RANGE = 64 * 1024 * 1024
+# Ranges that one task reads, about: as many as hold these bytes, but no more than so many.
+TASK_BYTES, TASK_RANGES = 2 * RANGE, 2000
 # Name patterns of the two export generations (of a file, or of a folder of its parts).
 EXPORT_PATH_PATTERN = "(StreamingHistory|Streaming_History).*[.](json|txt|txt[.]gz)$"
 # Files of lines, as they are or compressed, and the most lines of a compressed one, as it is read by one task.
@@ -226,20 +228,28 @@ def discover_exports(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _read_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The bytes of (path, offset) on: one row at a time, as each may be as large as RANGE."""
+    """The bytes of (path, offset) on, in frames of RANGE bytes at most: one range may be as large."""
     for batch in batches:
+        rows, held = [], 0
         for row in batch.itertuples(index=False):
+            if rows and held + row.size > RANGE:
+                yield pd.DataFrame(rows)
+                rows, held = [], 0
             store, where = FileSystem.from_uri(row.path)
             with store.open_input_file(where) as file:
                 file.seek(row.offset)
                 content = file.read(row.size)
-            yield pd.DataFrame({"path": [row.path], "modificationTime": [row.modificationTime], "length": [row.length], "offset": [row.offset], "content": [content]})
+            rows.append({"path": row.path, "modificationTime": row.modificationTime, "length": row.length, "offset": row.offset, "content": content})
+            held += row.size
+        if rows:
+            yield pd.DataFrame(rows)
 
 
 def keep_raw_files(spark: SparkSession, source: str, target: str, size: int = RANGE) -> None:
     """Keep export files byte by byte as a table (path, modificationTime, length, offset, content), of any length.
 
     A file of more than `size` bytes is kept as ranges of that size, a row each; several tasks read it. Empty files have no row.
+    The number of these tasks follows that of the ranges: their list is so short that the planner would give it to one.
     """
     kept = ["path", "modificationTime", "length", "offset", "content"]
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source).filter(F.col("path").rlike(EXPORT_PATH_PATTERN))
@@ -247,7 +257,9 @@ def keep_raw_files(spark: SparkSession, source: str, target: str, size: int = RA
     starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(size).cast("bigint")))
     ranges = files.filter(F.col("length") > size).select("path", "modificationTime", "length", starts.alias("offset"), F.lit(size).alias("size"))
     schema = "path string, modificationTime timestamp, length bigint, offset bigint, content binary"
-    cut = ranges.repartition(F.col("path"), F.col("offset")).mapInPandas(_read_ranges, schema)
+    count = files.filter(F.col("length") > size).agg(F.sum(F.ceil(F.col("length") / size))).first()[0] or 0
+    tasks = 1 + count // max(1, min(TASK_BYTES // size, TASK_RANGES))
+    cut = ranges.repartition(tasks, F.col("path"), F.col("offset")).mapInPandas(_read_ranges, schema)
     whole.select(*kept).unionByName(cut).write.mode("append").parquet(target)
 
 

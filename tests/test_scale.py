@@ -52,3 +52,19 @@ def test_ingest_lands_a_large_batch_compressed_and_keeps_no_copies(spark, sf_dir
     landed = jobs.bronze_path(root, "plays")
     assert list((tmp_path / "lake").rglob("*.txt.gz")) and not list((tmp_path / "lake").rglob("*.txt"))
     assert bronze.read_plays(spark, landed).count() > 0 and not list((tmp_path / "work").glob("*"))
+
+
+def test_files_are_written_and_read_by_tasks_in_number_of_the_files(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(views, "TASK_FILES", 2)
+    monkeypatch.setattr(bronze, "TASK_RANGES", 2)
+    v = Views(spark, sf_dir)
+    files = bronze.list_files(spark, v.named_files())
+    assert files.count() == v.table("supplier").count()
+    tasks = files.select(F.regexp_extract("path", "part-([0-9]+)-", 1)).distinct().count()
+    assert tasks > 3
+    source = v.named_files()
+    bronze.keep_raw_files(spark, source, str(tmp_path / "kept"), size=8)
+    kept = spark.read.parquet(str(tmp_path / "kept"))
+    exports = files.filter(F.col("path").rlike(bronze.EXPORT_PATH_PATTERN))
+    assert kept.count() == exports.agg(F.sum(F.ceil(F.col("length") / 8))).first()[0]
+    assert len(list((tmp_path / "kept").glob("part-*"))) > 4
