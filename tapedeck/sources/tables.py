@@ -74,13 +74,14 @@ def read_gold(spark: SparkSession, root: str, name: str) -> DataFrame:
     return read_by_month(spark, path) if name in MONTHLY else read_table(spark, path)
 
 
-def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Write a frame aside and go on from the copy.
+def materialize(df: DataFrame, path: str, file_rows: int = 0) -> DataFrame:
+    """Write a frame aside and go on from the copy, in files of `file_rows` rows at most, if that is not 0.
 
     For frames that several plans start from: they are computed once, the copy survives the loss of
     executors, and its size is known when the next join is planned.
     """
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    (writer.option("maxRecordsPerFile", file_rows) if file_rows else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

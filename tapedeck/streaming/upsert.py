@@ -9,6 +9,9 @@ repeated batch nor a stream that starts anew needs a note of what was done.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +24,9 @@ from tapedeck.streaming.ingest import run_available
 #: Size of a bucket from which on its month is cut into CUT times as many.
 BUCKET_BYTES = 256 * 1024 * 1024
 CUT = 8
+#: Rows of a file of the batch, and bytes of files that one task of a merge reads: a task sorts its rows before it keeps one of each play.
+FILE_ROWS, TASK_BYTES = 250_000, 16 * 1024 * 1024
+_SPLIT = "spark.sql.files.maxPartitionBytes"
 
 
 def bucket_of(buckets: dict[Month, int]) -> Column:
@@ -39,13 +45,25 @@ def touched_parts(dated: DataFrame, parts: list[Part]) -> list[Part]:
     return [p for p in parts if p.place in places or (p.bucket is None and p.place[:2] in months)]
 
 
+@contextmanager
+def short_splits(spark: SparkSession) -> Iterator[None]:
+    """What is read meanwhile is given to tasks by TASK_BYTES, whatever the size of the whole."""
+    before = spark.conf.get(_SPLIT)
+    spark.conf.set(_SPLIT, str(TASK_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(_SPLIT, before)
+
+
 def upsert_batch(batch: DataFrame, table: str, work: str, bucket_bytes: int = BUCKET_BYTES) -> None:
     """Merge one batch of events into the fact. The batch is written aside first, as it is read twice.
 
     A month with a touched bucket of more than `bucket_bytes` is read and cut anew as a whole, once for each CUT-fold growth.
     """
     spark = batch.sparkSession
-    staged = materialize(batch.withColumns({"year": F.year("played_at_utc"), "month": F.month("played_at_utc")}), f"{work}/batch")
+    dated = batch.withColumns({"year": F.year("played_at_utc"), "month": F.month("played_at_utc")})
+    staged = materialize(dated, f"{work}/batch", FILE_ROWS)
     parts = live_parts(spark, table)
     old = touched_parts(staged, parts)
     crowded = {p.place[:2] for p in old if part_bytes(spark, table, p) > bucket_bytes}
@@ -53,7 +71,8 @@ def upsert_batch(batch: DataFrame, table: str, work: str, bucket_bytes: int = BU
     old += [p for p in parts if p.place[:2] in crowded and p not in old]
     stored = read_parts(spark, table, old, schemas.EVENTS_PARTITIONED)
     merged = dedup_by_priority(union_diagonal(stored, staged))
-    write_buckets(merged.withColumn("bucket", bucket_of(buckets)), table, buckets, old)
+    with short_splits(spark):
+        write_buckets(merged.withColumn("bucket", bucket_of(buckets)), table, buckets, old)
 
 
 def upsert_available(stream: DataFrame, table: str, work: str, checkpoint: str) -> None:

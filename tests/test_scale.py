@@ -10,6 +10,7 @@ from tapedeck.plans import jobs
 from tapedeck.registry import views
 from tapedeck.registry.views import Views
 from tapedeck.sources import bronze
+from tapedeck.streaming import upsert
 
 
 def _lines(path) -> list[str]:
@@ -68,3 +69,24 @@ def test_files_are_written_and_read_by_tasks_in_number_of_the_files(spark, sf_di
     exports = files.filter(F.col("path").rlike(bronze.EXPORT_PATH_PATTERN))
     assert kept.count() == exports.agg(F.sum(F.ceil(F.col("length") / 8))).first()[0]
     assert len(list((tmp_path / "kept").glob("part-*"))) > 4
+
+
+def test_a_merge_gives_its_tasks_short_files_whatever_the_batch(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(upsert, "FILE_ROWS", 50)
+    monkeypatch.setattr(upsert, "TASK_BYTES", 2 * 1024 * 1024)
+    seen, before, write = [], spark.conf.get("spark.sql.files.maxPartitionBytes"), upsert.write_buckets
+
+    def watched(df, *args):
+        seen.append(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+        write(df, *args)
+
+    monkeypatch.setattr(upsert, "write_buckets", watched)
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id")).cast("timestamp_ntz")
+    plays = spark.range(300, numPartitions=1).select(at.alias("played_at_utc"), F.lit("n").alias("track_name"), F.lit("api").alias("source_type"))
+    batch, table, work = schemas.conform(plays, schemas.EVENTS), str(tmp_path / "events"), str(tmp_path / "work")
+    for _ in range(2):
+        upsert.upsert_batch(batch, table, work)
+    files = [f for f in (tmp_path / "work" / "batch").glob("*.parquet")]
+    assert max(spark.read.parquet(str(f)).count() for f in files) <= 50
+    assert seen == [str(2 * 1024 * 1024)] * 2 and spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    assert upsert.read_events(spark, table).count() == 300
