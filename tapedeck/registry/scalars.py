@@ -321,7 +321,7 @@ def build_nested_record(v: Views) -> DataFrame:
     """select played_at_utc, track_id, track_name, artist_name, duration_ms, context_uri from nested_lines""",
 )
 def json_roundtrip(v: Views) -> DataFrame:
-    as_text = v.nested(v.lines).select(F.to_json(F.struct("played_at", "context", "track")).alias("json"))
+    as_text = v.nested(v.spread_lines()).select(F.to_json(F.struct("played_at", "context", "track")).alias("json"))
     parsed = as_text.select(F.from_json("json", schemas.PLAY).alias("play")).select("play.*")
     return silver.api_events(parsed).select(
         "played_at_utc", "track_id", "track_name", "artist_name", "duration_ms", "context_uri"

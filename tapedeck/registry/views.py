@@ -25,6 +25,8 @@ _BRONZE: dict[tuple[str, str, str], str] = {}
 _KEPT: dict[tuple[str, str], str] = {}
 # Records of an array, about, and order lines of a task that writes arrays.
 ARRAY, TASK_LINES = 1000, 250_000
+# Order lines of a task that makes JSON of them and parses it.
+JSON_LINES = 100_000
 # Files that one task writes, about.
 TASK_FILES = 500
 
@@ -64,6 +66,12 @@ class Views:
             .withColumn("line_artist", name)
         )
 
+    def spread_lines(self) -> DataFrame:
+        """`lines` dealt evenly to tasks in number of the lines, for work that costs much a line: the files' splits follow their bytes,
+        which are few for a line, and are whole row groups."""
+        tasks = 1 + self.table("lineitem").count() // JSON_LINES
+        return self.lines.repartition(tasks, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
     @cached_property
     def plays(self) -> DataFrame:
         """Events of all three sources before dedup."""

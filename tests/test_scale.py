@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tapedeck import schemas
 from tapedeck.plans import jobs
-from tapedeck.registry import views
+from tapedeck.registry import scalars, views
 from tapedeck.registry.views import Views
 from tapedeck.sources import bronze
 from tapedeck.streaming import upsert
@@ -71,6 +71,14 @@ def test_files_are_written_and_read_by_tasks_in_number_of_the_files(spark, sf_di
     assert len(list((tmp_path / "kept").glob("part-*"))) > 4
 
 
+def test_lines_are_made_json_and_parsed_by_tasks_in_number_of_the_lines(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(views, "JSON_LINES", 1000)
+    rows = scalars.json_roundtrip(Views(spark, sf_dir)).withColumn("task", F.spark_partition_id())
+    counts = [r["count"] for r in rows.groupBy("task").count().collect()]
+    lines = Views(spark, sf_dir).lines.count()
+    assert sum(counts) == lines and len(counts) == 1 + lines // 1000 and max(counts) < 1500
+
+
 def test_a_merge_gives_its_tasks_short_files_whatever_the_batch(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(upsert, "FILE_ROWS", 50)
     monkeypatch.setattr(upsert, "TASK_BYTES", 2 * 1024 * 1024)
