@@ -14,7 +14,7 @@ from tapedeck.operators import validation
 from tapedeck.plans import backfill, enrichment, jobs, responses, worklists
 from tapedeck.sources import bronze, state, tables
 from tapedeck.sources.catalogue import read_catalogue
-from tapedeck.streaming import ingest, upsert
+from tapedeck.streaming import ingest, parse, upsert
 
 
 def put(path, value, indent=2):
@@ -682,6 +682,42 @@ def test_refresh_equals_a_rebuild_and_leaves_other_months_alone(spark, tmp_path)
     assert not (tmp_path / "w/plays").exists() and not (tmp_path / "w/refresh").exists()
 
 
+def test_copies_hold_what_silver_takes_and_records_are_judged_by_all_fields(spark, tmp_path):
+    root, plays, handed = str(tmp_path / "lake"), tmp_path / "lake" / schemas.BRONZE_PATHS["plays"], []
+    bad = play("2024-01-01T11:00:00Z", "t2", "Two", B)
+    bad["track"]["album"]["artists"] = "no list"
+    put(plays / "b.txt", json.dumps({**play("2024-01-02T10:00:00Z", "t3", "Three", B), "context": None}) + "\n" + json.dumps(bad))
+    cp, work, unread = (str(tmp_path / n) for n in ("cp", "w", "unread"))
+
+    def keep(records, folder):
+        handed.append((records.schema, bronze.plays_only(records).collect()))
+
+    parse.parse_available(spark, str(plays), schemas.PLAY, schemas.PLAY_TAKEN, keep, unread, cp, work)
+    staged = jobs.stage_bronze(spark, root, "plays", schemas.PLAY, work)
+    handed.append((staged.schema, bronze.plays_only(staged).collect()))
+    assert len(handed) == 2
+    for schema, rows in handed:
+        assert schema["track"].dataType.names == schemas.PLAY_TAKEN["track"].dataType.names and "href" not in schema["context"].dataType.names
+        assert [(r["track"]["id"], r["track"]["artists"][0]["name"], r["context"]) for r in rows] == [("t3", "Bob", None)]
+    for path in (unread, jobs.quarantine_path(root, "plays")):
+        rows = spark.read.parquet(path).collect()
+        assert [r["_corrupt_record"] for r in rows] == ["badly typed: track"] and "no list" in rows[0]["_record"]
+
+
+def test_batches_of_events_are_plain_and_those_by_month_are_still_merged(spark, tmp_path):
+    parsed, at = str(tmp_path / "parsed"), [datetime(2024, k, 1) for k in (1, 2, 3)]
+    events = [spark.createDataFrame([stream_event(t, f"n{t.month}", "api")], schemas.EVENTS) for t in at]
+    parse.keep_batch({"events": events[0].unionByName(events[1])}, parsed, "batch=a-0")
+    assert not list((tmp_path / "parsed/events/batch=a-0").glob("year=*"))
+    old = events[2].withColumns({"year": F.year("played_at_utc"), "month": F.month("played_at_utc")})
+    old.write.partitionBy("year", "month").parquet(f"{parsed}/events/batch=b-0")
+    merge = parse.Merge(spark, parsed)
+    months = merge.keep_events()
+    assert sorted(months) == [(2024, 1), (2024, 2), (2024, 3)]
+    kept = {(r["track_name"], r["year"], r["month"]) for r in merge.kept_events(months).collect()}
+    assert kept == {("n1", 2024, 1), ("n2", 2024, 2), ("n3", 2024, 3)}
+
+
 def test_refresh_of_an_empty_lake_writes_nothing(spark, tmp_path):
     jobs.refresh_silver(spark, str(tmp_path / "lake"), str(tmp_path / "w"), str(tmp_path / "cp"))
     assert not list((tmp_path / "lake/silver").glob("*"))
