@@ -2,9 +2,14 @@
 
 import json
 
+import pytest
+
 from tapedeck import schemas
 from tapedeck.plans import silver
+from tapedeck.registry import tables
+from tapedeck.registry.views import Views
 from tapedeck.sources import bronze
+from tapedeck.sources.at_once import at_once
 
 GOOD = {"ts": "2024-01-01T10:00:00Z", "ms_played": 5, "skipped": True}
 
@@ -54,3 +59,40 @@ def test_no_field_is_parsed_twice(spark, tmp_path):
     assert plan.count("from_json(") == 7
     exports = silver.music_exports(bronze.read_exports(spark, path))
     assert exports._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 3
+
+
+def test_records_are_judged_by_all_fields_when_few_are_used(spark, tmp_path):
+    track = {"id": "t", "name": "n", "href": "h", "album": {"images": [{"url": "u", "height": 3}]}, "artists": [{"id": "a", "name": "x"}]}
+    wrong = [{"album": {"images": [{"height": "tall"}]}}, {"album": {"artists": "no list"}}, {"artists": [{"external_urls": 1}]}, {"is_local": "no"}, {"album": 7}]
+    rows = [{"played_at": "p", "track": track}, *[{"played_at": "p", "track": {**track, **w}} for w in wrong], {"played_at": "p", "context": "c"}]
+    own = {"played_at": "q", "_record": "r", "_corrupt_record": "c"}
+    path = put_lines(tmp_path / "a", [json.dumps(rows), *map(json.dumps, [own, rows[1]])])
+    (tmp_path / "a" / "b.json").write_text(json.dumps(rows))
+    full, few = (bronze.read_json(spark, path, schemas.PLAY, used=used) for used in (None, schemas.PLAY_HEARD))
+    assert "href" in full.schema["track"].dataType.names and not {"href", "uri"} & set(few.schema["track"].dataType.names)
+    bad = [sorted((r["_corrupt_record"], r["_record"]) for r in bronze.unreadable(records).collect()) for records in (full, few)]
+    assert bad[0] == bad[1] and [len([r for r, _ in bad[0] if r == f"badly typed: {name}"]) for name in ("track", "context")] == [11, 2]
+    heard = [sorted(map(str, silver.api_events(bronze.plays_only(r).filter("played_at <> 'p'").drop("played_at").selectExpr("'2024-01-01T10:00:00Z' played_at", "*")).collect())) for r in (full, few)]
+    assert heard[0] == heard[1] and len(heard[0]) == 1
+    assert bronze.plays_only(few).count() == 3
+
+
+def test_events_of_exports_are_parsed_once(spark, sf_dir):
+    read = tables.silver_events(Views(spark, sf_dir)).inputFiles()
+    assert read and not [f for f in read if schemas.BRONZE_PATHS["exports"] in f]
+
+
+def test_jobs_at_once_all_end_before_an_error_is_raised(spark):
+    ended = []
+
+    def job(k):
+        rows = spark.range(k).count()
+        if k == 2:
+            raise ValueError("second")
+        ended.append(rows)
+        return rows
+
+    assert at_once(spark, *[lambda k=k: job(k) for k in (3, 1)]) == [3, 1]
+    with pytest.raises(ValueError, match="second"):
+        at_once(spark, *[lambda k=k: job(k) for k in (2, 5, 4)])
+    assert sorted(ended) == [1, 3, 4, 5] and at_once(spark) == []
