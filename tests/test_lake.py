@@ -718,6 +718,43 @@ def test_batches_of_events_are_plain_and_those_by_month_are_still_merged(spark,
     assert kept == {("n1", 2024, 1), ("n2", 2024, 2), ("n3", 2024, 3)}
 
 
+def test_a_batch_of_plays_or_exports_is_one_copy_whose_unreadable_records_are_no_events(spark, tmp_path):
+    lake, parsed, handed = tmp_path / "lake", str(tmp_path / "parsed"), []
+    make_lake(lake)
+    bad = {"played_at": "cut", "track": {"id": 1, "duration_ms": "long"}}
+    put(lake / schemas.BRONZE_PATHS["plays"] / "c.txt", "\n".join(map(json.dumps, [bad, {}, play("2024-03-01T10:00:00Z", "t2", "Two", B)])))
+    put(lake / schemas.BRONZE_PATHS["exports"] / "StreamingHistory1.txt", json.dumps([{"endTime": "no time", "msPlayed": "x", "trackName": "X"}, {"endTime": "2024-03-02 10:00"}]))
+    for name, shape in (("plays", parse.played), ("exports", parse.exported)):
+        paths = [str(tmp_path / f"{name}-{what}") for what in ("bad", "cp", "work")]
+        schema, taken = jobs.BRONZE_SCHEMAS[name], jobs.TAKEN[name]
+        parse.parse_available(spark, jobs.bronze_path(str(lake), name), schema, taken, lambda df, at: handed.append((df.count(), at)), *paths, shape, f"{parsed}/events")
+        assert [r["_corrupt_record"] for r in spark.read.parquet(paths[0]).collect()] == [{"plays": "badly typed: track", "exports": "badly typed: msPlayed"}[name]]
+    assert sorted(n for n, _ in handed) == [1, 2, 2, 4] and {at for _, at in handed} == {f.name for f in (tmp_path / "parsed/events").iterdir()}
+    merge = parse.Merge(spark, parsed)
+    assert sorted(merge.keep_events()) == [(2024, 1), (2024, 2), (2024, 3)]
+    rows = merge.kept_events([(2024, k) for k in (1, 2, 3)]).collect()
+    assert sorted((r["source_type"], r["track_name"], r["month"]) for r in rows) == [
+        ("api", "One", 1), ("api", "Two", 1), ("api", "Two", 3), ("export", "One", 1), ("export", "Three", 2),
+        ("extended_export", "One", 1), ("extended_export", "Two", 2),
+    ]
+
+
+def test_kept_events_are_shuffled_once_into_pieces_of_their_months(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(parse, "PIECE_ROWS", 40)
+    at = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") % 100 * 86_400).cast("timestamp_ntz")
+    plays = spark.range(200, numPartitions=1).select(at.alias("played_at_utc"), F.lit("n").alias("track_name"), F.lit("api").alias("source_type"))
+    parse.keep_batch({"events": schemas.conform(plays, schemas.EVENTS)}, str(tmp_path), "batch=a-0")
+    merge = parse.Merge(spark, str(tmp_path))
+    once = parse._each_once(merge._new("events", schemas.EVENTS_PARTITIONED))
+    assert once._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    months = merge.keep_events()
+    assert len(months) == 4 and merge.kept_events(months).count() == 100
+    files = list((tmp_path / "kept/data").rglob("*.parquet"))
+    assert 4 < len(files) <= 8  # two pieces of a month that has more than 40 rows
+    merge.keep_events()
+    assert merge.kept_events(months).count() == 100
+
+
 def test_refresh_of_an_empty_lake_writes_nothing(spark, tmp_path):
     jobs.refresh_silver(spark, str(tmp_path / "lake"), str(tmp_path / "w"), str(tmp_path / "cp"))
     assert not list((tmp_path / "lake/silver").glob("*"))
