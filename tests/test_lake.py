@@ -3,6 +3,7 @@
 import base64
 import json
 import os
+import threading
 from dataclasses import replace
 from datetime import datetime
 
@@ -755,6 +756,21 @@ def test_kept_events_are_shuffled_once_into_pieces_of_their_months(spark, tmp_pa
     assert merge.kept_events(months).count() == 100
 
 
+def test_tables_that_need_no_other_are_written_at_once(spark, tmp_path, monkeypatch):
+    make_lake(tmp_path / "lake")
+    together, write = threading.Barrier(2, timeout=90), jobs.write_table
+
+    def met(df, path, *args):
+        if path.endswith(("agg_daily", "agg_monthly")):
+            together.wait()
+        write(df, path, *args)
+
+    monkeypatch.setattr(jobs, "write_table", met)
+    root, work = str(tmp_path / "lake"), str(tmp_path / "w")
+    jobs.refresh_all(spark, root, work, str(tmp_path / "cp"))
+    assert tables.read_gold(spark, root, "agg_monthly").count() == 2 and tables.read_gold(spark, root, "agg_daily").count() == 3
+
+
 def test_refresh_of_an_empty_lake_writes_nothing(spark, tmp_path):
     jobs.refresh_silver(spark, str(tmp_path / "lake"), str(tmp_path / "w"), str(tmp_path / "cp"))
     assert not list((tmp_path / "lake/silver").glob("*"))
